@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, langid, licenses, mixing, tokens, warc
-from .common import read_table
+from . import embeddings, fingerprints, langid, licenses, lm, mixing, packing, tokens, warc
+from .common import id_remainder, read_table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     training = langid.training_rows(documents)
@@ -34,16 +39,31 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training = F.coalesce(id_remainder("doc_id", 7) != 2, F.lit(True))
+    return lm.score_documents(read_table(spark, sf_dir, "documents"), training)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_fingerprints, op3_warc_archives, op5_language_id, op7_license_scan, op9_source_mix)}
+    found = (
+        op1_token_counts, op2_fingerprints, op3_warc_archives, op4_embedding_duplicates, op5_language_id,
+        op6_packing, op7_license_scan, op8_lm_scores, op9_source_mix,
+    )
+    return {f.__name__: f for f in found}
 
 
 OP3_SQL = """
