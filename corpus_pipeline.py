@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidepanel.llm import langid, mixing
+from tidepanel.llm import jaccard, langid, mixing, packing
 from tidepanel.llm.common import read_table, written
 
 
@@ -19,12 +20,30 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _columns(found.where(found["_lang_pred"] != langid.UNDETERMINED), docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of the smallest id stays, as one row; rows without an id stay."""
+    groups = jaccard.near_duplicate_groups(docs)
+    gone = groups.where("component_id <> doc_id").select("doc_id")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    rest = [c for c in docs.columns if c != "doc_id"]
+    order = sorted(rest, key=lambda c: c != "text")
+    one = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*order)).alias("row"))
+    return one.select("doc_id", *[F.col("row")[c].alias(c) for c in rest]).select(*docs.columns).unionByName(kept.where("doc_id is null").select(*docs.columns))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat or go so that their sources come near the target weights."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("language", language), ("mix", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("mix", mix), ("pack", pack)]
 
 #: Hyperdimensional profiles and retrieval packing have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, langid, licenses, lm, mixing, packing, tokens, warc
+from . import embeddings, fingerprints, jaccard, langid, licenses, lm, mixing, packing, tokens, warc
 from .common import id_remainder, read_table
 
 
@@ -58,10 +58,14 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_token_counts, op2_fingerprints, op3_warc_archives, op4_embedding_duplicates, op5_language_id,
-        op6_packing, op7_license_scan, op8_lm_scores, op9_source_mix,
+        op6_packing, op7_license_scan, op8_lm_scores, op9_source_mix, op10_ngram_jaccard,
     )
     return {f.__name__: f for f in found}
 
@@ -75,4 +79,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN '
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_archives": OP3_SQL, "op9_source_mix": mixing.ORACLE_SQL}
+    return {"op3_warc_archives": OP3_SQL, "op9_source_mix": mixing.ORACLE_SQL, "op10_ngram_jaccard": jaccard.ORACLE_SQL}
