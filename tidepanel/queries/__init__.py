@@ -1,9 +1,19 @@
 """Registered panel queries, one module per operator family."""
 
+from __future__ import annotations
+
+from .registry import QUERIES, SQL
+
 
 def queries():
-    return {}
+    _load()
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    _load()
+    return dict(SQL)
+
+
+def _load() -> None:
+    from . import charts, etl, features, joins, labels, quality, simulation, streams, windowed  # noqa: F401
