@@ -1 +1 @@
-
+"""Feature families: named columns composed from the window primitives."""

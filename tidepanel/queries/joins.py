@@ -12,7 +12,6 @@ from ..sources.panel import ACTIONS, BARS, INDEX, REVENUE, SCORES, actions, bars
 from . import registry as q
 from .registry import query
 
-C = F.col("close")
 DAY = "TIMESTAMP '1996-01-01'"
 POSITIONS = f"""pos AS (SELECT stock_id, date AS buy_date, {q.lead("date", 10)} AS sell_date FROM (SELECT *, row_number() OVER ({q.PART}) AS i FROM bars) WHERE i % 40 = 1)"""
 
@@ -53,7 +52,7 @@ s AS (SELECT stock_id, date, fwd FROM r WHERE ret1 >= 5000 AND fwd IS NOT NULL)
 SELECT a.stock_id, a.date, a.fwd, count(b.stock_id) AS peers, sum(b.fwd)::DOUBLE / nullif(count(b.stock_id), 0) AS peer_mean FROM s a LEFT JOIN s b ON a.date = b.date AND a.stock_id <> b.stock_id GROUP BY a.stock_id, a.date, a.fwd""")
 def theta_peer_benchmark(spark, sf_dir):
     """Each signal against the other signals of its day: the day's sums less its own part, which needs no pairs."""
-    df = bars(spark, sf_dir).select("stock_id", "date", F.floor(w.change(C) * 10000).alias("ret1"), F.floor((F.try_divide(w.lead(C, 5), C) - 1) * 10000).alias("fwd"))
+    df = bars(spark, sf_dir).select("stock_id", "date", F.floor(w.change(F.col("close")) * 10000).alias("ret1"), F.floor((F.try_divide(w.lead(F.col("close"), 5), F.col("close")) - 1) * 10000).alias("fwd"))
     signals = df.where("ret1 >= 5000 and fwd is not null")
     day = Window.partitionBy("date")
     peers = (F.count("*").over(day) - 1).alias("peers")
@@ -83,7 +82,7 @@ SELECT count(*) AS compared, 'close' AS column_name, count(*) FILTER (c1 IS DIST
 UNION ALL SELECT count(*), 'volume', count(*) FILTER (v1 IS DISTINCT FROM v0 AND coalesce(abs(v1 - v0) > 1e-9, true)) FROM b""")
 def value_diff(spark, sf_dir):
     new = bars(spark, sf_dir).select("stock_id", "date", "close", "volume")
-    old = new.select("stock_id", "date", F.when(F.col("stock_id") % 7 == 0, C + 1).otherwise(C).alias("close"), F.when(F.col("stock_id") % 5 != 0, F.col("volume")).alias("volume"))
+    old = new.select("stock_id", "date", F.when(F.col("stock_id") % 7 == 0, F.col("close") + 1).otherwise(F.col("close")).alias("close"), F.when(F.col("stock_id") % 5 != 0, F.col("volume")).alias("volume"))
     return j.value_differences(new, old, ["stock_id", "date"], ["close", "volume"])
 
 
@@ -107,7 +106,7 @@ def reindexed_strength(spark, sf_dir):
     """Return less the index's return over the entity's own dates: the index is joined first and lagged after."""
     prices = bars(spark, sf_dir).select("stock_id", "date", "close")
     df = prices.join(index_bars(prices).withColumnRenamed("close", "index_close"), "date", "left")
-    own = w.change(C, 20)
+    own = w.change(F.col("close"), 20)
     return df.select("stock_id", "date", own.cast("float").alias("return_20d"), (own - w.change(F.col("index_close"), 20)).cast("float").alias("rs_20d"))
 
 

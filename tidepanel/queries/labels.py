@@ -11,7 +11,6 @@ from ..sources.panel import BARS, bars
 from . import registry as q
 from .registry import query
 
-C, UP = F.col("close"), F.col("up")
 RISES = f"""{BARS}, u AS (SELECT stock_id, date, close, (close > {q.lag("close")})::INT AS up, abs(close - {q.lag("close")}) AS step, {q.roll("avg", "close", 20)} AS ma20, {q.roll("avg", "close", 10)} AS ma10 FROM bars)"""
 FULL = f"{q.ahead('count', 'close', 1, 20)} = 20"
 UP20 = f"{q.ahead('sum', 'up', 1, 20)} >= 10"
@@ -19,25 +18,25 @@ UP20 = f"{q.ahead('sum', 'up', 1, 20)} >= 10"
 
 def _rises(spark, sf_dir):
     df = bars(spark, sf_dir).select("stock_id", "date", "close")
-    return df.select("*", (C > w.lag(C)).cast("int").alias("up"), F.abs(C - w.lag(C)).alias("step"), w.mean(C, 20).alias("ma20"), w.mean(C, 10).alias("ma10"))
+    return df.select("*", (F.col("close") > w.lag(F.col("close"))).cast("int").alias("up"), F.abs(F.col("close") - w.lag(F.col("close"))).alias("step"), w.mean(F.col("close"), 20).alias("ma20"), w.mean(F.col("close"), 10).alias("ma10"))
 
 
 @query(f"WITH {RISES} SELECT stock_id, date, CASE WHEN {FULL} THEN ({UP20})::INT END AS label FROM u")
 def label_up20(spark, sf_dir):
-    return _rises(spark, sf_dir).select("stock_id", "date", lb.up_days(C, UP).alias("label"))
+    return _rises(spark, sf_dir).select("stock_id", "date", lb.up_days(F.col("close"), F.col("up")).alias("label"))
 
 
 @query(f"WITH {RISES} SELECT * FROM (SELECT stock_id, date, CASE WHEN {FULL} THEN ({UP20} AND {q.ahead('min', 'close', 1, 20)} / close - 1 > -0.5::DOUBLE)::INT END AS label FROM u) WHERE label IS NOT NULL")
 def label_mdd10(spark, sf_dir):
-    return _rises(spark, sf_dir).select("stock_id", "date", lb.shallow_drawdown(C, UP, limit=-0.5).alias("label")).dropna(subset=["label"])
+    return _rises(spark, sf_dir).select("stock_id", "date", lb.shallow_drawdown(F.col("close"), F.col("up"), limit=-0.5).alias("label")).dropna(subset=["label"])
 
 
 @query(f"""WITH {RISES}, a AS (SELECT *, close / {q.lag("close")} - 1 AS r FROM u), b AS (SELECT *, {q.lead("close", 20)} / close - 1 AS fwd, {q.roll("stddev_samp", "r", 20)} AS sd, (close > ma20)::INT AS above FROM a)
 SELECT stock_id, date, label FROM (SELECT stock_id, date, (fwd > greatest(1.5::DOUBLE * sd * sqrt(20), 0.05::DOUBLE) AND {q.ahead("sum", "above", 1, 20)} >= 10)::INT AS label, {q.ahead("count", "above", 1, 20)} AS n, sd FROM b) WHERE n = 20 AND sd IS NOT NULL""")
 def label_steady20(spark, sf_dir):
-    forward, sd, _ = lb.steady(C)
-    df = _rises(spark, sf_dir).withColumn("r", w.change(C))
-    df = df.select("stock_id", "date", forward.alias("fwd"), w.roll(F.stddev_samp, F.col("r"), 20).alias("sd"), (C > F.col("ma20")).cast("int").alias("above"))
+    forward, sd, _ = lb.steady(F.col("close"))
+    df = _rises(spark, sf_dir).withColumn("r", w.change(F.col("close")))
+    df = df.select("stock_id", "date", forward.alias("fwd"), w.roll(F.stddev_samp, F.col("r"), 20).alias("sd"), (F.col("close") > F.col("ma20")).cast("int").alias("above"))
     df = df.withColumn("n", F.count("above").over(w.ahead(1, 20))).withColumn("hits", F.sum("above").over(w.ahead(1, 20)))
     label = (F.col("fwd") > F.greatest(1.5 * F.col("sd") * F.sqrt(F.lit(20)), F.lit(0.05))) & (F.col("hits") >= 10)
     return df.where("n = 20 and sd is not null").select("stock_id", "date", label.cast("int").alias("label"))
@@ -56,22 +55,22 @@ SELECT n.stock_id, n.date, f.label::INT AS label FROM n JOIN f ON n.stock_id = f
 
 @query(_barrier_sql(False))
 def triple_barrier(spark, sf_dir):
-    return _rises(spark, sf_dir).select("stock_id", "date", lb.barrier(C, F.col("ma10"), 0.8, 15).alias("label"))
+    return _rises(spark, sf_dir).select("stock_id", "date", lb.barrier(F.col("close"), F.col("ma10"), 0.8, 15).alias("label"))
 
 
 @query(_barrier_sql(True))
 def triple_barrier_persist(spark, sf_dir):
-    return _rises(spark, sf_dir).select("stock_id", "date", lb.barrier(C, F.col("ma10"), 0.8, 15, persist=True).alias("label"))
+    return _rises(spark, sf_dir).select("stock_id", "date", lb.barrier(F.col("close"), F.col("ma10"), 0.8, 15, persist=True).alias("label"))
 
 
 @query(f"WITH {RISES} SELECT stock_id, date, CASE WHEN count(close) OVER ({q.PART} ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) = 11 THEN (close = min(close) OVER ({q.PART} ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AND {q.lead('close', 5)} / close - 1 >= 0.07::DOUBLE)::INT END AS label FROM u")
 def local_extrema(spark, sf_dir):
-    return bars(spark, sf_dir).select("stock_id", "date", lb.local_low(C).alias("label"))
+    return bars(spark, sf_dir).select("stock_id", "date", lb.local_low(F.col("close")).alias("label"))
 
 
 @query(f"WITH {RISES} SELECT stock_id, date, (CASE WHEN count(step) OVER ({q.PART} ROWS BETWEEN 9 PRECEDING AND 10 FOLLOWING) = 20 THEN abs({q.lead('close', 10)} - {q.lag('close', 10)}) / sum(step) OVER ({q.PART} ROWS BETWEEN 9 PRECEDING AND 10 FOLLOWING) END)::FLOAT AS er FROM u")
 def efficiency_ratio(spark, sf_dir):
-    return _rises(spark, sf_dir).select("stock_id", "date", lb.efficiency(C, F.col("step")).cast("float").alias("er"))
+    return _rises(spark, sf_dir).select("stock_id", "date", lb.efficiency(F.col("close"), F.col("step")).cast("float").alias("er"))
 
 
 @query()
@@ -85,8 +84,8 @@ def swing_nine_class(spark, sf_dir):
     """State between pivots (up, down, flat where the efficiency is low), phase by thirds of a run, and its amplitude."""
     df = bars(spark, sf_dir).select("stock_id", "date", "close")
     pivots = per_entity(df, ["close"], "pivot long", lambda a: {"pivot": lb.zigzag(a["close"], 0.5)}).join(df, ["stock_id", "date"])
-    rows = pivots.withColumn("step", F.abs(C - w.lag(C))).withColumn("next", F.last(F.when(F.col("pivot") != 0, F.col("pivot")), ignorenulls=True).over(w.running()))
-    er = lb.efficiency(C, F.col("step"))
+    rows = pivots.withColumn("step", F.abs(F.col("close") - w.lag(F.col("close")))).withColumn("next", F.last(F.when(F.col("pivot") != 0, F.col("pivot")), ignorenulls=True).over(w.running()))
+    er = lb.efficiency(F.col("close"), F.col("step"))
     state = F.when(F.col("next").isNull(), None).when(er < 0.15, "flat").when(F.col("next") < 0, "up").otherwise("down")
     rows = rows.withColumn("state", state).withColumn("new", F.coalesce((F.col("state") != w.lag(F.col("state"))).cast("int"), F.lit(0)))
     rows = rows.withColumn("run", F.sum("new").over(w.running()))
