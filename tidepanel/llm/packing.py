@@ -11,34 +11,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END = 2
+MARKS = (".", ",", ";", ":", "!", "?")
 
 
 class WordTokenizer:
     """Token ids as little-endian unsigned 32-bit bytes, word by word.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its
-    blank-separated words in turn. Words are encoded once and kept, at most `held` of them.
+    blank-separated words in turn. Words are encoded once and kept, at most `held` of them; new ones
+    are encoded many at a time with a special token between them, as each call costs more than a word.
     """
 
-    def __init__(self, path: str, held: int = 400_000):
+    def __init__(self, path: str, held: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.held, self.known = Tokenizer.from_file(path), held, {}
+        self.separator_id, token = max(self.tokenizer.get_added_tokens_decoder().items())
+        self.separator = token.content
 
-    def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            pass
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.held:
             self.known.clear()
-        new = list({w for w in words if w not in self.known})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join([self.known[w] for w in words])
+        new = list(set().union(*split).difference(self.known))
+        stems = {w: w[:-1] for w in new if w[-1:] in MARKS and w[-2:-1].isascii() and w[-2:-1].isalpha() and "<|" not in w}
+        whole = [w for w in new if w not in stems]
+        whole += {part for w, stem in stems.items() for part in (stem, w[-1]) if part not in self.known}.difference(whole)
+        plain = [w for w in whole if "<|" not in w]
+        for i in range(0, len(plain), 512):
+            part = plain[i : i + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.separator.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == self.separator_id).tolist(), len(ids)]
+            start = 0
+            for word, end in zip(part, ends, strict=True):
+                self.known[word] = raw[4 * start : 4 * end]
+                start = end + 1
+        for word in set(whole).difference(plain):  # may hold special strings of their own
+            self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        known = self.known
+        for word, stem in stems.items():  # a letter and a mark are never one token
+            known[word] = known[stem] + known[word[-1]]
+        return [b"".join([known[w] for w in words]) for words in split]
 
 
 @lru_cache(maxsize=2)
@@ -137,7 +150,7 @@ def pack_documents(
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc", "text"], kind="stable", ignore_index=True)
         tokenizer, end = _tokenizer(tokenizer_path), np.array([END], "<u4").tobytes()
-        raw = [tokenizer.encode(t) + end for t in group["text"]]
+        raw = [ids + end for ids in tokenizer.encode(group["text"].tolist())]
         sequences = pack_shard([np.frombuffer(r, "<u4") for r in raw], window, query_terms)
         pieces = []
         for number, sequence in enumerate(sequences):
