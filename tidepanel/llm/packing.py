@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END = 2
-MARKS = (".", ",", ";", ":", "!", "?")
 
 
 class WordTokenizer:
@@ -34,10 +33,7 @@ class WordTokenizer:
         if len(self.known) > self.held:
             self.known.clear()
         new = list(set().union(*split).difference(self.known))
-        stems = {w: w[:-1] for w in new if w[-1:] in MARKS and w[-2:-1].isascii() and w[-2:-1].isalpha() and "<|" not in w}
-        whole = [w for w in new if w not in stems]
-        whole += {part for w, stem in stems.items() for part in (stem, w[-1]) if part not in self.known}.difference(whole)
-        plain = [w for w in whole if "<|" not in w]
+        plain = [w for w in new if "<|" not in w]
         for i in range(0, len(plain), 512):
             part = plain[i : i + 512]
             ids = np.array(self.tokenizer.encode_batch_fast([self.separator.join(part)], add_special_tokens=False)[0].ids, "<u4")
@@ -46,11 +42,9 @@ class WordTokenizer:
             for word, end in zip(part, ends, strict=True):
                 self.known[word] = raw[4 * start : 4 * end]
                 start = end + 1
-        for word in set(whole).difference(plain):  # may hold special strings of their own
+        for word in set(new).difference(plain):  # may hold special strings of their own
             self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         known = self.known
-        for word, stem in stems.items():  # a letter and a mark are never one token
-            known[word] = known[stem] + known[word[-1]]
         return [b"".join([known[w] for w in words]) for words in split]
 
 
