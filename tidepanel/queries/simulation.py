@@ -1 +1,138 @@
-"""To be filled."""
+"""Simulation, curves and scores as queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import simulation as sim
+from ..operators import windows as w
+from ..sources.panel import BARS, SCORES, bars, scores
+from . import registry as q
+from .registry import query
+
+TRADES = f"""{BARS}, {SCORES}, p AS (SELECT b.stock_id, b.date, b.open, b.close, s.score FROM bars b LEFT JOIN score s USING (stock_id, date)),
+g AS (SELECT *, row_number() OVER ({q.PART}) AS i, count(*) OVER (PARTITION BY stock_id) AS n FROM p),
+d AS (SELECT *, min(CASE WHEN score <= 0.2::DOUBLE THEN i END) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND {{most}} FOLLOWING) AS fd, {q.lead("date")} AS nd, {q.lead("open")} AS no FROM g),
+sg AS (SELECT stock_id, date AS signal_date, nd AS buy_date, no AS buy_price, i, coalesce(least(fd, least(i + {{most}}, n - 1)), least(i + {{most}}, n - 1)) + 1 AS sell_at,
+ CASE WHEN fd IS NOT NULL AND fd <= least(i + {{most}}, n - 1) THEN 'score' WHEN i + {{most}} <= n - 1 THEN 'max_hold' ELSE 'data_end' END AS exit_reason FROM d WHERE score >= 0.97::DOUBLE AND i <= n - 2 AND no > 0),
+trades AS (SELECT sg.stock_id, signal_date, buy_date, g.date AS sell_date, buy_price, g.open AS sell_price, g.open / buy_price - 1 AS ret, (sell_at - sg.i - 1)::INT AS hold, exit_reason FROM sg JOIN g ON g.stock_id = sg.stock_id AND g.i = sell_at)"""
+T20 = TRADES.format(most=20)
+
+
+def _panel(spark, sf_dir):
+    prices = bars(spark, sf_dir)
+    return prices.select("stock_id", "date", "open", "close").join(scores(prices), ["stock_id", "date"], "left")
+
+
+def _trades(spark, sf_dir, most=20):
+    return sim.score_exit(_panel(spark, sf_dir), 0.97, 0.2, most)
+
+
+@query(f"WITH {T20} SELECT * FROM trades")
+def score_exit_trades(spark, sf_dir):
+    return _trades(spark, sf_dir)
+
+
+@query(f"""WITH {T20}, cal AS (SELECT DISTINCT date FROM bars), o AS (SELECT c.date, sum(floor((b.close / t.buy_price - 1) * 1e6)::BIGINT) AS r FROM trades t JOIN cal c ON t.buy_date <= c.date AND c.date < t.sell_date JOIN bars b ON b.stock_id = t.stock_id AND b.date = c.date GROUP BY c.date),
+f AS (SELECT sell_date AS date, sum(floor(ret * 1e6)::BIGINT) AS r FROM trades GROUP BY sell_date)
+SELECT c.date, ((coalesce(o.r, 0) + sum(coalesce(f.r, 0)) OVER (ORDER BY c.date ROWS UNBOUNDED PRECEDING))::DOUBLE / 1e6 / (SELECT count(*) FROM trades)) AS equity FROM cal c LEFT JOIN o USING (date) LEFT JOIN f USING (date)""")
+def equity_curve(spark, sf_dir):
+    return sim.equity(_trades(spark, sf_dir), bars(spark, sf_dir))
+
+
+@query(f"""WITH {T20} SELECT count(*) AS n_trades, avg((ret > 0)::INT) AS win_rate, sum(floor(ret * 1e6)::BIGINT)::DOUBLE / count(*) / 1e6 AS avg_return, avg((exit_reason = 'score')::INT) AS score_share, avg((exit_reason = 'max_hold')::INT) AS max_hold_share FROM trades""")
+def performance_summary(spark, sf_dir):
+    return sim.performance(_trades(spark, sf_dir))
+
+
+def _rule_panel(spark, sf_dir):
+    df = bars(spark, sf_dir)
+    ma5, ma20 = w.mean(F.col("close"), 5), w.mean(F.col("close"), 20)
+    df = df.select("stock_id", "date", "open", "close", ma20.alias("average"), ma5.alias("ma5"))
+    golden = (F.col("ma5") > F.col("average")) & (w.lag(F.col("ma5")) <= w.lag(F.col("average")))
+    return df.withColumn("signal", F.coalesce(golden, F.lit(False)).cast("int")).drop("ma5")
+
+
+@query()
+def ma_stop_trades(spark, sf_dir):
+    return sim.rule_trades(_rule_panel(spark, sf_dir), take_profit=0.8, dedup=False)
+
+
+@query()
+def trailing_exit_trades(spark, sf_dir):
+    return sim.rule_trades(_rule_panel(spark, sf_dir), take_profit=None, stop_loss=0.2, trail=(0.15, 0.10), dedup=False)
+
+
+@query()
+def dedup_trades(spark, sf_dir):
+    return sim.rule_trades(_rule_panel(spark, sf_dir), take_profit=0.25, most=20, dedup=True)
+
+
+@query(f"""WITH {T20}, r AS (SELECT *, avg(ret) OVER () AS m, row_number() OVER (ORDER BY ret DESC, stock_id, signal_date) AS k, count(*) OVER (PARTITION BY buy_date) AS same FROM trades),
+x AS (SELECT unnest([0, 1, 3, 5]) AS dropped) SELECT dropped, count(*) AS n, sum(floor(ret * 1e6)::BIGINT)::DOUBLE / count(*) / 1e6 AS avg_return, avg((ret > 0)::INT) AS win_rate FROM x JOIN r ON k > dropped GROUP BY dropped""")
+def alpha_summary(spark, sf_dir):
+    """Trimmed means: all trades, and without the best 1, 3 and 5, which are found by a bounded top list."""
+    trades = _trades(spark, sf_dir)
+    micro = F.floor(F.col("ret") * 1e6)
+    top = trades.orderBy(F.col("ret").desc(), "stock_id", "signal_date").limit(5).select(micro.alias("micro"), (F.col("ret") > 0).cast("long").alias("win"), "ret", "stock_id", "signal_date")
+    top = top.withColumn("k", F.row_number().over(Window.orderBy(F.col("ret").desc(), "stock_id", "signal_date")))
+    all_ = trades.agg(F.count("*").alias("n0"), F.sum(micro).alias("m0"), F.sum((F.col("ret") > 0).cast("long")).alias("w0"))
+    cuts = trades.sparkSession.createDataFrame([(0,), (1,), (3,), (5,)], "dropped int")
+    lost = cuts.join(F.broadcast(top), F.col("k") <= F.col("dropped"), "left").groupBy("dropped").agg(F.count("k").alias("k"), F.coalesce(F.sum("micro"), F.lit(0)).alias("m"), F.coalesce(F.sum("win"), F.lit(0)).alias("wins"))
+    rows = lost.withColumn("one", F.lit(1)).join(F.broadcast(all_.withColumn("one", F.lit(1))), "one")
+    n = F.col("n0") - F.col("k")
+    return rows.select("dropped", n.alias("n"), ((F.col("m0") - F.col("m")) / n / 1e6).alias("avg_return"), ((F.col("w0") - F.col("wins")) / n).alias("win_rate"))
+
+
+FWD = f"{BARS}, {SCORES}, v AS (SELECT b.stock_id, b.date, {q.lead('close', 5)} / close - 1 AS fwd FROM bars b), r AS (SELECT score, fwd FROM v JOIN score USING (stock_id, date) WHERE score IS NOT NULL AND fwd IS NOT NULL)"
+
+
+def _scored(spark, sf_dir):
+    prices = bars(spark, sf_dir)
+    forward = prices.select("stock_id", "date", (F.try_divide(w.lead(F.col("close"), 5), F.col("close")) - 1).alias("fwd"))
+    return forward.join(scores(prices), ["stock_id", "date"]).where("score is not null and fwd is not null")
+
+
+@query(f"""WITH {FWD}, g AS (SELECT score, count(*) AS k, sum((fwd > 0)::BIGINT) AS wins, sum(floor(fwd * 1e6)::BIGINT) AS micro FROM r GROUP BY score),
+c AS (SELECT score AS threshold, (sum(k) OVER w)::BIGINT AS n, sum(wins) OVER w AS wn, sum(micro) OVER w AS mn FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
+SELECT threshold, n, wn::DOUBLE / n AS win_rate, mn::DOUBLE / n / 1e6 AS avg_return FROM c WHERE n >= 40""")
+def threshold_curve(spark, sf_dir):
+    return sim.threshold_curve(_scored(spark, sf_dir), "score", "fwd")
+
+
+@query(f"""WITH {FWD}, g AS (SELECT score, count(*) AS k, sum((fwd > 0)::BIGINT) AS pos FROM r GROUP BY score), a AS (SELECT *, coalesce(sum(k) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (k + 1) / 2.0::DOUBLE AS rk FROM g),
+s AS (SELECT sum(rk * pos)::DOUBLE AS r, sum(pos)::BIGINT AS p, sum(k)::BIGINT AS n FROM a) SELECT n, p AS n_positive, (r - p * (p + 1) / 2.0::DOUBLE) / (p * (n - p))::DOUBLE AS auc FROM s""")
+def auc_rank(spark, sf_dir):
+    return sim.auc(_scored(spark, sf_dir).withColumn("label", (F.col("fwd") > 0).cast("int")), "score", "label")
+
+
+@query(f"""WITH {BARS}, s AS (SELECT floor(median(volume) * 100)::BIGINT AS med, sum(volume)::DOUBLE / count(*) AS mean, sqrt((count(*) * sum(volume * volume) - sum(volume) * sum(volume)) / (count(*)::DOUBLE * (count(*) - 1))) AS sd FROM bars WHERE date < TIMESTAMP '1996-01-01')
+SELECT stock_id, date, least(greatest((coalesce(volume, med / 100.0::DOUBLE) - mean) / sd, -10), 10)::FLOAT AS z FROM bars, s""")
+def train_stats_zscore(spark, sf_dir):
+    """Median, mean and deviation of the training period only, applied to all rows and winsorised at 10."""
+    df = bars(spark, sf_dir)
+    train = df.where("date < timestamp_ntz'1996-01-01 00:00:00'").agg(F.percentile("volume", F.lit(0.5)).alias("med"), F.avg("volume").alias("mean"), F.stddev_samp("volume").alias("sd")).first()
+    z = (F.coalesce("volume", F.lit(train["med"])) - train["mean"]) / (train["sd"] or 1.0)
+    return df.select("stock_id", "date", F.least(F.greatest(z, F.lit(-10.0)), F.lit(10.0)).cast("float").alias("z"))
+
+
+@query(f"""WITH {BARS}, a AS (SELECT stock_id, date, close, {q.roll("avg", "close", 5)} AS m5, {q.roll("avg", "close", 10)} AS m10, {q.roll("avg", "close", 20)} AS m20, {q.roll("avg", "close", 60)} AS m60, {q.roll("max", "close", 20)} AS top, {q.roll("min", "close", 20)} AS bottom FROM bars)
+SELECT stock_id, date, {q.flag("m5 > m10 AND m10 > m20")} AS bull3, {q.flag("m5 > m10 AND m10 > m20 AND m20 > m60")} AS bull4, {q.flag(f"m5 > m20 AND {q.lag('m5')} <= {q.lag('m20')}")} AS golden_5_20, {q.flag(f"m10 > m60 AND {q.lag('m10')} <= {q.lag('m60')}")} AS golden_10_60, {q.flag(f"close > {q.lag('top')} AND {q.lag('top')} / {q.lag('bottom')} < 3")} AS consol_breakout FROM a""")
+def entry_patterns(spark, sf_dir):
+    close = F.col("close")
+    df = bars(spark, sf_dir).select("stock_id", "date", "close", *[w.mean(close, n).alias(f"m{n}") for n in (5, 10, 20, 60)], w.roll(F.max, close, 20).alias("top"), w.roll(F.min, close, 20).alias("bottom"))
+    m5, m10, m20, m60 = (F.col(f"m{n}") for n in (5, 10, 20, 60))
+    top, bottom = w.lag(F.col("top")), w.lag(F.col("bottom"))
+    told = {
+        "bull3": (m5 > m10) & (m10 > m20), "bull4": (m5 > m10) & (m10 > m20) & (m20 > m60), "golden_5_20": (m5 > m20) & (w.lag(m5) <= w.lag(m20)),
+        "golden_10_60": (m10 > m60) & (w.lag(m10) <= w.lag(m60)), "consol_breakout": (close > top) & (F.try_divide(top, bottom) < 3),
+    }
+    return df.select("stock_id", "date", *[F.coalesce(c, F.lit(False)).cast("int").alias(k) for k, c in told.items()])
+
+
+@query(" UNION ALL ".join(f"(WITH {TRADES.format(most=m)} SELECT {m} AS max_hold, count(*) AS n, avg((ret > 0)::INT) AS win_rate FROM trades)" for m in (5, 10, 20)))
+def swing_grid(spark, sf_dir):
+    """A grid of holding caps, each its own simulation over the same panel."""
+    parts = [_trades(spark, sf_dir, m).agg(F.lit(m).alias("max_hold"), F.count("*").alias("n"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate")) for m in (5, 10, 20)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
