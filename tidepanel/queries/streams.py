@@ -1 +1,38 @@
-"""To be filled."""
+"""Event streams and incremental runs as queries; a stream is drained once and must equal the batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..sources.panel import BARS, bars
+from ..streaming import bars as streams
+from . import registry as q
+from .registry import query
+
+
+@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, sum(floor(value * 100)::BIGINT)::BIGINT AS cents, max(value) AS high, min(value) AS low FROM events GROUP BY ALL")
+def event_tumbling(spark, sf_dir):
+    return streams.drained(spark, sf_dir, streams.tumbling, "event_tumbling")
+
+
+@query("SELECT event_type, s AS start, count(*) AS n, sum(floor(value * 100)::BIGINT)::BIGINT AS cents, max(value) AS high, min(value) AS low FROM (SELECT *, unnest([time_bucket(INTERVAL 15 MINUTE, ts), time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 15 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 30 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 45 MINUTE]) AS s FROM events) GROUP BY ALL")
+def event_sliding(spark, sf_dir):
+    return streams.drained(spark, sf_dir, streams.sliding, "event_sliding")
+
+
+@query("""WITH a AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), b AS (SELECT *, sum(coalesce((ts - p >= INTERVAL 30 MINUTE)::INT, 1)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM a)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS stop, count(*) AS n FROM b GROUP BY user_id, s""")
+def event_session(spark, sf_dir):
+    return streams.drained(spark, sf_dir, streams.sessions, "event_session")
+
+
+@query(f"WITH {BARS}, a AS (SELECT stock_id, date, (close / {q.roll('avg', 'close', 20)})::FLOAT AS close_ma20_ratio FROM bars) SELECT * FROM a WHERE date >= TIMESTAMP '1998-01-01'")
+def incremental_equals_full(spark, sf_dir):
+    """Only new dates are computed, from a reread of the bars before them that the longest window needs."""
+    return streams.incremental_ma(bars(spark, sf_dir), "1998-01-01", 20)
+
+
+@query("""WITH a AS (SELECT user_id, ts, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)
+SELECT user_id, count(*) AS events, (max(i) - max(CASE WHEN event_type = 'purchase' THEN i END))::BIGINT AS since FROM a GROUP BY user_id""")
+def stateful_days_since(spark, sf_dir):
+    return streams.since_event(spark, sf_dir, "purchase")
