@@ -151,3 +151,28 @@ def test_quality_rules(spark):
 def test_column_rules(spark):
     row = spark.sql("select '1,234.5' a, '--' b, 'x' c, cast(null as double) d").select(parse_number(F.col("a")), parse_number(F.col("b")), parse_number(F.col("c")), flag(F.col("d") > 1), clip(F.col("d"), 0.0, 1.0)).first()
     assert tuple(row) == (1234.5, None, None, 0, None)
+
+
+def test_trend_scan_follows_the_line():
+    up = labels.trend_scan(np.arange(30, dtype=float))
+    assert (up[:20] == 1).all() and np.isnan(up[20:]).all() and (labels.trend_scan(-np.arange(30, dtype=float))[:20] == -1).all()
+
+
+def test_embargo_and_training_statistics(spark):
+    from tidepanel.operators import ml
+
+    rows = spark.createDataFrame([(day(i), float(i) if i % 2 else None) for i in range(10)], "date timestamp_ntz, x double")
+    df = rows.withColumn("split", ml.split(F.col("date"), "2024-01-05", "2024-01-08", 1))
+    assert [r.split for r in df.orderBy("date").collect()] == ["train"] * 4 + [None, "valid", "valid", None, "test", "test"]
+    stats = ml.fit_statistics(df.where("split = 'train'"), ["x"])
+    assert stats["x"][:2] == (2.0, 2.0)
+    assert ml.apply_statistics(df, stats).where("x is null").count() == 0
+
+
+def test_stale_tables():
+    from tidepanel.operators.lineage import stale
+
+    graph = {"price": [], "features": ["price"], "labels": ["price"], "scores": ["features"]}
+    now = {"price": "a", "features": "f"}
+    assert stale(graph, {}, now) == ["features", "labels", "scores"]
+    assert stale(graph, {"features": {"price": "old"}, "labels": {"price": "a"}, "scores": {"features": "f"}}, now) == ["features", "scores"]

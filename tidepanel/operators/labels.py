@@ -79,3 +79,21 @@ def zigzag(close: np.ndarray, theta: float = 0.05) -> np.ndarray:
             out[low] = -1
             direction, high = 1, i
     return out
+
+
+def trend_scan(close: np.ndarray, shortest: int = 3, longest: int = 10) -> np.ndarray:
+    """Sign of the slope of the forward least-squares line, over the window length whose t-value is largest; nan at the tail."""
+    out = np.full(len(close), np.nan)
+    for i in range(len(close) - longest):
+        best, sign = -1.0, 0.0
+        for n in range(shortest, longest + 1):
+            y = close[i : i + n]
+            x = np.arange(n) - (n - 1) / 2
+            sxx = float((x * x).sum())
+            slope = float((x * y).sum()) / sxx
+            rest = float(((y - y.mean() - slope * x) ** 2).sum())
+            t = abs(slope) / np.sqrt(max(rest, 1e-18) / max(n - 2, 1) / sxx)
+            if t > best:
+                best, sign = t, float(np.sign(slope))
+        out[i] = sign
+    return out

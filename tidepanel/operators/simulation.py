@@ -143,3 +143,15 @@ def auc(rows: DataFrame, score: str, label: str) -> DataFrame:
 
 def crossing(close: Column, level: Column, before: Column) -> Column:
     return (close > level) & (before <= level)
+
+
+def track_position(panel: DataFrame, positions: DataFrame, stop_loss: float, arm: float, give_back: float) -> DataFrame:
+    """State of each open position at the entity's last bar: return, peak, whether the trailing stop is armed, and its price.
+
+    panel: stock_id, date, close; positions: stock_id, buy_date, buy_price. Aggregates over the held bars.
+    """
+    held = positions.join(panel.select("stock_id", "date", "close"), "stock_id").where("date >= buy_date and close is not null")
+    state = held.groupBy("stock_id", "buy_date", "buy_price").agg(F.max("close").alias("peak"), F.max_by("close", "date").alias("last"), F.count("*").cast("int").alias("bars"))
+    armed = F.col("peak") / F.col("buy_price") - 1 >= arm
+    stop = F.when(armed, F.col("peak") * (1 - give_back)).otherwise(F.col("buy_price") * (1 - stop_loss))
+    return state.select("stock_id", "buy_date", "bars", (F.col("last") / F.col("buy_price") - 1).alias("ret"), "peak", armed.cast("int").alias("armed"), stop.alias("stop_price"), (F.col("last") <= stop).cast("int").alias("out"))

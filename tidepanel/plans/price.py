@@ -171,3 +171,36 @@ def candles(df: DataFrame) -> DataFrame:
         F.when((pc < po) & (before_body > 0.5 * usual) & (o < w.lag(F.col("low"))) & (F.col("close") > (po + pc) / 2) & (F.col("close") < po), 100).otherwise(0).alias("cdlpiercing"),
         signal(long_body & (F.col("close") > o) & (upper < 0.05 * usual) & (lower < 0.05 * usual), long_body & (F.col("close") < o) & (upper < 0.05 * usual) & (lower < 0.05 * usual)).alias("cdlmarubozu"),
     )
+
+
+def trend_strength(df: DataFrame, n: int = 14) -> DataFrame:
+    """ADX with its directional lines (Wilder), TRIX (three exponential means of 15) and the Ultimate Oscillator."""
+
+    def compute(a):
+        high, low, close = a["high"], a["low"], a["close"]
+        up, down = np.diff(high), -np.diff(low)
+        plus, minus = np.where((up > down) & (up > 0), up, 0.0), np.where((down > up) & (down > 0), down, 0.0)
+        tr = np.maximum(high[1:] - low[1:], np.maximum(np.abs(high[1:] - close[:-1]), np.abs(low[1:] - close[:-1])))
+        atr = wilder(tr, n)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            plus_di, minus_di = 100 * wilder(plus, n) / atr, 100 * wilder(minus, n) / atr
+            dx = 100 * np.abs(plus_di - minus_di) / (plus_di + minus_di)
+        adx = np.full(len(dx), np.nan)
+        if len(dx) >= 2 * n - 1:
+            adx[n - 1 :] = wilder(np.nan_to_num(dx[n - 1 :]), n)
+        three = close
+        for _ in range(3):
+            three = ewm(three, 2 / 16)
+        trix = np.concatenate(([np.nan], 100 * (three[1:] / three[:-1] - 1)))[: len(close)]
+        pad = lambda x: np.concatenate(([np.nan], x))[: len(close)]
+        return {"adx": pad(adx), "plus_di": pad(plus_di), "minus_di": pad(minus_di), "trix": trix}
+
+    names = ["adx", "plus_di", "minus_di", "trix"]
+    found = per_entity(df, ["high", "low", "close"], ", ".join(f"{c} double" for c in names), compute)
+    found = found.select("stock_id", "date", *[F.when(~F.isnan(c), F.col(c)).cast("float").alias(c) for c in names])
+    close, before = F.col("close"), w.lag(F.col("close"))
+    floor_ = F.least(F.col("low"), before)
+    steps = df.select("stock_id", "date", F.when(before.isNotNull(), close - floor_).alias("bp"), F.when(before.isNotNull(), F.greatest(F.col("high"), before) - floor_).alias("tr"))
+    part = lambda k: ratio(w.roll(F.sum, F.col("bp"), k), w.roll(F.sum, F.col("tr"), k))
+    ultimate = steps.select("stock_id", "date", (100 * (4 * part(7) + 2 * part(14) + part(28)) / 7).cast("float").alias("ultosc"))
+    return found.join(ultimate, ["stock_id", "date"])

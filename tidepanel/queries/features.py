@@ -204,3 +204,8 @@ def swing_pivots(spark, sf_dir):
 @query()
 def trendline_envelope(spark, sf_dir):
     return pivots.trend_lines(bars(spark, sf_dir))
+
+
+@query()
+def talib_trend(spark, sf_dir):
+    return price.trend_strength(bars(spark, sf_dir))

@@ -97,3 +97,9 @@ def swing_nine_class(spark, sf_dir):
     amp = F.try_divide(F.max_by("close", "date").over(run), F.min_by("close", "date").over(run)) - 1
     phase = F.when(part < 1 / 3, "early").when(part < 2 / 3, "mid").otherwise("late")
     return rows.where("state is not null").select("stock_id", "date", "state", phase.alias("phase"), amp.cast("float").alias("amplitude"))
+
+
+@query()
+def trend_scanning(spark, sf_dir):
+    found = per_entity(bars(spark, sf_dir), ["close"], "label double", lambda a: {"label": lb.trend_scan(a["close"])})
+    return found.select("stock_id", "date", F.when(~F.isnan("label"), F.col("label")).cast("int").alias("label"))

@@ -136,3 +136,30 @@ def swing_grid(spark, sf_dir):
     """A grid of holding caps, each its own simulation over the same panel."""
     parts = [_trades(spark, sf_dir, m).agg(F.lit(m).alias("max_hold"), F.count("*").alias("n"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate")) for m in (5, 10, 20)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"""WITH {BARS}, p AS (SELECT stock_id, min(date) AS buy_date, arg_min(close, date) AS buy_price FROM bars WHERE date >= TIMESTAMP '1998-06-01' GROUP BY stock_id),
+s AS (SELECT p.stock_id, buy_date, buy_price, max(close) AS peak, arg_max(close, b.date) AS last, count(*)::INT AS bars FROM p JOIN bars b ON b.stock_id = p.stock_id AND b.date >= buy_date GROUP BY ALL),
+t AS (SELECT *, peak / buy_price - 1 >= 0.15::DOUBLE AS a, CASE WHEN peak / buy_price - 1 >= 0.15::DOUBLE THEN peak * (1 - 0.1::DOUBLE) ELSE buy_price * (1 - 0.2::DOUBLE) END AS stop_price FROM s)
+SELECT stock_id, buy_date, bars, last / buy_price - 1 AS ret, peak, a::INT AS armed, stop_price, (last <= stop_price)::INT AS out FROM t""")
+def position_tracker(spark, sf_dir):
+    prices = bars(spark, sf_dir)
+    bought = prices.where("date >= timestamp_ntz'1998-06-01 00:00:00'").groupBy("stock_id").agg(F.min("date").alias("buy_date"), F.min_by("close", "date").alias("buy_price"))
+    return sim.track_position(prices, bought, 0.2, 0.15, 0.1)
+
+
+@query()
+def forest_walk_forward(spark, sf_dir):
+    """A forest on past returns, trained before 1996, with rows, base rate and AUC of each split."""
+    from ..operators import ml
+
+    close = F.col("close")
+    df = bars(spark, sf_dir)
+    features = [f"r{n}" for n in (1, 5, 20, 60)]
+    label = (F.try_divide(w.lead(close, 5), close) - 1 > 0).cast("double")
+    df = df.select("stock_id", "date", label.alias("label"), *[w.change(close, int(c[1:])).alias(c) for c in features])
+    df = df.withColumn("split", ml.split(F.col("date"), "1996-01-01", "1997-01-01", 30)).where("split is not null and label is not null")
+    ready = ml.apply_statistics(df, ml.fit_statistics(df.where("split = 'train'"), features))
+    model = ml.fit_forest(ready.where("split = 'train'"), features, "label", trees=10)
+    scored = ml.score_forest(model, ready, features)
+    return ml.evaluate(scored, "label", ["train", "valid", "test"])
