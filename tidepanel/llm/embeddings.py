@@ -61,10 +61,11 @@ def near_duplicate_vectors(
     coded, _ = written(classes.select("rep", "v").mapInArrow(codes, "rep long, codes array<long>"), "codes")
     placed = coded.select("rep", F.posexplode("codes").alias("tab", "code"))
     buckets = placed.groupBy("tab", "code").agg(F.count("*").alias("size")).where("size > 1").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    met = placed.join(buckets, ["tab", "code"]).withColumn("own", F.pmod(F.xxhash64("rep", "tab"), F.col("blocks")).cast("int"))
+    met = placed.join(buckets.hint("merge"), ["tab", "code"]).withColumn("own", F.pmod(F.xxhash64("rep", "tab"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = met.withColumn("other", other).select("tab", "code", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "rep")
-    full = met.join(coded, "rep").join(classes, "rep").select("tab", "code", "a", "b", "own", "rep", "n", "codes", "v")
+    # exploded rows look small to the planner: the hints keep them from being broadcast
+    full = met.hint("merge").join(coded, "rep").join(classes, "rep").select("tab", "code", "a", "b", "own", "rep", "n", "codes", "v")
     keys = ["tab", "code", "a", "b"]
 
     def verify(batches):
