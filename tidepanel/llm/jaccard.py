@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, written
+from .common import drop_written, membership_bits, membership_place, written
 from .components import connected_components
 from .groups import Union, sorted_groups
 from .words import mix, shingle_hashes, text_bytes, word_hashes
@@ -203,7 +203,8 @@ def near_duplicate_groups(
     Words lose the case of A-Z; fewer than k words are one shingle; null, empty and blank texts have no
     shingle and link with nothing. Rows that repeat an id are one document, that of the smallest set;
     rows without an id are left out; an empty table gives no rows. Sets of all documents never move:
-    keys of a quarter of the shingles do, and the texts of those documents that have candidates.
+    keys of a quarter of the shingles do, and the sets of those documents that have candidates,
+    which a bit map of fixed size singles out where they are read.
     """
     spark = documents.sparkSession
     docs = documents.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
@@ -268,19 +269,24 @@ def near_duplicate_groups(
     clusters, _ = written(linked_in_groups(members, described.select("doc", "n", "data"), percent, False, block), "clusters")
     drop_written(spark, described_path, members_path)
 
+    wanted = clusters.toDF("doc", "group")
+    chosen = spark.sparkContext.broadcast(membership_bits(wanted, "doc"))
+
     def sets(batches):
+        bits = chosen.value
         for batch in batches:
+            place = batch.column(1).to_numpy()
+            batch = batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                found = list(shingle_sets(part.column(1), k))
+                found = list(shingle_sets(part.column(2), k))
                 one, two = zip(*(_marks(s) for s in found))
                 yield pa.record_batch(
                     [part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())],
                     names=["doc", "n", "one", "two", "data"],
                 )
 
-    wanted = clusters.toDF("doc", "group")
-    payload = docs.join(wanted.select("doc"), "doc").select("doc", "text").mapInArrow(sets, "doc long, n long, one long, two long, data binary")
+    payload = docs.select("doc", membership_place("doc").alias("place"), "text").mapInArrow(sets, "doc long, n long, one long, two long, data binary")
     if repeated:
         payload = payload.join(ids.drop("rows"), ["doc", "n", "one", "two"]).dropDuplicates(["doc"])
     payload, _ = written(payload.select("doc", "n", "data"), "sets")
