@@ -103,11 +103,11 @@ def mix_sources(
     rank = F.row_number().over(Window.partitionBy("ord", "shard").orderBy(digest(F.col("ord"), F.col("shard"), F.col("b")), "b"))
     count = F.ceil(F.col("words") / block)
     cut = cut.withColumn("_rank", rank).withColumn("times", sum(F.when(F.col("_rank") <= F.col("seats") - count * p, 1).otherwise(0) for p in range(most)))
-    cut = cut.where("times > 0").select("ord", "shard", "b", "times")
+    cut = cut.where("times > 0").select("ord", "shard", "b", "times")  # exploded, so Spark takes it for small: not to be broadcast
 
     spans = placed.where("size > 0").withColumn("b", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block))))
     overlap = F.least(F.col("stop"), (F.col("b") + 1) * block) - F.greatest(F.col("start"), F.col("b") * block)
-    taken = spans.select("_id", "ord", "shard", "b", overlap.alias("overlap")).join(cut, ["ord", "shard", "b"]).groupBy("_id").agg(F.sum(F.col("overlap") * F.col("times")).alias("taken"))
+    taken = spans.select("_id", "ord", "shard", "b", overlap.alias("overlap")).join(cut.hint("merge"), ["ord", "shard", "b"]).groupBy("_id").agg(F.sum(F.col("overlap") * F.col("times")).alias("taken"))
     return placed.join(taken, "_id", "left").select(
         F.col("_id").alias(id_column), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
