@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 K = 3
 
@@ -83,6 +86,7 @@ def license_spans(
     votes = hits.groupBy("_id", "template", "label", "base", "grams", "diagonal").agg(
         F.collect_set("tpos").alias("seen"), F.min("pos").alias("first"), (F.max("pos") + K - 1).alias("last")
     )
+    votes, _ = written(votes, "votes")  # few rows, read twice below
     places = votes.where(F.col("base") & (F.size("seen") == F.col("grams"))).select("_id", "label", "base", "first", "last", F.lit(1.0).alias("cover"))
     line = Window.partitionBy("_id", "template").orderBy("diagonal")
     apart = (F.col("diagonal") - F.lag("diagonal").over(line) > gap).cast("int")
