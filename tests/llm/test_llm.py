@@ -277,6 +277,26 @@ def test_mixing_targets_and_bounds(docs, odd, texts):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixed_documents_meet_their_targets(spark):
+    rng = random.Random(3)
+    ratios = [0.2, 0.35, 1.3, 1.68]
+    rows = [(10000 * s + i, s, " ".join(["w"] * n)) for s in range(4) for i, n in enumerate(rng.choices([5, 40, 300, 2500], [4, 4, 4, 1], k=500))]
+    docs = spark.createDataFrame(rows, "doc_id long, source int, text string")
+    sizes = {s: sum(len(t.split()) for _, x, t in rows if x == s) for s in range(4)}
+    options = dict(weights=tuple(round(sizes[s] * ratios[s]) for s in range(4)), share=sum(sizes[s] * ratios[s] for s in range(4)) / sum(sizes.values()), shard_words=1 << 15)
+    targets = {r.source: r.target for r in mixing.mix_sources(docs, **options).join(docs.select("doc_id", "source"), "doc_id").collect()}
+    got = mixing.mixed_documents(docs, **options).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in mixing.mixed_documents(docs.repartition(7), **options).collect())
+    kept = Counter()
+    for r in got:
+        kept[r.source, len(r.text) > 2000] += len(r.text.split())
+    for s in range(4):
+        assert targets[s] == pytest.approx(sizes[s] * ratios[s], rel=0.01)
+        assert kept[s, False] + kept[s, True] == pytest.approx(targets[s], rel=0.05)
+        long = sum(len(t.split()) for _, x, t in rows if x == s and len(t) > 2000)
+        assert kept[s, True] == pytest.approx(long * ratios[s], rel=0.35)  # long documents come in as often as short ones
+
+
 def test_sainte_lague_is_by_highest_quotients(spark):
     rng = random.Random(9)
     for seats in (0, 1, 3, 17, 400):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,35 +56,20 @@ def sainte_lague(votes: DataFrame, group: list[str], vote: str, seats: str, orde
     return sized.join(won, [*group, order], "left").withColumn(out, F.col("_low") + F.coalesce("_won", F.lit(0))).drop("_n", "_total", "_low", "_high", "_won")
 
 
-def mix_sources(
-    documents: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    weights: tuple[int, ...] = (3, 1, 2),
-    share: float = 1.5,
-    most: int = 2,
-    block: int = 64,
-    shard_words: int = 1 << 20,
-    seed: int = 17,
-) -> DataFrame:
-    """One row per document: id, size, source_size, target, taken (words the mix takes, repeats counted).
+def _digest(seed: int, *parts: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
 
-    Blocks of `block` words go to sources by highest quotients of their targets, and within a source
-    to shards of about `shard_words` words by highest quotients of the shards' words. In a shard the
-    documents follow each other in a seeded order, their words are cut into blocks, and the blocks
-    with the smallest seeded digests are taken, all of them once before any is taken again, none more
-    than `most` times. Sources are cut into shards of bounded size, so no source is one task's work.
 
-    A null text has size 0; null sources are one source, the last; rows that repeat an id are one
-    document, the one with the smallest source and size; rows without an id are left out; an empty
-    table gives no rows. Reruns agree: every choice hangs on digests of ids.
-    """
+def _mix_plan(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[int, ...] = (3, 1, 2),
+    share: float = 1.5, most: int = 2, block: int = 64, shard_words: int = 1 << 20, seed: int = 17,
+) -> DataFrame:
+    """What mix_sources describes, and each document's source and shard: _id, ord, shard, size, source_size, target, taken."""
     size = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
     docs = documents.select(F.col(id_column).alias("_id"), F.col(source_column).cast("string").alias("source"), size.alias("size")).where("_id is not null")
     docs = docs.groupBy("_id").agg(F.min(F.struct(F.col("source").isNull().alias("none"), "source", "size")).alias("row"))
     docs = docs.select("_id", "row.source", "row.size")
-    digest = lambda *parts: F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+    digest = lambda *parts: _digest(seed, *parts)
 
     sources = source_targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     sources = sources.withColumn("_all", F.lit(1)).withColumn("blocks", F.floor(F.sum("target").over(Window.partitionBy()) / block + 0.5).cast("long"))
@@ -108,16 +93,55 @@ def mix_sources(
     spans = placed.where("size > 0").withColumn("b", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block))))
     overlap = F.least(F.col("stop"), (F.col("b") + 1) * block) - F.greatest(F.col("start"), F.col("b") * block)
     taken = spans.select("_id", "ord", "shard", "b", overlap.alias("overlap")).join(cut.hint("merge"), ["ord", "shard", "b"]).groupBy("_id").agg(F.sum(F.col("overlap") * F.col("times")).alias("taken"))
-    return placed.join(taken, "_id", "left").select(
-        F.col("_id").alias(id_column), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
-    )
+    return placed.join(taken, "_id", "left").select("_id", "ord", "shard", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(documents: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The documents of the mix, each as many times as the words taken of it come to whole texts, rounded."""
-    plan = mix_sources(documents, id_column, **options).select(
-        F.col(id_column).alias("_mix_id"), F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int").alias("_copies")
-    ).where("_copies > 0")
+def mix_sources(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    weights: tuple[int, ...] = (3, 1, 2),
+    share: float = 1.5,
+    most: int = 2,
+    block: int = 64,
+    shard_words: int = 1 << 20,
+    seed: int = 17,
+) -> DataFrame:
+    """One row per document: id, size, source_size, target, taken (words the mix takes, repeats counted).
+
+    Blocks of `block` words go to sources by highest quotients of their targets, and within a source
+    to shards of about `shard_words` words by highest quotients of the shards' words. In a shard the
+    documents follow each other in a seeded order, their words are cut into blocks, and the blocks
+    with the smallest seeded digests are taken, all of them once before any is taken again, none more
+    than `most` times. Sources are cut into shards of bounded size, so no source is one task's work.
+
+    A null text has size 0; null sources are one source, the last; rows that repeat an id are one
+    document, the one with the smallest source and size; rows without an id are left out; an empty
+    table gives no rows. Reruns agree: every choice hangs on digests of ids.
+    """
+    plan = _mix_plan(documents, id_column, text_column, source_column, weights, share, most, block, shard_words, seed)
+    return plan.select(F.col("_id").alias(id_column), "size", "source_size", "target", "taken")
+
+
+def mixed_documents(documents: DataFrame, id_column: str = "doc_id", seed: int = 17, **options) -> DataFrame:
+    """The documents of the mix as whole texts: floor(taken / size) copies each, and one more for some.
+
+    The words that whole copies leave over are settled per source and shard: documents with a rest
+    follow each other by a seeded number over their rest's share of their size, so that each comes in
+    about as often as its share says, and those whose middle lies within the shard's sum of rests get
+    another copy. A shard's words so differ from those taken by half of one document at most.
+    """
+    plan = _mix_plan(documents, id_column, seed=seed, **options).where("taken > 0")
+    rest = F.col("taken") % F.col("size")
+    draw = (F.conv(F.substring(_digest(seed, F.lit("copy"), F.col("_id")), 1, 12), 16, 10).cast("double") + 1) / float(1 << 48)
+    plan = plan.withColumn("_rest", rest).withColumn("_key", F.when(rest > 0, draw * F.col("size") / rest))
+    shard = Window.partitionBy("ord", "shard")
+    line = shard.orderBy(F.col("_key").asc_nulls_last(), "_id").rowsBetween(Window.unboundedPreceding, 0)
+    middle = F.sum("size").over(line) - F.col("size") / 2
+    more = ((F.col("_rest") > 0) & (middle <= F.sum("_rest").over(shard))).cast("int")
+    copies = F.floor(F.col("taken") / F.col("size")).cast("int") + more
+    plan = plan.select(F.col("_id").alias("_mix_id"), copies.alias("_copies")).where("_copies > 0")
     joined = documents.join(plan, documents[id_column] == plan["_mix_id"])
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[documents[c] for c in documents.columns])
 
