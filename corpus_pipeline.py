@@ -16,8 +16,8 @@ def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter in any script, or whose text is null, go; all others stay."""
     profiles = langid.language_profiles(docs)
-    found = langid.identify_languages(docs, profiles, lang_name="_lang_pred", score_name="_score")
-    return _columns(found.where(found["_lang_pred"] != langid.UNDETERMINED), docs)
+    found = langid.identify_languages(docs, profiles, lang_name="_lang_pred", score_name="_score", letter_name="_letter")
+    return _columns(found.where(found["_letter"]), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,6 +188,15 @@ def test_language_id(spark, docs, sf_dir):
     assert empty[0] == [] and {r.lang_pred for r in langid.identify_languages(docs, empty).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_language_stage_keeps_letters_whatever_the_labels(spark, lang):
+    import corpus_pipeline
+
+    rows = [(1, "plain words", lang), (2, "日本語", lang), (3, "... 123", lang), (4, "", lang), (5, None, lang), (6, "a", lang)]
+    kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 6] and kept.columns == ["doc_id", "text", "lang"]
+
+
 def test_trigram_vectors_keep_to_their_bound():
     small, large = langid.TrigramSpace(64, 7, held=40), langid.TrigramSpace(64, 7)
     for t in ("hello world", "über naïve 日本語 text", "x" * 500 + "abcdefghijklmnopqrstuvwxyz" * 3):

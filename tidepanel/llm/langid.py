@@ -122,13 +122,14 @@ def language_profiles(
 
 
 def identify_languages(
-    documents: DataFrame, profiles: tuple[list[str], np.ndarray], text_column: str = "text", seed: int = 7, lang_name: str = "lang_pred", score_name: str = "score"
+    documents: DataFrame, profiles: tuple[list[str], np.ndarray], text_column: str = "text", seed: int = 7, lang_name: str = "lang_pred", score_name: str = "score", letter_name: str | None = None
 ) -> DataFrame:
     """All columns of documents, and the nearest language with its cosine (0 to 1).
 
     A text that is null, empty or without a letter gets `und` and 0, as does every text where no
     profile was learned. Equal cosines go to the first language by code point. Repeated rows keep
-    their rows. One scan without a shuffle; input columns named like the two results are replaced.
+    their rows. One scan without a shuffle; input columns named like the results are replaced. With
+    letter_name there is also a column of that name: whether the text holds a letter, whatever was learned.
     """
     langs, vectors = profiles
     dimensions = vectors.shape[1]
@@ -136,10 +137,11 @@ def identify_languages(
     def predict(batches):
         space = _space(dimensions, seed)
         for batch in batches:
-            names, scores = [], []
+            names, scores, letters = [], [], []
             for text in batch.column(batch.schema.get_field_index(text_column)).to_pylist():
-                vector = space.bundle(text) if text and langs else None
-                if vector is None:
+                vector = space.bundle(text) if text and (langs or letter_name) else None
+                letters.append(vector is not None)
+                if vector is None or not langs:
                     names.append(UNDETERMINED)
                     scores.append(0.0)
                 else:
@@ -147,11 +149,13 @@ def identify_languages(
                     best = int(np.argmax(likeness))
                     names.append(langs[best])
                     scores.append(float(min(1.0, max(0.0, likeness[best]))))
-            yield pa.record_batch([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, lang_name, score_name])
+            more = [pa.array(letters, pa.bool_())] if letter_name else []
+            yield pa.record_batch([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), *more], names=[*batch.schema.names, *out])
 
-    kept = documents.select(*[c for c in documents.columns if c not in (lang_name, score_name)])
+    out = [lang_name, score_name, *([letter_name] if letter_name else [])]
+    kept = documents.select(*[c for c in documents.columns if c not in out])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(predict, f"{fields}, {lang_name} string, {score_name} double")
+    return kept.mapInArrow(predict, f"{fields}, {lang_name} string, {score_name} double" + (f", {letter_name} boolean" if letter_name else ""))
 
 
 def training_rows(documents: DataFrame, id_column: str = "doc_id", folds: int = 5) -> Column:
