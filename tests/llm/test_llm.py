@@ -229,6 +229,28 @@ def test_retrieval_prefers_shared_terms():
     assert [d for d, _, _ in packing.pack_shard(shard, 40, 64)[0]] == [0, 2]
 
 
+def test_retrieval_asks_with_all_shared_terms():
+    rare, common = list(range(1000, 1064)), list(range(64))
+    index = packing.LexicalIndex([np.array(rare + common), np.array(common), np.array([2000, 2001])])
+    assert index.scores(0)[1] > 0 == index.scores(0)[2] and index.scores(0, 64)[1] > 0
+
+
+def test_shards_are_chosen_by_content(spark):
+    """Pairs of documents with a vocabulary of their own meet, whatever their ids; many copies are dealt over shards."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(300):
+        own = [20 * k + 100 + i for i in range(20)]
+        rows += [(int(rng.random() * 1e9), k, sorted(rng.sample(own, 15) + [1, packing.END])) for _ in range(2)]
+    rows += [(i, -1, [packing.END, 50, 51, 52]) for i in range(400)]
+    raw = [(d, k, rng.random(), 500, np.array(t, "<u4").tobytes(), np.unique(np.array(t, "<u4")).tobytes()) for d, k, t in rows]
+    tokenized = spark.createDataFrame(raw, "doc long, k int, salt double, bytes long, ids binary, terms binary")
+    shards = packing.sharded(tokenized.drop("k"), 10000).toPandas().merge(tokenized.select("doc", "k").toPandas(), on="doc")
+    pairs = shards[shards.k >= 0].groupby("k").shard.nunique()
+    assert shards.shard.nunique() >= 40 and (pairs == 1).mean() > 0.5  # by chance 0.03
+    assert shards.groupby("shard").size().max() * 500 <= 20000 and shards[shards.k < 0].shard.nunique() >= 18
+
+
 def test_licenses(docs, odd, texts):
     got = by_id(licenses.scan_licenses(docs))
     for i, t in enumerate(texts):

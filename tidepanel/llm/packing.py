@@ -7,10 +7,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 END = 2
+IDF_POWER = 1.0
 
 
 class WordTokenizer:
@@ -67,12 +71,12 @@ class LexicalIndex:
         weight = self.idf[term] * count * (k1 + 1) / (count + k1 * (1 - b + b * lengths[doc] / max(lengths.mean(), 1.0)))
         order = np.argsort(term, kind="stable")
         self.docs, self.weights, self.starts = doc[order], weight[order], np.concatenate(([0], np.cumsum(df)))
-        self.terms, self.size = [t for t, _ in pairs], len(ids)
+        self.terms, self.size = [t[df[t] > 1] for t, _ in pairs], len(ids)
 
-    def scores(self, doc: int, query_terms: int) -> np.ndarray:
-        """BM25 of every document for the rarest terms of one."""
+    def scores(self, doc: int, query_terms: int | None = None) -> np.ndarray:
+        """BM25 of every document for the terms that one shares with others, or the rarest `query_terms` of these."""
         terms = self.terms[doc]
-        if len(terms) > query_terms:
+        if query_terms is not None and len(terms) > query_terms:
             terms = terms[np.argsort(-self.idf[terms], kind="stable")[:query_terms]]
         spans = [slice(self.starts[t], self.starts[t + 1]) for t in terms.tolist()]
         if not spans:
@@ -80,7 +84,7 @@ class LexicalIndex:
         return np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.size)
 
 
-def pack_shard(ids: list[np.ndarray], window: int, query_terms: int) -> list[list[tuple[int, int, int]]]:
+def pack_shard(ids: list[np.ndarray], window: int, query_terms: int | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of (document, start, length).
 
     Documents first fill whole windows by themselves. Each seed's rest is then filled up greedily
@@ -118,6 +122,127 @@ def pack_shard(ids: list[np.ndarray], window: int, query_terms: int) -> list[lis
     return out
 
 
+def term_orders(df: np.ndarray, documents: int, seed: int = 29) -> np.ndarray:
+    """Two seeded orders of the terms, each a place by term id; those with a high idf come early more often.
+
+    The first term of a document in such an order is its weighted minhash: two documents have the same
+    one about as often as their shared terms' weight is a part of all their terms'. Terms of fewer than
+    two documents share the last place.
+    """
+    idf = np.log1p((documents - df + 0.5) / (df + 0.5))
+    draws = np.random.Generator(np.random.PCG64(seed)).exponential(size=(2, len(df))) / np.maximum(idf, 1e-9) ** IDF_POWER
+    places = np.argsort(np.argsort(np.where(df > 1, draws, np.inf), axis=1, kind="stable"), axis=1, kind="stable")
+    return np.where(df > 1, places, len(df)).astype(np.int64)
+
+
+def first_places(terms: pa.Array, orders: np.ndarray) -> np.ndarray:
+    """The places of each document's first term in both orders; terms are little-endian unsigned 32-bit bytes, one at least."""
+    raw = terms.to_pylist()
+    starts = np.concatenate(([0], np.cumsum([len(r) // 4 for r in raw])[:-1])).astype(np.int64)
+    return np.minimum.reduceat(orders[:, np.frombuffer(b"".join(raw), "<u4")], starts, axis=1)
+
+
+class ShardPlan:
+    """Which shard a document goes to: the places of its first terms cut the corpus into buckets, these into shards.
+
+    Documents of one first place are a group. A group above a quarter of a shard is parted by the second
+    place. Buckets fill shards in turn and stay whole, but one above half a shard, such as a large group of
+    copies, is dealt over the shards that it fills by the documents' salts, so that no shard is much larger than
+    1.5 times shard_bytes.
+    """
+
+    def __init__(self, group_bytes: np.ndarray, shard_bytes: int):
+        self.shard_bytes = shard_bytes
+        self.parts = np.maximum(1, -(-4 * group_bytes // shard_bytes))
+        self.first = np.concatenate(([0], np.cumsum(self.parts)))
+
+    def bucket(self, places: np.ndarray) -> np.ndarray:
+        return self.first[places[0]] + places[1] % self.parts[places[0]]
+
+    def fill(self, bucket_bytes: np.ndarray) -> None:
+        self.bytes = bucket_bytes
+        self.starts = np.concatenate(([0], np.cumsum(bucket_bytes)[:-1]))
+
+    def shard(self, bucket: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        """salt is in [0, 1)."""
+        large = self.bytes[bucket] * 2 > self.shard_bytes
+        return ((self.starts[bucket] + np.where(large, salt * self.bytes[bucket], 0)) // self.shard_bytes).astype(np.int64)
+
+
+def _totals(df: DataFrame, key: str, value: str, size: int) -> np.ndarray:
+    """The sums of value by key, an integer below size."""
+    found = df.groupBy(key).agg(F.sum(value).alias(value)).toArrow()
+    out = np.zeros(size, np.int64)
+    out[found[key].to_numpy()] = found[value].to_numpy()
+    return out
+
+
+def _tokenized(documents: DataFrame, tokenizer_path: str, id_column: str, text_column: str) -> DataFrame:
+    """doc, salt, bytes (of text), ids, and terms (the distinct ids)."""
+    rows = documents.select(F.col(id_column).alias("doc"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    salt = F.shiftrightunsigned(F.xxhash64("doc", "text"), 12) / F.lit(float(1 << 52))
+    rows = rows.select("doc", salt.alias("salt"), F.octet_length("text").cast("long").alias("bytes"), "text")
+
+    def encode(batches):
+        tokenizer, end = _tokenizer(tokenizer_path), np.array([END], "<u4").tobytes()
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1024):
+                batch = whole.slice(i, 1024)
+                raw = [ids + end for ids in tokenizer.encode(batch.column(3).to_pylist())]
+                terms = [np.unique(np.frombuffer(r, "<u4")).tobytes() for r in raw]
+                yield pa.record_batch([*batch.columns[:3], pa.array(raw, pa.binary()), pa.array(terms, pa.binary())], names=["doc", "salt", "bytes", "ids", "terms"])
+
+    kind = documents.schema[id_column].dataType.simpleString()
+    return rows.mapInArrow(encode, f"doc {kind}, salt double, bytes long, ids binary, terms binary")
+
+
+def sharded(tokenized: DataFrame, shard_bytes: int) -> DataFrame:
+    """doc, ids, shard: documents that share rare terms meet in a shard of about shard_bytes of text.
+
+    The driver holds the terms' document counts, bounded by the vocabulary, and the sizes of the buckets,
+    about four a shard beyond that.
+    """
+
+    def count(batches):
+        seen = np.zeros(0, np.int64)
+        for batch in batches:
+            more = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4"))
+            seen, more = (seen, more) if len(seen) >= len(more) else (more, seen)
+            seen[: len(more)] += more
+        found = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array(found), pa.array(seen[found])], names=["term", "n"])
+
+    counts = tokenized.select("terms").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(max(counts["term"].to_pylist(), default=0) + 1, np.int64)
+    df[counts["term"].to_numpy()] = counts["n"].to_numpy()
+    orders = term_orders(df, int(df[END]) if len(df) > END else 0)  # every document has the end token
+
+    def groups(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([pa.array(first_places(batch.column(0), orders)[0]), batch.column(1)], names=["group", "bytes"])
+
+    sizes = tokenized.select("terms", "bytes")
+    plan = ShardPlan(_totals(sizes.mapInArrow(groups, "group long, bytes long"), "group", "bytes", len(df) + 1), shard_bytes)
+
+    def buckets(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([pa.array(plan.bucket(first_places(batch.column(0), orders))), batch.column(1)], names=["bucket", "bytes"])
+
+    plan_bytes = _totals(sizes.mapInArrow(buckets, "bucket long, bytes long"), "bucket", "bytes", int(plan.first[-1]))
+    plan.fill(plan_bytes)
+
+    def deal(batches):
+        for batch in batches:
+            if batch.num_rows:
+                shard = plan.shard(plan.bucket(first_places(batch.column(3), orders)), batch.column(1).to_numpy())
+                yield pa.record_batch([batch.column(0), batch.column(2), pa.array(shard)], names=["doc", "ids", "shard"])
+
+    kind = tokenized.schema["doc"].dataType.simpleString()
+    return tokenized.select("doc", "salt", "ids", "terms").mapInArrow(deal, f"doc {kind}, ids binary, shard long")
+
+
 def pack_documents(
     documents: DataFrame,
     tokenizer_path: str,
@@ -125,26 +250,23 @@ def pack_documents(
     text_column: str = "text",
     window: int = 4096,
     shard_bytes: int = 4 << 20,
-    query_terms: int = 64,
+    query_terms: int | None = None,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Documents are dealt to shards of about `shard_bytes` of text by the hash of id and text, so a shard
-    is a bounded group whatever the ids and sources are. Every shard has its own inverted index, and
-    leaves at most one sequence short of the window. Padding is not written: a sequence is its pieces.
+    Documents go to shards of about `shard_bytes` of text by weighted minhashes of their terms, so those
+    that share rare terms meet, and a shard is a bounded group whatever the ids, sources and copies are
+    (see ShardPlan). Every shard has its own inverted index, and leaves at most one sequence short of the
+    window. Padding is not written: a sequence is its pieces.
 
     A null text is empty and holds the end token alone; rows that repeat an id are documents of their
     own, and so are rows with a null id; an empty table gives no rows. Reruns agree.
     """
-    total = documents.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    rows = documents.select(F.col(id_column).alias("doc"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc", F.octet_length("text")), F.lit(shards)))
+    tokenized, _ = written(_tokenized(documents, tokenizer_path, id_column, text_column), "tokenized")
 
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc", "text"], kind="stable", ignore_index=True)
-        tokenizer, end = _tokenizer(tokenizer_path), np.array([END], "<u4").tobytes()
-        raw = [ids + end for ids in tokenizer.encode(group["text"].tolist())]
+        group = group.sort_values(["doc", "ids"], kind="stable", ignore_index=True)
+        raw = group["ids"].tolist()
         sequences = pack_shard([np.frombuffer(r, "<u4") for r in raw], window, query_terms)
         pieces = []
         for number, sequence in enumerate(sequences):
@@ -156,6 +278,6 @@ def pack_documents(
         return pd.DataFrame(pieces, columns=[id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     kind = documents.schema[id_column].dataType.simpleString()
-    return rows.groupBy("shard").applyInPandas(
+    return sharded(tokenized, shard_bytes).groupBy("shard").applyInPandas(
         pack, f"`{id_column}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )
