@@ -84,6 +84,27 @@ def test_held_on_is_half_open(spark):
     assert held == [(1, 1), (1, 2), (2, 2), (2, 3), (2, 4)]
 
 
+def test_range_joins_over_every_bar(spark, sf_dir):
+    from tidepanel.queries import queries
+    from tidepanel.sources.panel import actions, bars
+
+    prices = bars(spark, sf_dir).select("stock_id", "date", "close")
+    frame = prices.toPandas().sort_values(["stock_id", "date"])
+    events = actions(prices).toPandas()
+    events = events[(events.ratio > 0) & np.isfinite(events.ratio)]
+    got = {(r.stock_id, r.date): r.factor for r in queries()["range_adjust_factor_all"](spark, sf_dir).collect()}
+    want = {(b.stock_id, b.date.to_pydatetime()): events.ratio[(events.stock_id == b.stock_id) & (events.date > b.date)].prod() for b in frame.itertuples()}
+    assert got.keys() == want.keys() and min(d for _, d in got).year < 1998
+    assert all(got[k] == pytest.approx(v, rel=1e-5) for k, v in want.items())
+
+    frame["sell"] = frame.groupby("stock_id").date.shift(-10)
+    held = {r.date: (r.held, r.first_id, r.last_buy) for r in queries()["interval_holdings_all"](spark, sf_dir).collect()}
+    assert len(held) == frame.date.nunique()
+    for d in frame.date.unique():
+        on = frame[(frame.date <= d) & (frame.sell.isna() | (d < frame.sell))]
+        assert held[pd.Timestamp(d).to_pydatetime()] == (len(on), on.stock_id.min(), on.date.max().to_pydatetime())
+
+
 def test_labels_stay_null_at_the_tail(spark):
     df = panel(spark, {1: range(1, 31)}).withColumn("up", (F.col("close") > windows.lag(F.col("close"))).cast("int"))
     got = column(df.withColumn("y", labels.up_days(F.col("close"), F.col("up"))), "y")

@@ -38,11 +38,29 @@ def range_adjust_factor(spark, sf_dir):
     return adjusted.where("date >= timestamp_ntz'1998-06-01 00:00:00'").select("stock_id", "date", F.col("factor").cast("float").alias("factor"))
 
 
+@query()
+def range_adjust_factor_all(spark, sf_dir):
+    """The factor of every bar; a range join in SQL is too slow for all, so tests hold it against brute force."""
+    prices = bars(spark, sf_dir).select("stock_id", "date", "close")
+    return j.later_product(prices, actions(prices)).select("stock_id", "date", F.col("factor").cast("float").alias("factor"))
+
+
 @query(f"""WITH {BARS}, {POSITIONS}, days AS (SELECT DISTINCT date FROM bars) SELECT d.date, count(*) AS held, min(stock_id) AS first_id, max(buy_date) AS last_buy FROM pos JOIN days d ON buy_date <= d.date AND (sell_date IS NULL OR d.date < sell_date) GROUP BY d.date""")
 def interval_holdings(spark, sf_dir):
     prices = bars(spark, sf_dir).select("stock_id", "date")
     chosen = prices.withColumn("i", F.row_number().over(w.line())).where("i % 40 = 1")
     positions = chosen.select("stock_id", F.col("date").alias("buy_date"), F.lead("date", 10).over(w.line()).alias("sell_date"))
+    return _holdings(positions, prices)
+
+
+@query()
+def interval_holdings_all(spark, sf_dir):
+    """Holdings where every bar opens a position; a range join in SQL is too slow for all, so tests hold it against brute force."""
+    prices = bars(spark, sf_dir).select("stock_id", "date")
+    return _holdings(prices.select("stock_id", F.col("date").alias("buy_date"), F.lead("date", 10).over(w.line()).alias("sell_date")), prices)
+
+
+def _holdings(positions, prices):
     held = j.held_on(positions, prices.select("date").distinct())
     return held.groupBy("date").agg(F.count("*").alias("held"), F.min("stock_id").alias("first_id"), F.max("buy_date").alias("last_buy"))
 
