@@ -127,7 +127,7 @@ def volume_flow(df: DataFrame) -> DataFrame:
 
 
 def oscillators(df: DataFrame) -> DataFrame:
-    """Aroon, CCI, MFI, momentum, rate of change, slow stochastics and Williams %R."""
+    """Aroon, CCI, MFI, momentum, rate of change and Williams %R."""
     typical = (F.col("high") + F.col("low") + F.col("close")) / 3
     at = F.row_number().over(w.line())
     df = df.withColumn("tp", typical).withColumn("at", at)
