@@ -1,4 +1,4 @@
-"""Reading sorted rows group by group inside a task, and union-find over one group."""
+"""Reading rows by groups and by bounded pieces inside a task, and union-find over one group."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def sorted_groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -39,6 +40,18 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def byte_slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in pieces whose `column`, of strings or bytes, holds about `most` bytes, or one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sums = np.cumsum(sizes.astype(np.int64) + 16)
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(sums, (sums[start - 1] if start else 0) + most, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 class Union:
     """Union-find over positions 0..n-1; roots are the smallest position of their set."""
 

@@ -3,53 +3,85 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .groups import byte_slices
+from .words import hashed_words, text_bytes
 
 END = 2
 IDF_POWER = 1.0
 
 
 class WordTokenizer:
-    """Token ids as little-endian unsigned 32-bit bytes, word by word.
+    """The token ids of texts, word by word.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its
-    blank-separated words in turn. Words are encoded once and kept, at most `held` of them; new ones
-    are encoded many at a time with a special token between them, as each call costs more than a word.
+    The tokenizer lower-cases, drops white space and never joins across it, so the ids of a text are those
+    of its blank-separated words in turn. A word's ids are kept under its 64-bit hash, in arrays of about
+    `held_bytes`; new words are encoded many at a time with a special token between them, as each call
+    costs more than a word. Words that may hold special strings are encoded each time.
     """
 
-    def __init__(self, path: str, held: int = 1_000_000):
+    def __init__(self, path: str, held_bytes: int = 48 << 20):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.held, self.known = Tokenizer.from_file(path), held, {}
-        self.separator_id, token = max(self.tokenizer.get_added_tokens_decoder().items())
-        self.separator = token.content
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.held:
-            self.known.clear()
-        new = list(set().union(*split).difference(self.known))
-        plain = [w for w in new if "<|" not in w]
-        for i in range(0, len(plain), 512):
-            part = plain[i : i + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.separator.join(part)], add_special_tokens=False)[0].ids, "<u4")
-            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == self.separator_id).tolist(), len(ids)]
-            start = 0
-            for word, end in zip(part, ends, strict=True):
-                self.known[word] = raw[4 * start : 4 * end]
-                start = end + 1
-        for word in set(new).difference(plain):  # may hold special strings of their own
-            self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.tokenizer, self.held_bytes = Tokenizer.from_file(path), held_bytes
+        added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.separator_id, self.separator = max(added.items())
+        self.marks = sorted({t[:2] for t in added.values()})
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes, self.at, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, "<u4")
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in turn, and how many each has; none for words that may hold special strings."""
+        out: list[int] = []
+        for i in range(0, len(words), 64):
+            text = self.separator.join(["" if any(m in w for m in self.marks) else w for w in words[i : i + 64]])
+            out += self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            out.append(self.separator_id)
+        ids = np.array(out, "<u4")
+        ends = np.flatnonzero(ids == self.separator_id)
+        return ids[ids != self.separator_id], np.diff(ends, prepend=-1) - 1
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All rows' ids, each row ended by END, and the rows' offsets in them."""
+        data, offsets = text_bytes(column)
+        starts, rows, hashes = hashed_words(data, offsets)
+        word = lambda k: data[starts[k] : starts[k + 1] if k + 1 < len(starts) else len(data)].tobytes().strip().decode()
+        if 20 * len(self.codes) + self.pool.nbytes > self.held_bytes:
+            self.clear()
+        codes, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.codes, codes)
+        new = np.ones(len(codes), bool) if len(self.codes) == 0 else self.codes[np.minimum(at, len(self.codes) - 1)] != codes
+        if new.any():
+            found, length = self._ids([word(k) for k in first[new].tolist()])
+            begin = len(self.pool) + np.concatenate(([0], np.cumsum(length)[:-1]))
+            self.pool = np.concatenate([self.pool, found])
+            self.codes, self.at, self.length = (np.insert(held, at[new], more) for held, more in ((self.codes, codes[new]), (self.at, begin), (self.length, length)))
+        place = np.searchsorted(self.codes, codes)[which]
+        pool, begin, length = self.pool, self.at[place], self.length[place].astype(np.int64)
+        special = np.unique(np.concatenate([np.searchsorted(starts, np.flatnonzero((data[:-1] == ord(m[0])) & (data[1:] == ord(m[1]))), "right") - 1 for m in self.marks]))
+        if len(special):
+            found = [np.array(self.tokenizer.encode(word(k), add_special_tokens=False).ids, "<u4") for k in special.tolist()]
+            length[special] = [len(x) for x in found]
+            begin[special] = len(pool) + np.concatenate(([0], np.cumsum(length[special])[:-1]))
+            pool = np.concatenate([pool, *found])
+        ends = np.concatenate(([0], np.cumsum(length)))
+        out = np.full(int(ends[-1]) + len(rows) - 1, END, "<u4")
+        row_ends = ends[rows]
+        into = np.arange(ends[-1]) + np.repeat(np.arange(len(rows) - 1), np.diff(row_ends))
+        out[into] = pool[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], length)]
+        return out, row_ends + np.arange(len(rows))
 
 
 @lru_cache(maxsize=2)
@@ -142,39 +174,9 @@ def first_places(terms: pa.Array, orders: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(orders[:, np.frombuffer(b"".join(raw), "<u4")], starts, axis=1)
 
 
-class ShardPlan:
-    """Which shard a document goes to: the places of its first terms cut the corpus into buckets, these into shards.
-
-    Documents of one first place are a group. A group above a quarter of a shard is parted by the second
-    place. Buckets fill shards in turn and stay whole, but one above half a shard, such as a large group of
-    copies, is dealt over the shards that it fills by the documents' salts, so that no shard is much larger than
-    1.5 times shard_bytes.
-    """
-
-    def __init__(self, group_bytes: np.ndarray, shard_bytes: int):
-        self.shard_bytes = shard_bytes
-        self.parts = np.maximum(1, -(-4 * group_bytes // shard_bytes))
-        self.first = np.concatenate(([0], np.cumsum(self.parts)))
-
-    def bucket(self, places: np.ndarray) -> np.ndarray:
-        return self.first[places[0]] + places[1] % self.parts[places[0]]
-
-    def fill(self, bucket_bytes: np.ndarray) -> None:
-        self.bytes = bucket_bytes
-        self.starts = np.concatenate(([0], np.cumsum(bucket_bytes)[:-1]))
-
-    def shard(self, bucket: np.ndarray, salt: np.ndarray) -> np.ndarray:
-        """salt is in [0, 1)."""
-        large = self.bytes[bucket] * 2 > self.shard_bytes
-        return ((self.starts[bucket] + np.where(large, salt * self.bytes[bucket], 0)) // self.shard_bytes).astype(np.int64)
-
-
-def _totals(df: DataFrame, key: str, value: str, size: int) -> np.ndarray:
-    """The sums of value by key, an integer below size."""
-    found = df.groupBy(key).agg(F.sum(value).alias(value)).toArrow()
-    out = np.zeros(size, np.int64)
-    out[found[key].to_numpy()] = found[value].to_numpy()
-    return out
+def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Rows of 4-byte values as bytes."""
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(4 * offsets.astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
 
 
 def _tokenized(documents: DataFrame, tokenizer_path: str, id_column: str, text_column: str) -> DataFrame:
@@ -184,23 +186,23 @@ def _tokenized(documents: DataFrame, tokenizer_path: str, id_column: str, text_c
     rows = rows.select("doc", salt.alias("salt"), F.octet_length("text").cast("long").alias("bytes"), "text")
 
     def encode(batches):
-        tokenizer, end = _tokenizer(tokenizer_path), np.array([END], "<u4").tobytes()
-        for whole in batches:
-            for i in range(0, whole.num_rows, 1024):
-                batch = whole.slice(i, 1024)
-                raw = [ids + end for ids in tokenizer.encode(batch.column(3).to_pylist())]
-                terms = [np.unique(np.frombuffer(r, "<u4")).tobytes() for r in raw]
-                yield pa.record_batch([*batch.columns[:3], pa.array(raw, pa.binary()), pa.array(terms, pa.binary())], names=["doc", "salt", "bytes", "ids", "terms"])
+        tokenizer = _tokenizer(tokenizer_path)
+        for batch in byte_slices(batches, "text"):
+            ids, offsets = tokenizer.encode(batch.column(3))
+            terms = [np.unique(ids[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            sizes = np.concatenate(([0], np.cumsum([len(t) for t in terms])))
+            yield pa.record_batch([*batch.columns[:3], _binary(ids, offsets), _binary(np.concatenate(terms), sizes)], names=["doc", "salt", "bytes", "ids", "terms"])
 
     kind = documents.schema[id_column].dataType.simpleString()
     return rows.mapInArrow(encode, f"doc {kind}, salt double, bytes long, ids binary, terms binary")
 
 
-def sharded(tokenized: DataFrame, shard_bytes: int) -> DataFrame:
-    """doc, ids, shard: documents that share rare terms meet in a shard of about shard_bytes of text.
+def ordered_by_content(tokenized: DataFrame, partition_bytes: int) -> DataFrame:
+    """doc, bytes, ids: documents of the same first terms follow each other, in partitions of about partition_bytes of text.
 
-    The driver holds the terms' document counts, bounded by the vocabulary, and the sizes of the buckets,
-    about four a shard beyond that.
+    Rows are range-partitioned and sorted by the places of their first terms in both orders and then by a
+    salt, so documents that share rare terms lie near each other, and a large group of copies is cut
+    over as many partitions as it fills. The driver holds the terms' document counts, which the vocabulary bounds.
     """
 
     def count(batches):
@@ -216,31 +218,51 @@ def sharded(tokenized: DataFrame, shard_bytes: int) -> DataFrame:
     df = np.zeros(max(counts["term"].to_pylist(), default=0) + 1, np.int64)
     df[counts["term"].to_numpy()] = counts["n"].to_numpy()
     orders = term_orders(df, int(df[END]) if len(df) > END else 0)  # every document has the end token
+    total = tokenized.agg(F.sum("bytes")).first()[0] or 0
 
-    def groups(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.record_batch([pa.array(first_places(batch.column(0), orders)[0]), batch.column(1)], names=["group", "bytes"])
+    def place(batches):
+        for batch in byte_slices(batches, "ids"):
+            first = first_places(batch.column(4), orders)
+            yield pa.record_batch([*batch.columns[:4], pa.array(first[0]), pa.array(first[1])], names=["doc", "salt", "bytes", "ids", "first", "second"])
 
-    sizes = tokenized.select("terms", "bytes")
-    plan = ShardPlan(_totals(sizes.mapInArrow(groups, "group long, bytes long"), "group", "bytes", len(df) + 1), shard_bytes)
+    kind = tokenized.schema["doc"].dataType.simpleString()
+    placed = tokenized.select("doc", "salt", "bytes", "ids", "terms").mapInArrow(place, f"doc {kind}, salt double, bytes long, ids binary, first long, second long")
+    line = ["first", "second", "salt", "doc"]
+    return placed.repartitionByRange(max(1, -(-total // partition_bytes)), *line).sortWithinPartitions(*line).select("doc", "bytes", "ids")
 
-    def buckets(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.record_batch([pa.array(plan.bucket(first_places(batch.column(0), orders))), batch.column(1)], names=["bucket", "bytes"])
 
-    plan_bytes = _totals(sizes.mapInArrow(buckets, "bucket long, bytes long"), "bucket", "bytes", int(plan.first[-1]))
-    plan.fill(plan_bytes)
+def shards(batches: Iterable[pa.RecordBatch], shard_bytes: int) -> Iterator[pa.Table]:
+    """Consecutive rows of (doc, bytes, ids) of shard_bytes of text; the last shard has up to half as much again.
 
-    def deal(batches):
-        for batch in batches:
-            if batch.num_rows:
-                shard = plan.shard(plan.bucket(first_places(batch.column(3), orders)), batch.column(1).to_numpy())
-                yield pa.record_batch([batch.column(0), batch.column(2), pa.array(shard)], names=["doc", "ids", "shard"])
+    Rows weigh what they hold in memory at least, so empty texts don't make a shard of any number of rows.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in byte_slices(batches, "ids"):
+        held.append(batch)
+        size += int(np.maximum(batch.column(1).to_numpy(), 64).sum())
+        while size >= shard_bytes * 3 // 2:
+            rows = pa.Table.from_batches(held)
+            sums = np.cumsum(np.maximum(rows["bytes"].to_numpy(), 64))
+            cut = int(np.searchsorted(sums, shard_bytes)) + 1
+            yield rows.slice(0, cut)
+            held, size = rows.slice(cut).to_batches(), int(sums[-1] - sums[cut - 1])
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def sharded(tokenized: DataFrame, shard_bytes: int) -> DataFrame:
+    """doc, ids, shard: which documents share an index."""
+
+    def number(batches):
+        at = TaskContext.get().partitionId() << 32
+        for shard in shards(batches, shard_bytes):
+            for batch in shard.select(["doc", "ids"]).to_batches():
+                yield batch.append_column("shard", pa.array(np.full(batch.num_rows, at), pa.int64()))
+            at += 1
 
     kind = tokenized.schema["doc"].dataType.simpleString()
-    return tokenized.select("doc", "salt", "ids", "terms").mapInArrow(deal, f"doc {kind}, ids binary, shard long")
+    return ordered_by_content(tokenized, 4 * shard_bytes).mapInArrow(number, f"doc {kind}, ids binary, shard long")
 
 
 def pack_documents(
@@ -254,30 +276,33 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Documents go to shards of about `shard_bytes` of text by weighted minhashes of their terms, so those
-    that share rare terms meet, and a shard is a bounded group whatever the ids, sources and copies are
-    (see ShardPlan). Every shard has its own inverted index, and leaves at most one sequence short of the
-    window. Padding is not written: a sequence is its pieces.
+    Documents are ordered by weighted minhashes of their terms, so those that share rare terms lie near
+    each other, and the order is cut into shards of about `shard_bytes` of text, a bounded group
+    whatever the ids, sources and copies are. Every shard has its own inverted index, and leaves at most
+    one sequence short of the window. Padding is not written: a sequence is its pieces.
 
     A null text is empty and holds the end token alone; rows that repeat an id are documents of their
-    own, and so are rows with a null id; an empty table gives no rows. Reruns agree.
+    own, and so are rows with a null id; an empty table gives no rows. The cuts between partitions come
+    from Spark's sampled ranges, so two runs may put a document into different sequences.
     """
     tokenized, _ = written(_tokenized(documents, tokenizer_path, id_column, text_column), "tokenized")
-
-    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc", "ids"], kind="stable", ignore_index=True)
-        raw = group["ids"].tolist()
-        sequences = pack_shard([np.frombuffer(r, "<u4") for r in raw], window, query_terms)
-        pieces = []
-        for number, sequence in enumerate(sequences):
-            offset = 0
-            for d, start, length in sequence:
-                crc = zlib.crc32(raw[d][4 * start : 4 * (start + length)])
-                pieces.append((group["doc"].iat[d], start, length, crc, len(raw[d]) // 4, (int(key[0]) << 32) + number, offset))
-                offset += length
-        return pd.DataFrame(pieces, columns=[id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+    names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+    def pack(batches):
+        number = TaskContext.get().partitionId() << 32
+        for shard in shards(batches, shard_bytes):
+            raw = shard["ids"].to_pylist()
+            doc, start, length, crc, tokens, sequence_id, offset = [], [], [], [], [], [], []
+            for sequence in pack_shard([np.frombuffer(r, "<u4") for r in raw], window, query_terms):
+                at = 0
+                for d, first, n in sequence:
+                    for into, value in zip((doc, start, length, crc, tokens, sequence_id, offset), (d, first, n, zlib.crc32(raw[d][4 * first : 4 * (first + n)]), len(raw[d]) // 4, number, at)):
+                        into.append(value)
+                    at += n
+                number += 1
+            yield pa.record_batch([shard["doc"].combine_chunks().take(pa.array(doc)), *(pa.array(x, pa.int64()) for x in (start, length, crc, tokens, sequence_id, offset))], names=names)
 
     kind = documents.schema[id_column].dataType.simpleString()
-    return sharded(tokenized, shard_bytes).groupBy("shard").applyInPandas(
+    return ordered_by_content(tokenized, 4 * shard_bytes).mapInArrow(
         pack, f"`{id_column}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )

@@ -66,14 +66,18 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, block: int = 1 << 18) ->
     i = 0
     while i < len(offsets) - 1:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + block, "right")) - 1)
-        out.append(_hash_block(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], counts[i:j]))
+        starts, rows, hashes = hashed_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        out.append(hashes)
+        counts[i:j] = np.diff(rows)
         i = j
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.concatenate(([0], np.cumsum(counts)))
 
 
-def _hash_block(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, rows, hashes): where each word begins, the rows' offsets in the words, and the words' hashes."""
+    none = np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), np.zeros(0, np.uint64)
     if len(data) == 0:
-        return np.zeros(0, np.uint64)
+        return none
     inside = ~_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -81,15 +85,14 @@ def _hash_block(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> np
     cuts = cuts[cuts < len(data)]
     begins[cuts] = inside[cuts]  # a row starts a new word
     starts = np.flatnonzero(begins)
-    counts[:] = np.diff(np.searchsorted(starts, offsets))
     if len(starts) == 0:
-        return np.zeros(0, np.uint64)
+        return none
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     weighted = np.where(inside, _BYTE[data], np.uint64(0)) * up[: len(data)]
     np.cumsum(weighted, out=sums[1:])
     ends = np.append(starts[1:], len(data))  # what lies between words weighs nothing
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    return starts, np.searchsorted(starts, offsets), mix((sums[ends] - sums[starts]) * down[starts])
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
