@@ -271,7 +271,7 @@ def test_licenses_allow_small_changes(spark):
 
 def test_lm(docs, odd, texts):
     training = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) != 2
-    got = by_id(lm.score_documents(docs, training, filter_log=22, frequent=4))
+    got = by_id(lm.score_documents(docs, training, frequent=4))
     held = {i + 1: zlib.crc32(str(i + 1).encode()) % 7 == 2 for i in range(len(texts))}
     parts = {i + 1: [*words(t), None] for i, t in enumerate(texts)}
     count = Counter(w for i, p in parts.items() if not held[i] for w in p)
@@ -280,9 +280,53 @@ def test_lm(docs, odd, texts):
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(p), sum(count[w] > 0 for w in p), n)
         assert r.base_score == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in p)) and r.score < 0
-    assert lm.score_documents(odd, F.coalesce(training, F.lit(True)), filter_log=20).count() == len(texts) + 3
-    assert lm.score_documents(docs, F.lit(False), filter_log=20).first().base_score == 0.0
-    assert lm.score_documents(odd.limit(0), training, filter_log=20).count() == 0
+    assert lm.score_documents(odd, F.coalesce(training, F.lit(True))).count() == len(texts) + 3
+    assert lm.score_documents(docs, F.lit(False)).first().base_score == 0.0
+    assert lm.score_documents(odd.limit(0), training).count() == 0
+
+
+def exact_lm(parts, held, base=2.0, weight=0.6):
+    """log10 probabilities from exact counts, quantised as the filter does."""
+    middle = lambda c: 0.0 if not c else (lo := base ** (math.frexp(c)[1] - 1), (lo + max(lo, 2 * lo - 1)) / 2)[1]
+    c1 = Counter(w for i, p in parts.items() if not held[i] for w in p)
+    c2 = Counter(g for i, p in parts.items() if not held[i] for g in zip(p, p[1:]))
+    n, v = sum(c1.values()), len(c1)
+    out = {}
+    for i, p in parts.items():
+        total = 0.0
+        for k, w in enumerate(p):
+            single = (middle(c1[w]) + 1) / (n + v + 1)
+            before = middle(c1[p[k - 1]]) if k else 0.0
+            total += math.log10(weight * min(middle(c2[p[k - 1], w]) / before, 1.0) + (1 - weight) * single if before else single)
+        out[i] = total
+    return out
+
+
+def test_lm_scores_are_those_of_exact_counts(spark, docs, texts):
+    """With bits enough for hardly any false hit the score is that of the exact counts, both ways of asking the filter."""
+    training = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) != 2
+    held = {i + 1: zlib.crc32(str(i + 1).encode()) % 7 == 2 for i in range(len(texts))}
+    want = exact_lm({i + 1: [*words(t), None] for i, t in enumerate(texts)}, held)
+    for options in ({}, {"broadcast_bytes": 0}):
+        got = by_id(lm.score_documents(docs, training, bits_per_entry=64, probes=8, **options))
+        assert {i: r.score for i, r in got.items()} == pytest.approx(want)
+
+
+def test_lm_keeps_every_ngram_and_asks_alike_at_every_size(spark):
+    """Whether the filter is broadcast or asked shard by shard, scores are the same, and documents seen twice score above those seen once."""
+    rng = random.Random(12)
+    made = [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(1, 300))) for _ in range(400)]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(made + made[:40])] + [(None, None), (7, made[7])], "doc_id long, text string")
+    ways = [sorted(map(tuple, lm.score_documents(table, F.lit(True), broadcast_bytes=n).collect()), key=str) for n in (64 << 20, 0)]
+    assert ways[0] == ways[1] and len(ways[0]) == 442
+    score = {r[0]: r[-1] / r[2] for r in ways[0] if r[0] is not None and r[2] > 50}
+    assert np.mean([v for i, v in score.items() if i < 40 or i >= 400]) > np.mean([v for i, v in score.items() if 40 <= i < 400]) + 0.1
+
+
+def test_full_filter_still_answers():
+    grams = np.random.default_rng(1).integers(0, 2**63, 2000, dtype=np.uint64)
+    model = lm.LogFrequencyFilter(np.full(1 << 17, 255, np.uint8), 0, 2.0, 4, top=9)
+    assert (model.levels(grams) == 9).all()
 
 
 def test_log_frequency_filter_reads_back_levels():
@@ -410,7 +454,13 @@ def test_pipeline(spark, sf_dir, tmp_path):
     _, top = brute_groups([r.text for r in kept.orderBy("doc_id").collect()])
     assert one.columns == docs.columns and one.count() == len(set(top))
     mixed = corpus_pipeline.mix(spark, one, sf_dir)
-    plan = {r.doc_id: (r.size, r.taken) for r in mixing.mix_sources(one).collect()}
-    assert Counter(r.doc_id for r in mixed.collect()) == {k: c for k, (s, t) in plan.items() if s and (c := math.floor(t / s + 0.5))}
+    plan = {r.doc_id: r for r in mixing.mix_sources(one).join(one.select("doc_id", "source"), "doc_id").collect()}
+    copies = Counter(r.doc_id for r in mixed.collect())
+    assert all(copies[k] in (r.taken // r.size, -(-r.taken // r.size)) if r.size else copies[k] == 0 for k, r in plan.items())
+    for source in {r.source for r in plan.values()}:  # words after the stage against what the mix takes, and that against the target
+        mine = [r for r in plan.values() if r.source == source]
+        taken = sum(r.taken for r in mine)
+        assert abs(sum(copies[r.doc_id] * r.size for r in mine) - taken) <= max(r.size for r in mine) / 2 + 1
+        assert abs(taken - mine[0].target) <= 2 * 64
     pieces = corpus_pipeline.pack(spark, mixed, sf_dir)
     assert pieces.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
