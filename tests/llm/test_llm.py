@@ -464,3 +464,61 @@ def test_pipeline(spark, sf_dir, tmp_path):
         assert abs(taken - mine[0].target) <= 2 * 64
     pieces = corpus_pipeline.pack(spark, mixed, sf_dir)
     assert pieces.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
+
+
+def test_related_licenses_keep_their_own_label(spark):
+    t = licenses.TEMPLATES
+    rows = [(1, t["cc-by"]), (2, t["cc-by-nc"]), (3, t["cc-by-nc-sa"]), (4, t["gpl"]), (5, t["lgpl"]), (6, t["bsd-2"]), (7, t["bsd-3"]), (8, t["mit"][1]), (9, t["isc"][1]), (10, t["cc-by"] + ". " + "x " * 9 + t["gpl"])]
+    got = by_id(licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [got[i].labels for i in range(1, 11)] == ["cc-by", "cc-by-nc", "cc-by-nc-sa", "gpl", "lgpl", "bsd-2", "bsd-3", "mit", "isc", "cc-by,gpl"]
+
+
+def test_licenses_by_brute_force(spark):
+    """Labels against plain diagonals: every template at every place, matched positions counted, the best of overlapping spans kept."""
+    rng = random.Random(4)
+    parts = [x for v in licenses.TEMPLATES.values() for x in ([v] if isinstance(v, str) else v)]
+    made = []
+    for _ in range(60):
+        w = [f"f{rng.randint(0, 99)}" for _ in range(rng.randint(0, 40))]
+        for _ in range(rng.randint(0, 2)):
+            piece = licenses.template_words(rng.choice(parts))
+            cut = piece[: rng.randint(len(piece) // 3, len(piece))]
+            for _ in range(rng.randint(0, 2)):
+                cut[rng.randrange(len(cut))] = "changed"
+            w += cut + [f"g{rng.randint(0, 99)}" for _ in range(rng.randint(5, 40))]
+        made.append(" ".join(w))
+    templates = [(label, licenses.template_words(x)) for label, v in licenses.TEMPLATES.items() for x in ([v] if isinstance(v, str) else v)]
+
+    def labels(text):
+        w, spans, found = licenses.template_words(text), [], set()
+        for number, (label, t) in enumerate(templates):
+            grams, votes = len(t) - 2, {}
+            for q in range(grams):
+                for p in range(len(w) - 2):
+                    if w[p : p + 3] == t[q : q + 3]:
+                        votes.setdefault(p - q, []).append((p, q))
+            island = []
+            for d in [*sorted(votes), None]:
+                if island and (d is None or d - island[-1] > 3):
+                    hits = [h for x in island for h in votes[x]]
+                    covered, first, last = len({q for _, q in hits}), min(p for p, _ in hits), max(p for p, _ in hits) + 2
+                    if covered >= grams * 0.6 and last - first + 1 <= len(t) * 1.5:
+                        spans.append((covered, covered / grams, label, first, last))
+                    island = []
+                island.append(d)
+        for s in spans:
+            rivals = [r for r in spans if r[2] != s[2] and r[3] <= s[4] and s[3] <= r[4]]
+            if not any(r[:2] > s[:2] or r[:2] == s[:2] and r[2] < s[2] for r in rivals):
+                found.add(s[2])
+        found |= {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in f" {' '.join(w)} "}
+        return ",".join(sorted(found))
+
+    got = by_id(licenses.scan_licenses(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")))
+    assert [got[i].labels for i in range(60)] == [labels(t) for t in made] and len({r.labels for r in got.values()}) > 8
+
+
+def test_very_long_text_with_licenses(spark):
+    """The work is linear in a text's words."""
+    text = "word " * 300000 + "under the mit license " + "word " * 100000
+    row = licenses.scan_licenses(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).where("doc_id = 1").first()
+    assert (row.n_words, row.n_base, row.first_word, row.labels) == (400004, 1, 300000, "mit")

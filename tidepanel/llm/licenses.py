@@ -11,20 +11,48 @@ from .common import written
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 K = 3
+BROADCAST_CHARS = 1 << 20  # of templates, a row of about 100 bytes for each word
 
 #: Phrases whose every place counts, and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Openings and grants of public licence texts, by label.
+#: Whole texts of short public licences, and the notices that works under longer ones carry, by label.
 TEMPLATES = {
-    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+        The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    "bsd-2": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+        THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "bsd-3": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+        3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+        THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+        1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+        2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+        3. This notice may not be removed or altered from any source distribution.""",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "cc-by-nc-sa": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nd": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
     "apache-2": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "gpl-3": "licensed under the GNU General Public License, version 3",
     "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
     "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    ),
     "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
@@ -36,10 +64,11 @@ def template_words(text: str) -> list[str]:
     return [w for w in re.split(NOT_WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text)) if w]
 
 
-def _template_table(spark: SparkSession, phrases: dict[str, str], templates: dict[str, str]) -> DataFrame:
+def _template_table(spark: SparkSession, phrases: dict[str, str], templates: dict[str, str | tuple[str, ...]]) -> DataFrame:
     """A row for each k-gram of each template: template, label, base, grams, length, tpos, g1..g3, gram. Its size is that of the templates given."""
     rows, number = [], 0
-    for base, texts in ((True, [(label, phrase) for phrase, label in phrases.items()]), (False, list(templates.items()))):
+    several = [(label, text) for label, texts in templates.items() for text in ([texts] if isinstance(texts, str) else texts)]
+    for base, texts in ((True, [(label, phrase) for phrase, label in phrases.items()]), (False, several)):
         for label, text in texts:
             words = template_words(text)
             if len(words) < K:
@@ -59,7 +88,7 @@ def license_spans(
     id_column: str = "doc_id",
     text_column: str = "text",
     phrases: dict[str, str] = PHRASES,
-    templates: dict[str, str] = TEMPLATES,
+    templates: dict[str, str | tuple[str, ...]] = TEMPLATES,
     least_cover: float = 0.6,
     gap: int = 3,
 ) -> DataFrame:
@@ -70,17 +99,23 @@ def license_spans(
     document position - template position. For phrases a diagonal with every vote is a place. For
     longer templates diagonals at most `gap` apart are merged, so that small insertions and losses do
     not part a span, and a span is kept when its distinct template positions cover `least_cover` of
-    the template within 1.5 times its length.
+    the template within 1.5 times its length. Related licences share most of their words: where spans
+    of several labels overlap, the one of most matched positions stays. A label may have several texts.
+
+    The work is linear in the words of a text, as a gram's row has its own words only. A null text has no
+    span; rows of one id are taken together; spans of rows without an id are not weighed against each other.
     """
-    table = F.broadcast(_template_table(documents.sparkSession, phrases, templates))
+    table = _template_table(documents.sparkSession, phrases, templates)
+    table = F.broadcast(table) if sum(len(t) for v in templates.values() for t in ([v] if isinstance(v, str) else v)) < BROADCAST_CHARS else table
     docs = documents.select(F.col(id_column).alias("_id"), F.split(F.col(text_column), NOT_WORD).alias("w")).where(F.col(text_column).isNotNull())
     docs = docs.withColumn("w", F.filter("w", lambda x: x != ""))
     docs = docs.where(F.size("w") >= K).withColumn("h", F.transform(F.col("w"), lambda x: F.xxhash64(F.lower(x))))
-    grams = docs.select("_id", "w", F.posexplode(F.transform("h", lambda x, i: gram_hash(x, *[F.get("h", i + j) for j in range(1, K)]))).alias("pos", "gram"))
+    gram = lambda x, i: F.struct(gram_hash(x, *[F.get("h", i + j) for j in range(1, K)]).alias("gram"), *[F.get("w", i + j).alias(f"w{j}") for j in range(K)])
+    grams = docs.select("_id", F.posexplode(F.transform("h", gram)).alias("pos", "at")).select("_id", "pos", "at.*")
     hits = grams.join(table, "gram")
     as_ascii = lambda x: F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     for i in range(K):
-        hits = hits.where(as_ascii(F.get("w", F.col("pos") + i)) == F.get("twords", F.lit(i)))
+        hits = hits.where(as_ascii(F.col(f"w{i}")) == F.get("twords", F.lit(i)))
     hits = hits.select("_id", "template", "label", "base", "grams", "pos", "tpos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
 
     votes = hits.groupBy("_id", "template", "label", "base", "grams", "diagonal").agg(
@@ -95,7 +130,23 @@ def license_spans(
         F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("covered"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     kept = merged.where((F.col("covered") >= F.col("grams") * least_cover) & (F.col("last") - F.col("first") + 1 <= (F.col("grams") + K - 1) * 1.5))
-    return places.unionByName(kept.select("_id", "label", "base", "first", "last", (F.col("covered") / F.col("grams")).alias("cover"))).withColumnRenamed("_id", id_column)
+    kept = kept.select("_id", "label", "template", "island", "first", "last", "covered", (F.col("covered") / F.col("grams")).alias("cover"))
+    kept = kept.join(_beaten(kept), ["_id", "template", "island"], "left_anti").select("_id", "label", F.lit(False).alias("base"), "first", "last", "cover")
+    return places.unionByName(kept).withColumnRenamed("_id", id_column)
+
+
+def _beaten(spans: DataFrame, cell: int = 64) -> DataFrame:
+    """The spans that overlap one of another label with more matched positions; of as many, with the better cover or the first label.
+
+    Spans meet in cells of neighbouring words, so only those near each other are compared.
+    """
+    cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("first") / cell), F.floor(F.col("last") / cell))))
+    own, other = cells.alias("a"), cells.alias("b")
+    overlap = (F.col("a.first") <= F.col("b.last")) & (F.col("b.first") <= F.col("a.last")) & (F.col("a.label") != F.col("b.label"))
+    rank = lambda t: F.struct(F.col(f"{t}.covered"), F.col(f"{t}.cover"))
+    better = (rank("b") > rank("a")) | ((rank("b") == rank("a")) & (F.col("b.label") < F.col("a.label")))
+    met = own.join(other, (F.col("a._id") == F.col("b._id")) & (F.col("a.cell") == F.col("b.cell")) & overlap & better)
+    return met.select("a._id", "a.template", "a.island").distinct()
 
 
 def scan_licenses(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
