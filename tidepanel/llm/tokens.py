@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -22,8 +23,8 @@ def _tokens(sp, text: str) -> list[tuple[int, int, int]]:
     return [(i, b, e) for i, (b, e) in zip(found["ids"], found["offsets"])]
 
 
-def encode_resynchronised(sp, text: str, chunk: int = 16384, overlap: int = 256) -> list[int]:
-    """The ids of the whole text, encoded chunk by chunk.
+def resynchronised(sp, text: str, chunk: int = 16384, overlap: int = 256) -> Iterator[list[int]]:
+    """The ids of the whole text in runs, encoded chunk by chunk; what is more than a chunk back is given out and let go.
 
     Each chunk begins `overlap` code points before the end of what is settled. The earlier and the
     later encoding are spliced at a boundary where both hold the same token before and the same
@@ -32,19 +33,22 @@ def encode_resynchronised(sp, text: str, chunk: int = 16384, overlap: int = 256)
     of such a boundary the pairs come from one true encoding each, and the pair across it from both,
     so the spliced sequence is the encoding of the whole. The first token of a later chunk carries
     the artificial leading mark and never takes part; nor do the tokens at a chunk's cut end. Where
-    no common boundary exists, the overlap doubles, in the end up to the whole text.
+    no common boundary exists, the overlap doubles, in the end over all that is held; should that fail
+    too, what was held is not enough, and the text is encoded anew with chunks of twice the size.
     """
     n = len(text)
-    done = _tokens(sp, text[:chunk])
+    done, given = _tokens(sp, text[:chunk]), 0
     end = min(chunk, n)
     while end < n:
         width = overlap
         while True:
             start = max(0, end - width)
             stop = min(n, end + chunk)
-            if start == 0:
+            if start == 0 and not given:
                 done = _tokens(sp, text[:stop])
                 break
+            if given and start < done[0][1]:
+                raise _NoBoundary
             later = [(i, b + start, e + start) for i, b, e in _tokens(sp, text[start:stop])]
             at = _common_boundary(done, later, start)
             if at is not None:
@@ -52,7 +56,34 @@ def encode_resynchronised(sp, text: str, chunk: int = 16384, overlap: int = 256)
                 break
             width *= 2
         end = stop
-    return [i for i, _, _ in done]
+        far = next((k for k, t in enumerate(done) if t[1] >= end - 2 * chunk), 0)
+        if far:
+            yield [i for i, _, _ in done[:far]]
+            given += far
+            del done[:far]
+    yield [i for i, _, _ in done]
+
+
+class _NoBoundary(Exception):
+    """No common boundary lies in what is held."""
+
+
+def encode_resynchronised(sp, text: str, chunk: int = 16384, overlap: int = 256) -> list[int]:
+    """The ids of the whole text."""
+    while True:
+        try:
+            return [i for run in resynchronised(sp, text, chunk, overlap) for i in run]
+        except _NoBoundary:
+            chunk *= 2
+
+
+def count_resynchronised(sp, text: str, chunk: int = 16384, overlap: int = 256) -> int:
+    """The number of the whole text's ids; holds about two chunks of them."""
+    while True:
+        try:
+            return sum(len(run) for run in resynchronised(sp, text, chunk, overlap))
+        except _NoBoundary:
+            chunk *= 2
 
 
 def _common_boundary(done: list, later: list, start: int) -> tuple[int, int] | None:
@@ -83,8 +114,8 @@ def token_counts(
 ) -> DataFrame:
     """One row per input row: id, n_bytes (UTF-8), n_tokens, over_limit.
 
-    Texts above two chunks are encoded by overlap resynchronisation, so memory is bounded by the chunk
-    beside the text itself. A null text counts as empty, with 0 tokens; repeated rows and null ids
+    Texts above two chunks are encoded by overlap resynchronisation, so memory is bounded by a few chunks'
+    tokens beside the text itself, unless no boundary can be found. A null text counts as empty, with 0 tokens; repeated rows and null ids
     each keep their row; other columns are ignored; an empty table gives no rows. One scan without
     a shuffle. The model file must be at model_path on every executor.
     """
@@ -99,7 +130,7 @@ def token_counts(
             group, held = [], 0
             for i, text in enumerate(texts):
                 if sizes[i] > 2 * chunk and len(text) > 2 * chunk:
-                    counts[i] = len(encode_resynchronised(sp, text, chunk, overlap))
+                    counts[i] = count_resynchronised(sp, text, chunk, overlap)
                 elif text:
                     group.append(i)
                     held += sizes[i]
