@@ -144,13 +144,14 @@ def mark_revisits(pages: DataFrame, id_column: str = "page_id", url_column: str
         F.col(id_column).cast("long").alias("page_id"), F.col(url_column).cast("string").alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest")
     )
     large = F.octet_length("html") >= least
-    repeated = rows.where(large).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    joined = rows.join(repeated, "digest", "left")
+    repeated = rows.where(large).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("key"), "first")
+    # small payloads match nothing: keys of their own spread them, however many are alike
+    joined = rows.withColumn("key", F.when(large, F.col("digest")).otherwise(F.col("page_id").cast("string"))).join(repeated, "key", "left")
     return joined.select("page_id", "url", "html", "digest", F.when(large & (F.col("first") != F.col("page_id")), F.col("first")).alias("refers_to"))
 
 
 def write_archives(marked: DataFrame, folder: str, roll_bytes: int = 1 << 28) -> DataFrame:
-    """Write each partition's records to ZIP archives of about roll_bytes in `folder`; returns (archive, records).
+    """Write each partition's records to ZIP archives of about roll_bytes in `folder`; returns (archive, records, bytes).
 
     A file's name holds the task's attempt, and only the rows of attempts that succeeded are kept, so a
     task that ran twice leaves no record twice.
@@ -171,7 +172,7 @@ def write_archives(marked: DataFrame, folder: str, roll_bytes: int = 1 << 28) ->
         if out is not None:
             yield out.close()
 
-    files, _ = written(marked.mapInArrow(write, "archive string, records long"), "archives")
+    files, _ = written(marked.mapInArrow(write, "archive string, records long, bytes long"), "archives")
     return files
 
 
@@ -195,14 +196,15 @@ class _ArchiveWriter:
         self.zip.writestr(INDEX, "\n".join(self.lines))
         self.zip.close()
         self.stream.close()
-        return pa.record_batch([pa.array([self.uri]), pa.array([len(self.lines)], pa.int64())], names=["archive", "records"])
+        return pa.record_batch([pa.array([self.uri]), pa.array([len(self.lines)], pa.int64()), pa.array([self.bytes], pa.int64())], names=["archive", "records", "bytes"])
 
 
-def read_archives(spark: SparkSession, files: DataFrame, span_bytes: int = 1 << 23, keep_payload: bool = True) -> DataFrame:
-    """Every record of the archives listed in files.archive: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
+def read_archives(spark: SparkSession, files: DataFrame, span_bytes: int = 1 << 22, keep_payload: bool = True) -> DataFrame:
+    """Every record of the archives listed in files (archive, bytes): page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
     Directories and indexes are read first, a small row per record; the records are then read by range
-    in tasks that each take neighbouring records of one archive, so a large archive is shared out.
+    in tasks that each take spans of about span_bytes of neighbouring records, so a large archive is
+    shared out. The number of tasks follows from the archives' bytes, not from the small rows of the index.
     """
 
     def index(batches):
@@ -238,7 +240,8 @@ def read_archives(spark: SparkSession, files: DataFrame, span_bytes: int = 1 <<
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
     schema = pa.schema(fields + ([("payload", pa.binary())] if keep_payload else []))
     entries = files.select("archive").mapInArrow(index, "archive string, offset long, length long")
-    spread = entries.repartition("archive", F.floor(F.col("offset") / span_bytes))
+    tasks = max(1, -(-(files.agg(F.sum("bytes")).first()[0] or 0) // span_bytes))
+    spread = entries.repartition(tasks, "archive", F.floor(F.col("offset") / span_bytes))
     out = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if keep_payload else "")
     return spread.mapInArrow(read, out)
 
