@@ -84,6 +84,8 @@ def _mix_plan(
 
     shards = placed.groupBy("ord", "shard", "quota").agg(F.sum("size").alias("words")).where("words > 0")
     shards = sainte_lague(shards, ["ord"], "words", "quota", "shard", "seats")
+    # few rows here become all blocks: a number of partitions of their own keeps them from being coalesced into one task
+    shards = shards.repartition(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ord", "shard")
     cut = shards.select("ord", "shard", "words", "seats", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("words") - 1) / block))).alias("b"))
     rank = F.row_number().over(Window.partitionBy("ord", "shard").orderBy(digest(F.col("ord"), F.col("shard"), F.col("b")), "b"))
     count = F.ceil(F.col("words") / block)
@@ -124,15 +126,21 @@ def mix_sources(
     return plan.select(F.col("_id").alias(id_column), "size", "source_size", "target", "taken")
 
 
-def mixed_documents(documents: DataFrame, id_column: str = "doc_id", seed: int = 17, **options) -> DataFrame:
+def mixed_documents(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", seed: int = 17, **options) -> DataFrame:
     """The documents of the mix as whole texts: floor(taken / size) copies each, and one more for some.
 
     The words that whole copies leave over are settled per source and shard: documents with a rest
     follow each other by a seeded number over their rest's share of their size, so that each comes in
     about as often as its share says, and those whose middle lies within the shard's sum of rests get
     another copy. A shard's words so differ from those taken by half of one document at most.
+
+    A row without an id is known by its text. Rows that repeat an id, or a text without one, come in
+    together, as often as the one document that mix_sources takes them for.
     """
-    plan = _mix_plan(documents, id_column, seed=seed, **options).where("taken > 0")
+    columns = documents.columns
+    key = F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("text:"), F.sha1(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))))
+    documents = documents.withColumn("_mix_key", key)
+    plan = _mix_plan(documents, "_mix_key", text_column, seed=seed, **options).where("taken > 0")
     rest = F.col("taken") % F.col("size")
     draw = (F.conv(F.substring(_digest(seed, F.lit("copy"), F.col("_id")), 1, 12), 16, 10).cast("double") + 1) / float(1 << 48)
     plan = plan.withColumn("_rest", rest).withColumn("_key", F.when(rest > 0, draw * F.col("size") / rest))
@@ -142,8 +150,8 @@ def mixed_documents(documents: DataFrame, id_column: str = "doc_id", seed: int =
     more = ((F.col("_rest") > 0) & (middle <= F.sum("_rest").over(shard))).cast("int")
     copies = F.floor(F.col("taken") / F.col("size")).cast("int") + more
     plan = plan.select(F.col("_id").alias("_mix_id"), copies.alias("_copies")).where("_copies > 0")
-    joined = documents.join(plan, documents[id_column] == plan["_mix_id"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[documents[c] for c in documents.columns])
+    joined = documents.join(plan, documents["_mix_key"] == plan["_mix_id"])
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[documents[c] for c in columns])
 
 
 ORACLE_SQL = r"""
