@@ -18,10 +18,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, a new one in local mode, else an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-shared-"))
     return sc.getCheckpointDir()
 
 

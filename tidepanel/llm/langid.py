@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .groups import byte_slices
+
 UNDETERMINED = "und"
 
 
@@ -90,24 +92,26 @@ def _space(dimensions: int, seed: int) -> TrigramSpace:
 
 
 def language_profiles(
-    labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", dimensions: int = 512, seed: int = 7, max_languages: int = 512
+    labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", dimensions: int = 512, seed: int = 7, max_languages: int = 8192
 ) -> tuple[list[str], np.ndarray]:
     """Prototype unit vectors by language, from every labelled row.
 
     Rows whose language or text is null, or whose text has no letter, teach nothing. Each task sends
     one partial sum per language, so a language that holds most rows gathers no rows anywhere. The
-    result is max_languages x dimensions numbers at most; more distinct labels than that are an error.
+    result is max_languages x dimensions numbers at most, 16 MiB by default, which is above the number of
+    languages that have a code of three letters; more distinct labels than that are an error.
     """
 
     def partial(batches):
         space, sums = _space(dimensions, seed), {}
-        for batch in batches:
+        for batch in byte_slices(batches, "text"):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 vector = space.bundle(text)
                 if vector is not None:
                     if lang not in sums:
                         sums[lang] = np.zeros(dimensions, np.float64)
                     sums[lang] += vector
+        space.clear()  # workers are used again
         if sums:
             yield pa.record_batch([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["lang", "total"])
 
@@ -136,7 +140,7 @@ def identify_languages(
 
     def predict(batches):
         space = _space(dimensions, seed)
-        for batch in batches:
+        for batch in byte_slices(batches, text_column):
             names, scores, letters = [], [], []
             for text in batch.column(batch.schema.get_field_index(text_column)).to_pylist():
                 vector = space.bundle(text) if text and (langs or letter_name) else None
@@ -151,6 +155,7 @@ def identify_languages(
                     scores.append(float(min(1.0, max(0.0, likeness[best]))))
             more = [pa.array(letters, pa.bool_())] if letter_name else []
             yield pa.record_batch([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), *more], names=[*batch.schema.names, *out])
+        space.clear()
 
     out = [lang_name, score_name, *([letter_name] if letter_name else [])]
     kept = documents.select(*[c for c in documents.columns if c not in out])

@@ -17,16 +17,23 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
+HELD = 1 << 20
 _powers = {"n": 0, "up": np.ones(0, np.uint64), "down": np.ones(0, np.uint64)}
 
 
+def _powers_of(base: np.uint64, size: int) -> np.ndarray:
+    table = np.full(size, base, dtype=np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)
+
+
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _powers["n"] < n:
         size = max(1 << (n - 1).bit_length(), 1 << 16)
+        if size > HELD:  # a very long text's tables go with it
+            return tuple(_powers_of(base, size) for base in (_BASE, _UNBASE))
         for name, base in (("up", _BASE), ("down", _UNBASE)):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
+            _powers[name] = _powers_of(base, size)
         _powers["n"] = size
     return _powers["up"], _powers["down"]
 
