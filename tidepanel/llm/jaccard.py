@@ -53,27 +53,40 @@ def point(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((mix(shingles) % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.uint16)
 
 
+def point_bytes(p: np.ndarray) -> bytes:
+    """A byte for each group behind a leading 1, or two behind a 2 where a count needs them."""
+    return b"\1" + p.astype(np.uint8).tobytes() if p.max(initial=0) < 256 else b"\2" + p.tobytes()
+
+
+def read_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if data[0] == 1 else np.uint16, offset=1)
+
+
 def fold(points: list[np.ndarray], groups: int) -> np.ndarray:
     return np.stack([p.reshape(-1, groups).sum(axis=0, dtype=np.uint16) for p in points])
 
 
 class CountTree:
-    """An R-tree over points of sets in order of size: leaves of neighbouring sizes with coordinate maxima."""
+    """An R-tree over points of sets in order of size: a node has the coordinate maxima of `fanout` nodes of the level below."""
 
-    def __init__(self, sizes: np.ndarray, points: np.ndarray, leaf: int = 32):
-        self.sizes, self.points, self.leaf = sizes, points, leaf
-        self.tops = np.maximum.reduceat(points, np.arange(0, len(points), leaf), axis=0) if len(points) else points
+    def __init__(self, sizes: np.ndarray, points: np.ndarray, fanout: int = 8):
+        self.sizes, self.fanout, self.levels = sizes, fanout, [points]
+        while len(self.levels[-1]) > fanout:
+            below = self.levels[-1]
+            self.levels.append(np.maximum.reduceat(below, np.arange(0, len(below), fanout), axis=0))
 
     def bounded(self, query: np.ndarray, size: int, start: int, stop: int, percent: int) -> np.ndarray:
-        """Positions in [start, stop) whose overlap bound with the query reaches what similarity needs."""
-        first, last = start // self.leaf, -(-stop // self.leaf)
-        lows = self.sizes[np.maximum(np.arange(first, last) * self.leaf, start)]
-        nodes = np.flatnonzero(np.minimum(self.tops[first:last], query).sum(axis=1, dtype=np.uint32) >= least_overlap(size, lows, percent)) + first
-        if len(nodes) == 0:
-            return nodes
-        at = (nodes[:, None] * self.leaf + np.arange(self.leaf)).ravel()
-        at = at[(at >= start) & (at < stop)]
-        return at[np.minimum(self.points[at], query).sum(axis=1, dtype=np.uint32) >= least_overlap(size, self.sizes[at], percent)]
+        """Positions in [start, stop) whose overlap bound with the query reaches what similarity needs, level by level."""
+        nodes = np.arange(len(self.levels[-1]))
+        for level in range(len(self.levels) - 1, -1, -1):
+            width = self.fanout**level
+            nodes = nodes[(nodes * width < stop) & ((nodes + 1) * width > start)]
+            lows = self.sizes[np.maximum(nodes * width, start)]  # sizes ascend: the least that a node has to offer
+            nodes = nodes[np.minimum(self.levels[level][nodes], query).sum(axis=1, dtype=np.uint32) >= least_overlap(size, lows, percent)]
+            if level:
+                nodes = (nodes[:, None] * self.fanout + np.arange(self.fanout)).ravel()
+                nodes = nodes[nodes < len(self.levels[level - 1])]
+        return nodes
 
 
 def join_group(sizes: np.ndarray, points: list, known: np.ndarray, percent: int, verify: Callable[[int, int], bool] | None) -> Union:
@@ -105,7 +118,7 @@ def join_group(sizes: np.ndarray, points: list, known: np.ndarray, percent: int,
             span = roots[at[q + 1 : stop]]
             if (span == roots[i]).all():
                 continue
-            near = at[tree.bounded(tree.points[q], int(sizes[i]), q + 1, stop, percent)]
+            near = at[tree.bounded(tree.levels[0][q], int(sizes[i]), q + 1, stop, percent)]
             for j in near[roots[near] != roots[i]].tolist():
                 if union.root(i) != union.root(j) and (verify is None or verify(i, j)):
                     union.join(i, j)
@@ -138,7 +151,7 @@ def _tree_task(batches, percent: int, exact: bool):
             points = [point(s) for s in sets]
             verify = lambda i, j: overlap_at_least(sets[i], sets[j], int(least_overlap(n[i], n[j], percent)))
         else:
-            points = [np.frombuffer(d, np.uint16) for d in data]
+            points = [read_point(d) for d in data]
         root = doc[join_group(n, points, label, percent, verify).roots()]
         linked = root != doc
         if linked.any():
@@ -157,6 +170,7 @@ def linked_in_groups(members: DataFrame, payload: DataFrame, percent: int, exact
     sizes = members.groupBy("group").agg(F.count("*").alias("size"), F.min("doc").alias("pivot")).where("size > 1")
     sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     placed = members.join(sizes, "group").select("group", "pivot", "blocks", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("part"))
+    placed, placed_path = written(placed, "placed")  # ends the join by group, so that the planner may split large groups
     pivots = sizes.where("blocks > 1").select("group", F.col("pivot").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
     first = placed.select("group", "part", "doc").union(pivots.select("group", "part", "doc"))
     task = partial(_tree_task, percent=percent, exact=exact)
@@ -174,11 +188,50 @@ def linked_in_groups(members: DataFrame, payload: DataFrame, percent: int, exact
     again = again.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> part")
     pair = F.least("part", "other") * F.col("blocks") + F.greatest("part", "other")
     again, again_path = written(again.select("group", pair.alias("part"), "doc", "label"), "again")
+    drop_written(spark, placed_path)
     if again.isEmpty():
         drop_written(spark, path, again_path)
         return parts
-    more, _ = written(run(again).union(edges), "links")
-    return connected_components(more)
+    more, more_path = written(run(again).union(edges), "links")
+    drop_written(spark, path, parts_path, again_path)
+    found = connected_components(more)
+    drop_written(spark, more_path)
+    return found
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    lengths = np.concatenate(([0], np.cumsum([len(x) for x in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(lengths, pa.array(np.concatenate(rows)))
+
+
+def _shared_keys(keyed: DataFrame) -> DataFrame:
+    """(group, doc) of the keys (key, doc) that several documents hold; keys of one and the same list of documents are one."""
+    mark = F.bit_xor(F.xxhash64("doc")).alias("mark")
+    lists = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("low"), F.max("doc").alias("high"), mark).where("size > 1")
+    lists = lists.groupBy("size", "low", "high", "mark").agg(F.min("key").alias("key")).select("key")
+    return keyed.join(lists.hint("merge"), "key").select(F.col("key").alias("group"), "doc")
+
+
+def _representatives(described: DataFrame, ids: DataFrame, classes: DataFrame) -> DataFrame:
+    """doc, keys, late_keys of the classes' representatives.
+
+    A bit map of fixed size has the documents that represent none; those without a bit are taken where
+    they are read, and only the others meet the classes in a join. With very many copies all bits are
+    set and all documents meet them: the rows are the same.
+    """
+    gone = ids.where("n > 0").join(classes.select(F.col("rep").alias("doc")), "doc", "left_anti")
+    bits = described.sparkSession.sparkContext.broadcast(membership_bits(gone, "doc"))
+
+    def split(batches, sure: bool):
+        for batch in batches:
+            place = batch.column(1).to_numpy()
+            hit = (bits.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            yield batch.filter(pa.array(hit != sure)).select(["doc", "keys", "late_keys"])
+
+    rows = described.where("n > 0").select("doc", membership_place("doc").alias("place"), "keys", "late_keys")
+    schema = "doc long, keys array<long>, late_keys array<long>"
+    open_ = rows.mapInArrow(partial(split, sure=False), schema).join(classes.select(F.col("rep").alias("doc")), "doc")
+    return rows.mapInArrow(partial(split, sure=True), schema).union(open_)
 
 
 def near_duplicate_groups(
@@ -237,36 +290,38 @@ def near_duplicate_groups(
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                n, one, two, points, keys = [], [], [], [], []
+                n, one, two, points, keys, late_keys = [], [], [], [], [], []
                 for s in shingle_sets(batch.column(1), k):
                     n.append(len(s))
                     for into, mark in zip((one, two), _marks(s)):
                         into.append(mark)
-                    points.append(point(s).tobytes())
+                    points.append(point_bytes(point(s)))
+                    is_late = np.zeros(len(s), bool)
                     if len(s) and len(late):
                         at = np.searchsorted(late, s)
                         at[at == len(late)] = 0
                         is_late = late[at] == s
-                        s = np.concatenate((s[~is_late], s[is_late]))
-                    keys.append(s[: prefix_length(len(s), percent)].view(np.int64) if len(s) else s.view(np.int64))
-                lengths = np.concatenate(([0], np.cumsum([len(x) for x in keys]))).astype(np.int32)
+                    wanted = prefix_length(len(s), percent) if len(s) else 0
+                    keys.append(s[~is_late][:wanted].view(np.int64))
+                    late_keys.append(s[is_late][: wanted - len(keys[-1])].view(np.int64))
                 yield pa.record_batch(
-                    [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(points, pa.binary()), pa.ListArray.from_arrays(lengths, pa.array(np.concatenate(keys)))],
-                    names=["doc", "n", "one", "two", "data", "keys"],
+                    [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, one, two)), pa.array(points, pa.binary()), _lists(keys), _lists(late_keys)],
+                    names=["doc", "n", "one", "two", "data", "keys", "late_keys"],
                 )
 
-    described, described_path = written(docs.mapInArrow(describe, "doc long, n long, one long, two long, data binary, keys array<long>"), "described")
+    described, described_path = written(docs.mapInArrow(describe, "doc long, n long, one long, two long, data binary, keys array<long>, late_keys array<long>"), "described")
     ids, _ = written(described.groupBy("doc").agg(F.count("*").alias("rows"), F.min(F.struct("n", "one", "two")).alias("of")).select("doc", "rows", "of.*"), "ids")
     repeated = not ids.where("rows > 1").isEmpty()
     if repeated:
         described = described.join(ids.drop("rows"), ["doc", "n", "one", "two"]).dropDuplicates(["doc"])
     classes, _ = written(ids.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc").alias("rep")), "classes")
-    keyed = described.select("doc", "keys").join(classes.select(F.col("rep").alias("doc")), "doc").select("doc", F.explode("keys").alias("key"))
-    mark = F.bit_xor(F.xxhash64("doc")).alias("mark")
-    lists = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("low"), F.max("doc").alias("high"), mark).where("size > 1")
-    lists = lists.groupBy("size", "low", "high", "mark").agg(F.min("key").alias("key")).select("key")  # keys of one and the same list are one
-    members, members_path = written(keyed.join(lists, "key").select(F.col("key").alias("group"), "doc"), "members")
-    clusters, _ = written(linked_in_groups(members, described.select("doc", "n", "data"), percent, False, block), "clusters")
+    reps = _representatives(described, ids, classes)
+    # most keys are one document's: they move once, and the count and the join read that exchange; the few that
+    # many documents hold are counted before they move, and their join is left to the planner's skew handling
+    keyed = reps.select("doc", F.explode("keys").alias("key")).repartition("key")
+    late = reps.select("doc", F.explode("late_keys").alias("key"))
+    members, members_path = written(_shared_keys(keyed).union(_shared_keys(late)), "members")
+    clusters, clusters_path = written(linked_in_groups(members, described.select("doc", "n", "data"), percent, False, block), "clusters")
     drop_written(spark, described_path, members_path)
 
     wanted = clusters.toDF("doc", "group")
@@ -289,8 +344,11 @@ def near_duplicate_groups(
     payload = docs.select("doc", membership_place("doc").alias("place"), "text").mapInArrow(sets, "doc long, n long, one long, two long, data binary")
     if repeated:
         payload = payload.join(ids.drop("rows"), ["doc", "n", "one", "two"]).dropDuplicates(["doc"])
-    payload, _ = written(payload.select("doc", "n", "data"), "sets")
+    payload, sets_path = written(payload.select("doc", "n", "data"), "sets")
     found = linked_in_groups(wanted.select("group", "doc"), payload, percent, True, block // 2).toDF("rep", "component")
+    drop_written(spark, sets_path, clusters_path)
+    chosen.unpersist()
+    shared.unpersist()
     labelled = classes.join(found, "rep", "left").select("n", "one", "two", F.coalesce("component", "rep").alias("component"))
     joined = ids.join(labelled, ["n", "one", "two"], "left")
     return joined.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
