@@ -522,3 +522,145 @@ def test_very_long_text_with_licenses(spark):
     text = "word " * 300000 + "under the mit license " + "word " * 100000
     row = licenses.scan_licenses(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).where("doc_id = 1").first()
     assert (row.n_words, row.n_base, row.first_word, row.labels) == (400004, 1, 300000, "mit")
+
+
+def brute_links(x, threshold=0.95):
+    """Number of links and smallest reachable position of every unit vector."""
+    linked = (x @ x.T >= threshold) & ~np.eye(len(x), dtype=bool)
+    top = list(range(len(x)))
+    for i, j in zip(*np.nonzero(np.triu(linked))):
+        a, b = top[i], top[j]
+        if a != b:
+            top = [min(a, b) if t in (a, b) else t for t in top]
+    return linked.sum(1), top
+
+
+def test_embedding_components_by_brute_force(spark):
+    """The registered parameters on chains, clusters and pairs just above the threshold."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 24))
+    for i in range(0, 600, 2):  # pairs of cosine 0.95 to 0.98
+        u = x[i] / np.linalg.norm(x[i])
+        v = rng.normal(size=24)
+        v -= (v @ u) * u
+        c = rng.uniform(0.95, 0.98)
+        x[i + 1] = c * u + np.sqrt(1 - c * c) * v / np.linalg.norm(v)
+    for i in range(601, 700):  # a chain: ends far apart
+        x[i] = x[i - 1] / np.linalg.norm(x[i - 1]) + rng.normal(size=24) * 0.04
+    x[700:760] = x[600] + rng.normal(size=(60, 24)) * 0.02
+    order = rng.permutation(len(x))
+    x = x[order]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = by_id(embeddings.near_duplicate_vectors(table), "vec_id")
+    links, top = brute_links(x / np.linalg.norm(x, axis=1, keepdims=True))
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= links).all() and found.sum() >= 0.995 * links.sum()
+    assert np.mean([got[i].component_id == top[i] for i in range(len(x))]) > 0.99
+    assert all(got[i].kept == (got[i].component_id == i) for i in range(len(x)))
+
+
+def test_embedding_query_finds_all_links(spark, sf_dir):
+    from tidepanel.llm import queries
+
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
+    sound = [r for r in rows if r.vec_id is not None and r.embedding and all(v is not None and math.isfinite(v) for v in r.embedding) and any(r.embedding)]
+    x = np.array([r.embedding for r in sound], np.float64)
+    links, top = brute_links(x / np.linalg.norm(x, axis=1, keepdims=True))
+    got = by_id(queries.op4_embedding_duplicates(spark, sf_dir), "vec_id")
+    assert [got[r.vec_id].n_links for r in sound] == links.tolist()
+    assert [got[r.vec_id].component_id for r in sound] == [sound[t].vec_id for t in top]
+
+
+def spark_hash(*parts):
+    """Spark's xxhash64 of longs, ints and strings."""
+    import xxhash
+
+    h = 42
+    for kind, v in parts:
+        h = xxhash.xxh64_intdigest(v.encode() if kind == "s" else (v & (2 ** (64 if kind == "l" else 32) - 1)).to_bytes(8 if kind == "l" else 4, "little"), h)
+    return h
+
+
+def test_fingerprints_by_brute_force(spark):
+    """The signature against the sampling rule written out: gamma variates per word and sample, the word of smallest rank."""
+    rng = random.Random(2)
+    made = [" ".join(rng.choice(["Ab", "c,", "d\té", "x1", "zz"]) for _ in range(n)) for n in (1, 2, 7, 60, 400)]
+    got = {r.i: r["print"] for r in fingerprints.signatures(spark.createDataFrame(list(enumerate([*made, "", " \n"])), "i int, t string"), ["i"], "t").collect()}
+    assert got[5] == got[6] == ""
+    uniform = lambda h, shift, bits: (((h >> shift) & ((1 << bits) - 1)) + 0.5) / (1 << bits)
+    for i, text in enumerate(made):
+        count, want = Counter(w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w), ""
+        for j in range(fingerprints.SAMPLES):
+            best = None
+            q = 2 * fingerprints.SAMPLES_A_ROW * (j // fingerprints.SAMPLES_A_ROW) + 2 * (j % fingerprints.SAMPLES_A_ROW)
+            for w, n in count.items():
+                x = spark_hash(("s", w))
+                h, g = spark_hash(("l", x), ("i", q)), spark_hash(("l", x), ("i", q + 1))
+                r, c, b = -math.log(uniform(h, 0, 21) * uniform(h, 21, 21)), -math.log(uniform(g, 0, 32) * uniform(g, 32, 32)), uniform(h, 42, 22)
+                t = math.floor(math.log(n) / r + b)
+                rank = int(min(c * math.exp(-r * (t - b + 1.0)) * (1 << 27), float((1 << 31) - 1)))
+                mark = (x ^ (t << 16)) & 0xFFFFFFFF
+                best = min(best or (rank, mark), (rank, mark))
+            want += f"{best[1] >> 16:04x}"
+        assert got[i] == want
+
+
+def test_language_by_brute_force(spark, sf_dir):
+    """Predictions against letter vectors bound, bundled and compared one by one."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    table = table.unionByName(table.limit(5)).unionByName(table.limit(1).withColumn("text", F.lit("É" * 3000 + " zß")))
+    rows, dimensions, letters = table.collect(), 512, {}
+
+    def letter(ch):
+        if ch not in letters:
+            letters[ch] = 2.0 * np.random.Generator(np.random.PCG64([7, ord(ch)])).integers(0, 2, dimensions, dtype=np.int8) - 1
+        return letters[ch]
+
+    def bundle(text):
+        if not any(ch.isalpha() for ch in (text or "").lower()):
+            return None
+        plain = " " + re.sub(r"\x00+", " ", "".join(ch if ch.isalpha() else "\0" for ch in text.lower())) + " "
+        plain = re.sub(" +", " ", plain)
+        total = np.zeros(dimensions)
+        for a, b, c in zip(plain, plain[1:], plain[2:]):
+            total += np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c)
+        return total / np.linalg.norm(total)
+
+    sums = {}
+    for r in rows:
+        if r.lang is not None and (v := bundle(r.text)) is not None:
+            sums[r.lang] = sums.get(r.lang, 0) + v
+    profiles = {lang: v / np.linalg.norm(v) for lang, v in sorted(sums.items())}
+    got = langid.identify_languages(table, langid.language_profiles(table)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        v = bundle(r.text)
+        likeness = {lang: float(v @ p) for lang, p in profiles.items()} if v is not None else {}
+        if not likeness:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert r.score == pytest.approx(max(0.0, *likeness.values()), abs=1e-4) and likeness[r.lang_pred] == pytest.approx(max(likeness.values()), abs=1e-4)
+
+
+def test_more_languages_than_the_bound_are_an_error(spark):
+    table = spark.createDataFrame([(i, "abc def", f"l{i}") for i in range(5)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        langid.language_profiles(table, max_languages=4)
+    assert langid.language_profiles(table)[0] == [f"l{i}" for i in range(5)]
+
+
+def test_packing_fills_windows_in_order_of_bm25():
+    """A seed's sequence against BM25 computed pair by pair."""
+    rng = random.Random(6)
+    shard = [np.array([rng.choice(range(t, t + 30)) for _ in range(rng.randint(5, 25))]) for t in [rng.randint(0, 60) for _ in range(40)]]
+    df, mean = Counter(t for d in shard for t in set(d.tolist())), np.mean([len(d) for d in shard])
+
+    def bm25(query, doc):
+        tf = Counter(doc.tolist())
+        idf = lambda t: math.log1p((len(shard) - df[t] + 0.5) / (df[t] + 0.5))
+        return sum(idf(t) * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(doc) / mean)) for t in set(query.tolist()) if df[t] > 1)
+
+    first = packing.pack_shard(shard, 120)[0]
+    order = sorted(range(1, 40), key=lambda d: (-bm25(shard[0], shard[d]), d))
+    assert first[0] == (0, 0, len(shard[0])) and [d for d, _, _ in first[1:]] == order[: len(first) - 1]
+    assert sum(n for _, _, n in first) == 120
