@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def ewm(x: np.ndarray, alpha: float, least: int = 1) -> np.ndarray:
@@ -40,16 +41,21 @@ def wilder(x: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def per_entity(df: DataFrame, columns: list[str], schema: str, compute, entity: str = "stock_id", time: str = "date") -> DataFrame:
-    """Rows (entity, time, computed columns): compute gets one entity's columns in time order as arrays and returns arrays.
+def per_entity(df: DataFrame, columns: list[str], schema: str, compute, entity: str = "stock_id", time: str = "date", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (entity, time, kept columns, computed columns): compute gets one entity's columns in time order as arrays and returns arrays.
 
-    A group is one entity's bars, whose number its history bounds.
+    A group is one entity's bars, whose number its history bounds. Kept columns pass through, so that nothing
+    has to be joined back. A computed NaN becomes null.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(time, ignore_index=True)
         found = compute({c: pdf[c].to_numpy(dtype=float, na_value=np.nan) for c in columns})
-        return pd.concat([pdf[[entity, time]], pd.DataFrame(found)], axis=1)
+        return pd.concat([pdf[[entity, time, *keep]], pd.DataFrame(found)], axis=1)
 
     kinds = dict(df.dtypes)
-    return df.select(entity, time, *columns).groupBy(entity).applyInPandas(run, f"{entity} {kinds[entity]}, {time} {kinds[time]}, {schema}")
+    passed = "".join(f"{c} {kinds[c]}, " for c in keep)
+    wanted = [entity, time, *columns, *[c for c in keep if c not in columns]]
+    rows = df.select(*wanted).groupBy(entity).applyInPandas(run, f"{entity} {kinds[entity]}, {time} {kinds[time]}, {passed}{schema}")
+    made = [part.split()[0] for part in schema.split(", ")]
+    return rows.withColumns({c: F.nanvl(c, F.lit(None)) for c, kind in rows.dtypes if c in made and kind in ("double", "float")})

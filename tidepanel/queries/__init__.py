@@ -16,4 +16,4 @@ def oracle_sql():
 
 
 def _load() -> None:
-    from . import charts, etl, features, joins, labels, quality, simulation, streams, windowed  # noqa: F401
+    from . import charts, etl, families, features, joins, labels, quality, simulation, streams, windowed  # noqa: F401
