@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, ratio
@@ -13,17 +13,24 @@ from ..operators.recursive import per_entity
 
 
 def swing_levels(df: DataFrame, span: int = 5, kept: int = 3) -> DataFrame:
-    """Distance and log age of the last `kept` confirmed highs and lows of the close within `span` bars to either side."""
-    around = w.ahead(-span, span)
+    """Distance and log age of the last `kept` confirmed highs and lows of the close within `span` bars to either side.
+
+    Each pivot carries those before it, so a row looks up the last confirmed one only and no frame gathers lists.
+    """
+    around, before = w.ahead(-span, span), w.line().rowsBetween(Window.unboundedPreceding, -1)
     whole = F.count("close").over(around) == 2 * span + 1
+    here = F.struct("at", "close")
     df = df.select("stock_id", "date", "close", F.row_number().over(w.line()).alias("at"), flag(whole & (F.col("close") == F.max("close").over(around)) & (F.col("close") > w.lag(F.col("close")))).alias("is_high"), flag(whole & (F.col("close") == F.min("close").over(around)) & (F.col("close") < w.lag(F.col("close")))).alias("is_low"))
-    confirmed = w.line().rowsBetween(-10**6, -span)
     columns = []
     for side in ("high", "low"):
-        seen = F.slice(F.reverse(F.collect_list(F.when(F.col(f"is_{side}") == 1, F.struct("at", "close"))).over(confirmed)), 1, kept)
-        df = df.withColumn(f"{side}s", seen)
+        turn = F.col(f"is_{side}") == 1
+        df = df.withColumn(f"{side}_0", F.when(turn, here))
+        for k in range(1, kept):
+            df = df.withColumn(f"{side}_{k}", F.last(F.when(turn, F.col(f"{side}_{k - 1}")), ignorenulls=True).over(before))
+        chain = F.when(turn, F.struct(*[F.col(f"{side}_{k}").alias(f"p{k}") for k in range(kept)]))
+        df = df.withColumn(side, F.last(chain, ignorenulls=True).over(w.line().rowsBetween(Window.unboundedPreceding, -span)))
         for k in range(kept):
-            pivot = F.get(f"{side}s", F.lit(k))
+            pivot = F.col(side)[f"p{k}"]
             columns += [(ratio(F.col("close"), pivot["close"]) - 1).cast("float").alias(f"{side}{k + 1}_dist"), F.log1p((F.col("at") - pivot["at"]).cast("double")).cast("float").alias(f"{side}{k + 1}_days")]
     return df.select("stock_id", "date", *columns)
 

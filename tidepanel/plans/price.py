@@ -45,7 +45,7 @@ def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> Data
         sig = ewm(dif, 2 / (signal + 1))
         return {"dif": dif, "sig": sig}
 
-    rows = per_entity(df, ["close"], "dif double, sig double", compute).join(df.select("stock_id", "date", "close"), ["stock_id", "date"])
+    rows = per_entity(df, ["close"], "dif double, sig double", compute, keep=("close",))
     dif, sig = F.col("dif"), F.col("sig")
     golden = flag((dif > sig) & (w.lag(dif) <= w.lag(sig)))
     return rows.select(
@@ -63,7 +63,7 @@ def stochastic(df: DataFrame) -> DataFrame:
         k = ewm(a["rsv"], 1 / 3)
         return {"k": k, "d": ewm(k, 1 / 3)}
 
-    rows = per_entity(df, ["rsv"], "k double, d double", compute).select("stock_id", "date", F.nanvl("k", F.lit(None)).alias("k"), F.nanvl("d", F.lit(None)).alias("d"))
+    rows = per_entity(df, ["rsv"], "k double, d double", compute)
     k, d = F.col("k"), F.col("d")
     return rows.select(
         "stock_id", "date", k.cast("float").alias("k_value"), d.cast("float").alias("d_value"), (k - d).cast("float").alias("kd_diff"),
@@ -109,8 +109,7 @@ def true_range(df: DataFrame) -> DataFrame:
 
 def average_true_range(df: DataFrame, n: int = 14) -> DataFrame:
     rows = true_range(df).select("stock_id", "date", "close", "tr")
-    smooth = per_entity(rows, ["tr"], "atr double", lambda a: {"atr": ewm(a["tr"], 1 / n, n)})
-    rows = rows.join(smooth, ["stock_id", "date"]).withColumn("atr", F.when(~F.isnan("atr"), F.col("atr")))
+    rows = per_entity(rows, ["tr"], "atr double", lambda a: {"atr": ewm(a["tr"], 1 / n, n)}, keep=("close",))
     return rows.select("stock_id", "date", gate(ratio(F.col("atr"), F.col("close")), -1e9, 1).cast("float").alias("atr_ratio"))
 
 
@@ -144,9 +143,10 @@ def oscillators(df: DataFrame) -> DataFrame:
         "stock_id", "date",
         F.when(whole, 100 * (14 - since(F.struct("high", "at"))) / 14.0).cast("float").alias("aroon_up_14"),
         F.when(whole, 100 * (14 - since(F.struct(-F.col("low"), F.col("at")))) / 14.0).cast("float").alias("aroon_dn_14"),
+        F.when(whole, 100 * (since(F.struct(-F.col("low"), F.col("at"))) - since(F.struct("high", "at"))) / 14.0).cast("float").alias("aroonosc_14"),
         F.when(F.size(seen) == 14, ratio(F.col("tp") - middle, 0.015 * spread)).cast("float").alias("cci_14"),
         F.when(F.count("tp_before").over(w.trailing(14)) == 14, 100 * ratio(up, up + down)).cast("float").alias("mfi_14"),
-        (100 * (F.col("close") - w.lag(F.col("close"), 10)) / F.col("close")).cast("float").alias("mom_10"), (100 * w.change(F.col("close"), 10)).cast("float").alias("roc_10"),
+        F.when(F.col("close") >= 1, gate(100 * (F.col("close") - w.lag(F.col("close"), 10)) / F.col("close"), -500, 500)).cast("float").alias("mom_10"), (100 * w.change(F.col("close"), 10)).cast("float").alias("roc_10"), w.change(F.col("close"), 10).cast("float").alias("rocp_10"),
         (-100 * ratio(high - F.col("close"), high - low)).cast("float").alias("willr_14"),
     )
 
@@ -174,33 +174,31 @@ def candles(df: DataFrame) -> DataFrame:
 
 
 def trend_strength(df: DataFrame, n: int = 14) -> DataFrame:
-    """ADX with its directional lines (Wilder), TRIX (three exponential means of 15) and the Ultimate Oscillator."""
+    """Directional index with its lines, its mean (ADX) and that mean's mean with the one n - 1 bars before, and the Ultimate Oscillator."""
+    high, low, close, before = F.col("high"), F.col("low"), F.col("close"), w.lag(F.col("close"))
+    up, down, floor_ = high - w.lag(high), w.lag(low) - low, F.least(low, before)
+    known = before.isNotNull()
+    df = df.select(
+        "stock_id", "date", F.when(known, F.when((up > down) & (up > 0), up).otherwise(0.0)).alias("plus"), F.when(known, F.when((down > up) & (down > 0), down).otherwise(0.0)).alias("minus"),
+        F.when(known, F.greatest(high - low, F.abs(high - before), F.abs(low - before))).alias("tr"), F.when(known, close - floor_).alias("bp"), F.when(known, F.greatest(high, before) - floor_).alias("span"),
+    )
+    part = lambda k: ratio(w.roll(F.sum, F.col("bp"), k), w.roll(F.sum, F.col("span"), k))
+    df = df.withColumn("ultosc", 100 * (4 * part(7) + 2 * part(14) + part(28)) / 7)
 
     def compute(a):
-        high, low, close = a["high"], a["low"], a["close"]
-        up, down = np.diff(high), -np.diff(low)
-        plus, minus = np.where((up > down) & (up > 0), up, 0.0), np.where((down > up) & (down > 0), down, 0.0)
-        tr = np.maximum(high[1:] - low[1:], np.maximum(np.abs(high[1:] - close[:-1]), np.abs(low[1:] - close[:-1])))
-        atr = wilder(tr, n)
+        pad = lambda x: np.concatenate(([np.nan], x))[: len(a["tr"])]
+        tr = wilder(a["tr"][1:], n)
         with np.errstate(invalid="ignore", divide="ignore"):
-            plus_di, minus_di = 100 * wilder(plus, n) / atr, 100 * wilder(minus, n) / atr
+            plus_di, minus_di = 100 * wilder(a["plus"][1:], n) / tr, 100 * wilder(a["minus"][1:], n) / tr
             dx = 100 * np.abs(plus_di - minus_di) / (plus_di + minus_di)
+        dx[n - 1 :] = np.nan_to_num(dx[n - 1 :])
         adx = np.full(len(dx), np.nan)
         if len(dx) >= 2 * n - 1:
-            adx[n - 1 :] = wilder(np.nan_to_num(dx[n - 1 :]), n)
-        three = close
-        for _ in range(3):
-            three = ewm(three, 2 / 16)
-        trix = np.concatenate(([np.nan], 100 * (three[1:] / three[:-1] - 1)))[: len(close)]
-        pad = lambda x: np.concatenate(([np.nan], x))[: len(close)]
-        return {"adx": pad(adx), "plus_di": pad(plus_di), "minus_di": pad(minus_di), "trix": trix}
-
-    names = ["adx", "plus_di", "minus_di", "trix"]
-    found = per_entity(df, ["high", "low", "close"], ", ".join(f"{c} double" for c in names), compute)
-    found = found.select("stock_id", "date", *[F.when(~F.isnan(c), F.col(c)).cast("float").alias(c) for c in names])
-    close, before = F.col("close"), w.lag(F.col("close"))
-    floor_ = F.least(F.col("low"), before)
-    steps = df.select("stock_id", "date", F.when(before.isNotNull(), close - floor_).alias("bp"), F.when(before.isNotNull(), F.greatest(F.col("high"), before) - floor_).alias("tr"))
-    part = lambda k: ratio(w.roll(F.sum, F.col("bp"), k), w.roll(F.sum, F.col("tr"), k))
-    ultimate = steps.select("stock_id", "date", (100 * (4 * part(7) + 2 * part(14) + part(28)) / 7).cast("float").alias("ultosc"))
-    return found.join(ultimate, ["stock_id", "date"])
+            adx[n - 1 :] = wilder(dx[n - 1 :], n)
+        adxr = np.full(len(dx), np.nan)
+        adxr[n - 1 :] = (adx[n - 1 :] + adx[: len(adx) - n + 1]) / 2
+        return {"adx_14": pad(adx), "adxr_14": pad(adxr), "dx_14": pad(dx), "plus_di": pad(plus_di), "minus_di": pad(minus_di)}
+
+    names = ["adx_14", "adxr_14", "dx_14", "plus_di", "minus_di"]
+    found = per_entity(df, ["plus", "minus", "tr"], ", ".join(f"{c} double" for c in names), compute, keep=("ultosc",))
+    return found.select("stock_id", "date", *[gate(F.col(c), 0, 100).cast("float").alias(c) for c in [*names, "ultosc"]])

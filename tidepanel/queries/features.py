@@ -10,6 +10,9 @@ from ..operators.joins import asof_backward
 from ..plans import pivots, price
 from ..sources.panel import BARS, FLOWS, INDEX, REVENUE, bars, flows, index_bars, revenue
 from . import registry as q
+from .families import NUMBERED, _HIGH9, _LOW9, _TR, between, floats
+from .families import ewm as smoothed
+from .families import wilder as smoothed_by_wilder
 from .registry import query
 
 SPANS = (5, 10, 20, 60, 120, 240)
@@ -60,7 +63,9 @@ def ewm_macd(spark, sf_dir):
     return price.macd(bars(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH RECURSIVE {BARS}, a AS (SELECT *, (close - {_LOW9}) / nullif({_HIGH9} - {_LOW9}, 0) * 100 AS rsv FROM bars), {NUMBERED.format("a")}, {smoothed("e1", "n", "rsv", "(1.0::DOUBLE/3)")},
+kk AS (SELECT stock_id, i, e AS k FROM e1), {smoothed("e2", "kk", "k", "(1.0::DOUBLE/3)")}, z AS (SELECT n.stock_id, n.date, kk.k, e2.e AS d FROM n JOIN kk USING (stock_id, i) JOIN e2 USING (stock_id, i))
+SELECT stock_id, date, {floats({"k_value": "k", "d_value": "d", "kd_diff": "k - d"})}, {q.flag(f"k > d AND {q.lag('k')} <= {q.lag('d')}")} AS kd_golden, {q.flag("k > 80")} AS k_overbought, {q.flag("k < 20")} AS k_oversold FROM z""")
 def kd(spark, sf_dir):
     return price.stochastic(bars(spark, sf_dir))
 
@@ -71,7 +76,8 @@ def rsi_sma(spark, sf_dir):
     return price.simple_rsi(bars(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH RECURSIVE {BARS}, a AS (SELECT *, close - {q.lag("close")} AS step FROM bars), g AS (SELECT *, greatest(step, 0) AS gain, greatest(-step, 0) AS loss FROM a), {NUMBERED.format("g")}, {smoothed_by_wilder("e", "n", ["gain", "loss"], 14, 2)}
+SELECT n.stock_id, n.date, (CASE WHEN e.gain + e.loss = 0 THEN 0 ELSE 100 * (e.gain / (e.gain + e.loss)) END)::FLOAT AS rsi_w14 FROM n LEFT JOIN e USING (stock_id, i)""")
 def rsi_wilder(spark, sf_dir):
     return price.wilder_rsi(bars(spark, sf_dir))
 
@@ -84,7 +90,8 @@ def momentum(spark, sf_dir):
     return price.momentum(bars(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH RECURSIVE {BARS}, a AS (SELECT *, {_TR} AS tr FROM bars), {NUMBERED.format("a")}, {smoothed("e", "n", "tr", "(1.0::DOUBLE/14)")}
+SELECT n.stock_id, n.date, (CASE WHEN i >= 14 AND e.e / n.close <= 1 THEN e.e / n.close END)::FLOAT AS atr_ratio FROM n JOIN e USING (stock_id, i)""")
 def atr_volatility(spark, sf_dir):
     return price.average_true_range(bars(spark, sf_dir))
 
@@ -96,7 +103,20 @@ def obv_cmf_volume(spark, sf_dir):
     return price.volume_flow(bars(spark, sf_dir))
 
 
-@query()
+_W15 = f"OVER ({q.PART} ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)"
+_UP15, _DN15 = f"(at_ - arg_max(at_, {{'x': high, 'at': at_}}) {_W15})", f"(at_ - arg_max(at_, {{'x': -low, 'at': at_}}) {_W15})"
+_R14 = {x: q.roll(agg, x, 14) for x, agg in (("low", "min"), ("high", "max"))}
+
+
+@query(f"""WITH {BARS}, a AS (SELECT *, (high + low + close) / 3 AS tp, row_number() OVER ({q.PART}) AS at_ FROM bars), b AS (SELECT *, {q.lag("tp")} AS tp0, {q.roll("avg", "tp", 14)} AS m, list(tp) {q.over(14)} AS seen FROM a),
+c AS (SELECT *, CASE WHEN tp > tp0 THEN tp * volume ELSE 0 END AS up, CASE WHEN tp < tp0 THEN tp * volume ELSE 0 END AS dn, list_sum(list_transform(seen, lambda x: abs(x - m))) / 14 AS spread FROM b)
+SELECT stock_id, date, {floats({
+    "aroon_up_14": f"CASE WHEN count(close) {_W15} = 15 THEN 100 * (14 - {_UP15}) / 14.0::DOUBLE END", "aroon_dn_14": f"CASE WHEN count(close) {_W15} = 15 THEN 100 * (14 - {_DN15}) / 14.0::DOUBLE END",
+    "aroonosc_14": f"CASE WHEN count(close) {_W15} = 15 THEN 100 * ({_DN15} - {_UP15}) / 14.0::DOUBLE END", "cci_14": "CASE WHEN len(seen) = 14 THEN (tp - m) / nullif(0.015::DOUBLE * spread, 0) END",
+    "mfi_14": f"CASE WHEN count(tp0) {q.over(14)} = 14 THEN 100 * (sum(up) {q.over(14)} / nullif(sum(up) {q.over(14)} + sum(dn) {q.over(14)}, 0)) END",
+    "mom_10": f"CASE WHEN close >= 1 THEN {between(f'(100 * (close - {q.lag('close', 10)}) / close)', -500, 500)} END", "roc_10": f"100 * (close / nullif({q.lag('close', 10)}, 0) - 1)", "rocp_10": f"close / nullif({q.lag('close', 10)}, 0) - 1",
+    "willr_14": f"-100 * (({_R14['high']} - close) / nullif({_R14['high']} - {_R14['low']}, 0))",
+})} FROM c""")
 def talib_momentum(spark, sf_dir):
     return price.oscillators(bars(spark, sf_dir))
 
@@ -196,7 +216,19 @@ def feature_merge(spark, sf_dir):
     return asof_backward(joined.select("stock_id", "date", "close_ma20_ratio", "foreign_net", "margin_balance", "mkt_return_5d"), revenue(spark, sf_dir), "announce_date", ["revenue"])
 
 
-@query()
+_WHOLE = f"count(close) OVER ({q.PART} ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) = 11"
+_TURN = {side: f"CASE WHEN {_WHOLE} AND close = {agg}(close) OVER ({q.PART} ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AND close {sign} {q.lag('close')} THEN {{'at': at_, 'c': close}} END AS {side}_0" for side, agg, sign in (("high", "max", ">"), ("low", "min", "<"))}
+_BEFORE = f"OVER ({q.PART} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+def _pivot_out(side: str, k: int) -> str:
+    p = f"(last_value(CASE WHEN {side}_0 IS NOT NULL THEN {{'p': {side}_0, 'q': {side}_1, 'r': {side}_2}} END IGNORE NULLS) OVER ({q.PART} ROWS BETWEEN UNBOUNDED PRECEDING AND 5 PRECEDING)).{'pqr'[k - 1]}"
+    return f"(close / ({p}).c - 1)::FLOAT AS {side}{k}_dist, ln(1 + (at_ - ({p}).at)::DOUBLE)::FLOAT AS {side}{k}_days"
+
+
+@query(f"""WITH {BARS}, n AS (SELECT stock_id, date, close, row_number() OVER ({q.PART}) AS at_ FROM bars), a AS (SELECT *, {_TURN["high"]}, {_TURN["low"]} FROM n),
+b AS (SELECT *, {", ".join(f"last_value({x}_0 IGNORE NULLS) {_BEFORE} AS {x}_1" for x in ("high", "low"))} FROM a), c AS (SELECT *, {", ".join(f"last_value(CASE WHEN {x}_0 IS NOT NULL THEN {x}_1 END IGNORE NULLS) {_BEFORE} AS {x}_2" for x in ("high", "low"))} FROM b)
+SELECT stock_id, date, {", ".join(_pivot_out(side, k) for side in ("high", "low") for k in (1, 2, 3))} FROM c""")
 def swing_pivots(spark, sf_dir):
     return pivots.swing_levels(bars(spark, sf_dir))
 
@@ -206,6 +238,14 @@ def trendline_envelope(spark, sf_dir):
     return pivots.trend_lines(bars(spark, sf_dir))
 
 
-@query()
+_U = {k: f"{q.roll('sum', 'bp', k)} / nullif({q.roll('sum', 'span', k)}, 0)" for k in (7, 14, 28)}
+
+
+@query(f"""WITH RECURSIVE {BARS}, b AS (SELECT *, {q.lag("close")} AS c0, high - {q.lag("high")} AS up, {q.lag("low")} - low AS dn FROM bars),
+a AS (SELECT *, CASE WHEN up > dn AND up > 0 THEN up ELSE 0 END AS plus, CASE WHEN dn > up AND dn > 0 THEN dn ELSE 0 END AS minus, CASE WHEN c0 IS NOT NULL THEN greatest(high - low, abs(high - c0), abs(low - c0)) END AS tr,
+ CASE WHEN c0 IS NOT NULL THEN close - least(low, c0) END AS bp, CASE WHEN c0 IS NOT NULL THEN greatest(high, c0) - least(low, c0) END AS span FROM b), {NUMBERED.format("a")}, {smoothed_by_wilder("e", "n", ["plus", "minus", "tr"], 14, 2)},
+x AS (SELECT stock_id, i, 100 * plus / nullif(tr, 0) AS pdi, 100 * minus / nullif(tr, 0) AS mdi, coalesce(100 * abs(100 * plus / nullif(tr, 0) - 100 * minus / nullif(tr, 0)) / nullif(100 * plus / nullif(tr, 0) + 100 * minus / nullif(tr, 0), 0), 0) AS dx FROM e), {smoothed_by_wilder("d", "x", ["dx"], 14, 15)},
+z AS (SELECT n.*, x.pdi, x.mdi, x.dx, d.dx AS adx FROM n LEFT JOIN x USING (stock_id, i) LEFT JOIN d USING (stock_id, i)), y AS (SELECT *, (adx + {q.lag("adx", 13)}) / 2 AS adxr, 100 * (4 * ({_U[7]}) + 2 * ({_U[14]}) + ({_U[28]})) / 7 AS ult FROM z)
+SELECT stock_id, date, {floats({"adx_14": between("adx", 0, 100), "adxr_14": between("adxr", 0, 100), "dx_14": between("dx", 0, 100), "plus_di": between("pdi", 0, 100), "minus_di": between("mdi", 0, 100), "ultosc": between("ult", 0, 100)})} FROM y""")
 def talib_trend(spark, sf_dir):
     return price.trend_strength(bars(spark, sf_dir))
