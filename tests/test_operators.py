@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidepanel.functions.columns import clip, flag, parse_number
 from tidepanel.operators import joins, labels, quality, simulation, windows
 from tidepanel.operators.recursive import ewm, wilder
-from tidepanel.plans.pivots import envelope
+from tidepanel.plans import lines
 from tidepanel.sources.tables import keep_last, promote, read_or_empty
 
 
@@ -175,3 +175,66 @@ def test_stale_tables():
     now = {"price": "a", "features": "f"}
     assert stale(graph, {}, now) == ["features", "labels", "scores"]
     assert stale(graph, {"features": {"price": "old"}, "labels": {"price": "a"}, "scores": {"features": "f"}}, now) == ["features", "scores"]
+
+
+def test_trend_lines_by_brute_force():
+    """Lines fitted anew at every bar against those fitted once for their stretch."""
+    rng = np.random.default_rng(5)
+    for n in (0, 3, 12, 330):
+        close = np.round(30 + np.cumsum(rng.normal(size=n)) * 0.4, 1)
+        high, low, volume = close + rng.integers(0, 4, n) / 10, close - rng.integers(0, 4, n) / 10, rng.integers(1, 90, n).astype(float)
+        usual = np.array([volume[max(0, i - 19) : i + 1].mean() if i >= 4 else np.nan for i in range(n)])
+        got = lines.boundaries({"close": close, "high": high, "low": low, "volume": volume, "usual": usual})
+        above, broken = None, []
+        for t in range(30, n):
+            ends = {}
+            for side, x, sign in (("resist", high, 1), ("support", low, -1)):
+                held = [i for i in range(5, n - 5) if sign * x[i] == max(sign * x[i - 5 : i + 6]) and t - 120 <= i <= t - 5]
+                if len(held) < 3:
+                    assert np.isnan(got[f"{side}_slope"][t])
+                    continue
+                slope, intercept = np.polyfit(held, x[held], 1)
+                intercept += sign * max(sign * (x[i] - slope * i - intercept) for i in held)
+                ends[side] = (slope, intercept, slope * t + intercept)
+                touches = sum(abs(close[j] - slope * j - intercept) / abs(slope * j + intercept) < 0.01 for j in range(max(0, t - 120), t + 1) if j not in held)
+                assert got[f"{side}_slope"][t] == pytest.approx(slope / close[t], abs=1e-9) and got[f"{side}_pivots"][t] == len(held) and abs(got[f"{side}_touches"][t] - touches) <= 1
+                assert got[f"{side}_r2"][t] == pytest.approx(np.corrcoef(held, x[held])[0, 1] ** 2 if np.ptp(x[held]) else 0.0, abs=1e-6)
+                assert got[f"{side}_dist"][t] == pytest.approx(close[t] / ends[side][2] - 1, abs=1e-9)
+            if len(ends) == 2:
+                width = ends["resist"][2] - ends["support"][2]
+                assert got["channel_width"][t] == pytest.approx(width / close[t], abs=1e-9) if width > 0.001 * close[t] else np.isnan(got["channel_width"][t])
+                turn = ends["support"][0] - ends["resist"][0]
+                apex = (ends["resist"][1] - ends["support"][1]) / turn - t
+                assert np.isnan(got["apex_bars"][t]) if abs(apex) > 500 else got["apex_bars"][t] == pytest.approx(apex, rel=1e-5)
+                assert got["is_triangle"][t] == (ends["support"][0] > 0 > ends["resist"][0] and 5 <= apex <= 60)
+            if "resist" in ends:
+                now = close[t] > ends["resist"][2]
+                assert got["resist_break"][t] == (above is False and now)
+                if above is False and now:
+                    broken.append((t, ends["resist"][2]))
+                above = bool(now)
+            assert got["days_since_break"][t] == pytest.approx(np.log1p(t - broken[-1][0])) if broken else np.isnan(got["days_since_break"][t])
+            assert got["false_breaks_20d"][t] == sum(t - b <= 20 and b < t and close[t] < x for b, x in broken)
+
+
+def test_swing_lines_by_brute_force():
+    rng = np.random.default_rng(6)
+    n = 420
+    close, volume = np.round(40 + np.cumsum(rng.normal(size=n)) * 0.5, 1), rng.integers(1, 90, n).astype(float)
+    high, low, usual = close + 0.2, close - 0.3, np.full(n, 30.0)
+    got = lines.swing_lines({"close": close, "high": high, "low": low, "volume": volume, "usual": usual})
+    peak = lambda i, s, sign: s <= i < n - s and sign * close[i] == max(sign * close[i - s : i + s + 1]) and sign * close[i] > sign * close[i - 1]
+    assert np.isnan(got["support_touches"][:260]).all()
+    for t in range(260, n):
+        held = [i for i in range(t - 120, t - 4) if peak(i, 5, -1)]
+        if len(held) >= 2:
+            slope, intercept = np.polyfit(held, close[held], 1)
+            line = slope * t + intercept
+            assert got["support_dist"][t] == pytest.approx(close[t] / line - 1) and got["support_slope"][t] == pytest.approx(slope / line, abs=1e-9)
+            assert got["support_touches"][t] == sum(abs(close[i] - slope * i - intercept) / close[i] < 0.01 for i in held) and got["support_days"][t] == pytest.approx(np.log1p(t - held[0]))
+        else:
+            assert got["support_touches"][t] == got["support_days"][t] == 0 and np.isnan(got["support_dist"][t])
+        big = [i for i in range(t - 1) if peak(i, 2, 1) and volume[i] / 30 >= 2]
+        for k in (1, 2, 3):
+            assert got[f"vh{k}_dist"][t] == pytest.approx(close[t] / high[big[-k]] - 1) if len(big) >= k else np.isnan(got[f"vh{k}_dist"][t])
+        assert got["is_above_vh1"][t] == (len(big) > 0 and close[t] > close[big[-1]])

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, ratio
 from ..operators import windows as w
-from ..operators.recursive import per_entity
-
+from .lines import trend_line_family
 
 
 def swing_levels(df: DataFrame, span: int = 5, kept: int = 3) -> DataFrame:
@@ -35,56 +33,7 @@ def swing_levels(df: DataFrame, span: int = 5, kept: int = 3) -> DataFrame:
     return df.select("stock_id", "date", *columns)
 
 
-def _pivots(x: np.ndarray, span: int, sign: int) -> np.ndarray:
-    y = sign * x
-    found = [i for i in range(span, len(y) - span) if y[i] == y[i - span : i + span + 1].max() and y[i] > y[i - 1]]
-    return np.array(found, int)
-
-
-def _line(at: np.ndarray, y: np.ndarray, sign: int) -> tuple[float, float, float]:
-    """Slope, intercept and r2 of the least-squares line, lifted to the outermost residual."""
-    x = at - at.mean()
-    slope = float((x * (y - y.mean())).sum() / (x * x).sum())
-    intercept = float(y.mean() - slope * at.mean())
-    rest = y - (slope * at + intercept)
-    spread = float(((y - y.mean()) ** 2).sum())
-    return slope, intercept + sign * float((sign * rest).max()), 1 - float((rest * rest).sum()) / spread if spread else 0.0
-
-
-def envelope(close: np.ndarray, high: np.ndarray, low: np.ndarray, lookback: int = 120, least: int = 3, span: int = 5, first: int = 30) -> dict[str, np.ndarray]:
-    """Per bar the resistance and support lines over confirmed pivots of the lookback, their channel, and breaks.
-
-    The side of the resistance on which a close was last seen survives bars without a line.
-    """
-    n = len(close)
-    out = {k: np.full(n, np.nan) for k in ("resist_dist", "resist_slope", "resist_r2", "support_dist", "support_slope", "support_r2", "channel_width", "days_since_break")}
-    out["resist_break"] = np.zeros(n, np.int64)
-    sides = {"resist": (high, _pivots(high, span, 1), 1), "support": (low, _pivots(low, span, -1), -1)}
-    above, since = None, None
-    for t in range(first, n):
-        ends = {}
-        for side, (series, found, sign) in sides.items():
-            at = found[(found <= t - span) & (found >= t - lookback)]
-            if len(at) >= least:
-                slope, intercept, r2 = _line(at.astype(float), series[at], sign)
-                ends[side] = slope * t + intercept
-                out[f"{side}_slope"][t], out[f"{side}_r2"][t] = slope / close[t], r2
-                out[f"{side}_dist"][t] = close[t] / ends[side] - 1 if ends[side] > 0 else np.nan
-        if len(ends) == 2 and ends["resist"] - ends["support"] > max(0.001 * close[t], 1e-8):
-            out["channel_width"][t] = (ends["resist"] - ends["support"]) / close[t]
-        since = None if since is None else since + 1
-        if "resist" in ends:
-            now = close[t] > ends["resist"]
-            if above is False and now:
-                out["resist_break"][t], since = 1, 0
-            above = now
-        if since is not None:
-            out["days_since_break"][t] = np.log1p(since)
-    return out
-
-
 def trend_lines(df: DataFrame) -> DataFrame:
-    names = ["resist_dist", "resist_slope", "resist_r2", "support_dist", "support_slope", "support_r2", "channel_width", "days_since_break"]
-    schema = ", ".join(f"{c} double" for c in names) + ", resist_break long"
-    found = per_entity(df, ["close", "high", "low"], schema, lambda a: envelope(a["close"], a["high"], a["low"]))
-    return found.select("stock_id", "date", *[F.when(~F.isnan(c), F.col(c)).cast("float").alias(f"tl_{c}") for c in names], F.col("resist_break").cast("int").alias("tl_resist_break"))
+    """The envelope's part of trend_line_family."""
+    names = [f"{side}_{k}" for side in ("resist", "support") for k in ("dist", "slope", "r2")] + ["channel_width", "days_since_break", "resist_break"]
+    return trend_line_family(df).select("stock_id", "date", *[f"tl_{c}" for c in names])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import clip, flag, gate, ratio
 from ..operators import windows as w
 from ..operators.joins import asof_backward
-from ..plans import pivots, price
+from ..plans import lines, pivots, price
 from ..sources.panel import BARS, FLOWS, INDEX, REVENUE, bars, flows, index_bars, revenue
 from . import registry as q
 from .families import NUMBERED, _HIGH9, _LOW9, _TR, between, floats
@@ -249,3 +249,21 @@ z AS (SELECT n.*, x.pdi, x.mdi, x.dx, d.dx AS adx FROM n LEFT JOIN x USING (stoc
 SELECT stock_id, date, {floats({"adx_14": between("adx", 0, 100), "adxr_14": between("adxr", 0, 100), "dx_14": between("dx", 0, 100), "plus_di": between("pdi", 0, 100), "minus_di": between("mdi", 0, 100), "ultosc": between("ult", 0, 100)})} FROM y""")
 def talib_trend(spark, sf_dir):
     return price.trend_strength(bars(spark, sf_dir))
+
+
+@query()
+def trendline_family(spark, sf_dir):
+    return lines.trend_line_family(bars(spark, sf_dir))
+
+
+@query()
+def trendline_carried(spark, sf_dir):
+    """Days since the last break, continued from the value stored at 2000-01-01 or the last bar before."""
+    found = lines.trend_line_family(bars(spark, sf_dir))
+    stored = found.where("date <= timestamp_ntz '2000-01-01'").groupBy("stock_id").agg(F.max("date").alias("anchor_date"), F.max_by("tl_days_since_break", "date").alias("anchor_days"))
+    return lines.carried_days(found.select("stock_id", "date", "tl_resist_break", "tl_days_since_break"), stored)
+
+
+@query()
+def swing_family(spark, sf_dir):
+    return lines.swing_family(bars(spark, sf_dir))
