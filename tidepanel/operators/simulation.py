@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +20,8 @@ def score_exit(panel: DataFrame, buy: float, sell: float, most: int = 250) -> Da
     panel: stock_id, date, open, score. Scores that are null decide nothing; the sale comes after `most`
     bars at the latest, and at the last bar where the data end first. No holding blocks another signal.
     """
+    if buy <= sell and buy != 0:
+        raise ValueError("buy must lie above sell")
     w = line()
     whole = Window.partitionBy("stock_id")
     df = panel.withColumn("i", F.row_number().over(w)).withColumn("n", F.count("*").over(whole))
@@ -64,7 +68,7 @@ def rule_exit(open_: np.ndarray, close: np.ndarray, average: np.ndarray, entry:
                 below = below + 1 if c < average[t] else 0
                 if below >= 2:
                     return t, "ma_stop"
-        if most is not None and t - entry + 1 >= most:
+        if most is not None and t - entry >= most:
             return t, "max_hold"
     last = len(close) - 1
     return (last, "data_end") if close[last] == close[last] else None
@@ -96,49 +100,80 @@ def rule_trades(panel: DataFrame, take_profit: float | None = 0.25, stop_loss: f
     return panel.groupBy("stock_id").applyInPandas(run, TRADE)
 
 
-def equity(trades: DataFrame, prices: DataFrame) -> DataFrame:
+def equity(trades: DataFrame, prices: DataFrame, total: Callable[[Column], Column] = F.sum) -> DataFrame:
     """Per calendar date the mean over all trades of their return so far: marked at closes while held, frozen after.
 
-    Held days come from one interval join; the frozen part is a running sum of finished trades.
+    Held days come from one interval join; the frozen part is a running sum of finished trades over a row per
+    date. The number of trades joins as one row. `total` adds up returns, for callers that need sums in a fixed order.
     """
     from .joins import held_on
 
     calendar = prices.select("date").distinct()
-    total = trades.count()
+    number = F.broadcast(trades.agg(F.greatest(F.count("*"), F.lit(1)).alias("n")))
     held = held_on(trades.select("stock_id", "buy_date", "sell_date", "buy_price"), calendar)
-    marked = held.join(prices.select("stock_id", "date", "close"), ["stock_id", "date"]).groupBy("date").agg(F.sum(F.floor((F.col("close") / F.col("buy_price") - 1) * 1e6)).alias("open_ret"))
-    done = trades.groupBy(F.col("sell_date").alias("date")).agg(F.sum(F.floor(F.col("ret") * 1e6)).alias("done_ret"))
+    marked = held.join(prices.select("stock_id", "date", "close"), ["stock_id", "date"]).groupBy("date").agg(total(F.col("close") / F.col("buy_price") - 1).alias("open_ret"))
+    done = trades.groupBy(F.col("sell_date").alias("date")).agg(total(F.col("ret")).alias("done_ret"))
     daily = calendar.join(marked, "date", "left").join(done, "date", "left").na.fill(0, ["open_ret", "done_ret"])
     frozen = F.sum("done_ret").over(Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
-    return daily.select("date", ((F.col("open_ret") + frozen) / 1e6 / max(total, 1)).alias("equity"))
+    return daily.withColumn("sum", F.col("open_ret") + frozen).crossJoin(number).select("date", (F.col("sum") / F.col("n")).alias("equity"))
+
+
+def equity_statistics(curve: DataFrame) -> DataFrame:
+    """Total return, Sharpe ratio of the daily changes over 250 days, and the deepest fall from a peak, from a row (date, equity) per date."""
+    line = Window.orderBy("date")
+    worth = 1 + F.col("equity")
+    days = curve.select("date", worth.alias("worth"), (F.try_divide(worth, F.lag(worth).over(line)) - 1).alias("moved"), F.max(worth).over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("peak"))
+    sd = F.stddev_samp("moved")
+    return days.agg(
+        (F.max_by("worth", "date") - 1).alias("total_return"), F.when(sd > 0, F.avg("moved") / sd * F.sqrt(F.lit(250.0))).otherwise(0.0).alias("sharpe"), F.min((F.col("worth") - F.col("peak")) / F.col("peak")).alias("max_drawdown")
+    )
 
 
-def performance(trades: DataFrame) -> DataFrame:
+def performance(trades: DataFrame, total: Callable[[Column], Column] = F.sum) -> DataFrame:
     """Number, win rate, mean and exit shares of all trades."""
     share = lambda why: F.avg((F.col("exit_reason") == why).cast("int"))
-    return trades.agg(F.count("*").alias("n_trades"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate"), (F.sum(F.floor(F.col("ret") * 1e6)) / F.count("*") / 1e6).alias("avg_return"), share("score").alias("score_share"), share("max_hold").alias("max_hold_share"))
+    return trades.agg(F.count("*").alias("n_trades"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate"), (total(F.col("ret")) / F.count("*")).alias("avg_return"), share("score").alias("score_share"), share("max_hold").alias("max_hold_share"))
+
 
+def running_sums(points: DataFrame, by: str, columns: list[str], falling: bool, buckets: int = 256) -> DataFrame:
+    """Add `_before_c` for each column: its sum over all rows before a row by `by`, whose values are distinct.
 
-def threshold_curve(rows: DataFrame, score: str, ret: str, least: int = 40) -> DataFrame:
+    Rows are dealt to buckets of equal width between the least and largest value; sums run inside a bucket,
+    and a bucket's start is the running sum over one row per bucket. No window holds all rows.
+    """
+    ends = F.broadcast(points.agg(F.min(by).alias("_low"), F.max(by).alias("_high")))
+    place = F.floor(F.try_divide(F.col(by) - F.col("_low"), F.col("_high") - F.col("_low")) * (buckets - 1))
+    rows = points.crossJoin(ends).withColumn("_bucket", F.coalesce(place, F.lit(0)).cast("int")).drop("_low", "_high")
+    order = (lambda c: F.col(c).desc()) if falling else F.col
+    whole = rows.groupBy("_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in columns])
+    earlier = Window.orderBy(order("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = whole.select("_bucket", *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_start_{c}") for c in columns])
+    inside = Window.partitionBy("_bucket").orderBy(order(by)).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(F.broadcast(starts), "_bucket")
+    return rows.withColumns({f"_before_{c}": F.col(f"_start_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in columns}).drop("_bucket", *[f"_start_{c}" for c in columns])
+
+
+def threshold_curve(rows: DataFrame, score: str, ret: str, least: int = 40, total: Callable[[Column], Column] = F.sum) -> DataFrame:
     """By falling score: the count, win rate and mean return of all rows of at least that score, from `least` rows on.
 
-    Running sums over the distinct scores: rows of a score are added up first, so ties form one point and
-    the ordered pass is over distinct scores only.
+    Rows of a score are added up first, so ties form one point; the running sums are by buckets of scores.
     """
-    points = rows.groupBy(score).agg(F.count("*").alias("k"), F.sum((F.col(ret) > 0).cast("long")).alias("wins"), F.sum(F.floor(F.col(ret) * 1e6)).alias("micro"))
-    down = Window.orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    n, wins, micro = (F.sum(c).over(down) for c in ("k", "wins", "micro"))
-    return points.select(F.col(score).alias("threshold"), n.alias("n"), (wins / n).alias("win_rate"), (micro / n / 1e6).alias("avg_return")).where(F.col("n") >= least)
+    points = rows.groupBy(score).agg(F.count("*").alias("k"), F.sum((F.col(ret) > 0).cast("long")).alias("wins"), total(F.col(ret)).alias("gain"))
+    points = running_sums(points, score, ["k", "wins", "gain"], falling=True)
+    n, wins, gain = (F.col(c) + F.col(f"_before_{c}") for c in ("k", "wins", "gain"))
+    return points.select(F.col(score).alias("threshold"), n.alias("n"), (wins / n).alias("win_rate"), (gain / n).alias("avg_return")).where(F.col("n") >= least)
 
 
 def auc(rows: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve by rank sums with mean ranks of ties, from counts per distinct score."""
+    """Areas under the ROC curve, by rank sums with mean ranks of ties, and under the precision-recall curve, with its lift over the base rate."""
     points = rows.groupBy(score).agg(F.count("*").alias("k"), F.sum(label).cast("long").alias("pos"))
-    up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = points.withColumn("rank", F.coalesce(F.sum("k").over(up), F.lit(0)) + (F.col("k") + 1) / 2)
-    sums = ranks.agg(F.sum(F.col("rank") * F.col("pos")).alias("r"), F.sum("pos").alias("p"), F.sum("k").alias("n"))
+    points = running_sums(points, score, ["k", "pos"], falling=False).withColumn("rank", F.col("_before_k") + (F.col("k") + 1) / 2)
+    whole = F.broadcast(points.agg(F.sum("pos").alias("p"), F.sum("k").alias("n")))
+    above, hits = F.col("n") - F.col("_before_k"), F.col("p") - F.col("_before_pos")  # rows and positives of at least the score
+    sums = points.crossJoin(whole).agg(F.sum(F.col("rank") * F.col("pos")).alias("r"), F.sum(F.floor(F.col("pos") * hits / above * 1e9 + 0.5)).alias("precise"), F.max("p").alias("p"), F.max("n").alias("n"))
     p, n = F.col("p"), F.col("n") - F.col("p")
-    return sums.select(F.col("n"), p.alias("n_positive"), F.try_divide(F.col("r") - p * (p + 1) / 2, (p * n).cast("double")).alias("auc"))
+    pr = F.try_divide(F.col("precise") / 1e9, p)
+    return sums.select(F.col("n"), p.alias("n_positive"), F.try_divide(F.col("r") - p * (p + 1) / 2, (p * n).cast("double")).alias("auc"), pr.alias("pr_auc"), F.try_divide(pr, p / F.col("n")).alias("pr_lift"))
 
 
 def crossing(close: Column, level: Column, before: Column) -> Column:

@@ -12,7 +12,7 @@ from . import registry as q
 from .registry import query
 
 TRADES = f"""{BARS}, {SCORES}, p AS (SELECT b.stock_id, b.date, b.open, b.close, s.score FROM bars b LEFT JOIN score s USING (stock_id, date)),
-g AS (SELECT *, row_number() OVER ({q.PART}) AS i, count(*) OVER (PARTITION BY stock_id) AS n FROM p),
+g AS MATERIALIZED (SELECT *, row_number() OVER ({q.PART}) AS i, count(*) OVER (PARTITION BY stock_id) AS n FROM p),
 d AS (SELECT *, min(CASE WHEN score <= 0.2::DOUBLE THEN i END) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND {{most}} FOLLOWING) AS fd, {q.lead("date")} AS nd, {q.lead("open")} AS no FROM g),
 sg AS (SELECT stock_id, date AS signal_date, nd AS buy_date, no AS buy_price, i, coalesce(least(fd, least(i + {{most}}, n - 1)), least(i + {{most}}, n - 1)) + 1 AS sell_at,
  CASE WHEN fd IS NOT NULL AND fd <= least(i + {{most}}, n - 1) THEN 'score' WHEN i + {{most}} <= n - 1 THEN 'max_hold' ELSE 'data_end' END AS exit_reason FROM d WHERE score >= 0.97::DOUBLE AND i <= n - 2 AND no > 0),
@@ -20,6 +20,16 @@ trades AS (SELECT sg.stock_id, signal_date, buy_date, g.date AS sell_date, buy_p
 T20 = TRADES.format(most=20)
 
 
+def exact(x):
+    """A sum that does not hang on the order of rows: billionths, rounded."""
+    return F.sum(F.floor(x * 1e9 + 0.5)) / 1e9
+
+
+def exact_sql(x):
+    return f"(sum(floor(({x}) * 1e9::DOUBLE + 0.5::DOUBLE)::BIGINT)::DOUBLE / 1e9::DOUBLE)"
+
+
+
 def _panel(spark, sf_dir):
     prices = bars(spark, sf_dir)
     return prices.select("stock_id", "date", "open", "close").join(scores(prices), ["stock_id", "date"], "left")
@@ -34,16 +44,16 @@ def score_exit_trades(spark, sf_dir):
     return _trades(spark, sf_dir)
 
 
-@query(f"""WITH {T20}, cal AS (SELECT DISTINCT date FROM bars), o AS (SELECT c.date, sum(floor((b.close / t.buy_price - 1) * 1e6)::BIGINT) AS r FROM trades t JOIN cal c ON t.buy_date <= c.date AND c.date < t.sell_date JOIN bars b ON b.stock_id = t.stock_id AND b.date = c.date GROUP BY c.date),
-f AS (SELECT sell_date AS date, sum(floor(ret * 1e6)::BIGINT) AS r FROM trades GROUP BY sell_date)
-SELECT c.date, ((coalesce(o.r, 0) + sum(coalesce(f.r, 0)) OVER (ORDER BY c.date ROWS UNBOUNDED PRECEDING))::DOUBLE / 1e6 / (SELECT count(*) FROM trades)) AS equity FROM cal c LEFT JOIN o USING (date) LEFT JOIN f USING (date)""")
+@query(f"""WITH {T20}, cal AS (SELECT DISTINCT date FROM bars), o AS (SELECT c.date, {exact_sql("b.close / t.buy_price - 1")} AS r FROM trades t JOIN cal c ON t.buy_date <= c.date AND c.date < t.sell_date JOIN bars b ON b.stock_id = t.stock_id AND b.date = c.date GROUP BY c.date),
+f AS (SELECT sell_date AS date, {exact_sql("ret")} AS r FROM trades GROUP BY sell_date)
+SELECT c.date, round((coalesce(o.r, 0) + sum(coalesce(f.r, 0)) OVER (ORDER BY c.date ROWS UNBOUNDED PRECEDING))::DOUBLE / (SELECT count(*) FROM trades), 6) AS equity FROM cal c LEFT JOIN o USING (date) LEFT JOIN f USING (date)""")
 def equity_curve(spark, sf_dir):
-    return sim.equity(_trades(spark, sf_dir), bars(spark, sf_dir))
+    return sim.equity(_trades(spark, sf_dir), bars(spark, sf_dir), exact).select("date", F.round("equity", 6).alias("equity"))
 
 
-@query(f"""WITH {T20} SELECT count(*) AS n_trades, avg((ret > 0)::INT) AS win_rate, sum(floor(ret * 1e6)::BIGINT)::DOUBLE / count(*) / 1e6 AS avg_return, avg((exit_reason = 'score')::INT) AS score_share, avg((exit_reason = 'max_hold')::INT) AS max_hold_share FROM trades""")
+@query(f"""WITH {T20} SELECT count(*) AS n_trades, avg((ret > 0)::INT) AS win_rate, {exact_sql("ret")} / count(*) AS avg_return, avg((exit_reason = 'score')::INT) AS score_share, avg((exit_reason = 'max_hold')::INT) AS max_hold_share FROM trades""")
 def performance_summary(spark, sf_dir):
-    return sim.performance(_trades(spark, sf_dir))
+    return sim.performance(_trades(spark, sf_dir), exact)
 
 
 def _rule_panel(spark, sf_dir):
@@ -94,15 +104,16 @@ def _scored(spark, sf_dir):
     return forward.join(scores(prices), ["stock_id", "date"]).where("score is not null and fwd is not null")
 
 
-@query(f"""WITH {FWD}, g AS (SELECT score, count(*) AS k, sum((fwd > 0)::BIGINT) AS wins, sum(floor(fwd * 1e6)::BIGINT) AS micro FROM r GROUP BY score),
+@query(f"""WITH {FWD}, g AS (SELECT score, count(*) AS k, sum((fwd > 0)::BIGINT) AS wins, {exact_sql("fwd")} AS micro FROM r GROUP BY score),
 c AS (SELECT score AS threshold, (sum(k) OVER w)::BIGINT AS n, sum(wins) OVER w AS wn, sum(micro) OVER w AS mn FROM g WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
-SELECT threshold, n, wn::DOUBLE / n AS win_rate, mn::DOUBLE / n / 1e6 AS avg_return FROM c WHERE n >= 40""")
+SELECT threshold, n, wn::DOUBLE / n AS win_rate, round(mn / n, 7) AS avg_return FROM c WHERE n >= 40""")
 def threshold_curve(spark, sf_dir):
-    return sim.threshold_curve(_scored(spark, sf_dir), "score", "fwd")
+    return sim.threshold_curve(_scored(spark, sf_dir), "score", "fwd", total=exact).withColumn("avg_return", F.round("avg_return", 7))
 
 
-@query(f"""WITH {FWD}, g AS (SELECT score, count(*) AS k, sum((fwd > 0)::BIGINT) AS pos FROM r GROUP BY score), a AS (SELECT *, coalesce(sum(k) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (k + 1) / 2.0::DOUBLE AS rk FROM g),
-s AS (SELECT sum(rk * pos)::DOUBLE AS r, sum(pos)::BIGINT AS p, sum(k)::BIGINT AS n FROM a) SELECT n, p AS n_positive, (r - p * (p + 1) / 2.0::DOUBLE) / (p * (n - p))::DOUBLE AS auc FROM s""")
+@query(f"""WITH {FWD}, g AS (SELECT score, count(*) AS k, sum((fwd > 0)::BIGINT)::BIGINT AS pos FROM r GROUP BY score), a AS (SELECT *, coalesce(sum(k) OVER w, 0) AS k0, coalesce(sum(pos) OVER w, 0) AS p0, sum(k) OVER () AS n, sum(pos) OVER () AS p FROM g WINDOW w AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s AS (SELECT sum((k0 + (k + 1) / 2.0::DOUBLE) * pos)::DOUBLE AS r, sum(floor((pos * (p - p0))::DOUBLE / (n - k0)::DOUBLE * 1e9::DOUBLE + 0.5::DOUBLE)::BIGINT)::DOUBLE / 1e9::DOUBLE AS precise, max(p)::BIGINT AS p, max(n)::BIGINT AS n FROM a)
+SELECT n, p AS n_positive, (r - p * (p + 1) / 2.0::DOUBLE) / (p * (n - p))::DOUBLE AS auc, precise / p AS pr_auc, precise / p / (p::DOUBLE / n) AS pr_lift FROM s""")
 def auc_rank(spark, sf_dir):
     return sim.auc(_scored(spark, sf_dir).withColumn("label", (F.col("fwd") > 0).cast("int")), "score", "label")
 
