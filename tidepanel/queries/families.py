@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import windows as w
+from ..plans import candles
 from ..plans import families as f
 from ..sources.panel import BARS, FLOWS, INDEX, bars, flows, index_bars
 from . import registry as q
@@ -257,3 +259,35 @@ z AS (SELECT n.*, {", ".join(_rsi_of(name) for name in _SMOOTHED)}, 100 * (t3.e
 SELECT stock_id, date, {floats({"stoch_k": between("fast3", 0, 100), "stoch_d": between(q.roll("avg", "fast3", 3), 0, 100), "stochf_k": between("fast", 0, 100), "stochf_d": between("fast3", 0, 100), "stochrsi_k": between("rf", 0, 100), "stochrsi_d": between(q.roll("avg", "rf", 3), 0, 100), "rsi_9": between("rsi_9_v", 0, 100), "rsi_28": between("rsi_28_v", 0, 100), "cmo_10": "cmo_10_v", "trix": "trix_v", "apo": f"CASE WHEN close >= 1 THEN {between('(m12 - m26) / nullif(close, 0) * 100', -500, 500)} END", "ppo": "(m12 - m26) / nullif(m26, 0) * 100", **{f"{x}_ratio": f"CASE WHEN abs({_M60[x]}) >= greatest({q.roll('avg', f'abs({x})', 60, 10)} * 0.01::DOUBLE, 1e-8::DOUBLE) THEN {x} / nullif({_M60[x]}, 0) END" for x in ("obv", "ad")}})} FROM y""")
 def oscillator_family(spark, sf_dir):
     return f.oscillators(bars(spark, sf_dir))
+
+
+def _candle_sql() -> str:
+    names = (*candles.ASPECTS, *candles.MEASURES)
+    sizes = ", ".join(f"CASE WHEN count(close) {_ahead(n)} = {n} THEN avg({x}) {_ahead(n)} * {factor}::DOUBLE END AS n_{m}0" for m, (x, n, factor) in candles.MEASURES.items())
+    of = lambda a: f"n_{a}0" if a in candles.MEASURES else f"{a}0"
+    lagged = ", ".join(f"{q.lag(of(a), k)} AS {of(a)[:-1]}{k}" for a in names for k in range(1, candles.DEPTH + 1))
+    return f"""WITH {BARS}, a AS (SELECT stock_id, date, close, {", ".join(f"{x} AS {a}0" for a, x in candles.ASPECTS.items())}, {sizes} FROM bars), b AS (SELECT *, {lagged} FROM a),
+e AS (SELECT *, {", ".join(f"{candles.plain(x)} AS {n}_0" for n, x in candles.CONFIRMED.items())} FROM b), f AS (SELECT *, {", ".join(f"coalesce({q.lag(f'{n}_0', k)}, 0) AS {n}_{k}" for n in candles.CONFIRMED for k in (1, 2, 3))} FROM e)
+SELECT stock_id, date, {", ".join(f"({x})::INT AS {n}" for n, x in candles.columns().items())} FROM f"""
+
+
+def _ahead(n: int) -> str:
+    return f"OVER ({q.PART} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+
+
+@query(_candle_sql())
+def candle_family(spark, sf_dir):
+    return candles.candle_family(bars(spark, sf_dir))
+
+
+@query(f"""WITH c AS ({_candle_sql()}), {BARS}, r AS (SELECT stock_id, date, {q.lead("close", 21)} / nullif({q.lead("close")}, 0) - 1 AS ret20 FROM bars), h AS (UNPIVOT (SELECT c.*, ret20 FROM c JOIN r USING (stock_id, date) WHERE ret20 IS NOT NULL) ON COLUMNS('cdl.*') INTO NAME pattern VALUE v)
+SELECT pattern, sign(v)::INT AS way, count(*) AS n, avg((ret20 > 0)::INT) AS win_rate, (count(*) >= 30)::INT AS conclusive FROM h WHERE v <> 0 GROUP BY ALL""")
+def candle_statistics(spark, sf_dir):
+    """How often each pattern stood, rising and falling, and how often the 20 bars after the next close rose."""
+    prices = bars(spark, sf_dir)
+    names = list(candles.columns())
+    ahead = prices.select("stock_id", "date", (F.try_divide(w.lead(F.col("close"), 21), w.lead(F.col("close"))) - 1).alias("ret20")).where("ret20 is not null")
+    hits = F.filter(F.array(*[F.struct(F.lit(n).alias("pattern"), F.col(n).alias("v")) for n in names]), lambda x: x["v"] != 0)
+    rows = candles.candle_family(prices).select("stock_id", "date", hits.alias("hits")).where(F.size("hits") > 0).join(ahead, ["stock_id", "date"]).select("ret20", F.explode("hits").alias("x"))
+    found = rows.groupBy("x.pattern", F.signum("x.v").cast("int").alias("way")).agg(F.count("*").alias("n"), F.avg((F.col("ret20") > 0).cast("int")).alias("win_rate"))
+    return found.withColumn("conclusive", (F.col("n") >= 30).cast("int"))
