@@ -9,10 +9,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidepanel.functions.columns import clip, flag, parse_number
+from tidepanel.functions.columns import clip, flag, parse_number, chosen, flag_of, number_of
 from tidepanel.operators import joins, labels, quality, simulation, windows
 from tidepanel.operators.recursive import ewm, wilder
 from tidepanel.plans import lines
+from tidepanel.sources import tables
 from tidepanel.sources.tables import keep_last, promote, read_or_empty
 
 
@@ -238,3 +239,39 @@ def test_swing_lines_by_brute_force():
         for k in (1, 2, 3):
             assert got[f"vh{k}_dist"][t] == pytest.approx(close[t] / high[big[-k]] - 1) if len(big) >= k else np.isnan(got[f"vh{k}_dist"][t])
         assert got["is_above_vh1"][t] == (len(big) > 0 and close[t] > close[big[-1]])
+
+
+def test_tables_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, "a", 9), (2, "b", 9)], "k int, v string, orphan int")
+    tables.upsert(spark, path, old, ["k"])
+    declared = spark.createDataFrame([], "k int, v string, more double").schema
+    tables.upsert(spark, path, spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), ["k"], declared)
+    got = spark.read.parquet(path)
+    assert got.columns == ["k", "v", "more"] and sorted((r.k, r.v) for r in got.collect()) == [(1, "a"), (2, "c"), (3, "d")]
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
+    (tmp_path / "t").rename(tmp_path / "t.new-1")  # a run that ended between the moves
+    assert tables.recover_table(spark, path) and spark.read.parquet(path).count() == 3 and not tables.recover_table(spark, path)
+    assert tables.oversized(spark, path, 1 << 30, 1) == [path] and tables.oversized(spark, path, 1 << 30, 1 << 30) == []
+
+
+def test_late_rows_of_a_stream_replace_earlier_ones(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in ([(1, 10), (2, 20)], [(2, 21), (3, 30)]):
+        spark.createDataFrame(rows, "k int, v int").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k int, v int").parquet(source)
+        tables.upsert_stream(stream, path, ["k"], str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, 10), (2, 21), (3, 30)]
+
+
+def test_csv_with_dates(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,close\n2024-01-02,1.5\nbad,x\n")
+    rows = tables.read_csv(spark, str(tmp_path / "a.csv"), "date timestamp_ntz, close double").collect()
+    assert [(r.date, r.close) for r in rows] == [(dt.datetime(2024, 1, 2), 1.5), (None, None)]
+
+
+def test_columns_that_may_be_missing(spark):
+    df = spark.createDataFrame([("0.7", 1.0), ("x", None)], "a string, label_b double")
+    got = df.select(flag_of(df, "a").alias("a"), flag_of(df, "none").alias("b"), number_of(df, "a").alias("c")).collect()
+    assert [tuple(r) for r in got] == [(1, 0, 0.7), (0, 0, None)]
+    assert chosen(df, ("a",), least=1) == ["a"] and chosen(df, ("z",)) == ["a"]

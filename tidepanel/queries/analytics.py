@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import flag, gate, ratio
 from ..operators import simulation as sim
 from ..operators import windows as w
+from ..operators.joins import asof_backward
 from ..plans import pivots
 from ..sources.panel import BARS, FLOWS, INDEX, REVENUE, SCORES, bars, flows, index_bars, revenue, scores, table
 from . import registry as q
-from .families import between, floats, streak_out, streaks
+from .families import between, floats, own_rank, streak_out, streaks
 from .registry import query
 from .simulation import FWD, T20, _scored, _trades, exact, exact_sql
 
@@ -416,6 +417,112 @@ def repeated_closes(spark, sf_dir):
     return bars(spark, sf_dir).select("stock_id", "date", "close", (same - 1).alias("n_same")).where("n_same > 0")
 
 
+# ---- merged families, valuation, scores
+
+
+def _valuations(prices: DataFrame) -> DataFrame:
+    """Stand-ins for valuation figures, inside their sane ranges: close over the bar's amount, over its yearly mean, and the day's move."""
+    c = F.col("close")
+    per, pbr, yields = ratio(c * 1000, F.col("amount")), ratio(c, w.mean(c, 240)), ratio(F.abs(c - F.col("open")), c) * 100
+    inside = lambda x, top: F.when((x > 0) & (x <= top), x).cast("float")
+    return prices.select("stock_id", "date", inside(per, 200).alias("per"), inside(pbr, 50).alias("pbr"), inside(yields, 50).alias("dividend_yield"))
+
+
+def _inside(x: str, top: int) -> str:
+    return f"(CASE WHEN {x} > 0 AND {x} <= {top} THEN {x} END)::FLOAT"
+
+
+@query(f"""WITH {BARS}, v AS (SELECT stock_id, date, {_inside("(close * 1000 / nullif(amount, 0))", 200)} AS per, {_inside(f"(close / nullif({q.roll('avg', 'close', 240)}, 0))", 50)} AS pbr, {_inside("(abs(close - open) / nullif(close, 0) * 100)", 50)} AS dividend_yield FROM bars)
+SELECT stock_id, date, per, pbr, dividend_yield, {floats({name: own_rank(x, 1260, 420) for x, name in (("per", "per_rank"), ("pbr", "pbr_rank"), ("dividend_yield", "yield_rank"))})} FROM v""")
+def valuation_family(spark, sf_dir):
+    """Valuation figures and their rank in the entity's own last 1260 rows, 420 known."""
+    from ..plans.families import self_percentiles
+
+    found = _valuations(bars(spark, sf_dir))
+    ranks = self_percentiles(found, ["per", "pbr", "dividend_yield"], (1260,))
+    named = {"per": "per_rank", "pbr": "pbr_rank", "dividend_yield": "yield_rank"}
+    return found.join(ranks.select("stock_id", "date", *[F.col(f"rel_pct_{c}_1260").alias(n) for c, n in named.items()]), ["stock_id", "date"])
+
+
+_MERGED = ("trend_family", "momentum_family", "volume_family", "chip_family", "true_range_family", "self_relative_family")
+
+
+@query("MERGED_")
+def merged_families(spark, sf_dir):
+    """Six families joined onto the bars by entity and date, the index's by date, revenue growth as of its announcement."""
+    from .registry import QUERIES
+
+    rows = bars(spark, sf_dir).select("stock_id", "date")
+    for name in _MERGED:
+        rows = rows.join(QUERIES[name](spark, sf_dir), ["stock_id", "date"], "left")
+    rows = rows.join(QUERIES["market_family"](spark, sf_dir), "date", "left")
+    growth = QUERIES["revenue_growth_months"](spark, sf_dir)
+    return asof_backward(rows, growth, "announce_date", [c for c in growth.columns if c not in ("stock_id", "announce_date")])
+
+
+@query(f"""WITH {BARS}, {SCORES}, s AS (SELECT * FROM score WHERE score IS NOT NULL), t AS (SELECT stock_id, date, score FROM s WHERE date < TIMESTAMP '1998-01-01'), l AS (SELECT max(date) AS last_ FROM t)
+SELECT stock_id, date, score, 'trained' AS source FROM t UNION ALL SELECT s.stock_id, s.date, 1 - s.score, 'live' FROM s, l WHERE s.date > l.last_""")
+def scores_forward(spark, sf_dir):
+    """Trained scores, and live ones strictly after the last trained date."""
+    told = scores(bars(spark, sf_dir)).where("score is not null")
+    trained = told.where("date < timestamp_ntz'1998-01-01 00:00:00'")
+    last = F.broadcast(trained.agg(F.max("date").alias("last")))
+    live = told.crossJoin(last).where(F.col("date") > F.col("last")).select("stock_id", "date", (1 - F.col("score")).alias("score"), F.lit("live").alias("source"))
+    return trained.select("stock_id", "date", "score", F.lit("trained").alias("source")).unionByName(live)
+
+
+_CROSS = f"""a AS (SELECT stock_id, date, close, {q.lag("close")} AS before, {q.lag(q.roll("max", "close", 60))} AS level, {q.lead("close", 6)} / nullif({q.lead("close")}, 0) - 1 AS ret5, {q.lead("close", 21)} / nullif({q.lead("close")}, 0) - 1 AS ret20 FROM bars)"""
+
+
+@query(f"""WITH {BARS}, {_CROSS.replace(q.lag(q.roll("max", "close", 60)), f"max(close) OVER ({q.PART} ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING)")}, b AS (SELECT avg((ret5 > 0)::INT) FILTER (ret5 IS NOT NULL) AS b5, avg((ret20 > 0)::INT) FILTER (ret20 IS NOT NULL) AS b20 FROM a),
+x AS (SELECT * FROM a WHERE close >= level AND before < level) SELECT count(ret5) AS n5, avg((ret5 > 0)::INT) AS win5, median(ret5) AS median5, count(ret20) AS n20, avg((ret20 > 0)::INT) AS win20, median(ret20) AS median20, any_value(b5) AS base5, any_value(b20) AS base20,
+ (count(ret20) >= 30)::INT AS conclusive, CASE WHEN avg((ret20 > 0)::INT) - any_value(b20) > 0.01::DOUBLE THEN 'above' WHEN avg((ret20 > 0)::INT) - any_value(b20) < -0.01::DOUBLE THEN 'below' ELSE 'as usual' END AS edge FROM x, b""")
+def crossing_statistics(spark, sf_dir):
+    """What followed the closes that passed the highest close of the 60 bars before: 5 and 20 bars on, against all bars."""
+    c = F.col("close")
+    ahead = lambda n: F.try_divide(w.lead(c, n + 1), w.lead(c)) - 1
+    rows = bars(spark, sf_dir).select("stock_id", "date", "close", w.lag(c).alias("before"), F.max("close").over(w.ahead(-60, -1)).alias("level"), ahead(5).alias("ret5"), ahead(20).alias("ret20"))
+    crossed = F.coalesce((c >= F.col("level")) & (F.col("before") < F.col("level")), F.lit(False))
+    rise = lambda r: (F.col(r) > 0).cast("int")
+    of = lambda r: F.when(crossed, F.col(r))
+    found = rows.agg(
+        *[x for n in (5, 20) for x in (F.count(of(f"ret{n}")).alias(f"n{n}"), F.avg(F.when(crossed, rise(f"ret{n}"))).alias(f"win{n}"), F.percentile(of(f"ret{n}"), F.lit(0.5)).alias(f"median{n}"), F.avg(rise(f"ret{n}")).alias(f"base{n}"))]
+    )
+    edge = F.col("win20") - F.col("base20")
+    return found.withColumns({"conclusive": (F.col("n20") >= 30).cast("int"), "edge": F.when(edge > 0.01, "above").when(edge < -0.01, "below").otherwise("as usual")})
+
+
+@query(f"""WITH {BARS}, {_MASKED}, h AS (SELECT stock_id, date, close, mask, bit_count(mask)::INT AS n_conditions FROM k WHERE mask <> 0) SELECT stock_id, date, n_conditions, close FROM h WHERE n_conditions >= 3""")
+def busiest_bars(spark, sf_dir):
+    """Bars on which three conditions or more hold, with their number."""
+    return _masks(bars(spark, sf_dir)).withColumn("n_conditions", F.bit_count("mask")).where("n_conditions >= 3").select("stock_id", "date", "n_conditions", "close")
+
+
+@query()
+def forest_importances(spark, sf_dir):
+    """The importance of each feature of a forest on past returns."""
+    from ..operators import ml
+
+    names = ["r1", "r5", "r20", "r60"]
+    df = bars(spark, sf_dir).select((F.try_divide(w.lead(F.col("close"), 5), F.col("close")) - 1 > 0).cast("double").alias("label"), *[w.change(F.col("close"), int(n[1:])).alias(n) for n in names]).dropna()
+    model = ml.fit_forest(df, names, "label", trees=10)
+    return spark.createDataFrame([(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())], "feature string, importance double")
+
+
+@query()
+def scoring_parity(spark, sf_dir):
+    """The largest difference between scoring all rows and scoring the missing dates only; the model and the dates are the same."""
+    from ..operators import ml
+
+    names = ["r1", "r5", "r20"]
+    df = bars(spark, sf_dir).select("stock_id", "date", (F.try_divide(w.lead(F.col("close"), 5), F.col("close")) - 1 > 0).cast("double").alias("label"), *[w.change(F.col("close"), int(n[1:])).alias(n) for n in names]).dropna()
+    model = ml.fit_forest(df.where("date < timestamp_ntz'1998-01-01 00:00:00'"), names, "label", trees=10)
+    done = df.where("date < timestamp_ntz'1999-01-01 00:00:00'").select("date").distinct()
+    whole = ml.score_forest(model, df, names).select("stock_id", "date", F.col("score").alias("a"))
+    missing = ml.score_forest(model, df.join(done, "date", "left_anti"), names).select("stock_id", "date", F.col("score").alias("b"))
+    return whole.join(missing, ["stock_id", "date"]).agg(F.count("*").alias("n"), F.max(F.abs(F.col("a") - F.col("b"))).alias("largest"))
+
+
 def _finish() -> None:
     """The SQL of the level queries is put together here, from that of the swing pivots."""
     from .registry import SQL
@@ -424,6 +531,10 @@ def _finish() -> None:
     swing = swing.removeprefix("WITH ") + ")"
     levels = SQL["price_levels"].replace("SWING_", swing)
     SQL["price_levels"] = levels
+    growth = "SELECT stock_id, announce_date, * EXCLUDE (stock_id, announce_date) FROM (" + SQL["revenue_growth_months"] + ")"
+    joins = " ".join(f"LEFT JOIN ({SQL[name]}) USING (stock_id, date)" for name in _MERGED)
+    SQL["merged_families"] = f"""WITH {BARS}, m AS (SELECT * FROM (SELECT stock_id, date FROM bars) {joins} LEFT JOIN ({SQL["market_family"]}) USING (date)), g AS ({growth})
+SELECT m.*, g.* EXCLUDE (stock_id, announce_date) FROM m ASOF LEFT JOIN g ON m.stock_id = g.stock_id AND m.date >= g.announce_date"""
     SQL["nearest_levels"] = f"""SELECT stock_id, date, target, stop, (target - close) / nullif(close - stop, 0) AS risk_reward, {q.flag("(target - close) / nullif(close - stop, 0) >= 1.5::DOUBLE")} AS good
 FROM (SELECT stock_id, date, close, min(CASE WHEN price > close THEN price END) AS target, max(CASE WHEN price <= close THEN price END) AS stop FROM ({levels}) GROUP BY ALL)"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,14 +31,78 @@ def keep_last(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(last)).where("_rank = 1").drop("_order", "_rank")
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], scratch: str) -> None:
-    """Replace the table at path by its keep-last union with new rows.
+def _filesystem(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write df beside the table at path and move it into place: readers find the old table or the new one, never half of one.
 
-    The union is written aside first and moved in place after, as a table can't be overwritten while it is read.
+    A run that ends between the two moves leaves the whole new table beside the path; recover_table finishes it.
     """
-    merged = keep_last([read_or_empty(spark, path, new.schema), new], keys)
-    merged.write.mode("overwrite").parquet(scratch)
-    spark.read.parquet(scratch).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    fs, target = _filesystem(spark, path)
+    new, old = target.suffix(f".new-{uuid.uuid4().hex}"), target.suffix(f".old-{uuid.uuid4().hex}")
+    df.write.parquet(new.toString())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"can't move {path} aside")
+    if not fs.rename(new, target):
+        raise OSError(f"can't move the new table to {path}")
+    fs.delete(old, True)
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Move a whole table that replace_table left beside a missing path into its place; whether there was one."""
+    fs, target = _filesystem(spark, path)
+    if fs.exists(target) or not fs.exists(target.getParent()):
+        return False
+    success = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.listStatus(target.getParent()):
+        p = status.getPath()
+        if p.getName().startswith(f"{target.getName()}.new-") and fs.exists(success(p, "_SUCCESS")):
+            return bool(fs.rename(p, target))
+    return False
+
+
+def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], declared: StructType | None = None) -> None:
+    """Replace the table at path by its keep-last union with new rows; with a declared schema, by its columns only."""
+    recover_table(spark, path)
+    old = read_or_empty(spark, path, new.schema)
+    if declared is not None:
+        old, new = (conform(f, declared) for f in (old, new))
+    replace_table(keep_last([old, new], keys), path)
+
+
+def conform(df: DataFrame, declared: StructType) -> DataFrame:
+    """The declared columns in order and type; those that df lacks are null, others go."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared.fields])
+
+
+def upsert_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str):
+    """A writer that upserts each micro-batch: late and repeated rows replace the earlier ones of their keys, so a batch may run twice."""
+    return stream.writeStream.foreachBatch(lambda batch, _: upsert(batch.sparkSession, path, batch, keys)).option("checkpointLocation", checkpoint)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, timestamps: str = "yyyy-MM-dd") -> DataFrame:
+    """A CSV with a header; what cannot be read as its type is null."""
+    return spark.read.schema(schema).option("header", True).option("timestampNTZFormat", timestamps).option("dateFormat", timestamps).option("mode", "PERMISSIVE").csv(path)
+
+
+def write_zstd(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def oversized(spark: SparkSession, path: str, file_bytes: int, total_bytes: int) -> list[str]:
+    """The files above file_bytes, and the path itself where all together are above total_bytes."""
+    fs, target = _filesystem(spark, path)
+    files, found, total = fs.listFiles(target, True), [], 0
+    while files.hasNext():
+        status = files.next()
+        total += status.getLen()
+        if status.getLen() > file_bytes:
+            found.append(status.getPath().getName())
+    return sorted(found) + ([path] if total > total_bytes else [])
 
 
 def promote(rows: DataFrame, universe: DataFrame | None, columns: list[str], always: str | None = None) -> DataFrame:
