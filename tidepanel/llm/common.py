@@ -28,6 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_kept: set[str] = set()  # tables written and not dropped yet
+
+
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write df as Parquet into the shared folder and read it back, which cuts its lineage.
 
@@ -36,6 +39,7 @@ def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _kept.add(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -44,6 +48,19 @@ def drop_written(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = hadoop(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _kept.discard(path)
+
+
+def drop_intermediates(spark: SparkSession, *but: str) -> None:
+    """Drop every table that operators have written so far, but for some. Their results read these tables until they are stored."""
+    drop_written(spark, *sorted(_kept.difference(but)))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or with as many underscores behind it as make it differ from the columns of df."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
 
 
 def membership_place(column: str, log_bits: int = 24) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -139,8 +141,9 @@ def mixed_documents(documents: DataFrame, id_column: str = "doc_id", text_column
     """
     columns = documents.columns
     key = F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("text:"), F.sha1(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))))
-    documents = documents.withColumn("_mix_key", key)
-    plan = _mix_plan(documents, "_mix_key", text_column, seed=seed, **options).where("taken > 0")
+    name = fresh(documents, "_mix_key")
+    documents = documents.withColumn(name, key)
+    plan = _mix_plan(documents, name, text_column, seed=seed, **options).where("taken > 0")
     rest = F.col("taken") % F.col("size")
     draw = (F.conv(F.substring(_digest(seed, F.lit("copy"), F.col("_id")), 1, 12), 16, 10).cast("double") + 1) / float(1 << 48)
     plan = plan.withColumn("_rest", rest).withColumn("_key", F.when(rest > 0, draw * F.col("size") / rest))
@@ -150,8 +153,8 @@ def mixed_documents(documents: DataFrame, id_column: str = "doc_id", text_column
     more = ((F.col("_rest") > 0) & (middle <= F.sum("_rest").over(shard))).cast("int")
     copies = F.floor(F.col("taken") / F.col("size")).cast("int") + more
     plan = plan.select(F.col("_id").alias("_mix_id"), copies.alias("_copies")).where("_copies > 0")
-    joined = documents.join(plan, documents["_mix_key"] == plan["_mix_id"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[documents[c] for c in columns])
+    joined = documents.join(plan, documents[name] == plan["_mix_id"])
+    return joined.select(*[documents[c] for c in columns], F.explode(F.sequence(F.lit(1), plan["_copies"])).alias(fresh(documents, "_copy"))).select(*columns)
 
 
 ORACLE_SQL = r"""
