@@ -664,3 +664,47 @@ def test_packing_fills_windows_in_order_of_bm25():
     order = sorted(range(1, 40), key=lambda d: (-bm25(shard[0], shard[d]), d))
     assert first[0] == (0, 0, len(shard[0])) and [d for d, _, _ in first[1:]] == order[: len(first) - 1]
     assert sum(n for _, _, n in first) == 120
+
+
+def test_clashing_columns(spark, docs, odd, sf_dir):
+    """Columns of the input that are named like an operator's own change nothing."""
+    import corpus_pipeline
+
+    names = ["size", "taken", "target", "_id", "_mix_key", "_copy", "_copies", "ord", "shard", "_lang_pred", "_score", "_letter", "key", "doc", "rep", "n", "component_id", "word", "gram"]
+    wide = docs.withColumns({c: F.lit(7) for c in names if c not in docs.columns})
+    assert sorted(map(str, mixing.mix_sources(wide).collect())) == sorted(map(str, mixing.mix_sources(docs).collect()))
+    for stage in (corpus_pipeline.language, corpus_pipeline.near_duplicates, corpus_pipeline.mix):
+        got, want = stage(spark, wide, sf_dir), stage(spark, docs, sf_dir)
+        assert got.columns == wide.columns and sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in want.collect())
+        assert got.where("_mix_key <> 7 or _letter <> 7 or _copy <> 7").isEmpty()
+    assert sorted(map(str, jaccard.near_duplicate_groups(wide).collect())) == sorted(map(str, jaccard.near_duplicate_groups(docs).collect()))
+    pages = spark.createDataFrame([(i, "u", "x" * 1200, 1, 2, "d", "a") for i in range(3)], "page_id long, url string, html string, key int, first int, digest string, archive string")
+    assert sorted(r.record_type for r in warc.pages_through_archives(pages).collect()) == ["response", "revisit", "revisit"]
+    vectors = spark.createDataFrame([(i, [1.0, 2.0], 1, 2, "c") for i in range(3)], "vec_id long, embedding array<double>, rep int, n int, codes string")
+    assert [r.n_links for r in embeddings.near_duplicate_vectors(vectors).collect()] == [2, 2, 2]
+
+
+def test_mix_keeps_rows_without_an_id(spark):
+    rows = [(None, "s", "a b c"), (None, "s", "d e f"), (None, "s", "d e f"), (1, "s", "g h"), (2, "t", "i")]
+    got = Counter(r.text for r in mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, source string, text string"), weights=(1,), share=2.0, block=1).collect())
+    assert got == {"a b c": 2, "d e f": 4, "g h": 2, "i": 2}
+
+
+def test_very_long_texts(spark):
+    """200,000 words in one text beside short ones."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(3)
+    long = " ".join(f"w{rng.randint(0, 9999)}" for _ in range(200000))
+    table = spark.createDataFrame([(1, long, "en", "s"), (2, long.upper(), "en", "s"), (3, "short one", "de", "s"), (4, None, None, None)], "doc_id long, text string, lang string, source string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack_documents(table, path).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id: r.n for r in pieces}[1] == len(Tokenizer.from_file(path).encode(long, add_special_tokens=False).ids) + 1
+    groups = by_id(jaccard.near_duplicate_groups(table))
+    assert groups[2].component_id == 1 and groups[1].n_shingles == len({tuple(w) for w in zip(*[words(long)[i:] for i in range(5)])})
+    assert by_id(lm.score_documents(table, F.lit(True)))[1].n_tokens == 200001
+    assert by_id(langid.identify_languages(table, langid.language_profiles(table)))[3].lang_pred == "de"
+    prints = by_id(fingerprints.fingerprint_documents(table, partitions=2))
+    assert prints[1].near_next == 1.0 and prints[1].n_chars == len(long)
+    sp = tokens._processor(public_tokenizers.path("piece_bpe_32k.model"))
+    assert by_id(tokens.token_counts(table, public_tokenizers.path("piece_bpe_32k.model")))[1].n_tokens == len(sp.encode(long))
