@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.llm import jaccard, langid, mixing, packing
-from tidepanel.llm.common import read_table, written
+from tidepanel.llm.common import drop_intermediates, fresh, read_table, written
 
 
 def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -16,8 +16,9 @@ def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter in any script, or whose text is null, go; all others stay."""
     profiles = langid.language_profiles(docs)
-    found = langid.identify_languages(docs, profiles, lang_name="_lang_pred", score_name="_score", letter_name="_letter")
-    return _columns(found.where(found["_letter"]), docs)
+    lang, score, letter = (fresh(docs, name) for name in ("_lang_pred", "_score", "_letter"))
+    found = langid.identify_languages(docs, profiles, lang_name=lang, score_name=score, letter_name=letter)
+    return _columns(found.where(found[letter]), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeat or go so that their sources come near the target weights."""
+    """Documents repeat or go so that their sources come near the target weights; one without an id is known by its text."""
     return mixing.mixed_documents(docs)
 
 
@@ -54,5 +55,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs, _ = written(docs, f"stage-{name}")
+            docs, path = written(docs, f"stage-{name}")
+            drop_intermediates(spark, path)
     return docs
