@@ -168,9 +168,9 @@ def linked_in_groups(members: DataFrame, payload: DataFrame, percent: int, exact
     by pairs of blocks, where documents of one part are not compared.
     """
     sizes = members.groupBy("group").agg(F.count("*").alias("size"), F.min("doc").alias("pivot")).where("size > 1")
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    sizes, sizes_path = written(sizes.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")), "sizes")
     placed = members.join(sizes, "group").select("group", "pivot", "blocks", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("part"))
-    placed, placed_path = written(placed, "placed")  # ends the join by group, so that the planner may split large groups
+    placed, placed_path = written(placed, "placed")  # a join of two tables alone, so that the planner may split large groups
     pivots = sizes.where("blocks > 1").select("group", F.col("pivot").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
     first = placed.select("group", "part", "doc").union(pivots.select("group", "part", "doc"))
     task = partial(_tree_task, percent=percent, exact=exact)
@@ -188,7 +188,7 @@ def linked_in_groups(members: DataFrame, payload: DataFrame, percent: int, exact
     again = again.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> part")
     pair = F.least("part", "other") * F.col("blocks") + F.greatest("part", "other")
     again, again_path = written(again.select("group", pair.alias("part"), "doc", "label"), "again")
-    drop_written(spark, placed_path)
+    drop_written(spark, placed_path, sizes_path)
     if again.isEmpty():
         drop_written(spark, path, again_path)
         return parts
