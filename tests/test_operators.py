@@ -275,3 +275,46 @@ def test_columns_that_may_be_missing(spark):
     got = df.select(flag_of(df, "a").alias("a"), flag_of(df, "none").alias("b"), number_of(df, "a").alias("c")).collect()
     assert [tuple(r) for r in got] == [(1, 0, 0.7), (0, 0, None)]
     assert chosen(df, ("a",), least=1) == ["a"] and chosen(df, ("z",)) == ["a"]
+
+
+def test_running_sums_by_buckets(spark):
+    rng = np.random.default_rng(4)
+    scores = np.unique(np.round(rng.normal(size=500), 3))
+    rows = [(float(s), int(k)) for s, k in zip(scores, rng.integers(1, 9, len(scores)))]
+    df = spark.createDataFrame(rows, "score double, k long")
+    for falling in (True, False):
+        order = sorted(rows, reverse=falling)
+        want = {s: sum(k for _, k in order[:i]) for i, (s, _) in enumerate(order)}
+        got = simulation.running_sums(df, "score", ["k"], falling, buckets=7).collect()
+        assert {r.score: r._before_k for r in got} == want
+    one = simulation.running_sums(spark.createDataFrame([(0.5, 3)], "score double, k long"), "score", ["k"], True).first()
+    assert one._before_k == 0 and simulation.running_sums(df.limit(0), "score", ["k"], True).count() == 0
+
+
+def test_equity_statistics(spark):
+    worth = [1.0, 1.1, 0.99, 1.2, 0.9]
+    curve = spark.createDataFrame([(day(i), x - 1) for i, x in enumerate(worth)], "date timestamp_ntz, equity double")
+    row = simulation.equity_statistics(curve).first()
+    moved = np.diff(worth) / np.array(worth[:-1])
+    assert row.total_return == pytest.approx(-0.1) and row.max_drawdown == pytest.approx(0.9 / 1.2 - 1) and row.sharpe == pytest.approx(moved.mean() / moved.std(ddof=1) * np.sqrt(250))
+
+
+def test_areas_under_curves_with_ties(spark):
+    rows = [(0.9, 1), (0.8, 0), (0.8, 1), (0.8, 1), (0.3, 0), (0.1, 0), (0.05, 1)]
+    row = simulation.auc(spark.createDataFrame(rows, "score double, label int"), "score", "label").first()
+    pairs = [(a > b) + 0.5 * (a == b) for a, x in rows if x for b, y in rows if not y]
+    precise = sum(sum(x for s, x in rows if s >= t) / sum(s >= t for s, _ in rows) for t, y in rows if y)
+    assert row.auc == pytest.approx(np.mean(pairs)) and row.pr_auc == pytest.approx(precise / 4) and row.pr_lift == pytest.approx(precise / 4 / (4 / 7))
+
+
+def test_score_grid_is_score_exit_for_each_pair(spark):
+    rng = np.random.default_rng(9)
+    rows = [(s, day(i), float(rng.uniform(10, 20)), float(rng.random())) for s in (1, 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "stock_id long, date timestamp_ntz, open double, score double")
+    got = simulation.score_grid(df, [0.7, 0.9], [0.2, 0.8], 10).collect()
+    for buy, sell in ((0.7, 0.2), (0.9, 0.2), (0.9, 0.8)):
+        want = sorted(r.ret for r in simulation.score_exit(df, buy, sell, 10).collect())
+        assert sorted(r.ret for r in got if (r.buy, r.sell) == (buy, sell)) == pytest.approx(want)
+    assert not any(r.buy <= r.sell for r in got)
+    with pytest.raises(ValueError):
+        simulation.score_exit(df, 0.2, 0.8)

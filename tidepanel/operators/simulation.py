@@ -41,6 +41,27 @@ def score_exit(panel: DataFrame, buy: float, sell: float, most: int = 250) -> Da
     )
 
 
+def score_grid(panel: DataFrame, buys: list[float], sells: list[float], most: int = 250) -> DataFrame:
+    """score_exit for every pair of thresholds with buy above sell, in one job: (buy, sell, stock_id, ret).
+
+    The bars are read and ordered once: the first score at or below each selling threshold is a window
+    each over the same order, and the pairs are made of the signals only.
+    """
+    w = line()
+    df = panel.withColumn("i", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("stock_id")))
+    df = df.withColumns({"next_open": F.lead("open").over(w), **{f"down{k}": F.when(F.col("score") <= s, F.col("i")) for k, s in enumerate(sells)}})
+    df = df.withColumns({f"first{k}": F.min(f"down{k}").over(w.rowsBetween(1, most)) for k in range(len(sells))})
+    signals = df.where((F.col("score") >= min(buys)) & (F.col("i") <= F.col("n") - 2) & (F.col("next_open") > 0))
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("sell"), F.col(f"first{k}").alias("first_down")) for k, s in enumerate(sells)])).alias("exit")
+    signals = signals.select("stock_id", "i", "n", "next_open", "score", each).select("*", "exit.*")
+    limit = F.least(F.col("i") + most, F.col("n") - 1)
+    signals = signals.withColumn("sell_at", F.coalesce(F.least("first_down", limit), limit) + 1)
+    trades = signals.join(df.select("stock_id", F.col("i").alias("sell_at"), F.col("open").alias("sell_price")), ["stock_id", "sell_at"])
+    trades = trades.select("sell", "stock_id", "score", (F.col("sell_price") / F.col("next_open") - 1).alias("ret"))
+    pairs = F.filter(F.array(*[F.lit(b) for b in buys]), lambda b: (b <= F.col("score")) & (b > F.col("sell")))
+    return trades.select(F.explode(pairs).alias("buy"), "sell", "stock_id", "ret")
+
+
 def rule_exit(open_: np.ndarray, close: np.ndarray, average: np.ndarray, entry: int, take_profit: float | None, stop_loss: float | None, trail: tuple[float, float] | None, most: int | None) -> tuple[int, str] | None:
     """Bar and reason at which a position bought at open_[entry] ends, by closes from the entry bar on.
 

@@ -16,5 +16,5 @@ def oracle_sql():
 
 
 def _load() -> None:
-    from . import charts, etl, families, features, joins, labels, quality, simulation, streams, windowed  # noqa: F401
+    from . import simulation, charts, etl, families, features, joins, labels, quality, streams, windowed  # noqa: F401
     from . import analytics  # noqa: F401

@@ -523,6 +523,61 @@ def scoring_parity(spark, sf_dir):
     return whole.join(missing, ["stock_id", "date"]).agg(F.count("*").alias("n"), F.max(F.abs(F.col("a") - F.col("b"))).alias("largest"))
 
 
+_BUYS, _SELLS = [0.8, 0.82, 0.84, 0.86, 0.88, 0.9, 0.92, 0.94, 0.96, 0.98], [0.1, 0.2, 0.3, 0.4, 0.5]
+
+
+@query(f"""WITH {BARS}, {SCORES}, p AS (SELECT b.stock_id, b.date, b.open, s.score FROM bars b LEFT JOIN score s USING (stock_id, date)), g AS MATERIALIZED (SELECT *, row_number() OVER ({q.PART}) AS i, count(*) OVER (PARTITION BY stock_id) AS n FROM p),
+x AS (SELECT unnest([{", ".join(f"{v}::DOUBLE" for v in _SELLS)}]) AS sell), y AS (SELECT unnest([{", ".join(f"{v}::DOUBLE" for v in _BUYS)}]) AS buy),
+d AS (SELECT g.*, sell, min(CASE WHEN score <= sell THEN i END) OVER (PARTITION BY sell, stock_id ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 250 FOLLOWING) AS fd, lead(open) OVER (PARTITION BY sell, stock_id ORDER BY date) AS no FROM g, x),
+t AS (SELECT sell, d.stock_id, d.score, z.open / no - 1 AS ret FROM d JOIN g z ON z.stock_id = d.stock_id AND z.i = coalesce(least(fd, least(d.i + 250, d.n - 1)), least(d.i + 250, d.n - 1)) + 1 WHERE d.score >= 0.8::DOUBLE AND d.i <= d.n - 2 AND no > 0)
+SELECT buy, sell, count(*) AS n, avg((ret > 0)::INT) AS win_rate, {exact_sql("ret")} / count(*) AS avg_return FROM t, y WHERE score >= buy AND buy > sell GROUP BY buy, sell""")
+def threshold_grid(spark, sf_dir):
+    """Ten buying by five selling thresholds over the same bars."""
+    prices = bars(spark, sf_dir)
+    panel = prices.select("stock_id", "date", "open").join(scores(prices), ["stock_id", "date"], "left")
+    trades = sim.score_grid(panel, _BUYS, _SELLS)
+    return trades.groupBy("buy", "sell").agg(F.count("*").alias("n"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate"), (exact(F.col("ret")) / F.count("*")).alias("avg_return"))
+
+
+#: The named chart patterns as conditions on feature columns. Stored features are floats: bounds lie a hair beyond theirs.
+NAMED = {
+    "bull_ma": "bull_3ma_1d = 1", "bear_ma": "bear_3ma_1d = 1", "bb_squeeze": "CAST(bb_width_rank AS DOUBLE) <= 0.1500001", "bb_upper_break": "bb_upper_break_1d = 1", "macd_top_div": "macd_top_div = 1", "macd_bot_div": "macd_bot_div = 1",
+    "kd_golden_oversold": "kd_golden_1d = 1 AND k_oversold = 1", "rsi_overbought": "rsi_overbought_1d = 1", "rsi_oversold_rebound": "rsi_oversold_rebound = 1", "vol_breakout": "vol_breakout = 1", "new_high_60": "is_new_high_60 = 1", "ma_squeeze": "CAST(ma_squeeze AS DOUBLE) <= 0.0200001",
+    "foreign_consec_buy": "foreign_consec_buy_1d = 1", "foreign_trust_align": "foreign_trust_align_1d = 1", "inst_heavy_buy": "institutional_10d >= 100", "inst_heavy_sell": "institutional_10d <= -100", "absorb_stall": "absorb_stall_10d = 1",
+    "margin_rising": "margin_slope_5d > 0", "margin_falling": "margin_slope_5d < 0", "rel_momentum_strong": "rel_ramom_20_60 >= 1", "rel_momentum_weak": "rel_ramom_20_60 <= -1", "rel_amount_surge": "rel_amt_20 >= 2",
+    "rel_rsi_extreme_high": "CAST(rel_pct_rsi_14_250 AS DOUBLE) >= 0.8999999", "rel_rsi_extreme_low": "CAST(rel_pct_rsi_14_250 AS DOUBLE) <= 0.1000001", "rel_near_high": "rel_dist_high_60_atr >= -1",
+}
+LINES = {
+    "triangle_dry": "tl_is_triangle = 1 AND tl_triangle_vol_dry = 1", "triangle": "tl_is_triangle = 1", "resist_break_vol": "tl_resist_break = 1 AND tl_break_vol >= 1.5", "resist_break_novol": "tl_resist_break = 1 AND NOT coalesce(tl_break_vol >= 1.5, false)",
+    "support_break": "tl_support_break = 1", "false_breaks": "tl_false_breaks_20d >= 2", "above_vh1": "is_above_vh1 = 1", "below_vl1": "is_below_vl1 = 1", "channel_top": "tl_channel_pos BETWEEN 0.8 AND 1.05", "channel_bottom": "tl_channel_pos BETWEEN -0.05 AND 0.2",
+}
+_NAMED_FROM = ("ordered_means", "bollinger_family", "macd_family", "kd_family", "rsi_family", "volume_family", "momentum_family", "chip_family", "self_relative_family", "self_percentile_family", "true_range_family", "ma_features")
+
+
+def _named(rows: DataFrame, conditions: dict[str, str]) -> list[Column]:
+    return [flag(F.expr(c)).alias(n) for n, c in conditions.items()]
+
+
+@query("NAMED_")
+def named_patterns(spark, sf_dir):
+    """The named patterns of means, bands, oscillators, volume, chips and self-relation, a flag each."""
+    from .registry import QUERIES
+
+    rows = bars(spark, sf_dir).select("stock_id", "date")
+    for name in _NAMED_FROM:
+        rows = rows.join(QUERIES[name](spark, sf_dir), ["stock_id", "date"], "left")
+    return rows.select("stock_id", "date", *_named(rows, NAMED))
+
+
+@query()
+def line_patterns(spark, sf_dir):
+    """The named patterns of trend lines and volume pivots."""
+    from .registry import QUERIES
+
+    rows = QUERIES["trendline_family"](spark, sf_dir).join(QUERIES["swing_family"](spark, sf_dir), ["stock_id", "date"])
+    return rows.select("stock_id", "date", *_named(rows, LINES))
+
+
 def _finish() -> None:
     """The SQL of the level queries is put together here, from that of the swing pivots."""
     from .registry import SQL
@@ -535,6 +590,8 @@ def _finish() -> None:
     joins = " ".join(f"LEFT JOIN ({SQL[name]}) USING (stock_id, date)" for name in _MERGED)
     SQL["merged_families"] = f"""WITH {BARS}, m AS (SELECT * FROM (SELECT stock_id, date FROM bars) {joins} LEFT JOIN ({SQL["market_family"]}) USING (date)), g AS ({growth})
 SELECT m.*, g.* EXCLUDE (stock_id, announce_date) FROM m ASOF LEFT JOIN g ON m.stock_id = g.stock_id AND m.date >= g.announce_date"""
+    joins = " ".join(f"LEFT JOIN ({SQL[name]}) USING (stock_id, date)" for name in _NAMED_FROM)
+    SQL["named_patterns"] = f"WITH {BARS} SELECT stock_id, date, {', '.join(f'{q.flag(c)} AS {n}' for n, c in NAMED.items())} FROM (SELECT stock_id, date FROM bars) {joins}"
     SQL["nearest_levels"] = f"""SELECT stock_id, date, target, stop, (target - close) / nullif(close - stop, 0) AS risk_reward, {q.flag("(target - close) / nullif(close - stop, 0) >= 1.5::DOUBLE")} AS good
 FROM (SELECT stock_id, date, close, min(CASE WHEN price > close THEN price END) AS target, max(CASE WHEN price <= close THEN price END) AS stop FROM ({levels}) GROUP BY ALL)"""
 

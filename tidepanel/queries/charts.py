@@ -11,6 +11,7 @@ from ..operators.joins import latest
 from ..sources.panel import BARS, SCORES, bars, scores
 from . import registry as q
 from .registry import query
+from .simulation import exact, exact_sql
 
 TAIL = f"t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stock_id ORDER BY date DESC) AS back FROM bars) WHERE back <= 120)"
 
@@ -83,21 +84,21 @@ def level_clusters(spark, sf_dir):
     return df.groupBy("stock_id", "cluster").agg(F.min("close").alias("low"), F.max("close").alias("high"), F.count("*").alias("members"))
 
 
-@query(f"""WITH {BARS}, {SCORES} SELECT date, count(*) AS total, sum((score >= 0.97)::BIGINT)::BIGINT AS hits, sum((score >= 0.97)::BIGINT)::DOUBLE / count(*) AS density, CASE WHEN sum((score >= 0.97)::BIGINT)::DOUBLE / count(*) >= 0.04 THEN 'many' WHEN sum((score >= 0.97)::BIGINT)::DOUBLE / count(*) >= 0.01 THEN 'some' ELSE 'few' END AS verdict FROM score WHERE score IS NOT NULL GROUP BY date""")
+@query(f"""WITH {BARS}, {SCORES} SELECT date, count(*) AS total, sum((score >= 0.97)::BIGINT)::BIGINT AS hits, sum((score >= 0.97)::BIGINT)::DOUBLE / count(*) AS density, CASE WHEN sum((score >= 0.97)::BIGINT)::DOUBLE / count(*) >= 0.002::DOUBLE THEN 'many' WHEN sum((score >= 0.97)::BIGINT)::DOUBLE / count(*) >= 0.0008::DOUBLE THEN 'some' ELSE 'few' END AS verdict FROM score WHERE score IS NOT NULL GROUP BY date""")
 def signal_density(spark, sf_dir):
     hits = F.sum((F.col("score") >= 0.97).cast("long"))
     df = scores(bars(spark, sf_dir)).where("score is not null").groupBy("date").agg(F.count("*").alias("total"), hits.alias("hits"))
     density = F.col("hits") / F.col("total")
-    return df.select("date", "total", "hits", density.alias("density"), F.when(density >= 0.04, "many").when(density >= 0.01, "some").otherwise("few").alias("verdict"))
+    return df.select("date", "total", "hits", density.alias("density"), F.when(density >= 0.002, "many").when(density >= 0.0008, "some").otherwise("few").alias("verdict"))
 
 
 @query(f"""WITH {BARS}, r AS (SELECT date, {q.lead("close", 5)} / close - 1 AS ret, ({q.lead("close", 20)} IS NOT NULL) AS resolved FROM bars), b AS (SELECT year(date)::VARCHAR || CASE WHEN month(date) <= 6 THEN 'H1' ELSE 'H2' END AS half, ret, resolved FROM r)
-SELECT half, sum(resolved::BIGINT)::BIGINT AS trades, sum((NOT resolved)::BIGINT)::BIGINT AS open_trades, avg(CASE WHEN resolved THEN (ret > 0)::INT END) AS win_rate, coalesce(avg(CASE WHEN resolved THEN (ret > 0)::INT END) >= 0.5, false)::INT AS passed FROM b GROUP BY half""")
+SELECT half, sum(resolved::BIGINT)::BIGINT AS trades, sum((NOT resolved)::BIGINT)::BIGINT AS open_trades, avg(CASE WHEN resolved THEN (ret > 0)::INT END) AS win_rate, coalesce(avg(CASE WHEN resolved THEN (ret > 0)::INT END) >= 0.8::DOUBLE, false)::INT AS passed FROM b GROUP BY half""")
 def halfyear_summary(spark, sf_dir):
     df = bars(spark, sf_dir).select("date", (F.try_divide(w.lead(F.col("close"), 5), F.col("close")) - 1).alias("ret"), w.lead(F.col("close"), 20).isNotNull().alias("resolved"))
     half = F.concat(F.year("date").cast("string"), F.when(F.month("date") <= 6, "H1").otherwise("H2"))
     win = F.avg(F.when(F.col("resolved"), (F.col("ret") > 0).cast("int")))
-    return df.groupBy(half.alias("half")).agg(F.sum(F.col("resolved").cast("long")).alias("trades"), F.sum((~F.col("resolved")).cast("long")).alias("open_trades"), win.alias("win_rate"), flag(win >= 0.5).alias("passed"))
+    return df.groupBy(half.alias("half")).agg(F.sum(F.col("resolved").cast("long")).alias("trades"), F.sum((~F.col("resolved")).cast("long")).alias("open_trades"), win.alias("win_rate"), flag(win >= 0.8).alias("passed"))
 
 
 PATTERNS = {
@@ -125,12 +126,12 @@ def pattern_hits(spark, sf_dir):
     return _hits(spark, sf_dir).drop("ret20")
 
 
-STATS = "count(*) AS n, avg((ret20 > 0)::INT) AS win_rate, median(ret20)::FLOAT AS median_ret, sum(floor(ret20 * 1e6)::BIGINT)::DOUBLE / count(*) / 1e6 AS mean_ret"
+STATS = f"count(*) AS n, avg((ret20 > 0)::INT) AS win_rate, median(ret20)::FLOAT AS median_ret, {exact_sql('ret20')} / count(*) AS mean_ret"
 
 
 def _stats():
     ret = F.col("ret20")
-    return [F.count("*").alias("n"), F.avg((ret > 0).cast("int")).alias("win_rate"), F.percentile(ret, F.lit(0.5)).cast("float").alias("median_ret"), (F.sum(F.floor(ret * 1e6)) / F.count("*") / 1e6).alias("mean_ret")]
+    return [F.count("*").alias("n"), F.avg((ret > 0).cast("int")).alias("win_rate"), F.percentile(ret, F.lit(0.5)).cast("float").alias("median_ret"), (exact(ret) / F.count("*")).alias("mean_ret")]
 
 
 @query(f"WITH {WIDE}, u AS (UNPIVOT (SELECT ret20, {', '.join(PATTERNS)} FROM hits WHERE ret20 IS NOT NULL) ON {', '.join(PATTERNS)} INTO NAME pattern VALUE hit) SELECT pattern, {STATS}, (count(*) >= 30)::INT AS conclusive FROM u WHERE hit = 1 GROUP BY pattern")
