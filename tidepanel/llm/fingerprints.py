@@ -24,14 +24,18 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def signatures(texts: DataFrame, keys: list[str], text_column: str, samples: int = SAMPLES) -> DataFrame:
-    """keys -> print: 4 hexadecimal digits a sample, from the sample of smallest rank; texts without a word give no row.
+def signatures(texts: DataFrame, keys: list[str], text_column: str, samples: int = SAMPLES, carried: str | None = None) -> DataFrame:
+    """keys -> print: 4 hexadecimal digits a sample, from the sample of smallest rank; '' for texts without a word.
 
-    Rows must already be unique by keys. Both aggregations are by the keys first, so where the
-    input is partitioned by them nothing moves.
+    Rows must already be unique by keys. All aggregations are by the keys first, so where the
+    input is partitioned by some of them nothing moves. A carried string comes along on one row a
+    text, beside those of its words, and is a column of the result.
     """
-    runs = texts.select(*keys, F.explode(word_hashes(F.col(text_column))).alias("x")).groupBy(*keys, "x").agg(F.count("*").alias("w"))
-    runs = runs.select(*keys, "x", F.ln(F.col("w").cast("double")).alias("lw"))
+    word = F.explode_outer(word_hashes(F.col(text_column)) if carried is None else F.array_append(word_hashes(F.col(text_column)), F.lit(None).cast("long"))).alias("x")
+    more = [] if carried is None else ["more"]
+    runs = texts.select(*keys, *[F.col(carried).alias("more") for _ in more], word)
+    runs = runs.select(*keys, *[F.when(F.col("x").isNull(), F.col(m)).alias(m) for m in more], "x").groupBy(*keys, *more, "x").agg(F.count("*").alias("w"))
+    runs = runs.select(*keys, *more, "x", F.ln(F.col("w").cast("double")).alias("lw"))
     low_bits = (1 << 32) - 1
 
     def uniform(h: Column, shift: int, bits: int) -> Column:
@@ -46,14 +50,15 @@ def signatures(texts: DataFrame, keys: list[str], text_column: str, samples: int
         t = F.floor(F.col("lw") / r + b)
         rank = F.least(c * F.exp(-r * (t - b + 1.0)) * float(1 << 27), F.lit(float((1 << 31) - 1))).cast("long")
         mark = F.col("x").bitwiseXOR(F.shiftleft(t, 16))
-        return F.min(F.shiftleft(rank, 32).bitwiseOR(mark.bitwiseAND(low_bits))).alias(f"s{j}")
+        return F.min(F.when(F.col("x").isNotNull(), F.shiftleft(rank, 32).bitwiseOR(mark.bitwiseAND(low_bits)))).alias(f"s{j}")
 
     width = min(samples, SAMPLES_A_ROW)
     sets = runs.withColumn("q", F.explode(F.array(*[F.lit(2 * width * i) for i in range(samples // width)])))
-    minima = sets.groupBy(*keys, "q").agg(*[sample(j) for j in range(width)])
+    minima = sets.groupBy(*keys, *more, "q").agg(*[sample(j) for j in range(width)])
     digits = [F.lpad(F.lower(F.hex(F.shiftrightunsigned(f"s{j}", 16).bitwiseAND(0xFFFF))), 4, "0") for j in range(width)]
-    parts = minima.select(*keys, F.struct("q", F.concat(*digits).alias("digits")).alias("part"))
-    return parts.groupBy(*keys).agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list("part")), lambda p: p["digits"])).alias("print"))
+    parts = minima.select(*keys, *more, F.struct("q", F.concat(*digits).alias("digits")).alias("part"))
+    whole = F.concat_ws("", F.transform(F.array_sort(F.collect_list("part")), lambda p: p["digits"])).alias("print")
+    return parts.groupBy(*keys).agg(whole, *[F.max(m).alias(carried) for m in more])
 
 
 def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
@@ -96,15 +101,15 @@ def fingerprint_documents(documents: DataFrame, id_column: str = "doc_id", text_
     wanted = order.select(F.col("next").alias("doc"), F.col("doc").alias("asker"), F.floor(F.col("n_chars") / 4).cast("int").alias("need"))
     lent = base.join(wanted.hint("shuffle_merge"), "doc").select(F.col("asker").alias("doc"), "need", F.expr("substring(text, 1, need)").alias("head"))
     both = base.join(lent.hint("shuffle_merge"), "doc").withColumn("edited", F.expr("concat(substring(text, 1, char_length(text) - need), head)"))
-    variants = both.select("doc", F.explode(F.array(F.struct(F.lit(0).alias("variant"), F.col("text").alias("t")), F.struct(F.lit(1).alias("variant"), F.col("edited").alias("t")))).alias("v"))
-    found = signatures(variants.select("doc", "v.variant", "v.t"), ["doc", "variant"], "t", samples)
+    sha = F.sha2("edited", 256).alias("edited_sha256")
+    texts = F.array(F.struct(F.lit(0).alias("variant"), F.lit("").alias("edited_sha256"), F.col("text").alias("t")), F.struct(F.lit(1).alias("variant"), sha, F.col("edited").alias("t")))
+    # the digest goes along, so that the texts are read and cut once for both
+    found = signatures(both.select("doc", F.explode(texts).alias("v")).select("doc", "v.*"), ["doc", "variant"], "t", samples, "edited_sha256")
     prints, print_path = written(found, "prints")
-    edits, edit_path = written(both.select("doc", F.sha2("edited", 256).alias("edited_sha256")), "edits")
     own = prints.where("variant = 0").select("doc", F.col("print").alias("fingerprint"))
-    edited = prints.where("variant = 1").select("doc", F.col("print").alias("edited_fingerprint"))
+    edited = prints.where("variant = 1").select("doc", "edited_sha256", F.col("print").alias("edited_fingerprint"))
     following = own.select(F.col("doc").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
-    rows = order.join(edits, "doc").join(own, "doc", "left").join(edited, "doc", "left").join(following, "next", "left")
-    rows = rows.fillna("", ["fingerprint", "edited_fingerprint", "next_fingerprint"])
+    rows = order.join(edited, "doc").join(own, "doc").join(following, "next")
     return rows.select(
         F.col("doc").alias(id_column), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint", samples).alias("near_edited"), likeness("fingerprint", "next_fingerprint", samples).alias("near_next"),
