@@ -50,7 +50,7 @@ def signatures(texts: DataFrame, keys: list[str], text_column: str, samples: int
         t = F.floor(F.col("lw") / r + b)
         rank = F.least(c * F.exp(-r * (t - b + 1.0)) * float(1 << 27), F.lit(float((1 << 31) - 1))).cast("long")
         mark = F.col("x").bitwiseXOR(F.shiftleft(t, 16))
-        return F.min(F.when(F.col("x").isNotNull(), F.shiftleft(rank, 32).bitwiseOR(mark.bitwiseAND(low_bits)))).alias(f"s{j}")
+        return F.min(F.shiftleft(rank, 32).bitwiseOR(mark.bitwiseAND(low_bits))).alias(f"s{j}")  # null where x is: no condition, so that what r is made of is computed once
 
     width = min(samples, SAMPLES_A_ROW)
     sets = runs.withColumn("q", F.explode(F.array(*[F.lit(2 * width * i) for i in range(samples // width)])))
