@@ -68,11 +68,8 @@ def membership_place(column: str, log_bits: int = 24) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << log_bits))
 
 
-def membership_bits(ids: DataFrame, column: str, log_bits: int = 24) -> np.ndarray:
-    """A bit map of 2**log_bits bits, 2 MiB by default whatever the table's size, that has the bit of every value.
-
-    Tasks fill 64 Ki bits each; other values may share a bit, so the map only rules out.
-    """
+def bit_map(places: DataFrame, column: str, log_bits: int) -> np.ndarray:
+    """A map of 2**log_bits bits that has the bits named in a column of places; tasks fill 64 Ki bits each."""
 
     def fill(batches):
         for group in sorted_groups(batches, 1):
@@ -80,14 +77,22 @@ def membership_bits(ids: DataFrame, column: str, log_bits: int = 24) -> np.ndarr
             bits[group["bit"].to_numpy()] = 1
             yield pa.record_batch([pa.array([group["shard"][0].as_py()]), pa.array([np.packbits(bits, bitorder="little").tobytes()])], names=["shard", "bits"])
 
-    place = membership_place(column, log_bits)
-    rows = ids.select(F.shiftright(place, 16).alias("shard"), place.bitwiseAND(0xFFFF).alias("bit")).distinct()
+    place = F.col(column)
+    rows = places.select(F.shiftright(place, 16).alias("shard"), place.bitwiseAND(0xFFFF).alias("bit")).distinct()
     out = np.zeros((1 << log_bits) // 8, np.uint8)
     for row in rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(fill, "shard long, bits binary").toLocalIterator():
         out[row["shard"] << 13 : (row["shard"] + 1) << 13] = np.frombuffer(row["bits"], np.uint8)
     return out
 
 
+def membership_bits(ids: DataFrame, column: str, log_bits: int = 24) -> np.ndarray:
+    """A bit map of 2**log_bits bits, 2 MiB by default whatever the table's size, that has the bit of every value.
+
+    Other values may share a bit, so the map only rules out.
+    """
+    return bit_map(ids.select(membership_place(column, log_bits).alias("place")), "place", log_bits)
+
+
 def id_remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo divisor; null for a null id."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(divisor))

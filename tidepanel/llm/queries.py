@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, jaccard, langid, licenses, lm, mixing, packing, tokens, warc
+from . import embeddings, fingerprints, jaccard, langid, licenses, lm, mixing, packing, phrases, resampling, tokens, urls, warc
 from .common import id_remainder, read_table
 
 
@@ -62,10 +62,23 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(read_table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(read_table(spark, sf_dir, "pages"), urls.RULES).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_token_counts, op2_fingerprints, op3_warc_archives, op4_embedding_duplicates, op5_language_id,
         op6_packing, op7_license_scan, op8_lm_scores, op9_source_mix, op10_ngram_jaccard,
+        op11_phrases, op12_url_filter, op13_resampling,
     )
     return {f.__name__: f for f in found}
 
@@ -79,4 +92,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN '
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_archives": OP3_SQL, "op9_source_mix": mixing.ORACLE_SQL, "op10_ngram_jaccard": jaccard.ORACLE_SQL}
+    return {"op3_warc_archives": OP3_SQL, "op9_source_mix": mixing.ORACLE_SQL, "op10_ngram_jaccard": jaccard.ORACLE_SQL, "op11_phrases": phrases.ORACLE_SQL, "op12_url_filter": urls.ORACLE_SQL}

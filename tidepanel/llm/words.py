@@ -80,12 +80,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, block: int = 1 << 18) ->
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.concatenate(([0], np.cumsum(counts)))
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, rows, hashes): where each word begins, the rows' offsets in the words, and the words' hashes."""
+def hashed_words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, rows, hashes): where each word begins, the rows' offsets in the words, and the words' hashes.
+
+    apart tells of each of the 256 bytes whether it stands between words.
+    """
     none = np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), np.zeros(0, np.uint64)
     if len(data) == 0:
         return none
-    inside = ~_SPACE[data]
+    inside = ~apart[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = offsets[1:-1]
@@ -112,3 +115,46 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(width):
         acc = (acc * _BASE + words[j : n - width + 1 + j]) ^ (acc >> np.uint64(29))
     return mix(acc)
+
+
+def _words_back(data: np.ndarray, start: int, at: int, apart: np.ndarray, k: int) -> tuple[int, int]:
+    """Where the k-th last word before `at` begins, not before `start`, and how many words that takes in."""
+    reach = 256
+    while True:
+        low = max(start, at - reach)
+        gap = apart[data[low:at]]
+        begins = np.flatnonzero(~gap & np.concatenate(([low == start], gap[:-1])))
+        if len(begins) >= k:
+            return low + int(begins[-k]), k
+        if low == start:
+            return (start + int(begins[0]), len(begins)) if len(begins) else (at, 0)
+        reach *= 8
+
+
+def text_blocks(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray, context: int, block: int = 1 << 21):
+    """Rows in pieces of about `block` bytes: (first row, end row, bytes, offsets of the rows in them, words seen before).
+
+    A longer row comes in several pieces that end between words; each but its first begins with up to
+    `context` words of the piece before, whose number is the last item. A word is never cut.
+    """
+    i = 0
+    while i < len(offsets) - 1:
+        start, end = int(offsets[i]), int(offsets[i + 1])
+        if end - start <= block:
+            j = max(i + 1, int(np.searchsorted(offsets, start + block, "right")) - 1)
+            yield i, j, data[start : offsets[j]], offsets[i : j + 1] - start, 0
+            i = j
+            continue
+        at = begin = start
+        seen = 0
+        while at < end:
+            stop, reach = min(at + block, end), 1 << 12
+            while stop < end:
+                gaps = np.flatnonzero(apart[data[stop : min(stop + reach, end)]])
+                stop, reach = (stop + int(gaps[0]), 0) if len(gaps) else (min(stop + reach, end), reach * 4)
+                if reach == 0:
+                    break
+            yield i, i + 1, data[begin:stop], np.array([0, stop - begin]), seen
+            begin, seen = _words_back(data, start, stop, apart, context)
+            at = stop
+        i += 1
