@@ -26,7 +26,7 @@ _APART = _BREAK.copy()
 _APART[[9, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-HELD = 1 << 20  # n-grams that a task holds before it counts them
+HELD = 1 << 19  # n-grams that a task holds before it counts them
 #: What a bigram of the frontier can be: one that may be in the result, or whose extensions may be.
 KINDS = ["contender", "prefix", "suffix"]
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -46,7 +46,7 @@ def _blocks(batch: pa.RecordBatch, seed: int):
     langs = batch.column(1).fill_null("und").to_pylist()
     salts = _salts(langs, seed)
     data, offsets = text_bytes(batch.column(0))
-    for i, _, piece, at, seen in text_blocks(data, offsets, _APART, 2, 1 << 19):
+    for i, _, piece, at, seen in text_blocks(data, offsets, _APART, 2, 1 << 18):
         starts, rows, hashes = hashed_words(piece, at, _APART)
         if len(starts):
             row = np.repeat(np.arange(len(at) - 1), np.diff(rows)) + i
