@@ -62,6 +62,23 @@ def score_grid(panel: DataFrame, buys: list[float], sells: list[float], most: in
     return trades.select(F.explode(pairs).alias("buy"), "sell", "stock_id", "ret")
 
 
+def cap_grid(panel: DataFrame, buy: float, sell: float, caps: list[int]) -> DataFrame:
+    """score_exit for several caps of held bars in one job: (max_hold, stock_id, ret).
+
+    The first score at or below `sell` within the longest cap serves all; a shorter cap ends the trade if it comes before.
+    """
+    w = line()
+    df = panel.withColumn("i", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("stock_id")))
+    df = df.withColumn("down", F.when(F.col("score") <= sell, F.col("i"))).withColumn("next_open", F.lead("open").over(w))
+    df = df.withColumn("first_down", F.min("down").over(w.rowsBetween(1, max(caps))))
+    signals = df.where((F.col("score") >= buy) & (F.col("i") <= F.col("n") - 2) & (F.col("next_open") > 0))
+    signals = signals.select("stock_id", "i", "n", "next_open", "first_down", F.explode(F.array(*map(F.lit, caps))).alias("max_hold"))
+    limit = F.least(F.col("i") + F.col("max_hold"), F.col("n") - 1)
+    signals = signals.withColumn("sell_at", F.least(F.coalesce("first_down", limit), limit) + 1)
+    sales = df.select("stock_id", F.col("i").alias("sell_at"), F.col("open").alias("sell_price"))
+    return signals.join(sales, ["stock_id", "sell_at"]).select("max_hold", "stock_id", (F.col("sell_price") / F.col("next_open") - 1).alias("ret"))
+
+
 def rule_exit(open_: np.ndarray, close: np.ndarray, average: np.ndarray, entry: int, take_profit: float | None, stop_loss: float | None, trail: tuple[float, float] | None, most: int | None) -> tuple[int, str] | None:
     """Bar and reason at which a position bought at open_[entry] ends, by closes from the entry bar on.
 
@@ -159,12 +176,11 @@ def performance(trades: DataFrame, total: Callable[[Column], Column] = F.sum) ->
 def running_sums(points: DataFrame, by: str, columns: list[str], falling: bool, buckets: int = 256) -> DataFrame:
     """Add `_before_c` for each column: its sum over all rows before a row by `by`, whose values are distinct.
 
-    Rows are dealt to buckets of equal width between the least and largest value; sums run inside a bucket,
-    and a bucket's start is the running sum over one row per bucket. No window holds all rows.
+    Rows are dealt to buckets by approximate quantiles of the values, so that crowded values part too; sums run
+    inside a bucket, and a bucket's start is the running sum over one row per bucket. No window holds all rows.
     """
-    ends = F.broadcast(points.agg(F.min(by).alias("_low"), F.max(by).alias("_high")))
-    place = F.floor(F.try_divide(F.col(by) - F.col("_low"), F.col("_high") - F.col("_low")) * (buckets - 1))
-    rows = points.crossJoin(ends).withColumn("_bucket", F.coalesce(place, F.lit(0)).cast("int")).drop("_low", "_high")
+    cuts = F.broadcast(points.agg(F.percentile_approx(by, [k / buckets for k in range(1, buckets)], 100 * buckets).alias("_cuts")))
+    rows = points.crossJoin(cuts).withColumn("_bucket", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(by))), F.lit(0))).drop("_cuts")
     order = (lambda c: F.col(c).desc()) if falling else F.col
     whole = rows.groupBy("_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in columns])
     earlier = Window.orderBy(order("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -208,6 +224,18 @@ def track_position(panel: DataFrame, positions: DataFrame, stop_loss: float, arm
     """
     held = positions.join(panel.select("stock_id", "date", "close"), "stock_id").where("date >= buy_date and close is not null")
     state = held.groupBy("stock_id", "buy_date", "buy_price").agg(F.max("close").alias("peak"), F.max_by("close", "date").alias("last"), F.count("*").cast("int").alias("bars"))
+    return position_status(state, stop_loss, arm, give_back)
+
+
+def position_status(state: DataFrame, stop_loss: float, arm: float, give_back: float) -> DataFrame:
+    """Return, trailing stop and whether it is reached, from each position's price, peak, last close and number of bars."""
     armed = F.col("peak") / F.col("buy_price") - 1 >= arm
     stop = F.when(armed, F.col("peak") * (1 - give_back)).otherwise(F.col("buy_price") * (1 - stop_loss))
     return state.select("stock_id", "buy_date", "bars", (F.col("last") / F.col("buy_price") - 1).alias("ret"), "peak", armed.cast("int").alias("armed"), stop.alias("stop_price"), (F.col("last") <= stop).cast("int").alias("out"))
+
+
+def holding_status(watched: DataFrame, scores: DataFrame, sell: float) -> DataFrame:
+    """Watched ids with their last known score: 'sell' at or below the threshold, else 'hold', 'no score' without one; gap is the way to the threshold."""
+    last = scores.where("score is not null").groupBy("stock_id").agg(F.max("date").alias("date"), F.max_by("score", "date").alias("score"))
+    status = F.when(F.col("score").isNull(), "no score").when(F.col("score") <= sell, "sell").otherwise("hold")
+    return watched.select("stock_id").join(last, "stock_id", "left").select("stock_id", "date", "score", status.alias("status"), (F.col("score") - sell).alias("gap"))

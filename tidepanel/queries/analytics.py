@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, gate, ratio
+from ..operators import conditions
 from ..operators import simulation as sim
 from ..operators import windows as w
 from ..operators.joins import asof_backward
-from ..plans import pivots
+from ..plans import candles, pivots
 from ..sources.panel import BARS, FLOWS, INDEX, REVENUE, SCORES, bars, flows, index_bars, revenue, scores, table
+from ..sources.tables import stored
 from . import registry as q
 from .families import between, floats, own_rank, streak_out, streaks
 from .registry import query
@@ -40,16 +42,18 @@ SELECT target, n, threshold, win_rate FROM x WHERE k = 1""")
 def curve_at_counts(spark, sf_dir):
     """The point of the threshold curve nearest to each of three counts."""
     curve = sim.threshold_curve(_scored(spark, sf_dir), "score", "fwd")
-    near = [curve.select(F.struct(F.abs(F.col("n") - t).alias("off"), "n", "threshold", "win_rate").alias("at")).agg(F.min("at").alias("at")).where("at is not null").select(F.lit(t).alias("target"), "at.n", "at.threshold", "at.win_rate") for t in (100, 1000, 10000)]
-    return reduce(DataFrame.unionByName, near)
+    targets = F.explode(F.array(*map(F.lit, (100, 1000, 10000)))).alias("target")
+    near = curve.select(targets, "*").select("target", F.struct(F.abs(F.col("n") - F.col("target")).alias("off"), "n", "threshold", "win_rate").alias("at"))
+    return near.groupBy("target").agg(F.min("at").alias("at")).select("target", "at.n", "at.threshold", "at.win_rate")
 
 
 @query(f"""WITH {FWD}, {_CURVE}, t AS (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE, 0.97::DOUBLE]) AS asked) SELECT asked, min(threshold) AS threshold, arg_min(n, threshold) AS n, arg_min(wins::DOUBLE / n, threshold) AS win_rate FROM t, c WHERE threshold >= asked AND n >= 40 GROUP BY asked""")
 def curve_at_thresholds(spark, sf_dir):
     """The curve at the smallest threshold that is not below the asked one."""
     curve = sim.threshold_curve(_scored(spark, sf_dir), "score", "fwd")
-    rows = [curve.where(F.col("threshold") >= t).agg(F.min("threshold").alias("threshold"), F.min_by("n", "threshold").alias("n"), F.min_by("win_rate", "threshold").alias("win_rate")).where("n is not null").select(F.lit(t).alias("asked"), "*") for t in (0.5, 0.9, 0.97)]
-    return reduce(DataFrame.unionByName, rows)
+    asked = F.explode(F.filter(F.array(*map(F.lit, (0.5, 0.9, 0.97))), lambda t: t <= F.col("threshold"))).alias("asked")
+    least = curve.select(asked, "threshold", "n", "win_rate").groupBy("asked").agg(F.min(F.struct("threshold", "n", "win_rate")).alias("at"))
+    return least.select("asked", "at.threshold", "at.n", "at.win_rate")
 
 
 @query(f"""WITH {T20}, h AS (SELECT year(buy_date)::INT AS y, count(*) AS n, avg((ret > 0)::INT) AS wr FROM trades GROUP BY 1)
@@ -63,12 +67,12 @@ def overall_stats(spark, sf_dir):
     return whole.crossJoin(F.broadcast(years))
 
 
-@query(f"""WITH {T20}, e AS (SELECT min(ret) AS lo, max(ret) AS hi FROM trades) SELECT least(floor((ret - lo) / nullif(hi - lo, 0) * 30), 29)::INT AS bin, count(*) AS n FROM trades, e GROUP BY 1""")
+@query(f"""WITH {T20}, e AS (SELECT min(ret) AS lo, max(ret) AS hi FROM trades) SELECT coalesce(least(floor((ret - lo) / nullif(hi - lo, 0) * 30), 29), 0)::INT AS bin, count(*) AS n FROM trades, e GROUP BY 1""")
 def return_histogram(spark, sf_dir):
     """Counts of trades in 30 bins of equal width."""
     trades = _trades(spark, sf_dir)
     ends = F.broadcast(trades.agg(F.min("ret").alias("lo"), F.max("ret").alias("hi")))
-    place = F.least(F.floor(F.try_divide(F.col("ret") - F.col("lo"), F.col("hi") - F.col("lo")) * 30), F.lit(29)).cast("int")
+    place = F.coalesce(F.least(F.floor(F.try_divide(F.col("ret") - F.col("lo"), F.col("hi") - F.col("lo")) * 30), F.lit(29)), F.lit(0)).cast("int")
     return trades.crossJoin(ends).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
 
 
@@ -124,12 +128,13 @@ def recommendations(spark, sf_dir):
     return rows.select("stock_id", "date", "score", "close", (F.col("close") * 0.98).alias("band_low"), (F.col("close") * 1.02).alias("band_high"), "name").orderBy(F.col("score").desc(), "stock_id").limit(20)
 
 
-@query(f"""WITH {BARS}, {SCORES}, l AS (SELECT stock_id, max(date) AS date, arg_max(score, date) AS score, count(*) AS bars_ FROM score WHERE score IS NOT NULL GROUP BY stock_id)
-SELECT stock_id, date, score, CASE WHEN score <= 0.2::DOUBLE THEN 'sell' WHEN bars_ >= 250 THEN 'cap reached' ELSE 'hold' END AS status FROM l""")
+@query(f"""WITH {BARS}, {SCORES}, w AS (SELECT s_suppkey AS stock_id FROM supplier WHERE s_nationkey < 20 UNION ALL SELECT -1), o AS (SELECT stock_id, date, score, row_number() OVER (PARTITION BY stock_id ORDER BY date DESC) AS k FROM score WHERE score IS NOT NULL)
+SELECT w.stock_id, o.date, o.score, CASE WHEN o.score IS NULL THEN 'no score' WHEN o.score <= 0.2::DOUBLE THEN 'sell' ELSE 'hold' END AS status, o.score - 0.2::DOUBLE AS gap FROM w LEFT JOIN o ON o.stock_id = w.stock_id AND o.k = 1""")
 def holding_status(spark, sf_dir):
-    """Each entity's last score against the selling threshold, and the cap of 250 bars."""
-    last = scores(bars(spark, sf_dir)).where("score is not null").groupBy("stock_id").agg(F.max("date").alias("date"), F.max_by("score", "date").alias("score"), F.count("*").alias("held"))
-    return last.select("stock_id", "date", "score", F.when(F.col("score") <= 0.2, "sell").when(F.col("held") >= 250, "cap reached").otherwise("hold").alias("status"))
+    """Each watched entity's last score against the selling threshold and the way to it; one without any score is listed too (here -1)."""
+    watched = table(spark, sf_dir, "supplier").where("s_nationkey < 20").select(F.col("s_suppkey").alias("stock_id"))
+    watched = watched.union(spark.createDataFrame([(-1,)], "stock_id long"))
+    return sim.holding_status(watched, scores(bars(spark, sf_dir)), 0.2)
 
 
 @query(f"""WITH {BARS}, {SCORES} SELECT s.date, s.stock_id, s.score, b.close, sup.s_name AS name FROM score s LEFT JOIN bars b USING (stock_id, date) LEFT JOIN supplier sup ON sup.s_suppkey = s.stock_id
@@ -143,9 +148,12 @@ def signal_page(spark, sf_dir):
     return rows.select("date", "stock_id", "score", "close", "name").orderBy(F.col("date").desc(), F.col("score").desc(), "stock_id").limit(3000)
 
 
-@query(f"""WITH {BARS}, {SCORES}, v AS (SELECT stock_id, date, CASE WHEN fwd IS NOT NULL THEN fwd END AS fwd20, m FROM (SELECT stock_id, date, {q.lead("close", 20)} / nullif(close, 0) - 1 AS fwd, close / nullif({q.lag("close", 60)}, 0) - 1 AS m FROM bars)),
-k AS (SELECT stock_id, date, CASE WHEN m IS NOT NULL THEN (rank() OVER (PARTITION BY date ORDER BY m NULLS LAST) + (count(m) OVER (PARTITION BY date, m) - 1) / 2.0::DOUBLE) / count(m) OVER (PARTITION BY date) END AS slow FROM v)
-SELECT stock_id, date, score AS fast, slow, fwd20 FROM v JOIN score USING (stock_id, date) JOIN k USING (stock_id, date) WHERE score IS NOT NULL OR slow IS NOT NULL""")
+def _share(x: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN (rank() OVER (PARTITION BY date ORDER BY {x} NULLS LAST) + (count({x}) OVER (PARTITION BY date, {x}) - 1) / 2.0::DOUBLE) / count({x}) OVER (PARTITION BY date) END"
+
+
+@query(f"""WITH {BARS}, m AS (SELECT stock_id, date, close / {q.lag("close", 20)} - 1 AS r20, close / nullif({q.lag("close", 60)}, 0) - 1 AS r60, {q.lead("close", 20)} / nullif(close, 0) - 1 AS fwd20 FROM bars),
+k AS (SELECT stock_id, date, {_share("r20")} AS fast, {_share("r60")} AS slow, fwd20 FROM m) SELECT stock_id, date, fast, slow, fwd20 FROM k WHERE fast IS NOT NULL OR slow IS NOT NULL""")
 def model_scores_wide(spark, sf_dir):
     """Two models' scores side by side, from one long table of (model, score), with the return of the next 20 bars."""
     prices = bars(spark, sf_dir)
@@ -577,6 +585,81 @@ def line_patterns(spark, sf_dir):
     rows = QUERIES["trendline_family"](spark, sf_dir).join(QUERIES["swing_family"](spark, sf_dir), ["stock_id", "date"])
     return rows.select("stock_id", "date", *_named(rows, LINES))
 
+#: The groups in which conditions are tried, and where each leans. Conditions of no list are of the first group and lean nowhere.
+_CHIPS = ("foreign_consec_buy", "foreign_trust_align", "inst_heavy_buy", "inst_heavy_sell", "absorb_stall", "margin_rising", "margin_falling")
+_BULLISH = ("bull_ma", "bb_upper_break", "macd_bot_div", "kd_golden_oversold", "rsi_oversold_rebound", "vol_breakout", "new_high_60", "foreign_consec_buy", "foreign_trust_align", "inst_heavy_buy", "absorb_stall", "margin_falling", "rel_momentum_strong", "rel_rsi_extreme_low", "rel_near_high")
+_BEARISH = ("bear_ma", "macd_top_div", "rsi_overbought", "inst_heavy_sell", "margin_rising", "rel_momentum_weak", "rel_rsi_extreme_high")
+_CANDLES = sorted(candles.columns())
+_ALL = [*NAMED, *[f"{c}_{side}" for c in _CANDLES for side in ("up", "down")]]
+_LEAST_ALONE, _LEAST_JOINT, _STRONG, _EVEN = 30, 100, 0.03, 0.01
+
+
+def _group(name: str) -> int:
+    """Chart patterns, candles, chips, relative strength."""
+    return 1 if name.startswith("cdl") else 2 if name in _CHIPS else 3 if name.startswith("rel_") else 0
+
+
+def _lean(name: str) -> int:
+    return 1 if name in _BULLISH or name.endswith("_up") else -1 if name in _BEARISH or name.endswith("_down") else 0
+
+
+@query("JOINT_")
+def joint_verdicts(spark, sf_dir):
+    """For each entity's last bar, of 147 conditions those that hold, tried by group and then the most frequent first, joined as
+    long as 100 bars of history have them all; how often those won against all bars, and where that leans."""
+    from .registry import QUERIES
+
+    close = F.col("close")
+    prices = bars(spark, sf_dir)
+    ahead = prices.select("stock_id", "date", (F.try_divide(w.lead(close, 21), w.lead(close)) - 1).alias("ret20"))
+    sides = [((F.col(c) > 0) if side == "up" else (F.col(c) < 0)).cast("int").alias(f"{c}_{side}") for c in _CANDLES for side in ("up", "down")]
+    signs = QUERIES["candle_family"](spark, sf_dir).select("stock_id", "date", *sides)
+    rows = QUERIES["named_patterns"](spark, sf_dir).join(signs, ["stock_id", "date"]).join(ahead, ["stock_id", "date"])
+    rows, _ = stored(rows, "conditions")
+    index, _ = stored(conditions.bit_index(rows, _ALL, "ret20"), "bit-index")
+    alone = conditions.single_counts(index, _ALL)
+    order = sorted((i for i, c in enumerate(_ALL) if alone.get(c, 0) >= _LEAST_ALONE), key=lambda i: (_group(_ALL[i]), -alone[_ALL[i]], i))
+    hits = F.array_compact(F.array(*[F.when(F.col(_ALL[i]) == 1, i) for i in order]).cast("array<int>")).alias("members")
+    total = lambda sign: sum((F.col(c) for c in _ALL if _lean(c) == sign), F.lit(0)).alias("bullish" if sign > 0 else "bearish")
+    last = rows.groupBy("stock_id").agg(F.max_by(F.struct("date", *_ALL), "date").alias("row")).select("stock_id", "row.*")
+    last = last.select("stock_id", "date", hits, total(1), total(-1))
+    found = conditions.greedy_conjunctions(index, last, _LEAST_JOINT)
+    base = rows.where("ret20 is not null").agg(F.avg((F.col("ret20") > 0).cast("int")).alias("base"))
+    joined = last.join(found, "members", "left").crossJoin(F.broadcast(base))
+    rate = ratio(F.col("wins"), F.col("n"))
+    edge = rate - F.col("base")
+    verdict = F.when(edge.isNull(), "no verdict").when(edge >= _STRONG, "strong").when(edge >= _EVEN, "slight").when(edge <= -_STRONG, "weak").when(edge <= -_EVEN, "slightly weak").otherwise("as usual")
+    names = F.array(*map(F.lit, _ALL))
+    used = F.concat_ws(",", F.transform(F.coalesce("chosen", F.array().cast("array<int>")), lambda i: F.get(names, i)))
+    return joined.select("stock_id", "date", used.alias("used"), F.col("n").alias("n20"), rate.alias("win_rate"), verdict.alias("verdict"), conditions.tone(edge, F.col("bullish"), F.col("bearish"), _EVEN).alias("tone"), "bullish", "bearish")
+
+
+def _joint_sql(named: str, candle: str, steps: int = 40) -> str:
+    """The same choice with the conditions as bits of three numbers, a table for each step."""
+    part = 49
+    holds = {c: f"n.{c} = 1" if c in NAMED else f"c.{c.rpartition('_')[0]} {'>' if c.endswith('_up') else '<'} 0" for c in _ALL}
+    masks = ", ".join("(" + " + ".join(f"coalesce({holds[c]}, false)::BIGINT * {1 << (i % part)}" for i, c in enumerate(_ALL) if i // part == m) + f") AS m{m}" for m in range(3))
+    rows = ", ".join(f"({i}, '{c}', {_group(c)}, {_lean(c)}, {1 << i % part if i // part == 0 else 0}::BIGINT, {1 << i % part if i // part == 1 else 0}::BIGINT, {1 << i % part if i // part == 2 else 0}::BIGINT)" for i, c in enumerate(_ALL))
+    within = lambda x, y: " AND ".join(f"({x}.m{m} & {y}{m}) = {y}{m}" for m in range(3))
+    sql = f"""WITH {BARS}, r AS (SELECT stock_id, date, {q.lead("close", 21)} / nullif({q.lead("close")}, 0) - 1 AS ret20 FROM bars),
+f AS MATERIALIZED (SELECT n.stock_id, n.date, r.ret20, {masks} FROM ({named}) n JOIN ({candle}) c ON c.stock_id = n.stock_id AND c.date = n.date JOIN r ON r.stock_id = n.stock_id AND r.date = n.date),
+k AS MATERIALIZED (SELECT m0, m1, m2, count(*) AS n, sum((ret20 > 0)::BIGINT) AS wins FROM f WHERE ret20 IS NOT NULL GROUP BY ALL),
+names(bit, name, grp, lean, b0, b1, b2) AS (VALUES {rows}),
+single AS (SELECT bit, grp, name, b0, b1, b2, sum(k.n) AS n FROM names, k WHERE {within("k", "b")} GROUP BY ALL HAVING sum(k.n) >= {_LEAST_ALONE}),
+l AS MATERIALIZED (SELECT stock_id, max(date) AS date, arg_max(m0, date) AS m0, arg_max(m1, date) AS m1, arg_max(m2, date) AS m2 FROM f GROUP BY stock_id),
+leans AS (SELECT stock_id, count(*) FILTER (lean = 1)::INT AS bullish, count(*) FILTER (lean = -1)::INT AS bearish FROM l LEFT JOIN names ON {within("l", "b")} GROUP BY stock_id),
+o AS MATERIALIZED (SELECT stock_id, name, b0, b1, b2, row_number() OVER (PARTITION BY stock_id ORDER BY grp, n DESC, bit) AS step FROM l JOIN single ON {within("l", "b")}),
+s0 AS (SELECT stock_id, 0::BIGINT AS a0, 0::BIGINT AS a1, 0::BIGINT AS a2, ''::VARCHAR AS used, NULL::BIGINT AS n, NULL::BIGINT AS wins FROM l),"""
+    for k in range(1, steps + 1):
+        sql += f"""
+t{k} AS MATERIALIZED (SELECT s.*, o.name, s.a0 | o.b0 AS b0, s.a1 | o.b1 AS b1, s.a2 | o.b2 AS b2 FROM s{k - 1} s LEFT JOIN o ON o.stock_id = s.stock_id AND o.step = {k}),
+c{k} AS (SELECT t.stock_id, sum(k.n)::BIGINT AS n, sum(k.wins)::BIGINT AS wins FROM t{k} t, k WHERE t.name IS NOT NULL AND {within("k", "t.b")} GROUP BY t.stock_id HAVING sum(k.n) >= {_LEAST_JOINT}),
+s{k} AS MATERIALIZED (SELECT t.stock_id, {", ".join(f"CASE WHEN c.n IS NULL THEN a{m} ELSE b{m} END AS a{m}" for m in range(3))}, CASE WHEN c.n IS NULL THEN used WHEN used = '' THEN name ELSE used || ',' || name END AS used, coalesce(c.n, t.n) AS n, coalesce(c.wins, t.wins) AS wins FROM t{k} t LEFT JOIN c{k} c ON c.stock_id = t.stock_id),"""
+    return sql + f"""
+e AS (SELECT s.stock_id, l.date, used, n, wins::DOUBLE / n AS win_rate, wins::DOUBLE / n - (SELECT sum(wins)::DOUBLE / sum(n) FROM k) AS edge, bullish, bearish FROM s{steps} s JOIN l ON l.stock_id = s.stock_id JOIN leans x ON x.stock_id = s.stock_id)
+SELECT stock_id, date, used, n AS n20, win_rate, CASE WHEN edge IS NULL THEN 'no verdict' WHEN edge >= {_STRONG}::DOUBLE THEN 'strong' WHEN edge >= {_EVEN}::DOUBLE THEN 'slight' WHEN edge <= -{_STRONG}::DOUBLE THEN 'weak' WHEN edge <= -{_EVEN}::DOUBLE THEN 'slightly weak' ELSE 'as usual' END AS verdict,
+CASE WHEN edge >= {_EVEN}::DOUBLE THEN 'bullish' WHEN edge <= -{_EVEN}::DOUBLE THEN 'bearish' WHEN edge IS NOT NULL OR bullish = bearish THEN 'neutral' WHEN bullish > bearish THEN 'bullish' ELSE 'bearish' END AS tone, bullish, bearish FROM e"""
+
 
 def _finish() -> None:
     """The SQL of the level queries is put together here, from that of the swing pivots."""
@@ -592,6 +675,7 @@ def _finish() -> None:
 SELECT m.*, g.* EXCLUDE (stock_id, announce_date) FROM m ASOF LEFT JOIN g ON m.stock_id = g.stock_id AND m.date >= g.announce_date"""
     joins = " ".join(f"LEFT JOIN ({SQL[name]}) USING (stock_id, date)" for name in _NAMED_FROM)
     SQL["named_patterns"] = f"WITH {BARS} SELECT stock_id, date, {', '.join(f'{q.flag(c)} AS {n}' for n, c in NAMED.items())} FROM (SELECT stock_id, date FROM bars) {joins}"
+    SQL["joint_verdicts"] = _joint_sql(SQL["named_patterns"], SQL["candle_family"])
     SQL["nearest_levels"] = f"""SELECT stock_id, date, target, stop, (target - close) / nullif(close - stop, 0) AS risk_reward, {q.flag("(target - close) / nullif(close - stop, 0) >= 1.5::DOUBLE")} AS good
 FROM (SELECT stock_id, date, close, min(CASE WHEN price > close THEN price END) AS target, max(CASE WHEN price <= close THEN price END) AS stop FROM ({levels}) GROUP BY ALL)"""
 

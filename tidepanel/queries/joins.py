@@ -13,7 +13,6 @@ from . import registry as q
 from .registry import query
 
 DAY = "TIMESTAMP '1996-01-01'"
-POSITIONS = f"""pos AS (SELECT stock_id, date AS buy_date, {q.lead("date", 10)} AS sell_date FROM (SELECT *, row_number() OVER ({q.PART}) AS i FROM bars) WHERE i % 40 = 1)"""
 
 
 @query(f"""WITH {BARS}, {REVENUE} SELECT b.stock_id, b.date, b.close, r.revenue, r.revenue_month, r.revenue_year FROM bars b ASOF LEFT JOIN rev r ON b.stock_id = r.stock_id AND b.date >= r.announce_date""")
@@ -30,32 +29,20 @@ def ffill_fundamental(spark, sf_dir):
     return j.forward_filled(bars(spark, sf_dir).select("stock_id", "date").join(values, ["stock_id", "date"], "left"), ["per"])
 
 
-@query(f"""WITH {BARS}, {ACTIONS} SELECT b.stock_id, b.date, (coalesce(exp(sum(ln(ca.ratio))), 1))::FLOAT AS factor FROM bars b LEFT JOIN ca ON ca.stock_id = b.stock_id AND ca.date > b.date AND b.date >= TIMESTAMP '1998-06-01'
-WHERE b.date >= TIMESTAMP '1998-06-01' GROUP BY b.stock_id, b.date""")
+@query(f"""WITH {BARS}, {ACTIONS}, j AS (SELECT b.stock_id, b.date, coalesce(ca.ratio, 1) AS ratio FROM bars b LEFT JOIN ca ON ca.stock_id = b.stock_id AND ca.date = b.date)
+SELECT stock_id, date, coalesce(product(ratio) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 1)::FLOAT AS factor FROM j""")
 def range_adjust_factor(spark, sf_dir):
-    prices = bars(spark, sf_dir).select("stock_id", "date", "close")
-    adjusted = j.later_product(prices, actions(prices))
-    return adjusted.where("date >= timestamp_ntz'1998-06-01 00:00:00'").select("stock_id", "date", F.col("factor").cast("float").alias("factor"))
-
-
-@query()
-def range_adjust_factor_all(spark, sf_dir):
-    """The factor of every bar; a range join in SQL is too slow for all, so tests hold it against brute force."""
+    """The product of all later ratios of every bar; in the SQL, whose actions lie on bars, a window over them."""
     prices = bars(spark, sf_dir).select("stock_id", "date", "close")
     return j.later_product(prices, actions(prices)).select("stock_id", "date", F.col("factor").cast("float").alias("factor"))
 
 
-@query(f"""WITH {BARS}, {POSITIONS}, days AS (SELECT DISTINCT date FROM bars) SELECT d.date, count(*) AS held, min(stock_id) AS first_id, max(buy_date) AS last_buy FROM pos JOIN days d ON buy_date <= d.date AND (sell_date IS NULL OR d.date < sell_date) GROUP BY d.date""")
+@query(f"""WITH {BARS}, pos AS (SELECT stock_id, date AS buy_date, {q.lead("date", 10)} AS sell_date FROM bars), moves AS (SELECT buy_date AS date, count(*) AS k FROM pos GROUP BY 1 UNION ALL SELECT sell_date, -count(*) FROM pos WHERE sell_date IS NOT NULL GROUP BY 1),
+days AS (SELECT date, sum(k) AS k FROM moves GROUP BY date), firsts AS (SELECT first_date AS date, min(stock_id) AS id FROM (SELECT stock_id, min(date) AS first_date FROM bars GROUP BY stock_id) GROUP BY 1)
+SELECT date, (sum(k) OVER w)::BIGINT AS held, min(id) OVER w AS first_id, date AS last_buy FROM days LEFT JOIN firsts USING (date) WINDOW w AS (ORDER BY date ROWS UNBOUNDED PRECEDING)""")
 def interval_holdings(spark, sf_dir):
-    prices = bars(spark, sf_dir).select("stock_id", "date")
-    chosen = prices.withColumn("i", F.row_number().over(w.line())).where("i % 40 = 1")
-    positions = chosen.select("stock_id", F.col("date").alias("buy_date"), F.lead("date", 10).over(w.line()).alias("sell_date"))
-    return _holdings(positions, prices)
-
-
-@query()
-def interval_holdings_all(spark, sf_dir):
-    """Holdings where every bar opens a position; a range join in SQL is too slow for all, so tests hold it against brute force."""
+    """Holdings where every bar opens a position for ten bars. The SQL counts purchases less sales; as an entity once bought is
+    never without a position, and every day has a purchase, the least id and the last purchase follow from the first bars."""
     prices = bars(spark, sf_dir).select("stock_id", "date")
     return _holdings(prices.select("stock_id", F.col("date").alias("buy_date"), F.lead("date", 10).over(w.line()).alias("sell_date")), prices)
 

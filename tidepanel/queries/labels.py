@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import labels as lb
 from ..operators import windows as w
 from ..operators.recursive import per_entity
+from ..sources import incremental
 from ..sources.panel import BARS, bars
+from ..sources.tables import shared_folder
 from . import registry as q
 from .registry import query
 
@@ -31,6 +35,25 @@ def label_mdd10(spark, sf_dir):
     return _rises(spark, sf_dir).select("stock_id", "date", lb.shallow_drawdown(F.col("close"), F.col("up")).alias("label")).dropna(subset=["label"])
 
 
+def _two_labels(prices):
+    """Both labels of bars, which look 20 rows ahead and one back."""
+    up = (F.col("close") > w.lag(F.col("close"))).cast("int")
+    df = prices.select("stock_id", "date", "close", up.alias("up"))
+    return df.select("stock_id", "date", lb.up_days(F.col("close"), F.col("up")).alias("label_up20"), lb.shallow_drawdown(F.col("close"), F.col("up")).alias("label_mdd10"))
+
+
+@query(f"WITH {RISES} SELECT stock_id, date, CASE WHEN {FULL} THEN ({UP20})::INT END AS label_up20, CASE WHEN {FULL} THEN ({UP20} AND {q.ahead('min', 'close', 1, 20)} / close - 1 > -0.1::DOUBLE)::INT END AS label_mdd10 FROM u")
+def labels_by_tail(spark, sf_dir):
+    """Labels of a table that grows by four increments, each of which computes only the months that its bars can change."""
+    prices = bars(spark, sf_dir).select("stock_id", "date", "close")
+    base = f"{shared_folder(spark)}/tail-{uuid.uuid4().hex}"
+    for start, stop in (("1992", "1996"), ("1996", "1998"), ("1998", "2000"), ("2000", "2100")):
+        new = prices.where(F.col("date").between(F.lit(f"{start}-01-01").cast("timestamp_ntz"), F.lit(f"{stop}-01-01").cast("timestamp_ntz") - F.expr("interval 1 microsecond")))
+        incremental.upsert_months(spark, f"{base}/bars", new, ["stock_id", "date"])
+        incremental.recompute_tail(spark, f"{base}/bars", new.schema, f"{base}/labels", new.select("stock_id", "date"), _two_labels, 20, 1)
+    return spark.read.parquet(f"{base}/labels").drop("month")
+
+
 @query(f"""WITH {RISES}, a AS (SELECT *, close / {q.lag("close")} - 1 AS r FROM u), b AS (SELECT *, {q.lead("close", 20)} / close - 1 AS fwd, {q.roll("stddev_samp", "r", 20)} AS sd, (close > ma20)::INT AS above FROM a)
 SELECT stock_id, date, label FROM (SELECT stock_id, date, (fwd > greatest(1.5::DOUBLE * sd * sqrt(20), 0.05::DOUBLE) AND {q.ahead("sum", "above", 1, 20)} >= 10)::INT AS label, {q.ahead("count", "above", 1, 20)} AS n, sd FROM b) WHERE n = 20 AND sd IS NOT NULL""")
 def label_steady20(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import medians
 from ..operators import simulation as sim
 from ..operators import windows as w
 from ..sources.panel import BARS, SCORES, bars, scores
@@ -39,7 +40,17 @@ def _trades(spark, sf_dir, most=20):
     return sim.score_exit(_panel(spark, sf_dir), 0.97, 0.2, most)
 
 
-@query(f"WITH {T20} SELECT * FROM trades")
+#: The trades without a join: what a signal's row sees at its sale, by the number of rows ahead.
+TRADE_LIST = f"""{BARS}, {SCORES}, p AS (SELECT b.stock_id, b.date, b.open, s.score FROM bars b LEFT JOIN score s ON s.stock_id = b.stock_id AND s.date = b.date),
+g AS (SELECT stock_id, date, open, score, row_number() OVER ({q.PART}) AS i, count(*) OVER (PARTITION BY stock_id) AS n FROM p),
+d AS (SELECT stock_id, date, score, i, n, least(i + 20, n - 1) AS most, min(CASE WHEN score <= 0.2::DOUBLE THEN i END) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING) AS fd,
+ list(date) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING) AS dates, list(open) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING) AS opens FROM g),
+e AS (SELECT stock_id, date, dates, opens, i, CASE WHEN fd <= most THEN fd ELSE most END - i + 1 AS k, CASE WHEN fd <= most THEN 'score' WHEN i + 20 <= n - 1 THEN 'max_hold' ELSE 'data_end' END AS exit_reason
+ FROM d WHERE score >= 0.97::DOUBLE AND i <= n - 2 AND opens[1] > 0)
+SELECT stock_id, date AS signal_date, dates[1] AS buy_date, dates[k] AS sell_date, opens[1] AS buy_price, opens[k] AS sell_price, opens[k] / opens[1] - 1 AS ret, (k - 1)::INT AS hold, exit_reason FROM e"""
+
+
+@query(f"WITH {TRADE_LIST}")
 def score_exit_trades(spark, sf_dir):
     return _trades(spark, sf_dir)
 
@@ -111,6 +122,12 @@ def threshold_curve(spark, sf_dir):
     return sim.threshold_curve(_scored(spark, sf_dir), "score", "fwd", total=exact).withColumn("avg_return", F.round("avg_return", 7))
 
 
+@query(f"""WITH {FWD}, c AS (SELECT DISTINCT score AS threshold, count(*) OVER w AS n, median(floor(fwd * 1e9::DOUBLE)) OVER w AS med_return FROM r WINDOW w AS (ORDER BY score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT threshold, n, med_return FROM c WHERE n >= 40""")
+def median_curve(spark, sf_dir):
+    """The threshold curve's running median return, in billionths rounded down, whose medians are exact."""
+    return medians.threshold_medians(_scored(spark, sf_dir).withColumn("nano", F.floor(F.col("fwd") * 1e9)), "score", "nano")
+
+
 @query(f"""WITH {FWD}, g AS (SELECT score, count(*) AS k, sum((fwd > 0)::BIGINT)::BIGINT AS pos FROM r GROUP BY score), a AS (SELECT *, coalesce(sum(k) OVER w, 0) AS k0, coalesce(sum(pos) OVER w, 0) AS p0, sum(k) OVER () AS n, sum(pos) OVER () AS p FROM g WINDOW w AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 s AS (SELECT sum((k0 + (k + 1) / 2.0::DOUBLE) * pos)::DOUBLE AS r, sum(floor((pos * (p - p0))::DOUBLE / (n - k0)::DOUBLE * 1e9::DOUBLE + 0.5::DOUBLE)::BIGINT)::DOUBLE / 1e9::DOUBLE AS precise, max(p)::BIGINT AS p, max(n)::BIGINT AS n FROM a)
 SELECT n, p AS n_positive, (r - p * (p + 1) / 2.0::DOUBLE) / (p * (n - p))::DOUBLE AS auc, precise / p AS pr_auc, precise / p / (p::DOUBLE / n) AS pr_lift FROM s""")
@@ -144,9 +161,9 @@ def entry_patterns(spark, sf_dir):
 
 @query(" UNION ALL ".join(f"(WITH {TRADES.format(most=m)} SELECT {m} AS max_hold, count(*) AS n, avg((ret > 0)::INT) AS win_rate FROM trades)" for m in (5, 10, 20)))
 def swing_grid(spark, sf_dir):
-    """A grid of holding caps, each its own simulation over the same panel."""
-    parts = [_trades(spark, sf_dir, m).agg(F.lit(m).alias("max_hold"), F.count("*").alias("n"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate")) for m in (5, 10, 20)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """A grid of holding caps in one job over the same panel."""
+    trades = sim.cap_grid(_panel(spark, sf_dir), 0.97, 0.2, [5, 10, 20])
+    return trades.groupBy("max_hold").agg(F.count("*").alias("n"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate"))
 
 
 @query(f"""WITH {BARS}, p AS (SELECT stock_id, min(date) AS buy_date, arg_min(close, date) AS buy_price FROM bars WHERE date >= TIMESTAMP '1998-06-01' GROUP BY stock_id),

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..sources.panel import BARS, bars
+from ..sources.tables import shared_folder
 from ..streaming import bars as streams
+from ..streaming import positions
 from . import registry as q
-from .registry import query
+from .registry import SQL, query
+from .simulation import TRADE_LIST, _panel
 
 
 @query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, sum(floor(value * 100)::BIGINT)::BIGINT AS cents, max(value) AS high, min(value) AS low FROM events GROUP BY ALL")
@@ -36,3 +41,42 @@ def incremental_equals_full(spark, sf_dir):
 SELECT user_id, count(*) AS events, (max(i) - max(CASE WHEN event_type = 'purchase' THEN i END))::BIGINT AS since FROM a GROUP BY user_id""")
 def stateful_days_since(spark, sf_dir):
     return streams.since_event(spark, sf_dir, "purchase")
+
+
+_SCHEMA = "stock_id long, date timestamp, open double, close double, score double, buy_price double"
+_YEARS = ("1992-01-01", "1996-06-01", "1998-01-01", "1999-09-01", "2100-01-01")
+
+
+def _runs(rows, folder, run):
+    """Hand rows to a stream in four files and start it anew after each: of the days before a cut every seventh row comes
+    with the file after, as much as 20 days late. A last row of an id of its own moves the watermark past all others."""
+    spark = rows.sparkSession
+    rows = rows.withColumn("date", F.col("date").cast("timestamp"))
+    late = F.pmod(F.xxhash64("stock_id", "date"), F.lit(7)) == 0
+    seen = F.when(late, F.col("date") + F.expr("interval 20 days")).otherwise(F.col("date"))
+    end = rows.agg((F.max("date") + F.expr("interval 100 days")).alias("date")).withColumn("stock_id", F.lit(-1).cast("long"))
+    columns = [c.split()[0] for c in _SCHEMA.split(", ")]
+    whole = lambda df: df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("double").alias(c) for c in columns])
+    for start, stop in zip(_YEARS, _YEARS[1:]):
+        piece = whole(rows.where(seen.between(F.lit(start).cast("timestamp"), F.lit(stop).cast("timestamp") - F.expr("interval 1 microsecond"))))
+        last = stop == _YEARS[-1]
+        (piece.unionByName(whole(end)) if last else piece).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        run(positions.bar_stream(spark, f"{folder}/in", _SCHEMA, "30 days"))
+
+
+@query(f"WITH {TRADE_LIST}")
+def streamed_score_exit(spark, sf_dir):
+    """score_exit_trades by a stream of bars that stops and starts three times and gets late bars."""
+    folder = f"{shared_folder(spark)}/exits-{uuid.uuid4().hex}"
+    _runs(_panel(spark, sf_dir), folder, lambda stream: positions.run_score_exits(stream, 0.97, 0.2, 20, folder))
+    return positions.score_trades(spark, folder)
+
+
+@query(SQL["position_tracker"])
+def streamed_positions(spark, sf_dir):
+    """position_tracker by a stream of purchases and bars."""
+    folder = f"{shared_folder(spark)}/positions-{uuid.uuid4().hex}"
+    prices = bars(spark, sf_dir).select("stock_id", "date", "close")
+    bought = prices.where("date >= timestamp_ntz'1998-06-01 00:00:00'").groupBy("stock_id").agg(F.min("date").alias("date"), F.min_by("close", "date").alias("buy_price"))
+    _runs(prices.unionByName(bought, allowMissingColumns=True), folder, lambda stream: positions.run_tracker(stream, folder))
+    return positions.tracked_positions(spark, folder, 0.2, 0.15, 0.1)

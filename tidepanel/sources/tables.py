@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -15,7 +16,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or one without a file
             raise
         return spark.createDataFrame([], schema)
 
@@ -31,15 +32,40 @@ def keep_last(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(last)).where("_rank = 1").drop("_order", "_rank")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, a new one in local mode, else an error."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-shared-"))
+    return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """df written into the shared folder and read again, which cuts its lineage, and its path."""
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_stored(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        fs, p = _filesystem(spark, path)
+        fs.delete(p, True)
+
+
 def _filesystem(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write df beside the table at path and move it into place: readers find the old table or the new one, never half of one.
+    """Write df beside the table at path and move it into place, so that no reader finds half a table.
 
-    A run that ends between the two moves leaves the whole new table beside the path; recover_table finishes it.
+    Between the two moves there is no table at path for a moment. A run that ends then leaves the whole new
+    table beside the path; recover_table finishes it.
     """
     spark = df.sparkSession
     fs, target = _filesystem(spark, path)

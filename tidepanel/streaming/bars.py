@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
 from ..operators.windows import mean
+from ..sources.tables import shared_folder
 
 
 def _summaries() -> list:
@@ -45,8 +45,7 @@ def event_stream(spark: SparkSession, sf_dir: str, late: str = "10 minutes") ->
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def drained(spark: SparkSession, sf_dir: str, bars: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
