@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.llm import jaccard, langid, mixing, packing
-from tidepanel.llm.common import drop_intermediates, fresh, read_table, written
+from tidepanel.llm.common import drop_written, fresh, intermediates, read_table, written
 
 
 def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -22,7 +22,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id stays, as one row; rows without an id stay."""
+    """Of each group of near copies the document of the smallest id stays, as one row; rows without an id stay.
+
+    Null and empty texts have no shingles and stay; rows that repeat an id become the one with the least text; an empty table gives no rows.
+    """
     groups = jaccard.near_duplicate_groups(docs)
     gone = groups.where("component_id <> doc_id").select("doc_id")
     kept = docs.join(gone, "doc_id", "left_anti")
@@ -33,12 +36,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeat or go so that their sources come near the target weights; one without an id is known by its text."""
+    """Documents repeat or go so that their sources come near the target weights; one without an id is known by its text.
+
+    A null or empty text has no words and stays as it is; an empty table gives no rows.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the training sequences."""
+    """The pieces of the training sequences. A null text is its end token alone, repeated rows are documents of their own, an empty table gives no rows."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -51,10 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The stages in turn over documents. Each stage's rows are stored, then the tables that it made and its input are dropped;
+    what the last stage made stays, as the result reads it."""
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        with intermediates() as made:
+            docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs, path = written(docs, f"stage-{name}")
-            drop_intermediates(spark, path)
+            drop_written(spark, *before, *made)
+            before = [path]
     return docs

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from tidepanel.llm import embeddings, fingerprints, jaccard, langid, licenses, lm, mixing, packing, tokens, warc  # noqa: E402
+from tidepanel.llm import embeddings, fingerprints, jaccard, langid, licenses, lm, mixing, packing, resampling, tokens, warc  # noqa: E402
 from tidepanel.llm.components import connected_components  # noqa: E402
 from tidepanel.llm.words import text_bytes, word_hashes  # noqa: E402
 
@@ -708,3 +708,36 @@ def test_very_long_texts(spark):
     assert prints[1].near_next == 1.0 and prints[1].n_chars == len(long)
     sp = tokens._processor(public_tokenizers.path("piece_bpe_32k.model"))
     assert by_id(tokens.token_counts(table, public_tokenizers.path("piece_bpe_32k.model")))[1].n_tokens == len(sp.encode(long))
+
+
+def test_pipeline_drops_its_own_tables_only(spark, sf_dir, tmp_path):
+    """Another operator's result stays readable, the stages' tables go, and a rerun and an empty table give the same and nothing."""
+    import os
+
+    import corpus_pipeline
+    from tidepanel.llm.common import shared_dir
+
+    def tables():
+        root = shared_dir(spark).removeprefix("file:")
+        return {f for f in os.listdir(root)} if os.path.isdir(root) else set()
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    docs.orderBy("doc_id").limit(80).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string"))).write.parquet(f"{tmp_path}/some/documents.parquet")
+    kept = resampling.resample(docs.limit(50), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    before = tables()
+    first = sorted(map(tuple, corpus_pipeline.run(spark, f"{tmp_path}/some").collect()))
+    left = {t.rsplit("-", 1)[0] for t in tables() - before}
+    assert left <= {"stage-mix", "tokenized"} and kept.count() == 50
+    assert first == sorted(map(tuple, corpus_pipeline.run(spark, f"{tmp_path}/some").collect())) and len(first) > 20
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_cuts_make_ranges_of_like_size(spark):
+    """Ranges follow the bytes, also where a third of the rows are copies, and the sample names the same cuts again."""
+    rng = random.Random(8)
+    rows = [(i, rng.random(), 300, np.array([rng.randint(3, 900) for _ in range(6)] if i % 3 else [5, 6, 7], "<u4").tobytes()) for i in range(3000)]
+    table = spark.createDataFrame([(*r, r[3]) for r in rows], "doc long, salt double, bytes long, ids binary, terms binary").repartition(5)
+    placed = [packing.ordered_by_content(table, 30000).withColumn("part", F.spark_partition_id()).toPandas() for _ in range(2)]
+    assert sorted(placed[0].doc) == list(range(3000)) and placed[0].equals(placed[1])
+    assert placed[0].groupby("part").size().max() <= 600

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,17 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_kept: set[str] = set()  # tables written and not dropped yet
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)  # tables of the innermost intermediates()
+
+
+@contextmanager
+def intermediates() -> Iterator[list[str]]:
+    """Collects the paths of the tables that are written inside, so that their owner can drop them, and no others, once nothing reads them."""
+    token = _made.set([])
+    try:
+        yield _made.get()
+    finally:
+        _made.reset(token)
 
 
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -39,7 +52,8 @@ def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _kept.add(path)
+    if _made.get() is not None:
+        _made.get().append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -48,12 +62,6 @@ def drop_written(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = hadoop(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        _kept.discard(path)
-
-
-def drop_intermediates(spark: SparkSession, *but: str) -> None:
-    """Drop every table that operators have written so far, but for some. Their results read these tables until they are stored."""
-    drop_written(spark, *sorted(_kept.difference(but)))
 
 
 def fresh(df: DataFrame, name: str) -> str:

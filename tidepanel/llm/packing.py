@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -18,6 +19,7 @@ from .words import hashed_words, text_bytes
 
 END = 2
 IDF_POWER = 1.0
+SAMPLE, MOST_SAMPLED = 64, 1 << 20  # documents whose keys cut the order, for each range and in all
 
 
 class WordTokenizer:
@@ -167,11 +169,20 @@ def term_orders(df: np.ndarray, documents: int, seed: int = 29) -> np.ndarray:
     return np.where(df > 1, places, len(df)).astype(np.int64)
 
 
-def first_places(terms: pa.Array, orders: np.ndarray) -> np.ndarray:
-    """The places of each document's first term in both orders; terms are little-endian unsigned 32-bit bytes, one at least."""
-    raw = terms.to_pylist()
-    starts = np.concatenate(([0], np.cumsum([len(r) // 4 for r in raw])[:-1])).astype(np.int64)
-    return np.minimum.reduceat(orders[:, np.frombuffer(b"".join(raw), "<u4")], starts, axis=1)
+def first_places(terms: list[bytes], orders: np.ndarray, most: int = 1 << 20) -> np.ndarray:
+    """The places of each document's first term in both orders; terms are little-endian unsigned 32-bit bytes, one at least.
+
+    Documents are taken together up to about `most` bytes.
+    """
+    ends = np.cumsum([len(r) for r in terms])
+    out = [np.zeros((2, 0), np.int64)]
+    i = 0
+    while i < len(terms):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + most, "right")))
+        starts = np.concatenate(([0], np.cumsum([len(r) // 4 for r in terms[i : j - 1]]))).astype(np.int64)
+        out.append(np.minimum.reduceat(orders[:, np.frombuffer(b"".join(terms[i:j]), "<u4")], starts, axis=1))
+        i = j
+    return np.concatenate(out, axis=1)
 
 
 def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -197,13 +208,8 @@ def _tokenized(documents: DataFrame, tokenizer_path: str, id_column: str, text_c
     return rows.mapInArrow(encode, f"doc {kind}, salt double, bytes long, ids binary, terms binary")
 
 
-def ordered_by_content(tokenized: DataFrame, partition_bytes: int) -> DataFrame:
-    """doc, bytes, ids: documents of the same first terms follow each other, in partitions of about partition_bytes of text.
-
-    Rows are range-partitioned and sorted by the places of their first terms in both orders and then by a
-    salt, so documents that share rare terms lie near each other, and a large group of copies is cut
-    over as many partitions as it fills. The driver holds the terms' document counts, which the vocabulary bounds.
-    """
+def term_counts(tokenized: DataFrame) -> np.ndarray:
+    """In how many documents each term occurs, by term id; the vocabulary bounds it."""
 
     def count(batches):
         seen = np.zeros(0, np.int64)
@@ -217,18 +223,54 @@ def ordered_by_content(tokenized: DataFrame, partition_bytes: int) -> DataFrame:
     counts = tokenized.select("terms").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(max(counts["term"].to_pylist(), default=0) + 1, np.int64)
     df[counts["term"].to_numpy()] = counts["n"].to_numpy()
-    orders = term_orders(df, int(df[END]) if len(df) > END else 0)  # every document has the end token
-    total = tokenized.agg(F.sum("bytes")).first()[0] or 0
+    return df
 
-    def place(batches):
-        for batch in byte_slices(batches, "ids"):
-            first = first_places(batch.column(4), orders)
-            yield pa.record_batch([*batch.columns[:4], pa.array(first[0]), pa.array(first[1])], names=["doc", "salt", "bytes", "ids", "first", "second"])
 
-    kind = tokenized.schema["doc"].dataType.simpleString()
-    placed = tokenized.select("doc", "salt", "bytes", "ids", "terms").mapInArrow(place, f"doc {kind}, salt double, bytes long, ids binary, first long, second long")
-    line = ["first", "second", "salt", "doc"]
-    return placed.repartitionByRange(max(1, -(-total // partition_bytes)), *line).sortWithinPartitions(*line).select("doc", "bytes", "ids")
+def content_key(orders: np.ndarray, cuts: np.ndarray) -> Callable[[str, str], Column]:
+    """(key, range) of a document: a number by which it is sorted, and how many of the cuts don't lie above it.
+
+    The number is the place of the first term in both orders, then 26 bits of the salt. Only terms and salts
+    go through Python; the other columns stay where they are.
+    """
+    bits = max(1, int(orders.max(initial=0)).bit_length())
+
+    def key(terms: pd.Series, salt: pd.Series) -> pd.DataFrame:
+        first = first_places(terms.tolist(), orders)
+        keys = (((first[0] << bits) | first[1]) << 26) | (salt.to_numpy() * (1 << 26)).astype(np.int64)
+        return pd.DataFrame({"key": keys, "range": np.searchsorted(cuts, keys, "right").astype(np.int32)})
+
+    return F.pandas_udf(key, "key long, range int")
+
+
+def ordered_by_content(tokenized: DataFrame, partition_bytes: int) -> DataFrame:
+    """doc, bytes, ids: documents of the same first terms follow each other, in partitions of about partition_bytes of text.
+
+    Documents are dealt to ranges of content_key and sorted by it, so those that share rare terms lie near
+    each other, and a large group of copies is cut over as many ranges as it fills. The cuts come from
+    the documents whose salt, a hash of id and text, is least, some SAMPLE a range and MOST_SAMPLED at most, so
+    a rerun makes the same ranges. The sample reads terms alone, and all ids are read once.
+    """
+    df = term_counts(tokenized)
+    orders = term_orders(df, int(df[END]) if len(df) > END else 0)  # every document has the end token
+    documents, total = tokenized.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    ranges = max(1, -(-total // partition_bytes))
+    cuts = np.zeros(0, np.int64)
+    if ranges > 1:
+        share = min(SAMPLE * ranges, MOST_SAMPLED) / documents
+        sample = tokenized.where(F.col("salt") < share).select(content_key(orders, cuts)("terms", "salt")["key"].alias("key"), "bytes")
+        cuts = _cuts(sample.toArrow(), ranges)
+    at = content_key(orders, cuts)("terms", "salt")
+    placed = tokenized.select("doc", "salt", "bytes", "ids", at.alias("at")).select("doc", "salt", "bytes", "ids", "at.range", "at.key")
+    return placed.repartition(ranges, "range").sortWithinPartitions("range", "key", "salt", "doc").select("doc", "bytes", "ids")
+
+
+def _cuts(sample: pa.Table, ranges: int) -> np.ndarray:
+    """Keys that part the sample into ranges of about equal bytes."""
+    keys = sample["key"].to_numpy()
+    order = np.argsort(keys, kind="stable")
+    sums = np.cumsum(np.maximum(sample["bytes"].to_numpy()[order], 64))
+    at = np.searchsorted(sums, np.arange(1, ranges) * (sums[-1] / ranges if len(sums) else 0))
+    return np.unique(keys[order][np.minimum(at, len(sums) - 1)]) if len(sums) else np.zeros(0, np.int64)
 
 
 def shards(batches: Iterable[pa.RecordBatch], shard_bytes: int) -> Iterator[pa.Table]:
@@ -282,8 +324,8 @@ def pack_documents(
     one sequence short of the window. Padding is not written: a sequence is its pieces.
 
     A null text is empty and holds the end token alone; rows that repeat an id are documents of their
-    own, and so are rows with a null id; an empty table gives no rows. The cuts between partitions come
-    from Spark's sampled ranges, so two runs may put a document into different sequences.
+    own, and so are rows with a null id; an empty table gives no rows. A rerun over the same rows gives the
+    same sequences.
     """
     tokenized, _ = written(_tokenized(documents, tokenizer_path, id_column, text_column), "tokenized")
     names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
