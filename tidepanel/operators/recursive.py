@@ -10,37 +10,25 @@ from pyspark.sql import functions as F
 
 def ewm(x: np.ndarray, alpha: float, least: int = 1) -> np.ndarray:
     """Exponential mean from the first known value on; old weight decays through gaps; null until `least` values."""
-    out, old, weight, seen = np.full(len(x), np.nan), 0.0, 0.0, 0
-    for i, v in enumerate(x.tolist()):
-        if seen:
-            weight *= 1 - alpha
-        if v == v:
-            if not seen:
-                old, weight = v, 1.0
-            else:
-                old = (weight * old + alpha * v) / (weight + alpha)
-                weight = 1.0
-            seen += 1
-        if seen >= least:
-            out[i] = old
-    return out
+    return pd.Series(x).ewm(alpha=alpha, adjust=False, ignore_na=False, min_periods=least).mean().to_numpy()
 
 
-def wilder(x: np.ndarray, n: int) -> np.ndarray:
-    """Wilder's mean: the plain mean of the first n values, then (previous * (n - 1) + value) / n."""
+def seeded(x: np.ndarray, n: int, alpha: float) -> np.ndarray:
+    """The plain mean of the first n values, then old + alpha * (value - old); null before it, and from an unknown value on."""
     out = np.full(len(x), np.nan)
     if len(x) >= n:
-        old = 0.0
-        for v in x[:n].tolist():
-            old += v
-        old /= n
-        out[n - 1] = old
-        for i, v in enumerate(x[n:].tolist(), n):
-            old = (old * (n - 1) + v) / n
-            out[i] = old
+        rest = np.concatenate(([sum(x[:n].tolist()) / n], x[n:]))
+        unknown = np.flatnonzero(np.isnan(rest))
+        stop = int(unknown[0]) if len(unknown) else len(rest)
+        out[n - 1 : n - 1 + stop] = ewm(rest[:stop], alpha)
     return out
 
 
+def wilder(x: np.ndarray, n: int) -> np.ndarray:
+    """Wilder's mean: the plain mean of the first n values, then (previous * (n - 1) + value) / n."""
+    return seeded(x, n, 1 / n)
+
+
 def per_entity(df: DataFrame, columns: list[str], schema: str, compute, entity: str = "stock_id", time: str = "date", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows (entity, time, kept columns, computed columns): compute gets one entity's columns in time order as arrays and returns arrays.
 

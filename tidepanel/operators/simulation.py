@@ -14,8 +14,8 @@ from .windows import line
 TRADE = "stock_id long, signal_date timestamp_ntz, buy_date timestamp_ntz, sell_date timestamp_ntz, buy_price double, sell_price double, ret double, hold int, exit_reason string"
 
 
-def score_exit(panel: DataFrame, buy: float, sell: float, most: int = 250) -> DataFrame:
-    """Every signal's own trade: bought at the next open, sold at the open after the first score at or below `sell`.
+def score_exit(panel: DataFrame, buy: float, sell: float, most: int = 250, signal: Column | None = None) -> DataFrame:
+    """Every signal's own trade (a score of at least `buy`, or what `signal` tells over the panel's columns): bought at the next open, sold at the open after the first score at or below `sell`.
 
     panel: stock_id, date, open, score. Scores that are null decide nothing; the sale comes after `most`
     bars at the latest, and at the last bar where the data end first. No holding blocks another signal.
@@ -31,7 +31,8 @@ def score_exit(panel: DataFrame, buy: float, sell: float, most: int = 250) -> Da
     limit = F.least(F.col("i") + most, F.col("n") - 1)
     out_at = F.coalesce(F.least("first_down", limit), limit)
     reason = F.when(F.col("first_down").isNotNull() & (F.col("first_down") <= limit), "score").when(F.col("i") + most <= F.col("n") - 1, "max_hold").otherwise("data_end")
-    signals = df.where((F.col("score") >= buy) & (F.col("i") <= F.col("n") - 2) & (F.col("next_open") > 0))
+    entry = F.col("score") >= buy if signal is None else signal
+    signals = df.where(entry & (F.col("i") <= F.col("n") - 2) & (F.col("next_open") > 0))
     signals = signals.select("stock_id", F.col("date").alias("signal_date"), F.col("next_date").alias("buy_date"), F.col("next_open").alias("buy_price"), (out_at + 1).alias("sell_at"), reason.alias("exit_reason"), F.col("i"))
     sales = df.select("stock_id", F.col("i").alias("sell_at"), F.col("date").alias("sell_date"), F.col("open").alias("sell_price"))
     trades = signals.join(sales, ["stock_id", "sell_at"])
@@ -239,3 +240,32 @@ def holding_status(watched: DataFrame, scores: DataFrame, sell: float) -> DataFr
     last = scores.where("score is not null").groupBy("stock_id").agg(F.max("date").alias("date"), F.max_by("score", "date").alias("score"))
     status = F.when(F.col("score").isNull(), "no score").when(F.col("score") <= sell, "sell").otherwise("hold")
     return watched.select("stock_id").join(last, "stock_id", "left").select("stock_id", "date", "score", status.alias("status"), (F.col("score") - sell).alias("gap"))
+
+
+def against_peers(trades: DataFrame, peers: DataFrame) -> DataFrame:
+    """trades with n_peers, peer_return (mean) and paired (their difference): the other entities' trades of the same signal date.
+
+    Both have stock_id, signal_date and ret. The mean is the date's sum, in billionths, less the own part, so
+    no pairs are made. Trades without peers, and those whose return is unknown, have null means.
+    """
+    nano = lambda c: F.floor(F.col(c) * 1e9 + 0.5)
+    known = peers.where("ret is not null").select("stock_id", "signal_date", nano("ret").alias("_own"))
+    days = known.groupBy("signal_date").agg(F.count("*").alias("_n"), F.sum("_own").alias("_all"))
+    own = known.groupBy("stock_id", "signal_date").agg(F.sum("_own").alias("_own"), F.count("*").alias("_k"))
+    joined = trades.join(days, "signal_date", "left").join(own, ["stock_id", "signal_date"], "left").na.fill(0, ["_n", "_all", "_own", "_k"])
+    n = F.col("_n") - F.col("_k")
+    told = joined.withColumn("n_peers", n).withColumn("peer_return", F.try_divide((F.col("_all") - F.col("_own")) / 1e9, F.col("n_peers")))
+    return told.withColumn("paired", F.col("ret") - F.col("peer_return")).drop("_n", "_all", "_own", "_k")
+
+
+def alpha_against_peers(paired: DataFrame) -> DataFrame:
+    """One row: number of paired trades, mean returns of them and of their peers, mean and median difference, share that beat their peers, median number of peers.
+
+    Differences count in billionths, rounded down, so that sums and medians don't hang on the order of rows.
+    """
+    nano = lambda c: F.floor(F.col(c) * 1e9)
+    mean = lambda c: F.sum(nano(c)) / F.count("*") / 1e9
+    return paired.where("paired is not null").agg(
+        F.count("*").alias("n_paired"), mean("ret").alias("strategy_mean"), mean("peer_return").alias("peer_mean"), mean("paired").alias("alpha_mean"),
+        (F.percentile(nano("paired"), F.lit(0.5)) / 1e9).alias("alpha_median"), F.avg((F.col("paired") > 0).cast("int")).alias("win_vs_peer"), F.percentile("n_peers", F.lit(0.5)).alias("median_peer_n"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import clip, flag, gate, ratio
 from ..operators import windows as w
-from ..operators.recursive import ewm, per_entity, wilder
+from ..operators.recursive import ewm, per_entity, seeded, wilder
 
 KEYS = ("stock_id", "date")
 
@@ -309,12 +309,5 @@ def oscillators(df: DataFrame) -> DataFrame:
 
 def seeded_ewm(x: np.ndarray, n: int) -> np.ndarray:
     """Exponential mean of span n, seeded with the plain mean of the first n known values."""
-    out = np.full(len(x), np.nan)
     first = int(np.argmax(~np.isnan(x))) if len(x) and not np.isnan(x).all() else len(x)
-    if len(x) - first >= n:
-        old = float(np.mean(x[first : first + n]))
-        out[first + n - 1] = old
-        for i in range(first + n, len(x)):
-            old += 2 / (n + 1) * (x[i] - old)
-            out[i] = old
-    return out
+    return np.concatenate((np.full(first, np.nan), seeded(x[first:], n, 2 / (n + 1))))

@@ -138,6 +138,20 @@ def carried_days(found: DataFrame, anchor: DataFrame) -> DataFrame:
     return rows.withColumn("tl_days_since_break", days).select(*found.columns)
 
 
+def lines_ahead(found: DataFrame, prices: DataFrame, days: DataFrame) -> DataFrame:
+    """Both boundaries of each entity's last bar carried on: (stock_id, date, step, side, price) for the future days (stock_id, date, step).
+
+    A line is kept as its price at the last bar and its slope a bar, found back from the stored distance and
+    slope, which go by the close; a side without a line gives no rows.
+    """
+    rows = found.join(prices.select("stock_id", "date", "close"), ["stock_id", "date"])
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.try_divide("close", 1 + F.col(f"tl_{s}_dist").cast("double")).alias("now"), (F.col(f"tl_{s}_slope").cast("double") * F.col("close")).alias("slope")) for s in ("resist", "support")])
+    last = rows.groupBy("stock_id").agg(F.max_by(F.struct("date", sides.alias("sides")), "date").alias("at"))
+    states = last.select("stock_id", F.col("at.date").alias("since"), F.inline("at.sides")).where("now is not null and slope is not null")
+    ahead = days.join(states, "stock_id").where(F.col("date") > F.col("since"))
+    return ahead.select("stock_id", "date", "step", "side", (F.col("now") + F.col("slope") * F.col("step")).alias("price"))
+
+
 def swing_lines(a: dict[str, np.ndarray], lookback: int = 120, span: int = 5, warm: int = 260) -> dict[str, np.ndarray]:
     """Support and resistance as least-squares lines over the closes' pivots, and the last pivots of large volume.
 

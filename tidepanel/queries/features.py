@@ -264,6 +264,15 @@ def trendline_carried(spark, sf_dir):
     return lines.carried_days(found.select("stock_id", "date", "tl_resist_break", "tl_days_since_break"), stored)
 
 
+@query()
+def lines_ahead(spark, sf_dir):
+    """The prices of both boundaries on the business days of the two weeks after each entity's last bar."""
+    from .registry import QUERIES
+
+    prices = bars(spark, sf_dir)
+    return lines.lines_ahead(lines.trend_line_family(prices), prices, QUERIES["future_days"](spark, sf_dir))
+
+
 @query()
 def swing_family(spark, sf_dir):
     return lines.swing_family(bars(spark, sf_dir))

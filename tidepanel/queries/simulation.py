@@ -40,14 +40,43 @@ def _trades(spark, sf_dir, most=20):
     return sim.score_exit(_panel(spark, sf_dir), 0.97, 0.2, most)
 
 
-#: The trades without a join: what a signal's row sees at its sale, by the number of rows ahead.
-TRADE_LIST = f"""{BARS}, {SCORES}, p AS (SELECT b.stock_id, b.date, b.open, s.score FROM bars b LEFT JOIN score s ON s.stock_id = b.stock_id AND s.date = b.date),
-g AS (SELECT stock_id, date, open, score, row_number() OVER ({q.PART}) AS i, count(*) OVER (PARTITION BY stock_id) AS n FROM p),
-d AS (SELECT stock_id, date, score, i, n, least(i + 20, n - 1) AS most, min(CASE WHEN score <= 0.2::DOUBLE THEN i END) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING) AS fd,
+def _trade_list(signal: str) -> str:
+    """CTEs up to e, and the trades of e: without a join, what a signal's row sees at its sale, by the number of rows ahead."""
+    return f"""{BARS}, {SCORES}, p AS (SELECT b.stock_id, b.date, b.open, b.close, s.score FROM bars b LEFT JOIN score s ON s.stock_id = b.stock_id AND s.date = b.date),
+g AS (SELECT stock_id, date, open, score, close / nullif({q.lag("close")}, 0) - 1 AS ret1, row_number() OVER ({q.PART}) AS i, count(*) OVER (PARTITION BY stock_id) AS n FROM p),
+d AS (SELECT stock_id, date, score, ret1, i, n, least(i + 20, n - 1) AS most, min(CASE WHEN score <= 0.2::DOUBLE THEN i END) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING) AS fd,
  list(date) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING) AS dates, list(open) OVER ({q.PART} ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING) AS opens FROM g),
-e AS (SELECT stock_id, date, dates, opens, i, CASE WHEN fd <= most THEN fd ELSE most END - i + 1 AS k, CASE WHEN fd <= most THEN 'score' WHEN i + 20 <= n - 1 THEN 'max_hold' ELSE 'data_end' END AS exit_reason
- FROM d WHERE score >= 0.97::DOUBLE AND i <= n - 2 AND opens[1] > 0)
+e AS (SELECT stock_id, date, score, ret1, dates, opens, i, CASE WHEN fd <= most THEN fd ELSE most END - i + 1 AS k, CASE WHEN fd <= most THEN 'score' WHEN i + 20 <= n - 1 THEN 'max_hold' ELSE 'data_end' END AS exit_reason
+ FROM d WHERE ({signal}) AND i <= n - 2 AND opens[1] > 0)"""
+
+
+TRADE_LIST = f"""{_trade_list("score >= 0.97::DOUBLE")}
 SELECT stock_id, date AS signal_date, dates[1] AS buy_date, dates[k] AS sell_date, opens[1] AS buy_price, opens[k] AS sell_price, opens[k] / opens[1] - 1 AS ret, (k - 1)::INT AS hold, exit_reason FROM e"""
+_PAIRED = f"""WITH {_trade_list("score >= 0.97::DOUBLE OR ret1 >= 0.095::DOUBLE")}, t AS (SELECT stock_id, date AS signal_date, opens[k] / opens[1] - 1 AS ret, score >= 0.97::DOUBLE AS own, ret1 >= 0.095::DOUBLE AS peer FROM e),
+x AS (SELECT a.stock_id, a.signal_date, any_value(a.ret) AS ret, count(b.ret) AS n_peers, sum(floor(b.ret * 1e9::DOUBLE + 0.5::DOUBLE)::BIGINT)::DOUBLE / 1e9::DOUBLE / nullif(count(b.ret), 0) AS peer_return
+ FROM t a LEFT JOIN t b ON b.signal_date = a.signal_date AND b.stock_id <> a.stock_id AND b.peer WHERE a.own GROUP BY a.stock_id, a.signal_date)"""
+
+
+def _paired(spark, sf_dir):
+    prices = bars(spark, sf_dir)
+    panel = _panel(spark, sf_dir).join(prices.select("stock_id", "date", w.change(F.col("close")).alias("ret1")), ["stock_id", "date"])
+    both = sim.score_exit(panel.withColumn("kind", F.coalesce(F.col("score") >= 0.97, F.lit(False)).cast("int") + 2 * F.coalesce(F.col("ret1") >= 0.095, F.lit(False)).cast("int")), 0.97, 0.2, 20, F.col("kind") > 0)
+    kinds = panel.select("stock_id", F.col("date").alias("signal_date"), (F.col("score") >= 0.97).alias("own"), (F.col("ret1") >= 0.095).alias("peer"))
+    rows = both.select("stock_id", "signal_date", "ret").join(kinds, ["stock_id", "signal_date"])
+    return sim.against_peers(rows.where("own").drop("own", "peer"), rows.where("peer").drop("own", "peer"))
+
+
+@query(f"{_PAIRED} SELECT stock_id, signal_date, ret, n_peers, peer_return, ret - peer_return AS paired FROM x")
+def peers_by_own_exit(spark, sf_dir):
+    """Each trade beside the other entities that rose by 9.5 % on its signal's date, bought and sold by the same rules."""
+    return _paired(spark, sf_dir)
+
+
+@query(f"""{_PAIRED}, y AS (SELECT floor(ret * 1e9::DOUBLE)::BIGINT AS r, floor(peer_return * 1e9::DOUBLE)::BIGINT AS p, floor((ret - peer_return) * 1e9::DOUBLE)::BIGINT AS d, ret - peer_return > 0 AS won, n_peers FROM x WHERE ret - peer_return IS NOT NULL)
+SELECT count(*) AS n_paired, sum(r)::DOUBLE / count(*) / 1e9::DOUBLE AS strategy_mean, sum(p)::DOUBLE / count(*) / 1e9::DOUBLE AS peer_mean, sum(d)::DOUBLE / count(*) / 1e9::DOUBLE AS alpha_mean, median(d)::DOUBLE / 1e9::DOUBLE AS alpha_median, avg(won::INT) AS win_vs_peer, median(n_peers)::DOUBLE AS median_peer_n FROM y""")
+def alpha_by_own_exit(spark, sf_dir):
+    """What trades gain over their peers, by mean, median and share of wins."""
+    return sim.alpha_against_peers(_paired(spark, sf_dir))
 
 
 @query(f"WITH {TRADE_LIST}")
