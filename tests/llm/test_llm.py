@@ -473,6 +473,13 @@ def test_related_licenses_keep_their_own_label(spark):
     assert [got[i].labels for i in range(1, 11)] == ["cc-by", "cc-by-nc", "cc-by-nc-sa", "gpl", "lgpl", "bsd-2", "bsd-3", "mit", "isc", "cc-by,gpl"]
 
 
+def test_a_span_that_lost_beats_no_other(spark):
+    """A loses to B alone, and B to C, which doesn't touch A: A and C stay."""
+    rows = [(1, "a", 0, 10, 5, 0.9), (1, "b", 8, 30, 9, 0.9), (1, "c", 25, 60, 20, 0.9), (1, "d", 100, 110, 3, 0.7), (2, "b", 0, 5, 4, 0.8), (2, "a", 5, 9, 4, 0.8), (2, "b", 3, 9, 4, 0.8), (3, "x", 7, 9, 1, 0.6)]
+    spans = spark.createDataFrame(rows, "_id long, label string, first int, last int, covered int, cover double")
+    assert sorted(map(tuple, licenses.settled(spans).select("_id", "label", "first", "last").collect())) == [(1, "a", 0, 10), (1, "c", 25, 60), (1, "d", 100, 110), (2, "a", 5, 9), (3, "x", 7, 9)]
+
+
 def test_licenses_by_brute_force(spark):
     """Labels against plain diagonals: every template at every place, matched positions counted, the best of overlapping spans kept."""
     rng = random.Random(4)
@@ -506,10 +513,11 @@ def test_licenses_by_brute_force(spark):
                         spans.append((covered, covered / grams, label, first, last))
                     island = []
                 island.append(d)
-        for s in spans:
-            rivals = [r for r in spans if r[2] != s[2] and r[3] <= s[4] and s[3] <= r[4]]
-            if not any(r[:2] > s[:2] or r[:2] == s[:2] and r[2] < s[2] for r in rivals):
-                found.add(s[2])
+        stay = []
+        for s in sorted(spans, key=lambda s: (-s[0], -s[1], s[2])):
+            if not any(r[2] != s[2] and r[3] <= s[4] and s[3] <= r[4] for r in stay):
+                stay.append(s)
+        found |= {s[2] for s in stay}
         found |= {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in f" {' '.join(w)} "}
         return ",".join(sorted(found))
 

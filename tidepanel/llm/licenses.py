@@ -16,7 +16,7 @@ BROADCAST_CHARS = 1 << 20  # of templates, a row of about 100 bytes for each wor
 #: Phrases whose every place counts, and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Whole texts of short public licences, and the notices that works under longer ones carry, by label.
+#: Texts of short public licences (the BSD ones up to their liability clause), and notices of one sentence that works under longer ones carry, by label.
 TEMPLATES = {
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
@@ -100,10 +100,10 @@ def license_spans(
     longer templates diagonals at most `gap` apart are merged, so that small insertions and losses do
     not part a span, and a span is kept when its distinct template positions cover `least_cover` of
     the template within 1.5 times its length. Related licences share most of their words: where spans
-    of several labels overlap, the one of most matched positions stays. A label may have several texts.
+    of several labels overlap, they are settled in order of their matched positions. A label may have several texts.
 
     The work is linear in the words of a text, as a gram's row has its own words only. A null text has no
-    span; rows of one id are taken together; spans of rows without an id are not weighed against each other.
+    span; rows of one id are taken together, and so are those without an id.
     """
     table = _template_table(documents.sparkSession, phrases, templates)
     table = F.broadcast(table) if sum(len(t) for v in templates.values() for t in ([v] if isinstance(v, str) else v)) < BROADCAST_CHARS else table
@@ -130,23 +130,25 @@ def license_spans(
         F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("covered"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     kept = merged.where((F.col("covered") >= F.col("grams") * least_cover) & (F.col("last") - F.col("first") + 1 <= (F.col("grams") + K - 1) * 1.5))
-    kept = kept.select("_id", "label", "template", "island", "first", "last", "covered", (F.col("covered") / F.col("grams")).alias("cover"))
-    kept = kept.join(_beaten(kept), ["_id", "template", "island"], "left_anti").select("_id", "label", F.lit(False).alias("base"), "first", "last", "cover")
+    kept = kept.select("_id", "label", "first", "last", "covered", (F.col("covered") / F.col("grams")).alias("cover"))
+    kept = settled(kept).select("_id", "label", F.lit(False).alias("base"), "first", "last", "cover")
     return places.unionByName(kept).withColumnRenamed("_id", id_column)
 
 
-def _beaten(spans: DataFrame, cell: int = 64) -> DataFrame:
-    """The spans that overlap one of another label with more matched positions; of as many, with the better cover or the first label.
+def settled(spans: DataFrame) -> DataFrame:
+    """Of overlapping spans of several labels those that stay, settled in order of rank: most matched positions, better cover, first label.
 
-    Spans meet in cells of neighbouring words, so only those near each other are compared.
+    A span goes if it overlaps one of another label that stays; one that went itself beats no other. Spans that
+    form a chain of overlaps are settled together, and such a chain is as long as the licences that follow each other.
     """
-    cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("first") / cell), F.floor(F.col("last") / cell))))
-    own, other = cells.alias("a"), cells.alias("b")
-    overlap = (F.col("a.first") <= F.col("b.last")) & (F.col("b.first") <= F.col("a.last")) & (F.col("a.label") != F.col("b.label"))
-    rank = lambda t: F.struct(F.col(f"{t}.covered"), F.col(f"{t}.cover"))
-    better = (rank("b") > rank("a")) | ((rank("b") == rank("a")) & (F.col("b.label") < F.col("a.label")))
-    met = own.join(other, (F.col("a._id") == F.col("b._id")) & (F.col("a.cell") == F.col("b.cell")) & overlap & better)
-    return met.select("a._id", "a.template", "a.island").distinct()
+    line = Window.partitionBy("_id").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.coalesce((F.col("first") > F.max("last").over(line)).cast("int"), F.lit(0))
+    chained = spans.withColumn("_begins", begins).withColumn("_chain", F.sum("_begins").over(Window.partitionBy("_id").orderBy("first", "last")))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("covered")).alias("rank"), (-F.col("cover")).alias("worse"), "label", "first", "last", "cover")))
+    none = F.filter(F.col("ranked"), lambda x: F.lit(False))
+    clash = lambda x: lambda y: (y["label"] != x["label"]) & (y["first"] <= x["last"]) & (x["first"] <= y["last"])
+    stay = F.aggregate("ranked", none, lambda kept, x: F.when(F.exists(kept, clash(x)), kept).otherwise(F.array_append(kept, x)))
+    return chained.groupBy("_id", "_chain").agg(ranked.alias("ranked")).select("_id", F.inline(stay)).select("_id", "label", "first", "last", "cover")
 
 
 def scan_licenses(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
