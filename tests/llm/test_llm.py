@@ -749,3 +749,18 @@ def test_cuts_make_ranges_of_like_size(spark):
     placed = [packing.ordered_by_content(table, 30000).withColumn("part", F.spark_partition_id()).toPandas() for _ in range(2)]
     assert sorted(placed[0].doc) == list(range(3000)) and placed[0].equals(placed[1])
     assert placed[0].groupby("part").size().max() <= 600
+
+
+def test_word_tokenizer_on_odd_texts():
+    """Ids of texts of odd pieces in batches of rows, where one row may end with what the next goes on with."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, by_word = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    rng = random.Random(77)
+    pieces = ["a", "B", " ", "\n", "\t", "é", "日本", "'s", "1", "x9", "<", "|", "<|", "|>", "<|endoftext|>", "</s>", "<s>", ".", "!!", "\x1c", "\x85", "\xa0", " ", "é", "İ", "\x00", "ſ"]
+    for _ in range(60):
+        made = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(60)] + [None, "a <", "| b <|"]
+        ids, offsets = by_word.encode(pa.array(made))
+        got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+        assert got == [whole.encode(t or "", add_special_tokens=False).ids + [packing.END] for t in made]

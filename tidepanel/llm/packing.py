@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .groups import byte_slices
-from .words import hashed_words, text_bytes
+from .words import hashed_words, text_bytes, word_texts
 
 END = 2
 IDF_POWER = 1.0
@@ -45,11 +45,10 @@ class WordTokenizer:
         self.pool = np.zeros(0, "<u4")
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in turn, and how many each has; none for words that may hold special strings."""
+        """The ids of all words in turn, and how many each has."""
         out: list[int] = []
         for i in range(0, len(words), 64):
-            text = self.separator.join(["" if any(m in w for m in self.marks) else w for w in words[i : i + 64]])
-            out += self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            out += self.tokenizer.encode_batch_fast([self.separator.join(words[i : i + 64])], add_special_tokens=False)[0].ids
             out.append(self.separator_id)
         ids = np.array(out, "<u4")
         ends = np.flatnonzero(ids == self.separator_id)
@@ -59,22 +58,26 @@ class WordTokenizer:
         """All rows' ids, each row ended by END, and the rows' offsets in them."""
         data, offsets = text_bytes(column)
         starts, rows, hashes = hashed_words(data, offsets)
-        word = lambda k: data[starts[k] : starts[k + 1] if k + 1 < len(starts) else len(data)].tobytes().strip().decode()
+        marks = np.concatenate([np.flatnonzero((data[:-1] == ord(m[0])) & (data[1:] == ord(m[1]))) for m in self.marks])
+        special = np.searchsorted(starts, marks, "right") - 1
+        special = np.unique(special[np.searchsorted(starts, marks + 1, "right") - 1 == special])  # a mark over two rows is none
         if 20 * len(self.codes) + self.pool.nbytes > self.held_bytes:
             self.clear()
         codes, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.codes, codes)
         new = np.ones(len(codes), bool) if len(self.codes) == 0 else self.codes[np.minimum(at, len(self.codes) - 1)] != codes
         if new.any():
-            found, length = self._ids([word(k) for k in first[new].tolist()])
+            plain = ~np.isin(first[new], special)  # the others have no ids here
+            texts = np.full(len(plain), "", object)
+            texts[plain] = word_texts(data, starts, first[new][plain])
+            found, length = self._ids(texts.tolist())
             begin = len(self.pool) + np.concatenate(([0], np.cumsum(length)[:-1]))
             self.pool = np.concatenate([self.pool, found])
             self.codes, self.at, self.length = (np.insert(held, at[new], more) for held, more in ((self.codes, codes[new]), (self.at, begin), (self.length, length)))
         place = np.searchsorted(self.codes, codes)[which]
         pool, begin, length = self.pool, self.at[place], self.length[place].astype(np.int64)
-        special = np.unique(np.concatenate([np.searchsorted(starts, np.flatnonzero((data[:-1] == ord(m[0])) & (data[1:] == ord(m[1]))), "right") - 1 for m in self.marks]))
         if len(special):
-            found = [np.array(self.tokenizer.encode(word(k), add_special_tokens=False).ids, "<u4") for k in special.tolist()]
+            found = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4") for w in word_texts(data, starts, special)]
             length[special] = [len(x) for x in found]
             begin[special] = len(pool) + np.concatenate(([0], np.cumsum(length[special])[:-1]))
             pool = np.concatenate([pool, *found])

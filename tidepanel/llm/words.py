@@ -105,6 +105,16 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPA
     return starts, np.searchsorted(starts, offsets), mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def word_texts(data: np.ndarray, starts: np.ndarray, which: np.ndarray, apart: np.ndarray = _SPACE) -> list[str]:
+    """Some of the words that begin at starts, as they stand."""
+    gaps = np.append(np.flatnonzero(apart[data]), len(data))
+    begin = starts[which]
+    sizes = np.minimum(gaps[np.searchsorted(gaps, begin)], np.append(starts, len(data))[which + 1]) - begin
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    found = data[np.repeat(begin - offsets[:-1], sizes) + np.arange(offsets[-1])]
+    return pa.LargeStringArray.from_buffers(len(which), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(found)).to_pylist()
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k words; with fewer words, of the whole sequence."""
     n = len(words)
