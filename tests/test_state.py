@@ -166,3 +166,86 @@ def test_holding_status_lists_ids_without_a_score(spark):
     scores = spark.createDataFrame([(1, START, 0.9), (1, START + timedelta(1), 0.2), (1, START + timedelta(2), None), (2, START, 0.7), (9, START, 0.1)], "stock_id long, date timestamp_ntz, score double")
     got = {r.stock_id: (r.score, r.status) for r in sim.holding_status(spark.createDataFrame([(1,), (2,), (3,)], "stock_id long"), scores, 0.2).collect()}
     assert got == {1: (0.2, "sell"), 2: (0.7, "hold"), 3: (None, "no score")}
+
+
+def test_peers_share_the_date_and_not_the_entity(spark):
+    trades = spark.createDataFrame([(1, START, 0.5), (2, START, -0.1), (3, START + timedelta(1), 0.2), (4, START, None)], "stock_id long, signal_date timestamp_ntz, ret double")
+    peers = spark.createDataFrame([(1, START, 0.3), (5, START, 0.1), (6, START, 0.2), (7, START, None), (3, START + timedelta(1), 0.9)], "stock_id long, signal_date timestamp_ntz, ret double")
+    paired = sim.against_peers(trades, peers)
+    got = {r.stock_id: (r.n_peers, r.peer_return, r.paired) for r in paired.collect()}
+    assert got[1] == (2, pytest.approx(0.15), pytest.approx(0.35)) and got[2] == (3, pytest.approx(0.2), pytest.approx(-0.3))
+    assert got[3] == (0, None, None) and got[4] == (3, pytest.approx(0.2), None)
+    row = sim.alpha_against_peers(paired).first()
+    assert (row.n_paired, row.win_vs_peer, row.median_peer_n) == (2, 0.5, 2.5) and row.alpha_median == pytest.approx(0.025) and row.peer_mean == pytest.approx(0.175)
+    assert sim.alpha_against_peers(paired.limit(0)).first().n_paired == 0
+
+
+def test_lines_go_on_by_their_slope(spark):
+    from tidepanel.plans import lines
+
+    found = spark.createDataFrame([(1, START, -0.5, 0.1, 0.25, None), (1, START + timedelta(1), 0.25, 0.5, -0.5, 0.0), (2, START, None, None, 0.0, 0.0)], "stock_id long, date timestamp_ntz, tl_resist_dist float, tl_resist_slope float, tl_support_dist float, tl_support_slope float")
+    prices = spark.createDataFrame([(1, START, 4.0), (1, START + timedelta(1), 10.0), (2, START, 3.0)], "stock_id long, date timestamp_ntz, close double")
+    days = spark.createDataFrame([(s, START + timedelta(1 + k), k) for s in (1, 2, 3) for k in (0, 1, 2)], "stock_id long, date timestamp_ntz, step int")
+    got = {(r.stock_id, r.side, r.step): r.price for r in lines.lines_ahead(found, prices, days).collect()}
+    assert got == {(1, "resist", 1): 13.0, (1, "resist", 2): 18.0, (1, "support", 1): 20.0, (1, "support", 2): 20.0, (2, "support", 0): 3.0, (2, "support", 1): 3.0, (2, "support", 2): 3.0}
+
+
+def test_compiled_means_follow_their_definitions():
+    from tidepanel.operators.recursive import ewm, wilder
+    from tidepanel.plans.families import seeded_ewm
+
+    rng = np.random.default_rng(6)
+    for gaps in (0.0, 0.3):
+        x = np.where(rng.random(60) < gaps, np.nan, rng.normal(size=60))
+        old, weight, want = np.nan, 0.0, []
+        for v in x:
+            weight *= 0.75
+            if v == v:
+                old = v if old != old else (weight * old + 0.25 * v) / (weight + 0.25)
+                weight = 1.0
+            want.append(old)
+        np.testing.assert_allclose(ewm(x, 0.25), want)
+    x = rng.normal(size=30)
+    for found, n, alpha in ((wilder(x, 5), 5, 0.2), (seeded_ewm(np.concatenate(([np.nan] * 3, x)), 5)[3:], 5, 2 / 6)):
+        old = x[:5].mean()
+        for i in range(5, 30):
+            old += alpha * (x[i] - old)
+            assert found[i] == pytest.approx(old)
+        assert np.isnan(found[:4]).all() and found[4] == pytest.approx(x[:5].mean())
+    assert np.isnan(wilder(np.array([1.0, np.nan, 3.0, 4.0]), 2)).all() and np.isnan(wilder(np.array([1.0, 2.0, 3.0, np.nan, 5.0]), 2)).tolist() == [True, False, False, True, True]
+
+
+def test_extra_trees(spark):
+    """Like a forest of the same size, the same for any dealing of rows, and every leaf's share by a recount."""
+    from tidepanel.operators import extra_trees as et
+    from tidepanel.operators import ml
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 5))
+    y = (x[:, 1] + 0.6 * x[:, 3] * (x[:, 0] > 0) + rng.normal(size=3000) > 0).astype(int)
+    names = [f"f{k}" for k in range(5)]
+    rows = spark.createDataFrame([(*map(float, r), int(v), "test" if i % 3 == 0 else "train") for i, (r, v) in enumerate(zip(x, y))], ", ".join(f"{n} double" for n in names) + ", label int, split string")
+    train = rows.where("split = 'train'")
+    model = et.fit_extra_trees(train, names, "label", trees=60, depth=7, leaf=20, tries=3)
+    again = et.fit_extra_trees(train.repartition(7), names, "label", trees=60, depth=7, leaf=20, tries=3)
+    assert [(t.feature, t.threshold, t.share) for t in model.trees] == [(t.feature, t.threshold, t.share) for t in again.trees]
+    assert model.importances.sum() == pytest.approx(1) and model.importances.argmax() == 1 and model.importances[[2, 4]].max() < model.importances[3]
+    forest = ml.fit_forest(train.withColumn("label", F.col("label").cast("double")), names, "label", trees=60, depth=7, leaf=20)
+    scored = et.score_extra_trees(model, rows)
+    found = {n: ml.auc(d.where("split = 'test'"), "score", "label").first().auc for n, d in (("extra", scored), ("forest", ml.score_forest(forest, rows, names)))}
+    assert found["extra"] > 0.75 and found["extra"] > found["forest"] - 0.01
+    used = np.arange(3000) % 3 != 0
+    for t, at in zip(model.trees, et._places(et._arrays(model.trees), x[used])):
+        assert max(t.child) <= 2**8
+        for node in np.unique(at):
+            assert t.feature[node] == -1 and t.share[node] == pytest.approx(y[used][at == node].mean()) and (at == node).sum() >= 20
+    alone = et.fit_extra_trees(train.where("label = 1"), names, "label", trees=2)
+    assert [t.share for t in alone.trees] == [[1.0], [1.0]] and et.fit_extra_trees(train.limit(0), names, "label", trees=2).trees[0].share == [0.0]
+
+
+def test_shared_columns(spark, tmp_path):
+    from tidepanel.sources.tables import shared_columns
+
+    for name, schema in (("a", "x int, y double, z string"), ("b", "z string, y float, x int, w int"), ("c", "z string, x int")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}")
+    assert shared_columns(spark, [f"{tmp_path}/{n}" for n in "abc"]) == ["x", "z"] and shared_columns(spark, [f"{tmp_path}/a"]) == ["x", "y", "z"] and shared_columns(spark, []) == []

@@ -269,3 +269,22 @@ def alpha_against_peers(paired: DataFrame) -> DataFrame:
         F.count("*").alias("n_paired"), mean("ret").alias("strategy_mean"), mean("peer_return").alias("peer_mean"), mean("paired").alias("alpha_mean"),
         (F.percentile(nano("paired"), F.lit(0.5)) / 1e9).alias("alpha_median"), F.avg((F.col("paired") > 0).cast("int")).alias("win_vs_peer"), F.percentile("n_peers", F.lit(0.5)).alias("median_peer_n"),
     )
+
+
+def half_year(date: Column) -> Column:
+    return F.concat(F.year(date).cast("string"), F.when(F.month(date) <= 6, "H1").otherwise("H2"))
+
+
+def period_summary(trades: DataFrame, target: float = 0.8, total: Callable[[Column], Column] = F.sum) -> DataFrame:
+    """Per half-year of the signal: closed and open trades; win rate, mean and median return and mean holding of the closed ones; whether the win rate reaches the target.
+
+    Trades that end with the data are open. Recent halves with many of them look better than they are, as winners close first.
+    """
+    closed = F.col("exit_reason") != "data_end"
+    known = lambda c: F.when(closed, c)
+    win = F.avg(known((F.col("ret") > 0).cast("int")))
+    n = F.count(known(F.lit(1)))
+    return trades.groupBy(half_year(F.col("signal_date")).alias("half")).agg(
+        n.alias("trades"), F.count(F.when(~closed, 1)).alias("open_trades"), win.alias("win_rate"), F.try_divide(total(known(F.col("ret"))), n).alias("avg_return"),
+        F.percentile(known(F.floor(F.col("ret") * 1e9)), F.lit(0.5)).alias("median_nano"), F.avg(known(F.col("hold"))).alias("avg_hold"), F.coalesce(win >= target, F.lit(False)).cast("int").alias("passed"),
+    )

@@ -56,15 +56,15 @@ def curve_at_thresholds(spark, sf_dir):
     return least.select("asked", "at.threshold", "at.n", "at.win_rate")
 
 
-@query(f"""WITH {T20}, h AS (SELECT year(buy_date)::INT AS y, count(*) AS n, avg((ret > 0)::INT) AS wr FROM trades GROUP BY 1)
-SELECT count(*) AS n_trades, coalesce(avg((ret > 0)::INT), 0) AS win_rate, coalesce({exact_sql("ret")} / count(*), 0) AS avg_return, coalesce(median(hold), 0)::DOUBLE AS median_hold, (SELECT count(*) FROM h WHERE wr >= 0.5::DOUBLE) AS passing, (SELECT count(*) FROM h) AS periods FROM trades""")
+@query(f"""WITH {T20}, c AS (SELECT * FROM trades WHERE exit_reason <> 'data_end'), h AS (SELECT year(signal_date) * 2 + (month(signal_date) > 6)::INT AS half, avg((ret > 0)::INT) AS wr FROM c GROUP BY 1)
+SELECT count(*) AS n_trades, coalesce(avg((ret > 0)::INT), 0) AS win_rate, coalesce({exact_sql("ret")} / count(*), 0) AS avg_return, coalesce(median(hold), 0)::DOUBLE AS median_hold, (SELECT count(*) FROM h WHERE wr >= 0.8::DOUBLE) AS passing, (SELECT count(*) FROM h) AS periods FROM c""")
 def overall_stats(spark, sf_dir):
-    """One row for all trades, zeros where there are none, with the number of years that win at least half."""
-    trades = _trades(spark, sf_dir)
-    years = trades.groupBy(F.year("buy_date").alias("y")).agg(F.avg((F.col("ret") > 0).cast("int")).alias("wr")).agg(F.coalesce(F.sum((F.col("wr") >= 0.5).cast("long")), F.lit(0)).alias("passing"), F.count("*").alias("periods"))
+    """One row for all closed trades, zeros where there are none, with the number of half-years that win 80 % or more."""
+    trades = _trades(spark, sf_dir).where("exit_reason <> 'data_end'")
+    halves = sim.period_summary(trades, total=exact).agg(F.coalesce(F.sum("passed"), F.lit(0)).cast("long").alias("passing"), F.count("*").alias("periods"))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     whole = trades.agg(F.count("*").alias("n_trades"), zero(F.avg((F.col("ret") > 0).cast("int"))).alias("win_rate"), zero(F.try_divide(exact(F.col("ret")), F.count("*"))).alias("avg_return"), zero(F.percentile("hold", F.lit(0.5))).alias("median_hold"))
-    return whole.crossJoin(F.broadcast(years))
+    return whole.crossJoin(F.broadcast(halves))
 
 
 @query(f"""WITH {T20}, e AS (SELECT min(ret) AS lo, max(ret) AS hi FROM trades) SELECT coalesce(least(floor((ret - lo) / nullif(hi - lo, 0) * 30), 29), 0)::INT AS bin, count(*) AS n FROM trades, e GROUP BY 1""")
@@ -547,13 +547,13 @@ def threshold_grid(spark, sf_dir):
     return trades.groupBy("buy", "sell").agg(F.count("*").alias("n"), F.avg((F.col("ret") > 0).cast("int")).alias("win_rate"), (exact(F.col("ret")) / F.count("*")).alias("avg_return"))
 
 
-#: The named chart patterns as conditions on feature columns. Stored features are floats: bounds lie a hair beyond theirs.
+#: The named chart patterns as conditions on feature columns. Stored features are floats, and so are the bounds that they meet.
 NAMED = {
-    "bull_ma": "bull_3ma_1d = 1", "bear_ma": "bear_3ma_1d = 1", "bb_squeeze": "CAST(bb_width_rank AS DOUBLE) <= 0.1500001", "bb_upper_break": "bb_upper_break_1d = 1", "macd_top_div": "macd_top_div = 1", "macd_bot_div": "macd_bot_div = 1",
-    "kd_golden_oversold": "kd_golden_1d = 1 AND k_oversold = 1", "rsi_overbought": "rsi_overbought_1d = 1", "rsi_oversold_rebound": "rsi_oversold_rebound = 1", "vol_breakout": "vol_breakout = 1", "new_high_60": "is_new_high_60 = 1", "ma_squeeze": "CAST(ma_squeeze AS DOUBLE) <= 0.0200001",
+    "bull_ma": "bull_3ma_1d = 1", "bear_ma": "bear_3ma_1d = 1", "bb_squeeze": "bb_width_rank <= CAST(0.15 AS FLOAT)", "bb_upper_break": "bb_upper_break_1d = 1", "macd_top_div": "macd_top_div = 1", "macd_bot_div": "macd_bot_div = 1",
+    "kd_golden_oversold": "kd_golden_1d = 1 AND k_oversold = 1", "rsi_overbought": "rsi_overbought_1d = 1", "rsi_oversold_rebound": "rsi_oversold_rebound = 1", "vol_breakout": "vol_breakout = 1", "new_high_60": "is_new_high_60 = 1", "ma_squeeze": "ma_squeeze <= CAST(0.02 AS FLOAT)",
     "foreign_consec_buy": "foreign_consec_buy_1d = 1", "foreign_trust_align": "foreign_trust_align_1d = 1", "inst_heavy_buy": "institutional_10d >= 100", "inst_heavy_sell": "institutional_10d <= -100", "absorb_stall": "absorb_stall_10d = 1",
     "margin_rising": "margin_slope_5d > 0", "margin_falling": "margin_slope_5d < 0", "rel_momentum_strong": "rel_ramom_20_60 >= 1", "rel_momentum_weak": "rel_ramom_20_60 <= -1", "rel_amount_surge": "rel_amt_20 >= 2",
-    "rel_rsi_extreme_high": "CAST(rel_pct_rsi_14_250 AS DOUBLE) >= 0.8999999", "rel_rsi_extreme_low": "CAST(rel_pct_rsi_14_250 AS DOUBLE) <= 0.1000001", "rel_near_high": "rel_dist_high_60_atr >= -1",
+    "rel_rsi_extreme_high": "rel_pct_rsi_14_250 >= CAST(0.9 AS FLOAT)", "rel_rsi_extreme_low": "rel_pct_rsi_14_250 <= CAST(0.1 AS FLOAT)", "rel_near_high": "rel_dist_high_60_atr >= -1",
 }
 LINES = {
     "triangle_dry": "tl_is_triangle = 1 AND tl_triangle_vol_dry = 1", "triangle": "tl_is_triangle = 1", "resist_break_vol": "tl_resist_break = 1 AND tl_break_vol >= 1.5", "resist_break_novol": "tl_resist_break = 1 AND NOT coalesce(tl_break_vol >= 1.5, false)",

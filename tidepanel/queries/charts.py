@@ -92,15 +92,6 @@ def signal_density(spark, sf_dir):
     return df.select("date", "total", "hits", density.alias("density"), F.when(density >= 0.002, "many").when(density >= 0.0008, "some").otherwise("few").alias("verdict"))
 
 
-@query(f"""WITH {BARS}, r AS (SELECT date, {q.lead("close", 5)} / close - 1 AS ret, ({q.lead("close", 20)} IS NOT NULL) AS resolved FROM bars), b AS (SELECT year(date)::VARCHAR || CASE WHEN month(date) <= 6 THEN 'H1' ELSE 'H2' END AS half, ret, resolved FROM r)
-SELECT half, sum(resolved::BIGINT)::BIGINT AS trades, sum((NOT resolved)::BIGINT)::BIGINT AS open_trades, avg(CASE WHEN resolved THEN (ret > 0)::INT END) AS win_rate, coalesce(avg(CASE WHEN resolved THEN (ret > 0)::INT END) >= 0.8::DOUBLE, false)::INT AS passed FROM b GROUP BY half""")
-def halfyear_summary(spark, sf_dir):
-    df = bars(spark, sf_dir).select("date", (F.try_divide(w.lead(F.col("close"), 5), F.col("close")) - 1).alias("ret"), w.lead(F.col("close"), 20).isNotNull().alias("resolved"))
-    half = F.concat(F.year("date").cast("string"), F.when(F.month("date") <= 6, "H1").otherwise("H2"))
-    win = F.avg(F.when(F.col("resolved"), (F.col("ret") > 0).cast("int")))
-    return df.groupBy(half.alias("half")).agg(F.sum(F.col("resolved").cast("long")).alias("trades"), F.sum((~F.col("resolved")).cast("long")).alias("open_trades"), win.alias("win_rate"), flag(win >= 0.8).alias("passed"))
-
-
 PATTERNS = {
     "above_ma20": ("close > m20", lambda: F.col("close") > F.col("m20")),
     "bull": ("m5 > m20 AND m20 > m60", lambda: (F.col("m5") > F.col("m20")) & (F.col("m20") > F.col("m60"))),

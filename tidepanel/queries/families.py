@@ -9,7 +9,7 @@ from ..plans import candles
 from ..plans import families as f
 from ..sources.panel import BARS, FLOWS, INDEX, bars, flows, index_bars
 from . import registry as q
-from .registry import query
+from .registry import SQL, query
 
 
 def streaks(source: str, conditions: dict[str, str]) -> tuple[str, str]:
@@ -231,6 +231,11 @@ def self_percentile_family(spark, sf_dir):
     return f.self_percentiles(rows, ["rsi_14", "bb_width_pct"])
 
 
+@query(f"""WITH a AS ({SQL["kd_family"]}) SELECT stock_id, date, {floats({f"rel_pct_k_value_{n}": own_rank("k_value", n, _least(n)) for n in (60, 250)})} FROM a""")
+def kd_percentile_family(spark, sf_dir):
+    return f.self_percentiles(f.stochastic(bars(spark, sf_dir)).select("stock_id", "date", "k_value"), ["k_value"])
+
+
 _SMOOTHED = {"cmo_10": 10, "rsi_9": 9, "rsi_14w": 14, "rsi_28": 28}
 
 

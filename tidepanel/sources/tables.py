@@ -115,6 +115,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, timestamp
     return spark.read.schema(schema).option("header", True).option("timestampNTZFormat", timestamps).option("dateFormat", timestamps).option("mode", "PERMISSIVE").csv(path)
 
 
+def shared_columns(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The columns that all the tables have, with one type, in the order of the first; only footers are read."""
+    schemas = [{f.name: f.dataType for f in spark.read.parquet(p).schema.fields} for p in paths]
+    return [name for name, kind in schemas[0].items() if all(s.get(name) == kind for s in schemas[1:])] if schemas else []
+
+
 def write_zstd(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
