@@ -10,6 +10,8 @@ from ..functions.columns import clip, flag, gate, ratio
 from ..operators import windows as w
 from ..operators.recursive import ewm, per_entity, seeded, wilder
 
+#: How many rows of its entity before a row the families of finite windows look at; all others carry state from the first row on.
+LOOK_BACK = {"self_relative": 250, "chip_z": 249, "candle_family": 32, "self_percentiles": 270}
 KEYS = ("stock_id", "date")
 
 

@@ -6,11 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..plans import candles, families
+from ..sources import incremental
 from ..sources.panel import BARS, bars
 from ..sources.tables import shared_folder
 from ..streaming import bars as streams
 from ..streaming import positions
 from . import registry as q
+from .families import chip_bars
 from .registry import SQL, query
 from .simulation import TRADE_LIST, _panel
 
@@ -80,3 +83,37 @@ def streamed_positions(spark, sf_dir):
     bought = prices.where("date >= timestamp_ntz'1998-06-01 00:00:00'").groupBy("stock_id").agg(F.min("date").alias("date"), F.min_by("close", "date").alias("buy_price"))
     _runs(prices.unionByName(bought, allowMissingColumns=True), folder, lambda stream: positions.run_tracker(stream, folder))
     return positions.tracked_positions(spark, folder, 0.2, 0.15, 0.1)
+
+
+_SINCE = "2000-01-01"
+
+
+def _increment(spark, prices, compute, back):
+    """What compute makes of a table's rows from a date on, when the table lies by months and only what they need is read."""
+    path = f"{shared_folder(spark)}/bars-{uuid.uuid4().hex}"
+    incremental.replace_months(prices, path)
+    return incremental.computed_since(spark, path, prices.schema, f"{_SINCE} 00:00:00", compute, back)
+
+
+@query(f"SELECT * FROM ({SQL['self_relative_family']}) WHERE date >= TIMESTAMP '{_SINCE}'")
+def self_relative_increment(spark, sf_dir):
+    return _increment(spark, bars(spark, sf_dir), families.self_relative, families.LOOK_BACK["self_relative"])
+
+
+@query(f"SELECT * FROM ({SQL['chip_z_family']}) WHERE date >= TIMESTAMP '{_SINCE}'")
+def chip_z_increment(spark, sf_dir):
+    return _increment(spark, chip_bars(spark, sf_dir), families.chip_z, families.LOOK_BACK["chip_z"])
+
+
+@query(f"SELECT * FROM ({SQL['candle_family']}) WHERE date >= TIMESTAMP '{_SINCE}'")
+def candle_increment(spark, sf_dir):
+    return _increment(spark, bars(spark, sf_dir), candles.candle_family, families.LOOK_BACK["candle_family"])
+
+
+@query(f"SELECT * FROM ({SQL['self_percentile_family']}) WHERE date >= TIMESTAMP '{_SINCE}'")
+def self_percentile_increment(spark, sf_dir):
+    def compute(rows):
+        both = families.rsi(rows).select("stock_id", "date", "rsi_14").join(families.bollinger(rows).select("stock_id", "date", "bb_width_pct"), ["stock_id", "date"])
+        return families.self_percentiles(both, ["rsi_14", "bb_width_pct"])
+
+    return _increment(spark, bars(spark, sf_dir), compute, families.LOOK_BACK["self_percentiles"])

@@ -81,9 +81,15 @@ def recompute_tail(spark: SparkSession, source: str, schema: StructType, target:
     if changed is None:
         return None
     month = changed.replace(day=1, hour=0, minute=0, second=0, microsecond=0)
-    first = F.lit(month).cast("timestamp_ntz")
-    present = rows.where(F.col(MONTH) >= month_of(first)).select(entity).distinct().withColumn("first", first)
-    start = reach(rows, present, back, entity, time)
-    needed = rows.where((F.col(MONTH) >= month_of(F.lit(start).cast("timestamp_ntz"))) & (F.col(time) >= F.lit(start).cast("timestamp_ntz"))).select(*[f.name for f in schema.fields])
-    replace_months(compute(needed).where(F.col(time) >= first), target, time)
+    replace_months(computed_since(spark, source, schema, month, compute, back, entity, time), target, time)
     return month
+
+
+def computed_since(spark: SparkSession, source: str, schema: StructType, since, compute: Callable[[DataFrame], DataFrame], back: int, entity: str = "stock_id", time: str = "date") -> DataFrame:
+    """The derived rows from a time on, computed from the source's rows since then and the `back` rows that each of their entities has before."""
+    rows = read_months(spark, source, schema)
+    first = F.lit(since).cast("timestamp_ntz")
+    present = rows.where((F.col(MONTH) >= month_of(first)) & (F.col(time) >= first)).select(entity).distinct().withColumn("first", first)
+    start = F.lit(reach(rows, present, back, entity, time)).cast("timestamp_ntz")
+    needed = rows.where((F.col(MONTH) >= month_of(start)) & (F.col(time) >= start)).select(*[f.name for f in schema.fields])
+    return compute(needed).where(F.col(time) >= first)
