@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,21 +40,49 @@ class WordTokenizer:
         added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.separator_id, self.separator = max(added.items())
         self.marks = sorted({t[:2] for t in added.values()})
+        self.stops = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in ".,;:!?"} if self._letters_go_straight() else {}
         self.clear()
 
     def clear(self) -> None:
         self.codes, self.at, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool = np.zeros(0, "<u4")
 
+    def _letters_go_straight(self) -> bool:
+        """Whether ASCII letters are, in lower case, one piece for the model, and a stop behind them another: told by the tokenizer's own parts."""
+
+        def flat(part: dict | None, key: str) -> list[dict]:
+            return [] if part is None else [x for p in part[key] for x in flat(p, key)] if part["type"] == "Sequence" else [part]
+
+        parts = json.loads(self.tokenizer.to_str())
+        normal, pieces = flat(parts["normalizer"], "normalizers"), flat(parts["pre_tokenizer"], "pretokenizers")
+        harmless = all(n["type"] in ("NFC", "Lowercase") or (n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"}) for n in normal)
+        letters = lambda p: p["type"] == "Split" and p["invert"] and p["behavior"] == "Removed" and "|[\\p{L}]+|" in (x := p["pattern"].get("Regex", "")) and x.endswith("|[^\\s\\p{L}\\p{N}]+")
+        plain = lambda p: p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"]
+        return harmless and any(n["type"] == "Lowercase" for n in normal) and all(letters(p) or plain(p) for p in pieces) and any(map(letters, pieces)) and not any(t["content"].isalpha() for t in parts["added_tokens"])
+
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in turn, and how many each has."""
-        out: list[int] = []
+        """The ids of all words in turn, and how many each has. ASCII letters, with a stop or without, go to the model where that is the same."""
+        tokenize, stops = self.tokenizer.model.tokenize, self.stops
+
+        def straight(w: str) -> list[int] | None:
+            if not w.isascii():
+                return None
+            if w.isalpha():
+                return [t.id for t in tokenize(w.lower())]
+            return [t.id for t in tokenize(w[:-1].lower())] + stops[w[-1]] if w[-1:] in stops and w[:-1].isalpha() else None
+
+        found = [straight(w) for w in words] if stops else [None] * len(words)
+        others = iter(self._ids_of_texts([w for w, f in zip(words, found) if f is None]))
+        found = [next(others) if f is None else f for f in found]
+        return np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _ids_of_texts(self, words: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
         for i in range(0, len(words), 64):
-            out += self.tokenizer.encode_batch_fast([self.separator.join(words[i : i + 64])], add_special_tokens=False)[0].ids
-            out.append(self.separator_id)
-        ids = np.array(out, "<u4")
-        ends = np.flatnonzero(ids == self.separator_id)
-        return ids[ids != self.separator_id], np.diff(ends, prepend=-1) - 1
+            ids = self.tokenizer.encode_batch_fast([self.separator.join(words[i : i + 64])], add_special_tokens=False)[0].ids
+            ends = [k for k, x in enumerate(ids) if x == self.separator_id]
+            out += [ids[a + 1 : b] for a, b in zip([-1, *ends], [*ends, len(ids)])]
+        return out
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All rows' ids, each row ended by END, and the rows' offsets in them."""
