@@ -1,8 +1,11 @@
 """Smoothers, streaks and ranks bit by bit, and how they hold up on larger tables."""
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
-from tidepanel.operators import recursive
+from tidepanel.operators import recursive, rolling
+from tidepanel.operators import windows as w
 
 
 def test_smoothers_take_the_plain_steps():
@@ -20,3 +23,28 @@ def test_smoothers_take_the_plain_steps():
     y, old = x[51:], sum(x[51:65].tolist()) / 14
     want = [old := (old * 13 + v) / 14 for v in y[14:].tolist()]
     assert recursive.wilder(y, 14)[14:].tolist() == want
+
+
+def test_rolled_equals_sliding_frames(spark):
+    rng = np.random.default_rng(4)
+    rows = pd.DataFrame({"stock_id": np.repeat([1, 2, 3], [70, 5, 1]), "x": np.where(rng.random(76) < 0.1, np.nan, rng.integers(0, 20, 76) / 7)})
+    rows["date"] = pd.Timestamp("2001-01-01") + pd.to_timedelta(rows.groupby("stock_id").cumcount(), "D")
+    df = spark.createDataFrame(rows).withColumn("x", F.nanvl("x", F.lit(None)))
+    x, frames = F.col("x"), {"mean": F.avg, "sum": F.sum, "sd": F.stddev_samp, "max": F.max, "min": F.min, "median": lambda c: F.percentile(c, F.lit(0.5))}
+    want = df.select("stock_id", "date", *[w.roll(f, x, 20, least).alias(f"{how}{least}") for how, f in frames.items() for least in (20, 4)], w.rank_in_window(x, 20, 4).alias("rank4"))
+    got = rolling.rolled(df, {f"{how}{least}": (how, "x", 20, least) for how in frames for least in (20, 4)} | {"rank4": ("rank", "x", 20, 4)})
+    a, b = (d.toPandas().sort_values(["stock_id", "date"], ignore_index=True) for d in (got, want))
+    pd.testing.assert_frame_equal(a[b.columns], b, check_exact=True)
+
+
+def _sorts(spark, df) -> int:
+    """Sorts of the plan that runs, each of which holds a task's rows."""
+    df.toArrow()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Sort [")
+
+
+def test_streaks_and_ranks_share_an_order(spark, sf_dir):
+    from tidepanel.queries import queries
+
+    assert _sorts(spark, queries()["ordered_means"](spark, sf_dir)) <= 2
+    assert _sorts(spark, queries()["section_ranks"](spark, sf_dir)) <= 9

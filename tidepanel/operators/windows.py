@@ -61,19 +61,18 @@ def rank_in_window(x: Column, n: int, least: int | None = None) -> Column:
 
 
 def rank_in_section(x: Column, name: str, time: str = TIME) -> Column:
-    """The share of rank among the rows of one time, ties by their mean rank; null stays null."""
-    section = Window.partitionBy(time)
-    place = F.rank().over(section.orderBy(F.col(name).asc_nulls_last()))
-    ties = F.count(x).over(Window.partitionBy(time, name))
-    return F.when(x.isNotNull(), (place + (ties - 1) / 2) / F.count(x).over(section))
+    """The share of rank among the rows of one time, ties by their mean rank; null stays null. One order serves all parts."""
+    section = Window.partitionBy(time).orderBy(F.col(name).asc_nulls_last())
+    ties = F.count(x).over(section.rangeBetween(Window.currentRow, Window.currentRow))
+    known = F.count(x).over(section.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return F.when(x.isNotNull(), (F.rank().over(section) + (ties - 1) / 2) / known)
 
 
 def with_streak(df: DataFrame, condition: Column, name: str) -> DataFrame:
     """Add the length of the run of true conditions that ends at each row, 0 where it is false or unknown."""
-    hit = flag(condition)
-    df = df.withColumn("_hit", hit).withColumn("_island", F.sum(1 - F.col("_hit")).over(running()))
-    run = Window.partitionBy(ENTITY, "_island").orderBy(TIME).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum("_hit").over(run).cast("int")).drop("_hit", "_island")
+    df = df.withColumns({"_hit": flag(condition), "_at": F.row_number().over(line())})
+    missed = F.max(F.when(F.col("_hit") == 0, F.col("_at"))).over(running())
+    return df.withColumn(name, (F.col("_at") - F.coalesce(missed, F.lit(0))).cast("int")).drop("_hit", "_at")
 
 
 def streak_columns(name: str, prefix: str) -> list[Column]:

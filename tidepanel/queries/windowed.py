@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import flag, ratio
 from ..operators import windows as w
-from ..sources.panel import BARS, SCORES, bars, scores
+from ..sources.panel import BARS, SCORES, bars, parts, scores
 from . import registry as q
 from .registry import query
 
@@ -74,7 +74,7 @@ def _rank_sql(x):
 @query(f"""WITH {BARS}, a AS (SELECT stock_id, date, {", ".join(f"close / {q.lag('close', n)} - 1 AS return_{n}d" for n in (5, 20, 60))}, volume FROM bars)
 SELECT stock_id, date, {", ".join(_rank_sql(x) for x in ("return_5d", "return_20d", "return_60d", "volume"))} FROM a""")
 def xs_rank_pct(spark, sf_dir):
-    df = bars(spark, sf_dir).select("stock_id", "date", "volume", *[w.change(F.col("close"), n).alias(f"return_{n}d") for n in (5, 20, 60)])
+    df = bars(spark, sf_dir).select("stock_id", "date", "volume", *[w.change(F.col("close"), n).alias(f"return_{n}d") for n in (5, 20, 60)]).repartition(parts(spark, sf_dir), "date")
     return df.select("stock_id", "date", *[f32(w.rank_in_section(F.col(x), x), f"rank_{x}") for x in ("return_5d", "return_20d", "return_60d", "volume")])
 
 
