@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import clip, flag, gate, ratio
 from ..operators import windows as w
 from ..operators.joins import asof_backward
+from ..operators.rolling import rolled
 from ..plans import lines, pivots, price
 from ..sources.panel import BARS, FLOWS, INDEX, REVENUE, bars, flows, index_bars, revenue
 from . import registry as q
@@ -184,10 +185,11 @@ def market_broadcast(spark, sf_dir):
 @query(f"""WITH {BARS}, a AS (SELECT *, close / {q.lag("close")} - 1 AS r FROM bars) SELECT stock_id, date, {", ".join(f"(CASE WHEN {q.roll('median', 'amount', n, max(5, n // 3))} IS NOT NULL THEN least(greatest(amount / {q.roll('median', 'amount', n, max(5, n // 3))}, 0), 20) END)::FLOAT AS rel_amt_{n}" for n in (10, 20, 60))},
  (CASE WHEN {q.lag("close", 20)} IS NOT NULL THEN least(greatest((close / {q.lag("close", 20)} - 1) / ({q.roll("stddev_samp", "r", 60, 20)} * sqrt(20)), -10), 10) END)::FLOAT AS rel_ramom_20_60 FROM a""")
 def relative_self(spark, sf_dir):
-    median = lambda x: F.percentile(x, F.lit(0.5))
-    df = bars(spark, sf_dir).withColumn("r", w.change(F.col("close")))
-    amounts = [clip(ratio(F.col("amount"), w.roll(median, F.col("amount"), n, max(5, n // 3))), 0.0, 20.0).cast("float").alias(f"rel_amt_{n}") for n in (10, 20, 60)]
-    moved = clip(ratio(w.change(F.col("close"), 20), w.roll(F.stddev_samp, F.col("r"), 60, 20) * F.sqrt(F.lit(20))), -10.0, 10.0)
+    c = F.col("close")
+    df = bars(spark, sf_dir).select("stock_id", "date", "amount", w.change(c).alias("r"), w.change(c, 20).alias("moved"))
+    df = rolled(df, {**{f"median{n}": ("median", "amount", n, max(5, n // 3)) for n in (10, 20, 60)}, "sd": ("sd", "r", 60, 20)}, ("amount", "moved"))
+    amounts = [clip(ratio(F.col("amount"), F.col(f"median{n}")), 0.0, 20.0).cast("float").alias(f"rel_amt_{n}") for n in (10, 20, 60)]
+    moved = clip(ratio(F.col("moved"), F.col("sd") * F.sqrt(F.lit(20))), -10.0, 10.0)
     return df.select("stock_id", "date", *amounts, moved.cast("float").alias("rel_ramom_20_60"))
 
 
@@ -200,7 +202,7 @@ def limit_hit_rate(spark, sf_dir):
 @query(f"""WITH {BARS}, l AS (SELECT stock_id, date, amount, list(amount) {q.over(240)} AS seen FROM bars)
 SELECT stock_id, date, CASE WHEN len(seen) >= 80 THEN ((list_sum(list_transform(seen, lambda v: (v < amount)::INT)) + (list_sum(list_transform(seen, lambda v: (v = amount)::INT)) + 1) / 2.0::DOUBLE) / len(seen)) END::FLOAT AS per_rank FROM l""")
 def valuation_rank(spark, sf_dir):
-    return bars(spark, sf_dir).select("stock_id", "date", w.rank_in_window(F.col("amount"), 240, 80).cast("float").alias("per_rank"))
+    return rolled(bars(spark, sf_dir), {"rank": ("rank", "amount", 240, 80)}).select("stock_id", "date", F.col("rank").cast("float").alias("per_rank"))
 
 
 @query(f"""WITH {BARS}, {INDEX}, {FLOWS}, {REVENUE}, p AS (SELECT stock_id, date, (close / {q.roll("avg", "close", 20)})::FLOAT AS close_ma20_ratio FROM bars), m AS (SELECT date, (close / lag(close, 5) OVER (ORDER BY date) - 1)::FLOAT AS mkt_return_5d FROM idx)
