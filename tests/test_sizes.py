@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidepanel.operators import recursive, rolling
+from tidepanel.operators import medians, recursive, rolling
 from tidepanel.operators import windows as w
 
 
@@ -48,3 +48,26 @@ def test_streaks_and_ranks_share_an_order(spark, sf_dir):
 
     assert _sorts(spark, queries()["ordered_means"](spark, sf_dir)) <= 2
     assert _sorts(spark, queries()["section_ranks"](spark, sf_dir)) <= 9
+
+
+def test_exact_medians(spark):
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({"k": rng.integers(0, 4, 3000), "v": np.where(rng.random(3000) < 0.5, 7.0, rng.normal(7, 1, 3000).round(3))})
+    rows.loc[len(rows)] = (9, 1.5)
+    df = spark.createDataFrame(rows.astype({"k": int}))
+    got = {r["k"]: r["median"] for r in medians.exact_medians(df, "v", ("k",), 16).collect()}
+    assert got == rows.groupby("k")["v"].median().to_dict()
+    assert medians.exact_medians(df, "v", (), 16).first()["median"] == rows["v"].median()
+    assert medians.exact_medians(df.where("v is null"), "v").first()["median"] is None
+
+
+def test_stream_pieces_are_written_by_many_tasks(spark, sf_dir, monkeypatch):
+    from tidepanel.queries import streams
+
+    seen = []
+    monkeypatch.setattr(streams.positions, "bar_stream", lambda spark, folder, *_: seen.append(len(spark.read.parquet(folder).inputFiles())))
+    rows = spark.range(4000).repartition(4).selectExpr("id as stock_id", "timestamp_ntz'1994-01-01 00:00:00' as date", "1.0D as open", "1.0D as close", "0.5D as score")
+    from tidepanel.sources.tables import shared_folder
+
+    streams._runs(rows, f"{shared_folder(spark)}/pieces", lambda stream: None)
+    assert seen[0] > 1

@@ -147,9 +147,10 @@ class Tracker(StatefulProcessor):
         yield pd.DataFrame()
 
 
-def bar_stream(spark: SparkSession, folder: str, schema: str, delay: str) -> DataFrame:
-    """The Parquet files that come to lie in a folder, oldest first, one a micro-batch, with a watermark on date."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder).withWatermark("date", delay)
+def bar_stream(spark: SparkSession, folder: str, schema: str, delay: str, files: int | None = 1) -> DataFrame:
+    """The Parquet files that come to lie in a folder, oldest first, so many a micro-batch (None: all new ones), with a watermark on date."""
+    reader = spark.readStream.schema(schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(folder).withWatermark("date", delay)
 
 
 def _stateful(stream: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
