@@ -119,15 +119,16 @@ def streak(hit: np.ndarray) -> np.ndarray:
 STATISTICS = {"mean": mean, "sum": total, "sd": deviation, "max": highest, "min": lowest, "median": median, "rank": rank}
 
 
-def rolled(df: DataFrame, wanted: dict[str, tuple], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows (entity, time, kept columns, wanted): each wanted name tells (statistic, column, n) or (.., least): null until `least` of the last n rows (all, by default) are known."""
+def statistics(a: dict[str, np.ndarray], wanted: dict[str, tuple]) -> dict[str, np.ndarray]:
+    """Each wanted name tells (statistic, column, n) or (.., least): unknown until `least` of the last n rows (all, by default) are known."""
+    out = {}
+    with np.errstate(invalid="ignore", divide="ignore"):
+        for name, (how, column, n, *least) in wanted.items():
+            out[name] = np.where(known(a[column], n) >= (least[0] if least else n), STATISTICS[how](a[column], n), np.nan)
+    return out
 
-    def compute(a):
-        out = {}
-        with np.errstate(invalid="ignore", divide="ignore"):
-            for name, (how, column, n, *least) in wanted.items():
-                out[name] = np.where(known(a[column], n) >= (least[0] if least else n), STATISTICS[how](a[column], n), np.nan)
-        return out
 
+def rolled(df: DataFrame, wanted: dict[str, tuple], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (entity, time, kept columns, wanted statistics)."""
     columns = list(dict.fromkeys(c for _, c, *_ in wanted.values()))
-    return per_entity(df, columns, ", ".join(f"{name} double" for name in wanted), compute, keep=keep)
+    return per_entity(df, columns, ", ".join(f"{name} double" for name in wanted), lambda a: statistics(a, wanted), keep=keep)

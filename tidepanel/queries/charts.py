@@ -6,9 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag
+from ..operators import medians, rolling
 from ..operators import windows as w
 from ..operators.joins import latest
+from ..operators.recursive import per_entity
 from ..sources.panel import BARS, SCORES, bars, scores
+from ..sources.tables import stored
 from . import registry as q
 from .registry import query
 from .simulation import exact, exact_sql
@@ -107,8 +110,14 @@ w AS (SELECT *, {q.lag("close")} AS close_before, {q.lag("m20")} AS m20_before,
 def _hits(spark, sf_dir):
     """Every pattern's flag for every bar in one wide projection, with the return from the next close to 20 bars on."""
     close = F.col("close")
-    df = bars(spark, sf_dir).select("stock_id", "date", "close", "volume", *[w.mean(close, n).alias(f"m{n}") for n in (5, 20, 60)], w.roll(F.max, close, 60).alias("h60"), w.mean(F.col("volume"), 20).alias("v20"))
-    df = df.select("*", w.lag(close).alias("close_before"), w.lag(F.col("m20")).alias("m20_before"), (F.try_divide(w.lead(close, 21), w.lead(close)) - 1).alias("ret20"))
+    df = bars(spark, sf_dir).select("stock_id", "date", "close", "volume", w.lag(close).alias("close_before"), (F.try_divide(w.lead(close, 21), w.lead(close)) - 1).alias("ret20"))
+
+    def compute(a):
+        told = {**{f"m{n}": ("mean", "close", n) for n in (5, 20, 60)}, "h60": ("max", "close", 60), "v20": ("mean", "volume", 20)}
+        out = rolling.statistics(a, told)
+        return {**out, "m20_before": rolling.earlier(out["m20"], 1)}
+
+    df = per_entity(df, ["close", "volume"], "m5 double, m20 double, m60 double, h60 double, v20 double, m20_before double", compute, keep=("close", "volume", "close_before", "ret20"))
     return df.select("stock_id", "date", "ret20", *[flag(c()).alias(k) for k, (_, c) in PATTERNS.items()])
 
 
@@ -120,31 +129,40 @@ def pattern_hits(spark, sf_dir):
 STATS = f"count(*) AS n, avg((ret20 > 0)::INT) AS win_rate, median(ret20)::FLOAT AS median_ret, {exact_sql('ret20')} / count(*) AS mean_ret"
 
 
-def _stats():
+def _stats(rows, *keys):
+    """Number, win rate, median and mean of ret20 by keys; the median is exact and no task gets a whole group."""
+    rows, _ = stored(rows.select(*keys, "ret20"), "returns")
     ret = F.col("ret20")
-    return [F.count("*").alias("n"), F.avg((ret > 0).cast("int")).alias("win_rate"), F.percentile(ret, F.lit(0.5)).cast("float").alias("median_ret"), (exact(ret) / F.count("*")).alias("mean_ret")]
+    found = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((ret > 0).cast("int")).alias("win_rate"), (exact(ret) / F.count("*")).alias("mean_ret"))
+    middle = medians.exact_medians(rows, "ret20", keys)
+    joined = found.join(F.broadcast(middle), list(keys), "left") if keys else found.join(F.broadcast(middle), F.lit(True), "left")
+    return joined.select(*keys, "n", "win_rate", F.col("median").cast("float").alias("median_ret"), "mean_ret")
 
 
 @query(f"WITH {WIDE}, u AS (UNPIVOT (SELECT ret20, {', '.join(PATTERNS)} FROM hits WHERE ret20 IS NOT NULL) ON {', '.join(PATTERNS)} INTO NAME pattern VALUE hit) SELECT pattern, {STATS}, (count(*) >= 30)::INT AS conclusive FROM u WHERE hit = 1 GROUP BY pattern")
 def pattern_stats(spark, sf_dir):
     long = _hits(spark, sf_dir).where("ret20 is not null").unpivot("ret20", list(PATTERNS), "pattern", "hit").where("hit = 1")
-    return long.groupBy("pattern").agg(*_stats(), (F.count("*") >= 30).cast("int").alias("conclusive"))
+    return _stats(long, "pattern").withColumn("conclusive", (F.col("n") >= 30).cast("int"))
 
 
 @query(f"WITH {WIDE} SELECT {STATS} FROM hits WHERE ret20 IS NOT NULL")
 def baseline_stats(spark, sf_dir):
-    return _hits(spark, sf_dir).where("ret20 is not null").agg(*_stats())
+    close = F.col("close")
+    returns = bars(spark, sf_dir).select((F.try_divide(w.lead(close, 21), w.lead(close)) - 1).alias("ret20"))  # no pattern is needed
+    return _stats(returns.where("ret20 is not null"))
 
 
 @query(f"WITH {WIDE} SELECT {STATS} FROM hits WHERE ret20 IS NOT NULL AND above_ma20 = 1 AND bull = 1 AND heavy = 1")
 def joint_stats(spark, sf_dir):
     """The statistics of bars on which several patterns hold at once."""
-    return _hits(spark, sf_dir).where("ret20 is not null and above_ma20 = 1 and bull = 1 and heavy = 1").agg(*_stats())
+    return _stats(_hits(spark, sf_dir).where("ret20 is not null and above_ma20 = 1 and bull = 1 and heavy = 1"))
 
 
 @query(f"WITH {WIDE} SELECT stock_id, {STATS} FROM hits WHERE ret20 IS NOT NULL AND cross_up = 1 GROUP BY stock_id")
 def crossing_history(spark, sf_dir):
-    return _hits(spark, sf_dir).where("ret20 is not null and cross_up = 1").groupBy("stock_id").agg(*_stats())
+    ret = F.col("ret20")
+    rows = _hits(spark, sf_dir).where("ret20 is not null and cross_up = 1").groupBy("stock_id")
+    return rows.agg(F.count("*").alias("n"), F.avg((ret > 0).cast("int")).alias("win_rate"), F.percentile(ret, F.lit(0.5)).cast("float").alias("median_ret"), (exact(ret) / F.count("*")).alias("mean_ret"))
 
 
 @query(f"WITH {WIDE}, u AS (UNPIVOT (SELECT stock_id, date, {', '.join(PATTERNS)} FROM hits) ON {', '.join(PATTERNS)} INTO NAME pattern VALUE hit) SELECT stock_id, date, count(*) AS rules, string_agg(pattern, ', ' ORDER BY pattern) AS rule_list FROM u WHERE hit = 1 GROUP BY ALL HAVING count(*) >= 3")
