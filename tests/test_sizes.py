@@ -71,3 +71,16 @@ def test_stream_pieces_are_written_by_many_tasks(spark, sf_dir, monkeypatch):
 
     streams._runs(rows, f"{shared_folder(spark)}/pieces", lambda stream: None)
     assert seen[0] > 1
+
+
+def test_lines_of_as_many_pivots_are_fitted_at_once():
+    from tidepanel.plans import lines
+
+    x = np.random.default_rng(6).uniform(900, 2100, 533).round(2)
+    pivots = lines.extremes(x, 5, 1, False)
+    found = list(lines.lines(pivots, x, 30, 120, 5, 3))
+    assert len(found) == len({f.pivots.shape[1] for f in found}) and sum(len(f.start) for f in found) > 3 * len(found)
+    for f in found:
+        for held, slope, r2, rest in zip(f.pivots, f.slope, f.r2, f.rest):
+            z, y = held - held.mean(), x[held] - x[held].mean()
+            assert slope == (z * y).sum() / (z * z).sum() and r2 == 1 - (rest * rest).sum() / (y**2).sum()

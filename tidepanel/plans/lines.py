@@ -24,30 +24,46 @@ def extremes(x: np.ndarray, span: int, sign: int, strict: bool) -> np.ndarray:
     return at[(y[at] == top) & ((y[at] > y[at - 1]) | (not strict))]
 
 
-class Line(NamedTuple):
-    """A least-squares line over pivots, and the stretch of bars [start, stop) for which these are the pivots."""
+class Lines(NamedTuple):
+    """Least-squares lines over as many pivots each (a row of pivots and of rests for a line), and the stretches of bars [start, stop) for which these are the pivots."""
 
-    start: int
-    stop: int
+    start: np.ndarray
+    stop: np.ndarray
     pivots: np.ndarray
-    slope: float
-    intercept: float
-    r2: float
+    slope: np.ndarray
+    intercept: np.ndarray
+    r2: np.ndarray
+    rest: np.ndarray
 
 
-def lines(pivots: np.ndarray, prices: np.ndarray, first: int, lookback: int, lag: int, least: int) -> Iterator[Line]:
+def lines(pivots: np.ndarray, prices: np.ndarray, first: int, lookback: int, lag: int, least: int) -> Iterator[Lines]:
+    """All lines, those of one number of pivots at once: so sums add as many terms for each as for one alone."""
     n = len(prices)
     changes = np.unique(np.clip(np.concatenate(([first, n], pivots + lag, pivots + lookback + 1)), min(first, n), n))
-    for start, stop in zip(changes[:-1].tolist(), changes[1:].tolist()):
-        held = pivots[np.searchsorted(pivots, start - lookback) : np.searchsorted(pivots, start - lag, "right")]
-        if len(held) < least:
+    start, stop = changes[:-1], changes[1:]
+    low, high = np.searchsorted(pivots, start - lookback), np.searchsorted(pivots, start - lag, "right")
+    for k in np.unique(high - low).tolist():
+        if k < least:
             continue
-        x, y = held - held.mean(), prices[held]
-        slope = float((x * (y - y.mean())).sum() / (x * x).sum())
-        spread = float(((y - y.mean()) ** 2).sum())
-        intercept = float(y.mean() - slope * held.mean())
-        rest = y - (slope * held + intercept)
-        yield Line(start, stop, held, slope, intercept, 1 - float((rest * rest).sum()) / spread if spread else 0.0)
+        of = np.flatnonzero(high - low == k)
+        held = pivots[low[of, None] + np.arange(k)]
+        y, middle = prices[held], held.mean(axis=1)
+        x, level = held - middle[:, None], y.mean(axis=1)
+        off = y - level[:, None]
+        slope, spread = (x * off).sum(axis=1) / (x * x).sum(axis=1), (off**2).sum(axis=1)
+        intercept = level - slope * middle
+        rest = y - (slope[:, None] * held + intercept[:, None])
+        with np.errstate(invalid="ignore", divide="ignore"):
+            r2 = np.where(spread != 0, 1 - (rest * rest).sum(axis=1) / spread, 0.0)
+        yield Lines(start[of], stop[of], held, slope, intercept, r2, rest)
+
+
+def spans(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bars of all stretches one after the other, the stretch of each, and where each stretch begins among them."""
+    sizes = stop - start
+    begin = np.cumsum(sizes) - sizes
+    of = np.repeat(np.arange(len(start)), sizes)
+    return np.arange(len(of)) + (start - begin)[of], of, begin
 
 
 def bounded_distance(close: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -78,17 +94,19 @@ def boundaries(a: dict[str, np.ndarray], lookback: int = 120, span: int = 5, lea
     bars = np.arange(n)
     for side, prices, sign in (("resist", high, 1), ("support", low, -1)):
         for found in lines(extremes(prices, span, sign, False), prices, max(lookback // 4, 2 * span), lookback, span, least):
-            rest = prices[found.pivots] - (found.slope * found.pivots + found.intercept)
-            t, intercept = bars[found.start : found.stop], found.intercept + sign * float((sign * rest).max())
-            line[side][t], raw[side][t], base[side][t] = found.slope * t + intercept, found.slope, intercept
-            out[f"{side}_slope"][t], out[f"{side}_r2"][t], out[f"{side}_pivots"][t] = found.slope / close[t], found.r2, len(found.pivots)
-            j = bars[max(0, found.start - lookback) : found.stop]
-            value = found.slope * j + intercept
+            intercept = found.intercept + sign * (sign * found.rest).max(axis=1)
+            t, of, _ = spans(found.start, found.stop)
+            line[side][t], raw[side][t], base[side][t] = found.slope[of] * t + intercept[of], found.slope[of], intercept[of]
+            out[f"{side}_slope"][t], out[f"{side}_r2"][t], out[f"{side}_pivots"][t] = found.slope[of] / close[t], found.r2[of], found.pivots.shape[1]
+            since = np.maximum(found.start - lookback, 0)
+            j, seen, begin = spans(since, found.stop)
+            value = found.slope[seen] * j + intercept[seen]
             with np.errstate(invalid="ignore", divide="ignore"):
                 hit = (np.abs(close[j] - value) / np.abs(value) < near) & (value != 0)
-            hit[found.pivots[found.pivots >= j[0]] - j[0]] = False
+            shift = begin - since  # of a bar to its place among those of its stretch
+            hit[(found.pivots + shift[:, None])[found.pivots >= since[:, None]]] = False
             sums = np.concatenate(([0], np.cumsum(hit)))
-            out[f"{side}_touches"][t] = sums[t + 1 - j[0]] - sums[np.maximum(t - lookback, 0) - j[0]]
+            out[f"{side}_touches"][t] = sums[t + 1 + shift[of]] - sums[np.maximum(t - lookback, 0) + shift[of]]
         out[f"{side}_dist"] = bounded_distance(close, line[side])
     width = line["resist"] - line["support"]
     with np.errstate(invalid="ignore", divide="ignore"):
@@ -166,13 +184,13 @@ def swing_lines(a: dict[str, np.ndarray], lookback: int = 120, span: int = 5, wa
             out[f"{side}_{k}"] = np.full(n, np.nan)
         out[f"{side}_touches"], out[f"{side}_days"] = np.where(told, 0.0, np.nan), np.where(told, 0.0, np.nan)
         for found in lines(extremes(close, span, sign, True), close, warm, lookback, span, 2):
-            t = bars[found.start : found.stop]
-            line = found.slope * t + found.intercept
-            out[f"{side}_dist"][t], out[f"{side}_r2"][t] = bounded_distance(close[t], line), found.r2
+            t, of, _ = spans(found.start, found.stop)
+            line = found.slope[of] * t + found.intercept[of]
+            out[f"{side}_dist"][t], out[f"{side}_r2"][t] = bounded_distance(close[t], line), found.r2[of]
             with np.errstate(invalid="ignore", divide="ignore"):
-                out[f"{side}_slope"][t] = np.where(line >= close[t] * 0.1, found.slope / line, np.nan)
-                off = np.abs(close[found.pivots] - (found.slope * found.pivots + found.intercept)) / close[found.pivots]
-            out[f"{side}_touches"][t], out[f"{side}_days"][t] = np.count_nonzero(off < 0.01), np.log1p(t - found.pivots[0])
+                out[f"{side}_slope"][t] = np.where(line >= close[t] * 0.1, found.slope[of] / line, np.nan)
+                off = np.abs(found.rest) / close[found.pivots]
+            out[f"{side}_touches"][t], out[f"{side}_days"][t] = np.count_nonzero(off < 0.01, axis=1)[of], np.log1p(t - found.pivots[of, 0])
     up, down = out["support_slope"], out["resist_slope"]
     out["is_triangle"], out["slope_align"] = ((up > 0) & (down < 0)).astype(float), (up * down > 0).astype(float)
     with np.errstate(invalid="ignore", divide="ignore"):
