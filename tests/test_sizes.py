@@ -84,3 +84,17 @@ def test_lines_of_as_many_pivots_are_fitted_at_once():
         for held, slope, r2, rest in zip(f.pivots, f.slope, f.r2, f.rest):
             z, y = held - held.mean(), x[held] - x[held].mean()
             assert slope == (z * y).sum() / (z * z).sum() and r2 == 1 - (rest * rest).sum() / (y**2).sum()
+
+
+def test_counts_of_drawn_splits_move_as_blocks(spark, monkeypatch):
+    """However many tasks and splits there are, what the tasks give out is a row for each block of open nodes."""
+    from tidepanel.operators import extra_trees as et
+
+    rng = np.random.default_rng(10)
+    rows = spark.createDataFrame([(float(v), float(w), int(v + w > rng.normal())) for v, w in rng.normal(size=(400, 2))], "a double, b double, y int")
+    kind, moved = type(rows), []
+    group = kind.groupBy
+    monkeypatch.setattr(kind, "groupBy", lambda self, *keys: (moved.append((self.count(), self.rdd.getNumPartitions())) if keys in (("start",), ("slot", "cell")) else None) or group(self, *keys))
+    et.fit_extra_trees(rows.repartition(40), ["a", "b"], "y", trees=5, depth=3, leaf=10)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    assert len(moved) == 3 and all(n <= parts <= tasks for n, parts in moved)
