@@ -98,3 +98,21 @@ def test_counts_of_drawn_splits_move_as_blocks(spark, monkeypatch):
     et.fit_extra_trees(rows.repartition(40), ["a", "b"], "y", trees=5, depth=3, leaf=10)
     tasks = 2 * spark.sparkContext.defaultParallelism
     assert len(moved) == 3 and all(n <= parts <= tasks for n, parts in moved)
+
+
+def test_training_medians_and_scores(spark, monkeypatch):
+    """No task takes all values for a median, and evaluation scores each row once."""
+    from tidepanel.operators import ml
+
+    rows = spark.createDataFrame([(float(i % 7), float(i) if i % 3 else None, None) for i in range(60)], "x double, y double, z double")
+    monkeypatch.setattr(ml.F, "percentile", None)
+    found = ml.fit_statistics(rows, ["x", "y", "z"])
+    assert (found["x"][0], found["y"][0], found["z"]) == (3.0, 30.0, (0.0, 0.0, 1.0))
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(i):
+        seen.add(1)
+        return i / 60
+
+    scored = spark.range(60).withColumn("score", F.udf(score, "double")("id")).withColumn("label", (F.col("id") % 2).cast("double")).withColumn("split", F.when(F.col("id") < 30, "train").otherwise("test"))
+    assert [r.n for r in ml.evaluate(scored, "label", ["train", "test"]).collect()] == [30, 30] and seen.value == 60

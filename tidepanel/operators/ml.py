@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import stored
+from .medians import exact_medians
 from .simulation import auc
 
 
@@ -23,8 +25,10 @@ def split(date: Column, train_end: str, valid_end: str, embargo_days: int) -> Co
 
 def fit_statistics(train: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, float]]:
     """Exact median, mean and deviation of each column over the training rows; a deviation of 0 or null counts as 1."""
-    one = train.agg(*[x for c in columns for x in (F.percentile(c, F.lit(0.5)).alias(f"{c}_med"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_sd"))]).first()
-    return {c: (one[f"{c}_med"] or 0.0, one[f"{c}_mean"] or 0.0, one[f"{c}_sd"] or 1.0) for c in columns}
+    one = train.agg(*[x for c in columns for x in (F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_sd"))]).first()
+    each = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.c", "x.v")
+    middle = {r["c"]: r["median"] for r in exact_medians(each, "v", ("c",)).collect()}  # a row per column; no task gets all values
+    return {c: (middle.get(c) or 0.0, one[f"{c}_mean"] or 0.0, one[f"{c}_sd"] or 1.0) for c in columns}
 
 
 def apply_statistics(df: DataFrame, statistics: dict[str, tuple[float, float, float]], limit: float = 10.0) -> DataFrame:
@@ -45,7 +49,8 @@ def score_forest(model: RandomForestClassificationModel, df: DataFrame, columns:
 
 
 def evaluate(scored: DataFrame, label: str, parts: list[str]) -> DataFrame:
-    """Per split: rows, positives, base rate and AUC."""
+    """Per split: rows, positives, base rate and AUC. Scores are made once."""
+    scored, _ = stored(scored.select("split", "score", label), "scored")
     tables = [auc(scored.where(F.col("split") == p), "score", label).select(F.lit(p).alias("split"), "*") for p in parts]
     out = tables[0]
     for t in tables[1:]:
