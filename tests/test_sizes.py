@@ -116,3 +116,15 @@ def test_training_medians_and_scores(spark, monkeypatch):
 
     scored = spark.range(60).withColumn("score", F.udf(score, "double")("id")).withColumn("label", (F.col("id") % 2).cast("double")).withColumn("split", F.when(F.col("id") < 30, "train").otherwise("test"))
     assert [r.n for r in ml.evaluate(scored, "label", ["train", "test"]).collect()] == [30, 30] and seen.value == 60
+
+
+def test_conditions_are_packed_where_they_lie(spark, sf_dir):
+    """No row moves for the bit index, and the bars' returns come along with their candles instead of by a join."""
+    from tidepanel.operators import conditions
+    from tidepanel.queries import queries
+
+    rows = spark.range(100).selectExpr("cast(id % 2 as int) as a", "cast(id as double) as r")
+    index = conditions.bit_index(rows, ["a"], "r", block_rows=30)
+    assert "Exchange" not in index._jdf.queryExecution().executedPlan().toString() and conditions.single_counts(index, ["a"]) == {"a": 50}
+    assert "Join" not in queries()["candle_statistics"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in queries()["named_patterns"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

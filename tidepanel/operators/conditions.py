@@ -19,19 +19,31 @@ CHUNK = 4096  # sets that meet a block at once
 
 
 def bit_index(rows: DataFrame, flags: list[str], outcome: str, block_rows: int = 1 << 16) -> DataFrame:
-    """A row (block, known, won, bits) for each block of about block_rows rows; bits follow the order of flags.
+    """A row (block, known, won, bits) for each block of at most block_rows rows; bits follow the order of flags.
 
-    rows: flags of 0 and 1 (null is 0) and an outcome that wins above 0 and is unknown where null.
+    rows: flags of 0 and 1 (null is 0) and an outcome that wins above 0 and is unknown where null. Each task packs
+    its own rows as they come, so that none move; counts don't hang on which rows share a block.
     """
-    blocks = max(1, -(-rows.count() // block_rows))
     packed = rows.select(F.col(outcome).isNotNull().alias("_known"), F.coalesce(F.col(outcome) > 0, F.lit(False)).alias("_won"), *[F.coalesce(F.col(c).cast("int") == 1, F.lit(False)).alias(c) for c in flags])
-    dealt = packed.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int"))
 
-    def pack(table: pa.Table) -> pa.Table:
-        bits = [np.packbits(table[c].to_numpy()).tobytes() for c in ("_known", "_won", *flags)]
-        return pa.table({"block": table["block"][:1].combine_chunks(), "known": [bits[0]], "won": [bits[1]], "bits": pa.array([bits[2:]], pa.list_(pa.binary()))})
-
-    return dealt.groupBy("block").applyInArrow(pack, "block int, known binary, won binary, bits array<binary>")
+    def pack(batches):
+        held, n, block = [], 0, 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, block_rows - n)
+                held.append([np.asarray(c.to_numpy(zero_copy_only=False), bool) for c in part.columns])
+                n, batch = n + part.num_rows, batch.slice(part.num_rows)
+                if n == block_rows:
+                    yield row(held, block)
+                    held, n, block = [], 0, block + 1
+        if held:
+            yield row(held, block)
+
+    def row(held, block):
+        bits = [np.packbits(np.concatenate(parts)).tobytes() for parts in zip(*held)]
+        return pa.record_batch([pa.array([block], pa.int32()), pa.array([bits[0]]), pa.array([bits[1]]), pa.array([bits[2:]], pa.list_(pa.binary()))], names=["block", "known", "won", "bits"])
+
+    return packed.mapInArrow(pack, "block int, known binary, won binary, bits array<binary>")
 
 
 def joint_counts(index: DataFrame, sets: DataFrame) -> DataFrame:
