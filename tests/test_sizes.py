@@ -170,3 +170,30 @@ def test_no_expression_stands_on_a_group_of_many_columns(spark, sf_dir):
 
     for name in ("merged_families", "chip_family", "true_range_family"):
         assert _plan(queries()[name](spark, sf_dir)).startswith("FlatMapGroupsInArrow"), name
+
+
+def test_candles_are_told_in_one_group(spark, sf_dir):
+    from tidepanel.queries import queries
+
+    plan = _plan(queries()["candle_family"](spark, sf_dir))
+    assert plan.startswith("FlatMapGroupsInArrow") and "Window" not in plan
+
+
+def test_candles_with_unknown_prices_equal_sql(spark, tmp_path):
+    """Narrow prices, so that many patterns stand, some of them unknown."""
+    import duckdb
+
+    from tidepanel.queries import oracle_sql, queries
+
+    rng = np.random.default_rng(12)
+    n = 6000
+    rows = pd.DataFrame({"l_suppkey": rng.integers(1, 4, n), "l_orderkey": np.arange(n), "l_partkey": 1, "l_linenumber": 1, "l_quantity": np.where(rng.random(n) < 0.01, np.nan, 1.0), "l_extendedprice": 20.0 + rng.integers(0, 9, n)})
+    rows["l_shipdate"] = pd.Timestamp("2001-01-01") + pd.to_timedelta(rng.integers(0, 800, n), "D")
+    df = spark.createDataFrame(rows).withColumns({"l_quantity": F.nanvl("l_quantity", F.lit(None)), "l_shipdate": F.col("l_shipdate").cast("timestamp_ntz")})
+    df.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    got, want = queries()["candle_family"](spark, str(tmp_path)).toPandas(), duck.sql(oracle_sql()["candle_family"]).df()
+    a, b = (d.sort_values(["stock_id", "date"], ignore_index=True)[sorted(d.columns)] for d in (got, want))
+    pd.testing.assert_frame_equal(a, b, check_dtype=False)
+    assert (a["cdlhikkake"].abs() == 200).any()
