@@ -197,3 +197,25 @@ def test_candles_with_unknown_prices_equal_sql(spark, tmp_path):
     a, b = (d.sort_values(["stock_id", "date"], ignore_index=True)[sorted(d.columns)] for d in (got, want))
     pd.testing.assert_frame_equal(a, b, check_dtype=False)
     assert (a["cdlhikkake"].abs() == 200).any()
+
+
+def test_oscillators_are_told_in_one_group(spark, sf_dir):
+    from tidepanel.queries import queries
+
+    plan = _plan(queries()["oscillator_family"](spark, sf_dir))
+    assert plan.startswith("FlatMapGroupsInArrow") and "Window" not in plan
+
+
+def test_scored_returns_take_one_pass(spark, sf_dir):
+    from tidepanel.queries.simulation import _scored
+
+    plan = _plan(_scored(spark, sf_dir))
+    assert "Join " not in plan and plan.count("lineitem") + plan.count("Relation [") == 1
+
+
+def test_classes_are_searched(spark):
+    bounds = [-1.0, 0.0, 0.5, 2.0]
+    values = [-2.0, -1.0, -0.5, 0.0, 0.25, 0.5, 3.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double").withColumn("c", medians.class_of("x", bounds))
+    assert [r["c"] for r in df.collect()] == [sum(b < v for b in bounds) for v in values]
+    assert "lambda" not in _plan(df)

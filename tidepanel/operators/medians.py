@@ -26,8 +26,16 @@ def quantile_bounds(rows: DataFrame, column: str, parts: int) -> list[float]:
 
 
 def class_of(column: str, bounds: list[float]) -> Column:
-    """How many bounds lie below the value: equal values share a class, and classes keep the order."""
-    return F.size(F.filter(F.lit(bounds).cast("array<double>"), lambda b: b < F.col(column))) if bounds else F.lit(0)
+    """How many bounds lie below the value: equal values share a class, and classes keep the order. A search, as bounds may be thousands."""
+    if not bounds:
+        return F.lit(0)
+    ordered = np.array(bounds, float)
+
+    @F.pandas_udf("int")
+    def place(x: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(ordered, x.to_numpy(float), side="left").astype(np.int32))
+
+    return place(F.col(column).cast("double"))
 
 
 def exact_medians(rows: DataFrame, value: str, keys: tuple[str, ...] = (), parts: int = 256) -> DataFrame:
