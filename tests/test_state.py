@@ -65,6 +65,22 @@ def test_streamed_exits_equal_the_batch(spark, tmp_path, seed):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 10
 
 
+def test_streamed_exits_share_their_state(spark, tmp_path):
+    """Many entities, one of them unknown, are a few entries of state, in as many buckets as the first run settled."""
+    rng = random.Random(4)
+    rows = random_panel(rng, 40, 60)
+    folder, end = str(tmp_path), (-1, max(r[1] for r in rows) + timedelta(days=99), None, None, None)
+    for k, some in enumerate(arrivals(rng, rows, 2, 20)):
+        given = [(None if r[0] == 7 else r[0], *r[1:], None) for r in [*some, *([end] if k else [])]]
+        spark.createDataFrame(given, STREAM).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        positions.run_score_exits(positions.bar_stream(spark, f"{folder}/in", STREAM, "30 days"), 0.95, 0.3, 7, folder, 3 + k)
+    want = sim.score_exit(spark.createDataFrame([r[:3] + r[4:] for r in rows], "stock_id long, date timestamp_ntz, open double, score double"), 0.95, 0.3, 7)
+    got = positions.score_trades(spark, folder).select(*want.columns)
+    assert got.where("stock_id is null").count()
+    assert sorted(map(str, got.fillna(7, ["stock_id"]).collect())) == sorted(map(str, want.collect()))
+    assert positions.state_rows(spark, folder, "line").count() == 3 + 1
+
+
 def test_tracked_positions_equal_the_batch(spark, tmp_path):
     """Purchases that come after their bars and bars that come late."""
     rng = random.Random(5)
