@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.operators import medians, recursive, rolling
@@ -219,3 +220,54 @@ def test_classes_are_searched(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double").withColumn("c", medians.class_of("x", bounds))
     assert [r["c"] for r in df.collect()] == [sum(b < v for b in bounds) for v in values]
     assert "lambda" not in _plan(df)
+
+
+def _odd_lines(spark, path, n=6000):
+    """Order lines of few suppliers with unknown quantities, and of unknown suppliers; sums of prices are exact in any order."""
+    rng = np.random.default_rng(13)
+    rows = pd.DataFrame({"l_suppkey": rng.integers(1, 4, n).astype(float), "l_orderkey": np.arange(n), "l_partkey": 1, "l_linenumber": rng.integers(1, 5, n), "l_quantity": np.where(rng.random(n) < 0.01, np.nan, rng.choice([1, 2, 4], n)), "l_extendedprice": 20.0 + rng.integers(0, 9, n)})
+    rows["l_suppkey"] = np.where(rng.random(n) < 0.05, np.nan, rows["l_suppkey"])
+    rows["l_shipdate"] = pd.Timestamp("2001-01-01") + pd.to_timedelta(rng.integers(0, 800, n), "D")
+    rows["l_returnflag"], rows["l_linestatus"] = rng.choice(list("ANR"), n), rng.choice(list("OF"), n)
+    df = spark.createDataFrame(rows).withColumns({"l_quantity": F.nanvl("l_quantity", F.lit(None)), "l_suppkey": F.nanvl("l_suppkey", F.lit(None)).cast("long"), "l_shipdate": F.col("l_shipdate").cast("timestamp_ntz")})
+    df.coalesce(1).write.parquet(f"{path}/lineitem.parquet")
+
+
+@pytest.mark.parametrize("name", ["named_patterns", "joint_verdicts"])
+def test_conditions_with_unknown_values_equal_sql(spark, tmp_path, name):
+    import duckdb
+
+    from tidepanel.queries import oracle_sql, queries
+
+    _odd_lines(spark, tmp_path)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    got, want = queries()[name](spark, str(tmp_path)).toPandas(), duck.sql(oracle_sql()[name]).df()
+    a, b = (d.sort_values(["stock_id", "date"], ignore_index=True)[sorted(d.columns)] for d in (got, want))
+    pd.testing.assert_frame_equal(a, b, check_dtype=False)
+    assert len(a) > 2
+
+
+def test_verdicts_deal_the_lines_once_and_leave_no_bits(spark, sf_dir, monkeypatch):
+    """One pass over the lines tells all conditions, and what is stored of every bar is gone when the verdicts are told."""
+    import os
+
+    from tidepanel.queries import analytics, queries
+    from tidepanel.sources.tables import shared_folder
+
+    seen, stored = [], analytics.stored
+    monkeypatch.setattr(analytics, "stored", lambda df, label: seen.append(_plan(df)) or stored(df, label))
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    queries()["joint_verdicts"](spark, sf_dir)
+    assert sum(p.count("Relation [l_orderkey") for p in seen) == 1 and not any("Join " in p or "Union" in p for p in seen)
+    assert {x.split("-")[0] for x in set(os.listdir(folder)) - before} <= {"last", "greedy"}
+
+
+def test_bits_of_words_are_flags(spark):
+    from tidepanel.operators import conditions
+
+    rows = spark.range(200).selectExpr("id % 8 as word", "if(id % 5 = 0, null, id % 3) as r", *[f"cast(id % 8 >> {k} & 1 as int) as f{k}" for k in range(3)])
+    names = ["f2", "f0", "f1"]
+    flags, words = (conditions.bit_index(rows, names, "r", 64, w).collect() for w in (None, {n: ("word", int(n[1])) for n in names}))
+    assert flags == words

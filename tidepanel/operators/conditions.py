@@ -18,20 +18,24 @@ from ..sources.tables import drop_stored, stored
 CHUNK = 4096  # sets that meet a block at once
 
 
-def bit_index(rows: DataFrame, flags: list[str], outcome: str, block_rows: int = 1 << 16) -> DataFrame:
+def bit_index(rows: DataFrame, flags: list[str], outcome: str, block_rows: int = 1 << 16, words: dict[str, tuple[str, int]] | None = None) -> DataFrame:
     """A row (block, known, won, bits) for each block of at most block_rows rows; bits follow the order of flags.
 
-    rows: flags of 0 and 1 (null is 0) and an outcome that wins above 0 and is unknown where null. Each task packs
-    its own rows as they come, so that none move; counts don't hang on which rows share a block.
+    rows: flags of 0 and 1 (null is 0) and an outcome that wins above 0 and is unknown where null. Flags may also lie as
+    bits of whole numbers: words tells the column and bit of each. Each task packs its own rows as they come, so that none
+    move; counts don't hang on which rows share a block.
     """
-    packed = rows.select(F.col(outcome).isNotNull().alias("_known"), F.coalesce(F.col(outcome) > 0, F.lit(False)).alias("_won"), *[F.coalesce(F.col(c).cast("int") == 1, F.lit(False)).alias(c) for c in flags])
+    columns = list(dict.fromkeys(c for c, _ in words.values())) if words else flags
+    told = [F.coalesce(F.col(c), F.lit(0)).cast("long") if words else F.coalesce(F.col(c).cast("int") == 1, F.lit(False)) for c in columns]
+    packed = rows.select(F.col(outcome).isNotNull().alias("_known"), F.coalesce(F.col(outcome) > 0, F.lit(False)).alias("_won"), *[x.alias(c) for c, x in zip(columns, told)])
+    places = [(columns.index(words[c][0]) + 2, words[c][1]) if words else (k + 2, 0) for k, c in enumerate(flags)]
 
     def pack(batches):
         held, n, block = [], 0, 0
         for batch in batches:
             while batch.num_rows:
                 part = batch.slice(0, block_rows - n)
-                held.append([np.asarray(c.to_numpy(zero_copy_only=False), bool) for c in part.columns])
+                held.append([c.to_numpy(zero_copy_only=False) for c in part.columns])
                 n, batch = n + part.num_rows, batch.slice(part.num_rows)
                 if n == block_rows:
                     yield row(held, block)
@@ -40,8 +44,9 @@ def bit_index(rows: DataFrame, flags: list[str], outcome: str, block_rows: int =
             yield row(held, block)
 
     def row(held, block):
-        bits = [np.packbits(np.concatenate(parts)).tobytes() for parts in zip(*held)]
-        return pa.record_batch([pa.array([block], pa.int32()), pa.array([bits[0]]), pa.array([bits[1]]), pa.array([bits[2:]], pa.list_(pa.binary()))], names=["block", "known", "won", "bits"])
+        whole = [np.concatenate(parts) for parts in zip(*held)]
+        known, won, *bits = [np.packbits((whole[k] >> bit & 1).astype(bool)).tobytes() for k, bit in [(0, 0), (1, 0), *places]]
+        return pa.record_batch([pa.array([block], pa.int32()), pa.array([known]), pa.array([won]), pa.array([bits], pa.list_(pa.binary()))], names=["block", "known", "won", "bits"])
 
     return packed.mapInArrow(pack, "block int, known binary, won binary, bits array<binary>")
 
