@@ -81,6 +81,16 @@ def test_streamed_exits_share_their_state(spark, tmp_path):
     assert positions.state_rows(spark, folder, "line").count() == 3 + 1
 
 
+def test_bars_reach_the_state_in_blocks(spark):
+    """Not a row for each bar: a block for each task and bucket, in the order of arrival."""
+    df = spark.range(5000).repartition(2).selectExpr("if(id = 9, null, id % 50) as stock_id", "timestamp_millis(id) as date", "if(id % 3 = 0, null, 1.0D) as open", "cast(id as double) as score")
+    got = positions._packed(df, 4).collect()
+    bars = [(r.bucket, *b) for r in got for b in np.frombuffer(r.bars, positions.BAR).tolist()]
+    assert len(got) <= 2 * 5 and sorted(b[2] for b in bars) == list(range(5000)) and [b[2] for b in bars if b[0] == positions.KEYLESS] == [9]
+    assert all((o != o) == (ms % 3 == 0) and score == ms and (ms == 9 or entity == ms % 50) for _, entity, ms, o, score in bars)
+    assert len({b[:2] for b in bars if b[2] != 9}) == 50
+
+
 def test_tracked_positions_equal_the_batch(spark, tmp_path):
     """Purchases that come after their bars and bars that come late."""
     rng = random.Random(5)

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -25,6 +26,7 @@ CLOSED = "stock_id long, signal_ms long, buy_ms long, sell_ms long, buy_price do
 #: A bar that waits; unknown values are NaN.
 BAR = np.dtype([("id", "<i8"), ("ms", "<i8"), ("open", "<f8"), ("score", "<f8")])
 BLOCK = 10_000  # bars of an element of the list of those that wait
+PACKED = 1 << 20  # bars that a task holds to pack them by bucket
 KEYLESS = -1  # the bucket of bars without an entity
 REASONS = np.array([None, "score", "max_hold"])
 
@@ -32,7 +34,8 @@ REASONS = np.array([None, "score", "max_hold"])
 class ScoreExits(StatefulProcessor):
     """The rules of simulation.score_exit for a bucket of entities, as their bars pass the watermark.
 
-    A call reads and writes each state once for all entities of its bucket, as a call costs far more than an entity's bars.
+    A call reads and writes each state once for all entities of its bucket, as a call costs far more than an entity's bars. Bars
+    come packed in blocks, as the engine hands rows over one by one. A bar that comes too late is taken if none after it was.
     Times are milliseconds. State: the bars that wait for the watermark in packed blocks, with a timer at the earliest; and, as
     arrays, each entity's number of bars so far with the last of them, and the open positions, `most` + 1 an entity at most:
     without a price before the purchase, and with out_at -1 before the bar at which the sale is decided (why: a place in REASONS).
@@ -50,10 +53,8 @@ class ScoreExits(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         earliest = []
         for frame in rows:
-            if len(frame):
-                bars = np.empty(len(frame), BAR)
-                for c in BAR.names:
-                    bars[c] = frame[c]
+            bars = np.frombuffer(b"".join(frame["bars"]), BAR)
+            if len(bars):
                 self._wait(bars)
                 earliest.append(int(bars["ms"].min()))
         watermark = timerValues.getCurrentWatermarkInMs()
@@ -230,9 +231,38 @@ def bar_stream(spark: SparkSession, folder: str, schema: str, delay: str, files:
     return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(folder).withWatermark("date", delay)
 
 
-def _stateful(stream: DataFrame, processor: StatefulProcessor, schema: str, key: str = "stock_id") -> DataFrame:
+def _stateful(stream: DataFrame, processor: StatefulProcessor, schema: str, key: str) -> DataFrame:
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
-    return stream.withColumn("ms", F.unix_millis("date")).groupBy(key).transformWithStateInPandas(processor, schema, "append", "EventTime")
+    return stream.groupBy(key).transformWithStateInPandas(processor, schema, "append", "EventTime")
+
+
+def _packed(stream: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, bars): a stream's bars in packed blocks, each of one bucket, in the order in which a task meets them."""
+    entity = F.col("stock_id")
+    bucket = F.when(entity.isNull(), KEYLESS).otherwise(F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int"))
+    rows = stream.where("date is not null").select(bucket.alias("bucket"), F.coalesce(entity, F.lit(0).cast("long")).alias("id"), F.unix_millis("date").alias("ms"), F.col("open").cast("double"), F.col("score").cast("double"))
+
+    def blocks(batches):
+        held, n = [], 0
+        for batch in batches:
+            bars = np.empty(batch.num_rows, BAR)
+            for c in BAR.names:
+                bars[c] = batch[c].to_numpy(zero_copy_only=False)
+            held.append((batch["bucket"].to_numpy(zero_copy_only=False), bars))
+            n += len(bars)
+            if n >= PACKED:
+                yield told(held)
+                held, n = [], 0
+        if n:
+            yield told(held)
+
+    def told(held):
+        places, bars = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(places, kind="stable")
+        found, start = np.unique(places[order], return_index=True)
+        return pa.record_batch([pa.array(found, pa.int32()), pa.array([x.tobytes() for x in np.split(bars[order], start[1:])], pa.binary())], names=["bucket", "bars"])
+
+    return rows.mapInArrow(blocks, "bucket int, bars binary")
 
 
 def _buckets(spark: SparkSession, folder: str, wanted: int) -> int:
@@ -255,9 +285,7 @@ def run_score_exits(stream: DataFrame, buy: float, sell: float, most: int, folde
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/closed/batch={number}")
 
-    entity, n = F.col("stock_id"), _buckets(stream.sparkSession, folder, buckets)
-    bucket = F.when(entity.isNull(), KEYLESS).otherwise(F.pmod(F.xxhash64(entity), F.lit(n)).cast("int"))
-    rows = stream.where("date is not null").select(bucket.alias("bucket"), "date", F.coalesce(entity, F.lit(0).cast("long")).alias("id"), "open", "score")
+    rows = _packed(stream, _buckets(stream.sparkSession, folder, buckets))
     found = _stateful(rows, ScoreExits(buy, sell, most), CLOSED, "bucket")
     found.writeStream.outputMode("append").foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
 
@@ -292,7 +320,7 @@ def _date(ms: str) -> Column:
 
 def run_tracker(stream: DataFrame, folder: str) -> None:
     """Take in purchases and bars (stock_id, date with a watermark, close, buy_price) and stop; later calls go on."""
-    found = _stateful(stream, Tracker(), "stock_id long")
+    found = _stateful(stream.withColumn("ms", F.unix_millis("date")), Tracker(), "stock_id long", "stock_id")
     found.writeStream.outputMode("append").format("noop").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
 
 
